@@ -18,6 +18,7 @@ from hydroflow.functions import day_of, forecast_index, launch_time
 from hydroflow.operators.features import build_features, check_features
 from hydroflow.operators.forest import forest
 from hydroflow.operators.lookback import lookback
+from hydroflow.sources.tables import read_wide
 
 _VECTOR = "_features"
 
@@ -76,6 +77,8 @@ def fit_multistep(
     The single model repeats each look-back ``horizon_steps`` times; one model per step keeps each training
     set at one row per cut-off and is the choice for long horizons on large histories.
     """
+    if rows.isEmpty():
+        raise ValueError("There are no training rows.")
     if not per_step:
         model = forest("label", _VECTOR, **params).fit(rows.select(_vector(False), "label"))
         return ForecastBundle((model,), config)
@@ -134,19 +137,19 @@ def predict_for_date(
     """
     bundle = load_bundle(spark, path)
     config = bundle.config
-    wide = spark.read.parquet(source or config.source)
+    wide = read_wide(spark, source or config.source)
     for key, value in where.items():
         wide = wide.filter(F.col(key) == value)
-    wide = wide.withColumn("_series", F.lit(0))
     if isinstance(day, str):
         day = datetime.fromisoformat(day)
     launch = datetime.combine(date(day.year, day.month, day.day), time()) + timedelta(hours=config.demo_hour)
     kind = dict(wide.dtypes)[config.time_col]
-    cutoffs = spark.range(1).select(
-        F.lit(0).alias("_series"), F.lit(launch.isoformat(" ")).cast(kind).alias("cutoff")
-    )
-    # Rows after the launch time cannot matter, so they are not read.
-    past = wide.filter(F.col(config.time_col) <= F.lit(launch.isoformat(" ")).cast(kind))
+    at, now = F.col(config.time_col), F.lit(launch.isoformat(" ")).cast(kind)
+    # One cut-off needs its own row and the rows its window and their means look back on: two top-k reads.
+    needed = config.window_steps - 1 + max(config.ma_rows - 1, 0)
+    past = wide.filter(at < now).orderBy(at.desc()).limit(needed).unionByName(wide.filter(at == now).limit(1))
+    past = past.withColumn("_series", F.lit(0))
+    cutoffs = spark.range(1).select(F.lit(0).alias("_series"), now.alias("cutoff"))
     forecast, status = forecast_cutoffs(past, bundle, cutoffs, ["_series"])
     state = status.first()
     if state["status"] == "no_cutoff":

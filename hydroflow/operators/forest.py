@@ -48,6 +48,8 @@ def forest(
 def fit_forest(train: DataFrame, features: Sequence[str], target: str, **params) -> RandomForestRegressionModel:
     """Fit on all rows of ``train``; only the vector and the label reach the trainer."""
     rows = _assembled(train, features).select(_VECTOR, column(target).cast("double").alias("_label"))
+    if rows.isEmpty():
+        raise ValueError("There are no training rows up to the cut-off.")
     return forest("_label", **params).fit(rows)
 
 

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydroflow.operators.catalog import match_datastreams, resolve_stations
+from hydroflow.operators.catalog import find_station, match_datastreams, resolve_stations
 from hydroflow.operators.observations import in_range, load_status
-from hydroflow.sinks.series import write_series
+from hydroflow.sinks.series import export_csv, write_series
 
 
 @dataclass(frozen=True)
@@ -52,3 +52,39 @@ def bulk_load(
         F.lit(param).alias("param"), "station", F.lit(freq).alias("freq"), "unit", "ts", "result"
     )
     return BulkLoad(rows, load_status(resolved, matched, window))
+
+
+class LoadError(Exception):
+    """A single series could not be loaded; the message says at which step."""
+
+
+def load_one(
+    station: str,
+    param: str,
+    freq: str,
+    start: str,
+    end: str,
+    out_dir: str,
+    things: DataFrame,
+    datastreams: DataFrame,
+    obs: DataFrame,
+) -> str:
+    """Load one series as CSV with the header ``phenomenonTime,<param>_<unit>`` and return its path.
+
+    The rows are filtered by the series id before anything else, so only its files are read.
+    """
+    if not station or not start or not end:
+        raise ValueError("Station, start and end are required.")
+    thing = find_station(things, station).first()
+    if thing is None:
+        raise LoadError(f"No station name contains {station!r}.")
+    ds = match_datastreams(datastreams.filter(F.col("thing_id") == thing["iot_id"]), param, freq).first()
+    if ds is None:
+        raise LoadError(f"Station {thing['name']!r} has no {freq} datastream of {param!r}.")
+    window = in_range(obs.filter(F.col("datastream_id") == ds["datastream_id"]), start, end)
+    if window.isEmpty():
+        raise LoadError(f"No data in the window; available: {ds['phenomenon_time'] or 'unknown'}.")
+    safe = thing["name"].translate(str.maketrans("/ ", "-_"))
+    path = f"{out_dir}/{param}_{safe}_{freq}.csv"
+    export_csv(window, path, param, ds["unit"] or "")
+    return path

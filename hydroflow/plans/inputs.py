@@ -1,7 +1,9 @@
 """The given tables seen as gauge data.
 
 ``supplier`` plays the stations, the distinct (user, event type) pairs of ``events`` their datastreams, and
-``events`` the observations; ``orders`` and ``lineitem`` play plant power and river discharge.
+``events`` the observations; ``orders`` and ``lineitem`` play plant power and river discharge. Power and
+hourly features are taken in hundredths: whole numbers add up exactly in any order, so means do not depend on
+how rows are split over tasks.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ def _coded(mapping: dict[str, int | str]):
     return expr
 
 
+def hundredths(c: str):
+    return F.round(F.col(c) * 100)
+
+
 def datastream_id():
     return (F.col("user_id") * 10 + _coded(EVENT_CODES)).cast("bigint")
 
@@ -81,21 +87,21 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two plants with an irregular power series each."""
     return table(spark, sf_dir, "events").select(
-        (F.col("user_id") % 2).alias("plant"), "ts", "event_id", F.col("value").alias("power")
+        (F.col("user_id") % 2).alias("plant"), "ts", "event_id", hundredths("value").alias("power")
     )
 
 
 def hourly_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide hourly table per plant: two discharge columns and the power; hours without a kind are NULL."""
     events = table(spark, sf_dir, "events")
-    means = [F.avg(F.when(F.col("event_type") == kind, F.col("value"))).alias(c) for c, kind in HOURLY.items()]
+    means = [F.avg(F.when(F.col("event_type") == kind, hundredths("value"))).alias(c) for c, kind in HOURLY.items()]
     return events.groupBy((F.col("user_id") % 2).alias("plant"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(
         *means
     )
 
 
 def power(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("o_totalprice")
+    price = hundredths("o_totalprice")
     return table(spark, sf_dir, "orders").select(
         "o_orderdate",
         "o_orderpriority",

@@ -38,13 +38,13 @@ DATASTREAMS = f"""ds AS (
 OBS = f"""obs AS (
   SELECT {_ID} AS datastream_id, ts, value AS result, event_id AS obs_id FROM events)"""
 
-PLANTS = "plants AS (SELECT user_id % 2 AS plant, ts, event_id, value AS power FROM events)"
+PLANTS = "plants AS (SELECT user_id % 2 AS plant, ts, event_id, round(value * 100) AS power FROM events)"
 
 WIDE = """wide AS (
   SELECT user_id % 2 AS plant, date_trunc('hour', ts) AS ts,
-         avg(CASE WHEN event_type = 'view' THEN value END) AS discharge_view,
-         avg(CASE WHEN event_type = 'click' THEN value END) AS discharge_click,
-         avg(CASE WHEN event_type = 'purchase' THEN value END) AS power
+         avg(CASE WHEN event_type = 'view' THEN round(value * 100) END) AS discharge_view,
+         avg(CASE WHEN event_type = 'click' THEN round(value * 100) END) AS discharge_click,
+         avg(CASE WHEN event_type = 'purchase' THEN round(value * 100) END) AS power
   FROM events GROUP BY 1, 2)"""
 
 COMPLETE = """complete AS (
@@ -62,8 +62,8 @@ POWER_DAILY = """power_daily AS (
   SELECT s.day, m.el, m.el1
   FROM (SELECT CAST(unnest(generate_series(min(o_orderdate::DATE)::TIMESTAMP, max(o_orderdate::DATE)::TIMESTAMP,
                                            INTERVAL 1 DAY)) AS DATE) AS day FROM orders) s
-  LEFT JOIN (SELECT o_orderdate::DATE AS day, avg(o_totalprice) AS el,
-                    avg(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS el1
+  LEFT JOIN (SELECT o_orderdate::DATE AS day, avg(round(o_totalprice * 100)) AS el,
+                    avg(CASE WHEN o_orderstatus = 'F' THEN round(o_totalprice * 100) END) AS el1
              FROM orders GROUP BY 1) m ON s.day = m.day)"""
 
 FLOW_DAILY = """flow_daily AS (
@@ -118,30 +118,29 @@ _LINE = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || ',' || CAST(result AS VARCHAR)
 ORACLE: dict[str, str] = {
     # Time series
     "daily_resample": f"""WITH {POWER_DAILY}
-SELECT {_day('day')} AS day, round(el, 6) AS el, round(el1, 6) AS el1 FROM power_daily""",
+SELECT {_day('day')} AS day, el, el1 FROM power_daily""",
     "daily_resample_keyed": f"""WITH m AS (
-  SELECT o_orderpriority, o_orderdate::DATE AS day, avg(o_totalprice) AS el FROM orders GROUP BY 1, 2),
+  SELECT o_orderpriority, o_orderdate::DATE AS day, avg(round(o_totalprice * 100)) AS el FROM orders GROUP BY 1, 2),
 s AS (SELECT o_orderpriority, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day
       FROM m GROUP BY 1)
-SELECT s.o_orderpriority, {_day('s.day')} AS day, round(m.el, 6) AS el
+SELECT s.o_orderpriority, {_day('s.day')} AS day, m.el
 FROM s LEFT JOIN m ON s.o_orderpriority = m.o_orderpriority AND s.day = m.day""",
     "daily_join": f"""{RELATION}
-SELECT {_day('day')} AS day, round(el, 6) AS el, round(el1, 6) AS el1, round(q, 6) AS q FROM relation""",
+SELECT {_day('day')} AS day, el, el1, q FROM relation""",
     "daily_power_discharge_corr": f"""{RELATION}
 SELECT round(corr(el, q), 6) AS corr_el, round(corr(el1, q), 6) AS corr_el1 FROM relation""",
     "trailing_mean": f"""WITH {PLANTS}
 SELECT plant, event_id, {_time('ts')} AS ts,
-       round(avg(power) OVER (PARTITION BY plant ORDER BY ts, event_id ROWS BETWEEN 15 PRECEDING AND CURRENT ROW), 6)
-         AS power_ma_4h
+       avg(power) OVER (PARTITION BY plant ORDER BY ts, event_id ROWS BETWEEN 15 PRECEDING AND CURRENT ROW) AS power_ma_4h
 FROM plants""",
     "trailing_mean_chunked": f"""WITH {PLANTS}
 SELECT event_id, {_time('ts')} AS ts,
-       round(avg(power) OVER (ORDER BY ts, event_id ROWS BETWEEN 95 PRECEDING AND CURRENT ROW), 8) AS power_ma_24h
+       avg(power) OVER (ORDER BY ts, event_id ROWS BETWEEN 95 PRECEDING AND CURRENT ROW) AS power_ma_24h
 FROM plants""",
     "day_trailing_mean": f"""WITH {PLANTS}
 SELECT plant, event_id, {_day('ts')} AS day,
-       round(avg(power) OVER (PARTITION BY plant, ts::DATE ORDER BY ts, event_id
-                              ROWS BETWEEN 15 PRECEDING AND CURRENT ROW), 6) AS trend
+       avg(power) OVER (PARTITION BY plant, ts::DATE ORDER BY ts, event_id
+                        ROWS BETWEEN 15 PRECEDING AND CURRENT ROW) AS trend
 FROM plants""",
     "row_positions": f"""WITH {PLANTS}
 SELECT plant, event_id, row_number() OVER (PARTITION BY plant ORDER BY ts, event_id) - 1 AS row_index FROM plants""",
@@ -258,7 +257,7 @@ FROM newest n JOIN ds ON n.datastream_id = ds.datastream_id""",
     "page_completeness": f"WITH {OBS} SELECT datastream_id, count(*) AS fetched FROM obs GROUP BY 1",
     "observation_csv": f"""SELECT {_time('ts')} AS "phenomenonTime", value AS q FROM events""",
     "plant_export_clean": f"""SELECT {_time('o_orderdate')} AS "Datum_von", {_time('o_orderdate')} AS "Datum_bis",
-       o_totalprice AS el, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS el1 FROM orders""",
+       round(o_totalprice * 100) AS el, CASE WHEN o_orderstatus = 'F' THEN round(o_totalprice * 100) END AS el1 FROM orders""",
     "export_names": f"""WITH {THINGS}, {DATASTREAMS}
 SELECT datastream_id, 'Q_' || replace(replace(name || ' / ' || datastream, '/', '-'), ' ', '_') || '_1D' AS file_name,
        'Q_' || unit AS value_name, '2024-01-05T00:00:00Z' AS starts

@@ -18,7 +18,6 @@ from hydroflow.functions import (
     day_label,
     forecast_index,
     iso_instant,
-    launch_time,
     minute_label,
     series_name,
     value_name,
@@ -64,8 +63,8 @@ def _time(c: str) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
 
 
-def _round(c: str, digits: int = 6) -> Column:
-    return F.round(F.col(f"`{c}`"), digits).alias(c)
+def _round(c: str) -> Column:
+    return F.round(c, 6).alias(c)
 
 
 # Time series
@@ -74,13 +73,13 @@ def _round(c: str, digits: int = 6) -> Column:
 @query
 def daily_resample(spark: SparkSession, sf: str) -> DataFrame:
     daily = resample.daily_mean(inputs.power(spark, sf), "o_orderdate", ["el", "el1"])
-    return daily.select(_day("day"), _round("el"), _round("el1"))
+    return daily.select(_day("day"), "el", "el1")
 
 
 @query
 def daily_resample_keyed(spark: SparkSession, sf: str) -> DataFrame:
     daily = resample.daily_mean(inputs.power(spark, sf), "o_orderdate", ["el"], ["o_orderpriority"])
-    return daily.select("o_orderpriority", _day("day"), _round("el"))
+    return daily.select("o_orderpriority", _day("day"), "el")
 
 
 def _relation(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,7 +90,7 @@ def _relation(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def daily_join(spark: SparkSession, sf: str) -> DataFrame:
-    return _relation(spark, sf).select(_day("day"), _round("el"), _round("el1"), _round(FLOW).alias("q"))
+    return _relation(spark, sf).select(_day("day"), "el", "el1", F.col(f"`{FLOW}`").alias("q"))
 
 
 @query
@@ -103,7 +102,7 @@ def daily_power_discharge_corr(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def trailing_mean(spark: SparkSession, sf: str) -> DataFrame:
     rows = moving.trailing_mean(inputs.plant_rows(spark, sf), inputs.KEYS, inputs.ORDER, "power", 16, "power_ma_4h")
-    return rows.select("plant", "event_id", _time("ts"), _round("power_ma_4h"))
+    return rows.select("plant", "event_id", _time("ts"), "power_ma_4h")
 
 
 @query
@@ -111,13 +110,13 @@ def trailing_mean_chunked(spark: SparkSession, sf: str) -> DataFrame:
     rows = moving.trailing_mean_chunked(
         inputs.plant_rows(spark, sf), [], inputs.ORDER, "power", 96, "power_ma_24h", chunk_rows=1000
     )
-    return rows.select("event_id", _time("ts"), _round("power_ma_24h", 8))
+    return rows.select("event_id", _time("ts"), "power_ma_24h")
 
 
 @query
 def day_trailing_mean(spark: SparkSession, sf: str) -> DataFrame:
     rows = moving.day_trailing_mean(inputs.plant_rows(spark, sf), inputs.KEYS, inputs.ORDER, "power", "trend")
-    return rows.select("plant", "event_id", _day("day"), _round("trend"))
+    return rows.select("plant", "event_id", _day("day"), "trend")
 
 
 @query

@@ -6,7 +6,7 @@ the write: a small series lands in one file, a very long one is cut by time into
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydroflow.functions import safe_name
@@ -22,11 +22,11 @@ def write_series(obs: DataFrame, path: str, fmt: str = "parquet") -> None:
 
     Only the partitions present in ``obs`` are overwritten, so a failed or repeated load leaves the rest alone.
     """
-    rows = obs.select(
-        "ts", "result", "unit", "param", safe_name("station").alias("station"), "freq"
-    )
+    rows = obs.select("ts", "result", "unit", "param", safe_name("station").alias("station"), "freq")
+    # A given number keeps many tiny series from being merged into one task that writes all their files.
+    tasks = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        rows.repartitionByRange(*LAYOUT, "ts")
+        rows.repartitionByRange(tasks, *LAYOUT, "ts")
         .sortWithinPartitions(*LAYOUT, "ts")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -54,7 +54,7 @@ def count_series(store: DataFrame) -> DataFrame:
     )
 
 
-def _iso_text(time_col: str):
+def _iso_text(time_col: str) -> Column:
     return F.date_format(time_col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
@@ -70,18 +70,18 @@ def export_summary(obs: DataFrame, by: str = "datastream_id") -> DataFrame:
 
     First and last line are NULL where there are no such rows (the last only exists beyond the first).
     """
-    line = F.concat_ws(",", _iso_text("ts"), F.col("result").cast("string"))
-    edges = obs.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min(F.struct("ts", line.alias("line"))).alias("lo"),
-        F.max(F.struct("ts", line.alias("line"))).alias("hi"),
-    )
+
+    def line(edge: str) -> Column:
+        return F.concat_ws(",", _iso_text(f"{edge}.ts"), F.col(f"{edge}.result").cast("string"))
+
+    row = F.struct("ts", "result")
+    edges = obs.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.min(row).alias("lo"), F.max(row).alias("hi"))
     return edges.select(
         by,
         "n_rows",
         F.lit("phenomenonTime,result").alias("header"),
-        F.col("lo.line").alias("first_line"),
-        F.when(F.col("n_rows") > 1, F.col("hi.line")).alias("last_line"),
+        line("lo").alias("first_line"),
+        F.when(F.col("n_rows") > 1, line("hi")).alias("last_line"),
     )
 
 
