@@ -43,13 +43,12 @@ def resolve_stations(requested: DataFrame, things: DataFrame) -> DataFrame:
     this multiplies the catalogue by a small factor and compares no pair that does not match. The
     smallest id per substring is taken before the join, so a text that many names share stays one row.
     """
-    lowered = F.lower("name")
     parts = (
-        things.filter(F.length("name") > 0)
-        .select(F.struct("iot_id", "name").alias("station"), lowered.alias("low"))
-        .select("station", "low", F.explode(F.sequence(F.lit(1), F.length("low"))).alias("start"))
+        things.select("iot_id", F.lower("name").alias("low"))
+        .filter(F.length("low") > 0)
+        .select("iot_id", "low", F.explode(F.sequence(F.lit(1), F.length("low"))).alias("start"))
         .select(
-            "station",
+            "iot_id",
             F.explode(
                 F.transform(
                     F.sequence(F.lit(1), F.length("low") - F.col("start") + 1),
@@ -58,11 +57,13 @@ def resolve_stations(requested: DataFrame, things: DataFrame) -> DataFrame:
             ).alias("part"),
         )
     )
-    first = parts.groupBy("part").agg(F.min("station").alias("station"))
+    first = parts.groupBy("part").agg(F.min("iot_id").alias("thing_id"))
+    names = things.select(F.col("iot_id").alias("thing_id"), F.col("name").alias("station"))
     return (
         requested.withColumn("part", F.lower("text"))
         .join(first, "part", "left")
-        .select("text", F.col("station.iot_id").alias("thing_id"), F.col("station.name").alias("station"))
+        .join(names, "thing_id", "left")
+        .select("text", "thing_id", "station")
     )
 
 

@@ -68,9 +68,13 @@ def with_positions(
     pos: str = "pos",
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Positions by the plain window where every group fits one task, else by ranges."""
-    place = group_positions if keys and fits_one_task(df, keys, max_group_rows) else global_positions
-    return place(df, keys, order, pos)
+    """Positions by the plain window where every group fits one task, else by ranges.
+
+    Either way the placed rows are a stored table: callers read it several times, the sort happens once.
+    """
+    if keys and fits_one_task(df, keys, max_group_rows):
+        return stored(group_positions(df, keys, order, pos), "positions")
+    return global_positions(df, keys, order, pos)
 
 
 def row_index(
@@ -81,7 +85,9 @@ def row_index(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Zero-based row index of each row within its group after the sort."""
-    placed = with_positions(df, keys, order, "_pos", max_group_rows)
+    if keys and fits_one_task(df, keys, max_group_rows):
+        return group_positions(df, keys, order, out).withColumn(out, F.col(out) - 1)
+    placed = global_positions(df, keys, order, "_pos")
     if not keys:
         return placed.withColumnRenamed("_pos", out)
     first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"))
