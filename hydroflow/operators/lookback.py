@@ -33,7 +33,7 @@ def lookback(
     keys, time_col = list(keys), order[0]
     tuple_of_row = F.array(*[null_if_nan(c) for c in features])
     placed = with_positions(
-        df.select(*keys, *order, tuple_of_row.alias("_row")), keys, order, "_pos", max_group_rows
+        df.select(*keys, *order, tuple_of_row.alias("_values")), keys, order, "_pos", max_group_rows
     )
 
     asked = cutoffs.select(*keys, "cutoff").distinct()
@@ -47,18 +47,18 @@ def lookback(
     last_chunk = F.floor(F.col("_at") / window)
     touched = found.withColumn("_chunk", F.explode(F.sequence(first_chunk, last_chunk)))
 
-    rows = placed.select(*keys, "_pos", "_row", F.floor(F.col("_pos") / window).alias("_chunk"))
+    rows = placed.select(*keys, "_pos", "_values", F.floor(F.col("_pos") / window).alias("_chunk"))
     inside = (F.col("_pos") <= F.col("_at")) & (F.col("_pos") > F.col("_at") - window)
     windows = (
         rows.join(touched, [*keys, "_chunk"])
         .filter(inside)
         .groupBy(*keys, "cutoff")
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_row"))).alias("_rows"))
+        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_values"))).alias("_rows"))
         .select(
             *keys,
             "cutoff",
             F.size("_rows").alias("n_rows"),
-            F.flatten(F.col("_rows._row")).alias("_flat"),
+            F.flatten(F.col("_rows._values")).alias("_flat"),
         )
     )
     status = (

@@ -43,7 +43,7 @@ def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], p
         df.repartitionByRange(*sort_key)
         .sortWithinPartitions(*sort_key)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))),
+        .withColumn("_at_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))),
         "positions",
     )
     # One row per write partition: bounded by the partition count, not by the data.
@@ -51,8 +51,8 @@ def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], p
     starts = sizes.select("_part", (F.sum("_size").over(W.orderBy("_part")) - F.col("_size")).alias("_start"))
     return (
         placed.join(F.broadcast(starts), "_part")
-        .withColumn(pos, F.col("_start") + F.col("_row"))
-        .drop("_part", "_row", "_start")
+        .withColumn(pos, F.col("_start") + F.col("_at_row"))
+        .drop("_part", "_at_row", "_start")
     )
 
 
