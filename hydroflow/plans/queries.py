@@ -477,8 +477,13 @@ def run_actuals(spark: SparkSession, sf: str) -> DataFrame:
     return frame.select(_time("ts"), "series", _round("value"))
 
 
+def plant_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The complete rows of one plant as a stored table: training reads its input several times."""
+    return stored(_plant(spark, sf), "plant")
+
+
 def _run(spark: SparkSession, sf: str) -> forest.AsOfRun:
-    plant = stored(_plant(spark, sf), "plant")
+    plant = plant_table(spark, sf)
     day = features.default_cutoff(plant, "ts").first()["day"]
     return forest.as_of_run(plant, "ts", "power", day)
 
@@ -500,7 +505,7 @@ def feature_importance_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def backtest(spark: SparkSession, sf: str) -> DataFrame:
-    plant = stored(_plant(spark, sf), "plant")
+    plant = plant_table(spark, sf)
     return forest.backtest(plant, "ts", "power", [date(2024, 1, 10), CUTOFF, date(2024, 1, 20)], trees=10)
 
 
