@@ -11,6 +11,7 @@ from hydroflow.functions.times import (
     next_day,
     parse_german,
     parse_instant,
+    step_interval,
     wall_clock,
 )
 
@@ -30,6 +31,7 @@ __all__ = [
     "pearson",
     "safe_name",
     "series_name",
+    "step_interval",
     "value_name",
     "wall_clock",
 ]

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import date, datetime, time, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydroflow.config import MAX_GROUP_ROWS, ForecastConfig
-from hydroflow.functions import day_of, forecast_index, launch_time
+from hydroflow.functions import day_of, forecast_index, launch_time, step_interval
 from hydroflow.operators.features import build_features, check_features
 from hydroflow.operators.forest import forest
 from hydroflow.operators.lookback import lookback
+from hydroflow.session import stored
 from hydroflow.sources.tables import read_wide
 
 _VECTOR = "_features"
@@ -41,22 +43,31 @@ def daily_cutoffs(features: DataFrame, config: ForecastConfig, keys: Sequence[st
     return days.select(*keys, launch_time("day", config.demo_hour).alias("cutoff"))
 
 
-def _stepped(lookbacks: DataFrame, config: ForecastConfig, keys: Sequence[str]) -> DataFrame:
+def _stepped(lookbacks: DataFrame, config: ForecastConfig, keys: Sequence[str], step: int | None = None) -> DataFrame:
+    """Usable look-backs with the future times they are asked for: all steps of the horizon, or only one."""
+    usable = lookbacks.filter(F.col("status") == "ok")
+    if step is not None:
+        at = F.col("cutoff") + step_interval(config.steps_per_hour) * F.lit(step)
+        return usable.select(*keys, "cutoff", "lookback", F.lit(step).alias("step"), at.alias("ts"))
     index = forecast_index("cutoff", config.horizon_steps, config.steps_per_hour)
-    return lookbacks.filter(F.col("status") == "ok").select(
-        *keys, "cutoff", "lookback", F.posexplode(index).alias("_at", "ts")
-    ).select(*keys, "cutoff", "lookback", (F.col("_at") + 1).alias("step"), "ts")
+    timed = usable.select(*keys, "cutoff", "lookback", F.posexplode(index).alias("_at", "ts"))
+    return timed.select(*keys, "cutoff", "lookback", (F.col("_at") + 1).alias("step"), "ts")
 
 
-def _vector(per_step: bool):
+def _vector(per_step: bool) -> Column:
     row = F.col("lookback") if per_step else F.concat("lookback", F.array(F.col("step").cast("double")))
     return array_to_vector(row).alias(_VECTOR)
 
 
 def training_rows(
-    lookbacks: DataFrame, features: DataFrame, config: ForecastConfig, keys: Sequence[str], until: datetime | None = None
+    lookbacks: DataFrame,
+    features: DataFrame,
+    config: ForecastConfig,
+    keys: Sequence[str],
+    until: datetime | None = None,
+    step: int | None = None,
 ) -> DataFrame:
-    """Look-backs with the target at each future step that is present in the data.
+    """Look-backs with the target at each future step (or at one step) that is present in the data.
 
     With ``until`` only targets up to that time are used, so a model launched then has not seen the future.
     """
@@ -66,28 +77,53 @@ def training_rows(
     ).filter(F.col("label").isNotNull())
     if until is not None:
         targets = targets.filter(F.col("ts") <= F.lit(until.isoformat(" ")).cast(dict(targets.dtypes)["ts"]))
-    return _stepped(lookbacks, config, keys).join(targets, [*keys, "ts"])
+    return _stepped(lookbacks, config, keys, step).join(targets, [*keys, "ts"])
 
 
 def fit_multistep(
-    rows: DataFrame, config: ForecastConfig, per_step: bool = False, **params
+    lookbacks: DataFrame,
+    features: DataFrame,
+    config: ForecastConfig,
+    keys: Sequence[str],
+    until: datetime | None = None,
+    per_step: bool = False,
+    **params,
 ) -> ForecastBundle:
-    """Fit on :func:`training_rows`: one model over all steps, or one model per step.
+    """One model over all steps, or one model per step.
 
     The single model repeats each look-back ``horizon_steps`` times; one model per step keeps each training
-    set at one row per cut-off and is the choice for long horizons on large histories.
+    set at one row per cut-off and is the choice for long horizons on large histories. Trainers read their
+    rows several times: pass look-backs and features as stored tables.
     """
-    if rows.isEmpty():
-        raise ValueError("There are no training rows.")
-    if not per_step:
-        model = forest("label", _VECTOR, **params).fit(rows.select(_vector(False), "label"))
-        return ForecastBundle((model,), config)
-    estimator = forest("label", _VECTOR, **params)
-    models = tuple(
-        estimator.fit(rows.filter(F.col("step") == step).select(_vector(True), "label"))
-        for step in range(1, config.horizon_steps + 1)
-    )
-    return ForecastBundle(models, config)
+    steps = range(1, config.horizon_steps + 1) if per_step else [None]
+    models = []
+    for step in steps:
+        rows = training_rows(lookbacks, features, config, keys, until, step).select(_vector(per_step), "label")
+        if rows.isEmpty():
+            raise ValueError("There are no training rows" + (f" for step {step}." if step else "."))
+        models.append(forest("label", _VECTOR, **params).fit(rows))
+    return ForecastBundle(tuple(models), config)
+
+
+def train_forecast(
+    wide: DataFrame,
+    config: ForecastConfig,
+    keys: Sequence[str],
+    cutoffs: DataFrame | None = None,
+    tie_break: Sequence[str] = (),
+    until: datetime | None = None,
+    per_step: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    **params,
+) -> ForecastBundle:
+    """From the wide table to a fitted bundle; by default every day's launch time is a training cut-off."""
+    features, names = build_features(wide, config, keys, tie_break, max_group_rows)
+    features = stored(features, "features")
+    config = replace(config, feature_cols=tuple(names))
+    asked = daily_cutoffs(features, config, keys) if cutoffs is None else cutoffs
+    order = [config.time_col, *tie_break]
+    windows = stored(lookback(features, keys, order, names, asked, config.window_steps, max_group_rows), "lookbacks")
+    return fit_multistep(windows, features, config, keys, until, per_step, **params)
 
 
 def forecast_from_history(lookbacks: DataFrame, bundle: ForecastBundle, keys: Sequence[str]) -> DataFrame:
@@ -96,17 +132,14 @@ def forecast_from_history(lookbacks: DataFrame, bundle: ForecastBundle, keys: Se
     The first time is one step after the cut-off and each cut-off gives ``horizon_steps`` rows.
     """
     config, out = bundle.config, [*keys, "cutoff", "step", "ts", "power_pred"]
-    stepped = _stepped(lookbacks, config, keys)
     if len(bundle.models) == 1:
+        stepped = _stepped(lookbacks, config, keys)
         return bundle.models[0].transform(stepped.withColumn(_VECTOR, _vector(False))).select(*out)
     parts = [
-        model.transform(stepped.filter(F.col("step") == step).withColumn(_VECTOR, _vector(True))).select(*out)
+        model.transform(_stepped(lookbacks, config, keys, step).withColumn(_VECTOR, _vector(True))).select(*out)
         for step, model in enumerate(bundle.models, start=1)
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def forecast_cutoffs(

@@ -255,6 +255,16 @@ FROM newest n JOIN ds ON n.datastream_id = ds.datastream_id""",
     "series_store_counts": f"{LOAD} SELECT count(DISTINCT station) AS n_series, count(*) AS n_rows FROM store",
     "page_roundtrip": f"WITH {OBS} SELECT datastream_id, {_time('ts')} AS ts, result FROM obs",
     "page_completeness": f"WITH {OBS} SELECT datastream_id, count(*) AS fetched FROM obs GROUP BY 1",
+    "thing_pages": f"""WITH {THINGS} SELECT iot_id, name, description, NULLIF(station_id, '') AS station_id FROM things""",
+    "datastream_pages": f"""WITH {DATASTREAMS}
+SELECT datastream_id AS iot_id, thing_id, datastream AS name, NULLIF(unit, '') AS unit, type, parameter,
+       CAST(thing_id AS VARCHAR) AS station_id, CAST(NULL AS VARCHAR) AS phenomenon_time FROM ds""",
+    "location_pages": f"""WITH {LOCATIONS}
+SELECT thing_id, name, round(lon, 6) AS lon, round(lat, 6) AS lat FROM locations""",
+    "page_stream": f"WITH {OBS} SELECT datastream_id, {_time('ts')} AS ts, result FROM obs",
+    "plant_table_csv": f"""WITH {WIDE}, {COMPLETE}
+SELECT plant, {_time('ts')} AS "time", round(power, 6) AS power, round(discharge_view, 6) AS discharge_view,
+       round(discharge_click, 6) AS discharge_click FROM complete""",
     "observation_csv": f"""SELECT {_time('ts')} AS "phenomenonTime", value AS q FROM events""",
     "plant_export_clean": f"""SELECT {_time('o_orderdate')} AS "Datum_von", {_time('o_orderdate')} AS "Datum_bis",
        round(o_totalprice * 100) AS el, CASE WHEN o_orderstatus = 'F' THEN round(o_totalprice * 100) END AS el1 FROM orders""",

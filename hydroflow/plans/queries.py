@@ -30,6 +30,7 @@ from hydroflow.plans.relation import daily_relation, relation_strength
 from hydroflow.session import scratch_path, stored
 from hydroflow.sinks import series as sinks
 from hydroflow.sources import pages, tables
+from hydroflow.streaming import load_landed_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +64,12 @@ def _time(c: str) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
 
 
+def _instant(c: str) -> Column:
+    """An instant as its UTC reading, whatever the session's zone."""
+    utc = F.to_utc_timestamp(c, F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+
+
 def _round(c: str) -> Column:
     return F.round(c, 6).alias(c)
 
@@ -402,7 +409,7 @@ def _landed_pages(spark: SparkSession, sf: str) -> str:
 @query
 def page_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     rows = pages.read_observations(spark, _landed_pages(spark, sf))
-    return rows.select("datastream_id", _time("ts"), "result")
+    return rows.select("datastream_id", _instant("ts"), "result")
 
 
 @query
@@ -411,6 +418,64 @@ def page_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return pages.page_completeness(landed).select("datastream_id", "fetched")
 
 
+def _landed_entities(spark: SparkSession, purpose: str, rows: DataFrame, owner: str | None, entity: Column) -> str:
+    """Catalogue entities as landed page files, one entity per page."""
+    fields = ([owner] if owner else []) + [F.array(entity).alias("value")]
+    path = scratch_path(spark, purpose)
+    rows.select(F.to_json(F.struct(*fields)).alias("line")).write.text(path)
+    return path
+
+
+@query
+def thing_pages(spark: SparkSession, sf: str) -> DataFrame:
+    entity = F.struct(
+        F.col("iot_id").alias("@iot.id"), "name", "description", F.struct("station_id").alias("properties")
+    )
+    path = _landed_entities(spark, "things", inputs.things(spark, sf), None, entity)
+    return pages.read_things(spark, path).select("iot_id", "name", "description", "station_id")
+
+
+@query
+def datastream_pages(spark: SparkSession, sf: str) -> DataFrame:
+    entity = F.struct(
+        F.col("iot_id").alias("@iot.id"),
+        "name",
+        F.struct(F.col("unit").alias("symbol")).alias("unitOfMeasurement"),
+        F.struct("type", "parameter", "station_id").alias("properties"),
+    )
+    path = _landed_entities(spark, "datastreams", inputs.datastreams(spark, sf), "thing_id", entity)
+    rows = pages.read_datastreams(spark, path)
+    return rows.select("iot_id", "thing_id", "name", "unit", "type", "parameter", "station_id", "phenomenon_time")
+
+
+@query
+def location_pages(spark: SparkSession, sf: str) -> DataFrame:
+    entity = F.struct(
+        F.col("location").alias("name"), F.struct(F.col("geo_type").alias("type"), "coordinates").alias("location")
+    )
+    path = _landed_entities(spark, "locations", inputs.locations(spark, sf), "thing_id", entity)
+    placed = catalog.station_locations(inputs.things(spark, sf), pages.read_locations(spark, path))
+    return placed.select("thing_id", "name", _round("lon"), _round("lat"))
+
+
+@query
+def page_stream(spark: SparkSession, sf: str) -> DataFrame:
+    out, state = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    load_landed_pages(spark, _landed_pages(spark, sf), out, state)
+    return spark.read.parquet(out).select("datastream_id", _instant("ts"), "result")
+
+
+@query
+def plant_table_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "plants")
+    wide = inputs.hourly_wide(spark, sf).select(
+        "plant", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+02:00'").alias("time"), *inputs.HOURLY
+    )
+    wide.write.option("header", True).partitionBy("plant").csv(path)
+    rows = tables.read_plant_csv(spark, path, list(inputs.HOURLY))
+    return rows.select(F.col("plant").cast("bigint").alias("plant"), _time("time"), *[_round(c) for c in inputs.HOURLY])
+
+
 @query
 def observation_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv")
@@ -512,13 +577,11 @@ def backtest(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def multistep_forecast(spark: SparkSession, sf: str) -> DataFrame:
     wide = stored(_complete(spark, sf), "wide")
-    rows, names = features.build_features(wide, HOURLY, inputs.KEYS)
-    config = ForecastConfig(**{**HOURLY.__dict__, "feature_cols": tuple(names)})
-    launches = forecast.daily_cutoffs(wide, config, inputs.KEYS)
-    windows = stored(lookback(rows, inputs.KEYS, ["ts"], names, launches, config.window_steps), "windows")
-    training = forecast.training_rows(windows, rows, config, inputs.KEYS)
-    bundle = forecast.fit_multistep(training, config, trees=20, max_depth=5, subset="onethird")
+    launches = forecast.daily_cutoffs(wide, HOURLY, inputs.KEYS)
+    bundle = forecast.train_forecast(
+        wide, HOURLY, inputs.KEYS, launches, trees=20, max_depth=5, subset="onethird"
+    )
     path = scratch_path(spark, "model")
     forecast.save_bundle(spark, bundle, path)
-    predicted = forecast.forecast_from_history(windows, forecast.load_bundle(spark, path), inputs.KEYS)
+    predicted, _ = forecast.forecast_cutoffs(wide, forecast.load_bundle(spark, path), launches, inputs.KEYS)
     return sinks.render_forecast(predicted).select("plant", "cutoff", "step", "ts", "power_pred", "power_text")

@@ -175,11 +175,9 @@ def test_backtest_marks_each_cutoff(plant):
 
 
 def fitted(wide, per_step):
+    bundle = forecast.train_forecast(wide, CONFIG, KEYS, per_step=per_step, trees=3, max_depth=3)
     frame, names = features.build_features(wide, CONFIG, KEYS)
-    config = replace(CONFIG, feature_cols=tuple(names))
-    windows = lookback(frame, KEYS, ["ts"], names, launches(wide), config.window_steps)
-    rows = forecast.training_rows(windows, frame, config, KEYS)
-    return forecast.fit_multistep(rows, config, per_step, trees=3, max_depth=3), windows
+    return bundle, lookback(frame, KEYS, ["ts"], names, launches(wide), CONFIG.window_steps)
 
 
 @pytest.mark.parametrize("per_step", [False, True])
@@ -224,3 +222,11 @@ def test_training_rows_stop_at_the_given_time(wide):
     until = datetime(2024, 1, 3, 12)
     rows = forecast.training_rows(windows, frame, CONFIG, KEYS, until)
     assert rows.agg(F.max("ts")).first()[0] == until
+
+
+def test_single_step_rows_are_those_of_the_whole_horizon(wide):
+    frame, names = features.build_features(wide, CONFIG, KEYS)
+    windows = lookback(frame, KEYS, ["ts"], names, launches(wide), CONFIG.window_steps)
+    every = forecast.training_rows(windows, frame, CONFIG, KEYS).filter("step = 3")
+    only = forecast.training_rows(windows, frame, CONFIG, KEYS, step=3).select(*every.columns)
+    assert sorted(every.collect()) == sorted(only.collect())
