@@ -37,7 +37,7 @@ def find_station(things: DataFrame, text: str) -> DataFrame:
 
 
 def resolve_stations(requested: DataFrame, things: DataFrame) -> DataFrame:
-    """For each requested text the station :func:`find_station` would pick, NULL where there is none.
+    """For each distinct text the station :func:`find_station` would pick, NULL where there is none.
 
     Substring search as an equi-join: every substring of a station name is a key. Names are short, so
     this multiplies the catalogue by a small factor and compares no pair that does not match. The
@@ -60,7 +60,9 @@ def resolve_stations(requested: DataFrame, things: DataFrame) -> DataFrame:
     first = parts.groupBy("part").agg(F.min("iot_id").alias("thing_id"))
     names = things.select(F.col("iot_id").alias("thing_id"), F.col("name").alias("station"))
     return (
-        requested.withColumn("part", F.lower("text"))
+        requested.select("text")
+        .distinct()
+        .withColumn("part", F.lower("text"))
         .join(first, "part", "left")
         .join(names, "thing_id", "left")
         .select("text", "thing_id", "station")

@@ -18,6 +18,7 @@ from pyspark.sql.window import Window as W
 from hydroflow.config import MAX_GROUP_ROWS
 from hydroflow.session import stored
 
+SALTS = 32
 _ROW_BITS = (1 << 33) - 1  # lower bits of monotonically_increasing_id: the row within its partition
 
 
@@ -90,5 +91,9 @@ def row_index(
     placed = global_positions(df, keys, order, "_pos")
     if not keys:
         return placed.withColumnRenamed("_pos", out)
-    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"))
-    return placed.join(first, list(keys)).withColumn(out, F.col("_pos") - F.col("_first")).drop("_pos", "_first")
+    # Each group's start, once per salt: the rows of a hot group meet it in many tasks.
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first")).select(*keys, "_first", salt)
+    salted = placed.withColumn("_salt", F.pmod("_pos", F.lit(SALTS)).cast("int"))
+    joined = salted.join(first, [*keys, "_salt"])
+    return joined.withColumn(out, F.col("_pos") - F.col("_first")).drop("_pos", "_first", "_salt")

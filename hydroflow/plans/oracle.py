@@ -185,7 +185,7 @@ SELECT plant, {_day('day')} AS day FROM ranked WHERE r = 2""",
 SELECT l.plant, {_time('l.cutoff')} AS cutoff, CASE WHEN c.ts IS NULL THEN 'false' ELSE 'true' END AS found,
        round(c.power, 6) AS power
 FROM launches l LEFT JOIN complete c ON c.plant = l.plant AND c.ts = l.cutoff""",
-    "forecast_index_steps": f"""WITH {WIDE}, {LAUNCHES}
+    "forecast_index": f"""WITH {WIDE}, {LAUNCHES}
 SELECT plant, {_time('cutoff')} AS cutoff, i AS step, {_time('cutoff + i * INTERVAL 15 MINUTE')} AS ts
 FROM launches, generate_series(1, 96) g(i)""",
     "forecast_training_rows": f"""WITH {WIDE}, {COMPLETE}, {LAUNCHES}, {_FEATURES}
@@ -202,7 +202,7 @@ WHERE contains(lower(name), 'supplier#00000001') ORDER BY iot_id LIMIT 1""",
 WHERE contains(name, 'Supplier#00000001')""",
     "resolve_stations": f"""WITH {THINGS}, requested AS (SELECT upper(substr(c_name, 7)) AS text FROM customer)
 {RESOLVE}""",
-    "resolve_partial_names": f"""WITH {THINGS}, requested AS (SELECT substr(c_name, 10, 8) AS text FROM customer)
+    "resolve_partial_names": f"""WITH {THINGS}, requested AS (SELECT DISTINCT substr(c_name, 10, 8) AS text FROM customer)
 {RESOLVE}""",
     "station_datastreams": f"""WITH {THINGS}, {DATASTREAMS}
 SELECT thing_id, name AS station, datastream_id, datastream, unit, COALESCE(type, '') AS type,
@@ -278,7 +278,7 @@ SELECT datastream_id, count(*) AS n_rows, 'phenomenonTime,result' AS header,
 FROM obs_window GROUP BY 1""",
     "date_labels": """SELECT event_id, strftime(ts, '%A, %d %b %Y') AS day_label,
        strftime(ts, '%Y-%m-%d %H:%M') AS minute_label FROM events""",
-    "clip_predictions": """SELECT event_id, round(greatest(value - 20, 0), 6) AS clipped FROM events""",
+    "clip_nonnegative": """SELECT event_id, round(greatest(value - 20, 0), 6) AS clipped FROM events""",
     # Models: the part that does not depend on the trees
     "run_actuals": f"""WITH {WIDE}, {COMPLETE}, p AS (SELECT * FROM complete WHERE plant = 0)
 SELECT {_time('ts')} AS ts, 'actual' AS series, round(power, 6) AS value FROM p WHERE ts::DATE = DATE '2024-01-15'

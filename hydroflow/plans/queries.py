@@ -52,7 +52,8 @@ HOURLY = ForecastConfig(
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore avoids a clash with an imported name."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -202,7 +203,7 @@ def cutoff_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def forecast_index_steps(spark: SparkSession, sf: str) -> DataFrame:
+def forecast_index_(spark: SparkSession, sf: str) -> DataFrame:
     steps = _launches(spark, sf).select("plant", "cutoff", F.posexplode(forecast_index("cutoff", 96, 4)).alias("at", "ts"))
     return steps.select("plant", _time("cutoff"), (F.col("at") + 1).cast("bigint").alias("step"), _time("ts"))
 
@@ -524,7 +525,7 @@ def date_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def clip_predictions(spark: SparkSession, sf: str) -> DataFrame:
+def clip_nonnegative_(spark: SparkSession, sf: str) -> DataFrame:
     centred = inputs.table(spark, sf, "events").select("event_id", (F.col("value") - 20).alias("raw"))
     return centred.select("event_id", F.round(clip_nonnegative("raw"), 6).alias("clipped"))
 
