@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hydroflow.config import MAX_GROUP_ROWS, ForecastConfig
 from hydroflow.functions import day_of, forecast_index, launch_time, step_interval
 from hydroflow.operators.features import build_features, check_features
-from hydroflow.operators.forest import forest
+from hydroflow.operators.forest import fit_rows, forest
 from hydroflow.operators.lookback import lookback
 from hydroflow.session import stored
 from hydroflow.sources.tables import read_wide
@@ -99,9 +99,7 @@ def fit_multistep(
     models = []
     for step in steps:
         rows = training_rows(lookbacks, features, config, keys, until, step).select(_vector(per_step), "label")
-        if rows.isEmpty():
-            raise ValueError("There are no training rows" + (f" for step {step}." if step else "."))
-        models.append(forest("label", _VECTOR, **params).fit(rows))
+        models.append(fit_rows(forest("label", _VECTOR, **params), rows))
     return ForecastBundle(tuple(models), config)
 
 

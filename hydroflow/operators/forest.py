@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -46,12 +47,20 @@ def forest(
     )
 
 
+def fit_rows(estimator: RandomForestRegressor, rows: DataFrame) -> RandomForestRegressionModel:
+    """Fit, with a plain error for an empty input. The trainer finds out itself: no extra pass over the rows."""
+    try:
+        return estimator.fit(rows)
+    except IllegalArgumentException as e:
+        if "size of input RDD > 0" in str(e):
+            raise ValueError("There are no training rows.") from e
+        raise
+
+
 def fit_forest(train: DataFrame, features: Sequence[str], target: str, **params) -> RandomForestRegressionModel:
     """Fit on all rows of ``train``; only the vector and the label reach the trainer."""
     rows = _assembled(train, features).select(_VECTOR, column(target).cast("double").alias("_label"))
-    if rows.isEmpty():
-        raise ValueError("There are no training rows up to the cut-off.")
-    return forest("_label", **params).fit(rows)
+    return fit_rows(forest("_label", **params), rows)
 
 
 def predict_known_features(model: RandomForestRegressionModel, df: DataFrame, features: Sequence[str]) -> DataFrame:

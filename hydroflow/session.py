@@ -11,7 +11,11 @@ _LOCAL_SCRATCH = "hydroflow.scratch.dir"
 
 
 def build_session(master: str | None = None, app: str = "hydroflow", **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on: UTC, AQE with skew splitting, NTZ-safe ANSI mode."""
+    """A session with the settings the operators rely on.
+
+    UTC, ANSI mode (bad casts raise), adaptive plans with skew splitting, and Kryo for the RDDs of MLlib's
+    tree training, whose node statistics are shuffled once per level.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -21,6 +25,7 @@ def build_session(master: str | None = None, app: str = "hydroflow", **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         **conf,
     }
     for key, value in settings.items():
