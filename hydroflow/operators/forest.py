@@ -100,19 +100,24 @@ class AsOfRun:
 
 
 def run_actuals(
-    df: DataFrame, time_col: str, target: str, cutoff: date, tie_break: Sequence[str] = ()
+    df: DataFrame,
+    time_col: str,
+    target: str,
+    cutoff: date,
+    tie_break: Sequence[str] = (),
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """``(ts, series, value)``: the cut-off day, its trend, and the following day as it happened."""
+    """``(keys, ts, series, value)``: the cut-off day, its trend, and the following day as it happened."""
     today = day_trailing_mean(
-        rows_of_day(df, time_col, cutoff).select(time_col, *tie_break, column(target)),
-        [],
+        rows_of_day(df, time_col, cutoff).select(*keys, time_col, *tie_break, column(target)),
+        keys,
         [time_col, *tie_break],
         target,
         "trend",
     )
     following = rows_after(df, time_col, cutoff)
-    return _series_of(today, time_col, {target: "actual", "trend": "trend"}).unionByName(
-        _series_of(following, time_col, {target: "next_day_actual"})
+    return _series_of(today, keys, time_col, {target: "actual", "trend": "trend"}).unionByName(
+        _series_of(following, keys, time_col, {target: "next_day_actual"})
     )
 
 
@@ -136,15 +141,15 @@ def as_of_run(
         F.col(time_col).alias("ts"), column(target).alias("actual"), "power_pred"
     )
     frame = run_actuals(df, time_col, target, cutoff, tie_break).unionByName(
-        _series_of(scored, "ts", {"power_pred": "prediction"})
+        _series_of(scored, [], "ts", {"power_pred": "prediction"})
     )
     return AsOfRun(frame, scored, feature_importance(df.sparkSession, model, features), features)
 
 
-def _series_of(df: DataFrame, time_col: str, names: dict[str, str]) -> DataFrame:
-    """Long form ``(ts, series, value)`` of the named columns."""
+def _series_of(df: DataFrame, keys: Sequence[str], time_col: str, names: dict[str, str]) -> DataFrame:
+    """Long form ``(keys, ts, series, value)`` of the named columns."""
     pairs = [F.struct(F.lit(series).alias("series"), column(c).alias("value")) for c, series in names.items()]
-    return df.select(F.col(time_col).alias("ts"), F.inline(F.array(*pairs)))
+    return df.select(*keys, F.col(time_col).alias("ts"), F.inline(F.array(*pairs)))
 
 
 def backtest(

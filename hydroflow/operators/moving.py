@@ -25,7 +25,7 @@ def trailing_mean(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Mean of the present values among the last ``rows`` rows up to this one, over the whole series."""
-    if keys and fits_one_task(df, keys, max_group_rows):
+    if fits_one_task(df, keys, max_group_rows):
         frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(-(rows - 1), 0)
         return df.withColumn(out, F.avg(null_if_nan(value)).over(frame))
     return trailing_mean_chunked(df, keys, order, value, rows, out)

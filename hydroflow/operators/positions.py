@@ -73,7 +73,7 @@ def with_positions(
 
     Either way the placed rows are a stored table: callers read it several times, the sort happens once.
     """
-    if keys and fits_one_task(df, keys, max_group_rows):
+    if fits_one_task(df, keys, max_group_rows):
         return stored(group_positions(df, keys, order, pos), "positions")
     return global_positions(df, keys, order, pos)
 
@@ -86,7 +86,7 @@ def row_index(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Zero-based row index of each row within its group after the sort."""
-    if keys and fits_one_task(df, keys, max_group_rows):
+    if fits_one_task(df, keys, max_group_rows):
         return group_positions(df, keys, order, out).withColumn(out, F.col(out) - 1)
     placed = global_positions(df, keys, order, "_pos")
     if not keys:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 EVENT_CODES = {"view": 0, "click": 1, "purchase": 2, "signup": 3, "error": 4}
 UNITS = {"view": "m³/s", "click": "cm"}
 KEYS = ["plant"]
+PLANTS = (0, 1)
 ORDER = ["ts", "event_id"]
 HOURLY = {"discharge_view": "view", "discharge_click": "click", "power": "purchase"}
 

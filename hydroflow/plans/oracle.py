@@ -280,13 +280,13 @@ FROM obs_window GROUP BY 1""",
        strftime(ts, '%Y-%m-%d %H:%M') AS minute_label FROM events""",
     "clip_nonnegative": """SELECT event_id, round(greatest(value - 20, 0), 6) AS clipped FROM events""",
     # Models: the part that does not depend on the trees
-    "run_actuals": f"""WITH {WIDE}, {COMPLETE}, p AS (SELECT * FROM complete WHERE plant = 0)
-SELECT {_time('ts')} AS ts, 'actual' AS series, round(power, 6) AS value FROM p WHERE ts::DATE = DATE '2024-01-15'
+    "run_actuals": f"""WITH {WIDE}, {COMPLETE}, p AS (SELECT * FROM complete)
+SELECT plant, {_time('ts')} AS ts, 'actual' AS series, round(power, 6) AS value FROM p WHERE ts::DATE = DATE '2024-01-15'
 UNION ALL
-SELECT {_time('ts')} AS ts, 'trend' AS series,
-       round(avg(power) OVER (ORDER BY p.ts ROWS BETWEEN 15 PRECEDING AND CURRENT ROW), 6) AS value
+SELECT plant, {_time('ts')} AS ts, 'trend' AS series,
+       round(avg(power) OVER (PARTITION BY plant ORDER BY p.ts ROWS BETWEEN 15 PRECEDING AND CURRENT ROW), 6) AS value
 FROM p WHERE p.ts::DATE = DATE '2024-01-15'
 UNION ALL
-SELECT {_time('ts')} AS ts, 'next_day_actual' AS series, round(power, 6) AS value
+SELECT plant, {_time('ts')} AS ts, 'next_day_actual' AS series, round(power, 6) AS value
 FROM p WHERE ts::DATE = DATE '2024-01-16'""",
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -533,46 +534,59 @@ def clip_nonnegative_(spark: SparkSession, sf: str) -> DataFrame:
 # Models
 
 
-def _plant(spark: SparkSession, sf: str) -> DataFrame:
-    return _complete(spark, sf).filter(F.col("plant") == 0).drop("plant")
+def plant_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The complete rows of all plants as a stored table: training reads its input several times."""
+    return stored(_complete(spark, sf), "plants")
 
 
-@query
-def run_actuals(spark: SparkSession, sf: str) -> DataFrame:
-    frame = forest.run_actuals(_plant(spark, sf), "ts", "power", CUTOFF)
-    return frame.select(_time("ts"), "series", _round("value"))
+def one_plant(table: DataFrame, plant: int) -> DataFrame:
+    return table.filter(F.col("plant") == plant).drop("plant")
 
 
-def plant_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The complete rows of one plant as a stored table: training reads its input several times."""
-    return stored(_plant(spark, sf), "plant")
+def _per_plant(frames: dict[int, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [df.withColumn("plant", F.lit(plant)) for plant, df in frames.items()])
 
 
-def _run(spark: SparkSession, sf: str) -> forest.AsOfRun:
-    plant = plant_table(spark, sf)
-    day = features.default_cutoff(plant, "ts").first()["day"]
-    return forest.as_of_run(plant, "ts", "power", day)
+@query
+def run_actuals(spark: SparkSession, sf: str) -> DataFrame:
+    frame = forest.run_actuals(_complete(spark, sf), "ts", "power", CUTOFF, keys=inputs.KEYS)
+    return frame.select("plant", _time("ts"), "series", _round("value"))
+
+
+def _runs(spark: SparkSession, sf: str) -> dict[int, forest.AsOfRun]:
+    """One run per plant, each up to the latest valid cut-off of the plant."""
+    plants = plant_table(spark, sf)
+    cutoffs = features.default_cutoff(plants, "ts", inputs.KEYS).collect()  # one row per plant
+    return {
+        r["plant"]: forest.as_of_run(one_plant(plants, r["plant"]), "ts", "power", r["day"])
+        for r in sorted(cutoffs)
+    }
 
 
 @query
 def run_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return _run(spark, sf).frame
+    return _per_plant({plant: run.frame for plant, run in _runs(spark, sf).items()})
 
 
 @query
 def run_peak(spark: SparkSession, sf: str) -> DataFrame:
-    return _run(spark, sf).peak()
+    return _per_plant({plant: run.peak() for plant, run in _runs(spark, sf).items()})
 
 
 @query
 def feature_importance_top10(spark: SparkSession, sf: str) -> DataFrame:
-    return _run(spark, sf).importance
+    return _per_plant({plant: run.importance for plant, run in _runs(spark, sf).items()})
 
 
 @query
 def backtest(spark: SparkSession, sf: str) -> DataFrame:
-    plant = plant_table(spark, sf)
-    return forest.backtest(plant, "ts", "power", [date(2024, 1, 10), CUTOFF, date(2024, 1, 20)], trees=10)
+    plants, days = plant_table(spark, sf), [date(2024, 1, 10), CUTOFF, date(2024, 1, 20)]
+    return _per_plant(
+        {
+            plant: forest.backtest(one_plant(plants, plant), "ts", "power", days, trees=10, max_depth=5)
+            for plant in inputs.PLANTS
+        }
+    )
 
 
 @query

@@ -54,15 +54,21 @@ def count_series(store: DataFrame) -> DataFrame:
     )
 
 
-def _iso_text(time_col: str) -> Column:
-    return F.date_format(time_col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+def _iso_text(time: Column, kind: str) -> Column:
+    """UTC ISO text. Instants are read in UTC whatever the session's zone; zone-free times are taken as UTC."""
+    utc = F.to_utc_timestamp(time, F.current_timezone()) if kind == "timestamp" else time
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def _csv_rows(obs: DataFrame, value: str) -> DataFrame:
+    """``phenomenonTime,<value>`` in time order; the sort is by ranges, so a long series is written by many tasks."""
+    at = _iso_text(F.col("ts"), dict(obs.dtypes)["ts"]).alias("phenomenonTime")
+    return obs.orderBy("ts").select(at, F.col("result").alias(value))
 
 
 def export_csv(obs: DataFrame, path: str, param: str, unit: str) -> None:
     """One series as CSV with the header ``phenomenonTime,<param>_<unit>``, in time order across its files."""
-    value = F.col("result").alias(f"{param}_{unit}")
-    table = obs.orderBy("ts").select(_iso_text("ts").alias("phenomenonTime"), value)
-    table.write.mode("overwrite").option("header", True).csv(path)
+    _csv_rows(obs, f"{param}_{unit}").write.mode("overwrite").option("header", True).csv(path)
 
 
 def export_summary(obs: DataFrame, by: str = "datastream_id") -> DataFrame:
@@ -70,9 +76,10 @@ def export_summary(obs: DataFrame, by: str = "datastream_id") -> DataFrame:
 
     First and last line are NULL where there are no such rows (the last only exists beyond the first).
     """
+    kind = dict(obs.dtypes)["ts"]
 
     def line(edge: str) -> Column:
-        return F.concat_ws(",", _iso_text(f"{edge}.ts"), F.col(f"{edge}.result").cast("string"))
+        return F.concat_ws(",", _iso_text(F.col(f"{edge}.ts"), kind), F.col(f"{edge}.result").cast("string"))
 
     row = F.struct("ts", "result")
     edges = obs.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.min(row).alias("lo"), F.max(row).alias("hi"))
@@ -88,8 +95,7 @@ def export_summary(obs: DataFrame, by: str = "datastream_id") -> DataFrame:
 def export_window(obs: DataFrame, datastream_id: int, start: str, end: str, path: str) -> DataFrame:
     """Write the window of one series as ``phenomenonTime,result`` CSV and return its summary."""
     window = in_range(obs.filter(F.col("datastream_id") == datastream_id), start, end)
-    table = window.orderBy("ts").select(_iso_text("ts").alias("phenomenonTime"), "result")
-    table.write.mode("overwrite").option("header", True).csv(path)
+    _csv_rows(window, "result").write.mode("overwrite").option("header", True).csv(path)
     return export_summary(window)
 
 

@@ -97,6 +97,17 @@ def test_csv_has_the_value_header_and_reads_back(spark, rows, tmp_path):
     assert [tuple(r) for r in back] == [(datetime(2024, 1, d), float(d)) for d in (1, 2, 3)]
 
 
+def test_export_writes_instants_in_utc(spark, tmp_path):
+    obs = spark.sql("SELECT timestamp'2024-07-01 12:00:00+02:00' AS ts, 1.0D AS result")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        sinks.export_csv(obs, str(tmp_path / "u"), "Q", "x")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert spark.read.text(str(tmp_path / "u")).collect()[1]["value"] == "2024-07-01T10:00:00.000000Z,1.0"
+
+
 def test_window_export_summary(spark, tmp_path):
     data = [(7, datetime(2024, 1, d), float(d)) for d in (1, 2, 3)] + [(8, datetime(2024, 1, 1), 9.0)]
     obs = spark.createDataFrame(data, "datastream_id bigint, ts timestamp_ntz, result double")
