@@ -57,9 +57,17 @@ def fit_rows(estimator: RandomForestRegressor, rows: DataFrame) -> RandomForestR
         raise
 
 
-def fit_forest(train: DataFrame, features: Sequence[str], target: str, **params) -> RandomForestRegressionModel:
-    """Fit on all rows of ``train``; only the vector and the label reach the trainer."""
+def fit_forest(
+    train: DataFrame, features: Sequence[str], target: str, tasks: int | None = None, **params
+) -> RandomForestRegressionModel:
+    """Fit on all rows of ``train``; only the vector and the label reach the trainer.
+
+    The trainer works on the partitions it is given. ``tasks`` spreads a small table, which would be one partition,
+    over that many; leave it out where the input already has more.
+    """
     rows = _assembled(train, features).select(_VECTOR, column(target).cast("double").alias("_label"))
+    if tasks is not None:
+        rows = rows.repartition(tasks)
     return fit_rows(forest("_label", **params), rows)
 
 

@@ -557,8 +557,9 @@ def _runs(spark: SparkSession, sf: str) -> dict[int, forest.AsOfRun]:
     """One run per plant, each up to the latest valid cut-off of the plant."""
     plants = plant_table(spark, sf)
     cutoffs = features.default_cutoff(plants, "ts", inputs.KEYS).collect()  # one row per plant
+    tasks = spark.sparkContext.defaultParallelism
     return {
-        r["plant"]: forest.as_of_run(one_plant(plants, r["plant"]), "ts", "power", r["day"])
+        r["plant"]: forest.as_of_run(one_plant(plants, r["plant"]), "ts", "power", r["day"], tasks=tasks)
         for r in sorted(cutoffs)
     }
 
