@@ -39,7 +39,7 @@ def differences(spark, con, run, sql, sf_dir) -> list[str]:
     found = []
     if sorted(df.columns) != sorted(names):
         return [f"columns {sorted(df.columns)} against {sorted(names)}"]
-    same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     theirs = dict(zip(names, kinds, strict=True))
     for name, kind in df.dtypes:
         if same.get(kind, kind) != theirs[name]:
