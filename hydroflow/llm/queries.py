@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.llm import chat, exact_dedup, simhash, url_filter
-from hydroflow.llm.common import table, text_or_empty
-from hydroflow.session import stored
+from hydroflow.llm import chat, ctw, decontaminate, exact_dedup, html_text, mixing, quality, simhash, url_filter, warc
+from hydroflow.llm.common import table
+from hydroflow.session import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +143,76 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its text."""
     found = exact_dedup.find_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    found = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    return html_text.extract_text(pages).select("page_id", "text", F.char_length("text").alias("n_chars"))
+
+
+@query(
+    """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+kept AS (SELECT payload_digest, payload_bytes, max(page_id) AS keep FROM payloads GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN keep END AS refers_to
+FROM payloads JOIN kept USING (payload_digest, payload_bytes)"""
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back; revisits are resolved by the response that they name."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+
+    def page(urn: str):
+        return F.regexp_extract(urn, "^<urn:page:(.*)>$", 1).try_cast("long")
+
+    records = stored(
+        warc.read_warc(spark, path).select(
+            page("record_id").alias("page_id"),
+            "record_type",
+            page("refers_to").alias("refers_to"),
+            F.substring_index("stated_digest", ":", -1).alias("stated"),
+            F.octet_length("payload").cast("long").alias("payload_bytes"),
+            F.sha1("payload").alias("payload_digest"),
+        ),
+        "warc-records",
+    )
+    responses = records.filter("record_type = 'response'")
+    named = responses.select(
+        F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("stated"), "payload_bytes", "payload_digest"
+    ).distinct()
+    revisits = records.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to", "stated")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return responses.select(*columns).unionByName(revisits.join(named, ["refers_to", "stated"]).select(*columns))
+
+
+@query()
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of a mix with 95 % of the largest entropy over sources and four passes at most."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix_sources(docs)
+    return mixed.select("doc_id", "source", "mixed.*")
+
+
+@query()
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that contain a benchmark item, with the item."""
+    found = decontaminate.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "n_found", "share", "reparameterised")
+
+
+@query()
+def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document."""
+    return ctw.score_texts(table(spark, sf_dir, "documents"))
