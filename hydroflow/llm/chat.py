@@ -107,7 +107,7 @@ def format_conversations(
         F.col(turn).alias("turn"),
         text_or_empty(role).alias("role"),
         body.alias("body"),
-        attachments(F.col(parts)).alias("files"),
+        attachments(F.coalesce(F.col(parts), F.array().cast(PARTS))).alias("files"),
     )
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT))
     pieces = rows.select(

@@ -1,7 +1,7 @@
 """WARC archives: writing them, and reading them back with boundary-chain verification.
 
 A record is header, block, and two line ends. Spark's text writer with that terminator as line separator gives
-archives of any number of records, one file a task. Spark's text reader with terminator and magic as separator cuts
+archives of any number of records, one file a task. Spark's text reader with line end and magic as separator cuts
 archives, also in the middle of a file, into pieces: each begins with what may be a record, or with magic that is part
 of a payload. Only the chain tells them apart:
 
@@ -24,7 +24,9 @@ from hydroflow.llm.common import text_or_empty
 from hydroflow.session import stored
 
 LINE, GAP, MAGIC = "\r\n", "\r\n\r\n", "WARC/1."
-SEPARATOR = GAP + MAGIC
+#: Pieces are cut here. No header has it inside, and it cannot overlap itself, which Hadoop's line reader relies on
+#: where a split ends within a separator.
+SEPARATOR = "\n" + MAGIC
 #: Payloads from this size on are written once; the others of the same content revisit it.
 REVISIT_BYTES = 1000
 WRITTEN = "2024-01-01T00:00:00Z"
@@ -150,7 +152,8 @@ def _with_offsets(candidates: DataFrame) -> DataFrame:
         F.coalesce(valid, F.lit(False)).alias("valid"),
         F.when(valid, text_at + needed + len(GAP)).alias("next"),
         F.coalesce(valid & (needed <= F.col("size")), F.lit(False)).alias("whole"),
-        F.coalesce(valid & (needed == F.col("size")), F.lit(False)).alias("to_neighbour"),
+        # The last line end of a record is the first byte of the separator.
+        F.coalesce(valid & (needed + len(GAP) - 1 == F.col("size")), F.lit(False)).alias("to_neighbour"),
     )
 
 
