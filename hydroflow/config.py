@@ -23,8 +23,11 @@ TOP_FEATURES = 10
 EXCEEDANCE_ROWS = 20
 SAMPLE_ROWS = 5
 
-# Rows of one group that a single task may sort. Larger groups take the range-partitioned path.
-MAX_GROUP_ROWS = 2_000_000
+# The forest: MLlib's largest depth, candidate splits per feature (all distinct values where there are fewer), and the
+# tasks that training rows are dealt to by content, so that the model does not depend on the number of cores.
+FOREST_DEPTH = 30
+FOREST_BINS = 4096
+FOREST_TASKS = 4
 
 
 @dataclass(frozen=True)

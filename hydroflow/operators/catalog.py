@@ -39,31 +39,25 @@ def find_station(things: DataFrame, text: str) -> DataFrame:
 def resolve_stations(requested: DataFrame, things: DataFrame) -> DataFrame:
     """For each distinct text the station :func:`find_station` would pick, NULL where there is none.
 
-    Substring search as an equi-join: every substring of a station name is a key. Names are short, so
-    this multiplies the catalogue by a small factor and compares no pair that does not match. The
-    smallest id per substring is taken before the join, so a text that many names share stays one row.
+    Substring search as an equi-join: the parts of station names that have the length of some requested text are
+    keys. Names meet the distinct lengths in an equi-join over their own possible lengths, and give one part per
+    place and length. The smallest id per part is taken before the join, so a text that many names share stays
+    one row.
     """
+    asked = requested.select("text").distinct().withColumn("part", F.lower("text"))
+    lengths = asked.select(F.length("part").alias("n")).filter("n > 0").distinct()
+    low = things.select("iot_id", F.lower("name").alias("low"))
     parts = (
-        things.select("iot_id", F.lower("name").alias("low"))
-        .filter(F.length("low") > 0)
-        .select("iot_id", "low", F.explode(F.sequence(F.lit(1), F.length("low"))).alias("start"))
-        .select(
-            "iot_id",
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(1), F.length("low") - F.col("start") + 1),
-                    lambda n: F.substr("low", "start", n),
-                )
-            ).alias("part"),
-        )
+        low.filter(F.length("low") > 0)
+        .withColumn("n", F.explode(F.sequence(F.lit(1), F.length("low"))))
+        .join(lengths, "n")
+        .withColumn("start", F.explode(F.sequence(F.lit(1), F.length("low") - F.col("n") + 1)))
+        .select("iot_id", F.substr("low", "start", "n").alias("part"))
     )
     first = parts.groupBy("part").agg(F.min("iot_id").alias("thing_id"))
     names = things.select(F.col("iot_id").alias("thing_id"), F.col("name").alias("station"))
     return (
-        requested.select("text")
-        .distinct()
-        .withColumn("part", F.lower("text"))
-        .join(first, "part", "left")
+        asked.join(first, "part", "left")
         .join(names, "thing_id", "left")
         .select("text", "thing_id", "station")
     )

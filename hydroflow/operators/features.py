@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from hydroflow.config import MAX_GROUP_ROWS, PLANT_TARGETS, ForecastConfig
+from hydroflow.config import PLANT_TARGETS, ForecastConfig
 from hydroflow.functions import day_of
 from hydroflow.functions.numbers import column
 from hydroflow.operators.moving import trailing_mean
@@ -49,7 +49,6 @@ def build_features(
     config: ForecastConfig,
     keys: Sequence[str],
     tie_break: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> tuple[DataFrame, list[str]]:
     """Prefix columns as doubles, then the trailing mean of the target as the last feature.
 
@@ -66,9 +65,7 @@ def build_features(
         *[column(c).cast("double").alias(c) for c in names],
     )
     if config.ma_hours > 0:
-        base = trailing_mean(
-            base, keys, [time_col, *tie_break], target, config.ma_rows, config.ma_col, max_group_rows
-        )
+        base = trailing_mean(base, keys, [time_col, *tie_break], target, config.ma_rows, config.ma_col)
         names = [*names, config.ma_col]
     return base.select(*keys, time_col, *tie_break, target, *[column(c) for c in names]), names
 

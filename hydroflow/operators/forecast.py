@@ -6,7 +6,6 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 from datetime import date, datetime, time, timedelta
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.functions import array_to_vector
@@ -14,7 +13,7 @@ from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.config import MAX_GROUP_ROWS, ForecastConfig
+from hydroflow.config import FOREST_TASKS, ForecastConfig
 from hydroflow.functions import day_of, forecast_index, launch_time, step_interval
 from hydroflow.operators.features import build_features, check_features
 from hydroflow.operators.forest import fit_rows, forest
@@ -35,6 +34,7 @@ class ForecastBundle:
 
     models: tuple[RandomForestRegressionModel, ...]
     config: ForecastConfig
+    keys: tuple[str, ...] = ()
 
 
 def daily_cutoffs(features: DataFrame, config: ForecastConfig, keys: Sequence[str]) -> DataFrame:
@@ -87,6 +87,7 @@ def fit_multistep(
     keys: Sequence[str],
     until: datetime | None = None,
     per_step: bool = False,
+    tasks: int = FOREST_TASKS,
     **params,
 ) -> ForecastBundle:
     """One model over all steps, or one model per step.
@@ -98,9 +99,12 @@ def fit_multistep(
     steps = range(1, config.horizon_steps + 1) if per_step else [None]
     models = []
     for step in steps:
-        rows = training_rows(lookbacks, features, config, keys, until, step).select(_vector(per_step), "label")
-        models.append(fit_rows(forest("label", _VECTOR, **params), rows))
-    return ForecastBundle(tuple(models), config)
+        rows = training_rows(lookbacks, features, config, keys, until, step)
+        # Dealt by content, as for every forest: the model does not depend on cores or files.
+        content = ["lookback", "step", "label"]
+        dealt = rows.repartition(tasks, F.xxhash64(*content)).sortWithinPartitions(*content)
+        models.append(fit_rows(forest("label", _VECTOR, **params), dealt.select(_vector(per_step), "label")))
+    return ForecastBundle(tuple(models), config, tuple(keys))
 
 
 def train_forecast(
@@ -111,16 +115,15 @@ def train_forecast(
     tie_break: Sequence[str] = (),
     until: datetime | None = None,
     per_step: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
     **params,
 ) -> ForecastBundle:
     """From the wide table to a fitted bundle; by default every day's launch time is a training cut-off."""
-    features, names = build_features(wide, config, keys, tie_break, max_group_rows)
+    features, names = build_features(wide, config, keys, tie_break)
     features = stored(features, "features")
     config = replace(config, feature_cols=tuple(names))
     asked = daily_cutoffs(features, config, keys) if cutoffs is None else cutoffs
     order = [config.time_col, *tie_break]
-    windows = stored(lookback(features, keys, order, names, asked, config.window_steps, max_group_rows), "lookbacks")
+    windows = stored(lookback(features, keys, order, names, asked, config.window_steps), "lookbacks")
     return fit_multistep(windows, features, config, keys, until, per_step, **params)
 
 
@@ -133,11 +136,16 @@ def forecast_from_history(lookbacks: DataFrame, bundle: ForecastBundle, keys: Se
     if len(bundle.models) == 1:
         stepped = _stepped(lookbacks, config, keys)
         return bundle.models[0].transform(stepped.withColumn(_VECTOR, _vector(False))).select(*out)
-    parts = [
-        model.transform(_stepped(lookbacks, config, keys, step).withColumn(_VECTOR, _vector(True))).select(*out)
-        for step, model in enumerate(bundle.models, start=1)
+    # One column per model over one scan of the look-backs, then a row per step.
+    scored = lookbacks.filter(F.col("status") == "ok").withColumn(_VECTOR, _vector(True))
+    for step, model in enumerate(bundle.models, start=1):
+        scored = model.copy({model.predictionCol: f"_step_{step}"}).transform(scored)
+    times = forecast_index("cutoff", config.horizon_steps, config.steps_per_hour)
+    values = [
+        F.struct(F.lit(step).alias("step"), F.get(times, F.lit(step - 1)).alias("ts"), F.col(f"_step_{step}").alias("power_pred"))
+        for step in range(1, len(bundle.models) + 1)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return scored.select(*keys, "cutoff", F.inline(F.array(*values))).select(*out)
 
 
 def forecast_cutoffs(
@@ -146,15 +154,12 @@ def forecast_cutoffs(
     cutoffs: DataFrame,
     keys: Sequence[str],
     tie_break: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast many cut-offs in one job: the forecasts, and the status of every cut-off asked for."""
     config = bundle.config
-    features, names = build_features(wide, config, keys, tie_break, max_group_rows)
+    features, names = build_features(wide, config, keys, tie_break)
     check_features(names, config.feature_cols)
-    windows = lookback(
-        features, keys, [config.time_col, *tie_break], names, cutoffs, config.window_steps, max_group_rows
-    )
+    windows = lookback(features, keys, [config.time_col, *tie_break], names, cutoffs, config.window_steps)
     return forecast_from_history(windows, bundle, keys), windows.select(*keys, "cutoff", "status", "n_rows")
 
 
@@ -164,13 +169,16 @@ def predict_for_date(
     """Forecast launched at the model's hour of one day: ``(ts, power_pred)``.
 
     ``source`` overrides the recorded table; ``where`` (``plant="A"``) selects one series of it. Raises where
-    the launch time is absent, the history is short or the feature columns differ.
+    more than one series is left, the launch time is absent, the history is short or the feature columns differ.
     """
     bundle = load_bundle(spark, path)
     config = bundle.config
     wide = read_wide(spark, source or config.source)
     for key, value in where.items():
         wide = wide.filter(F.col(key) == value)
+    kept = [k for k in bundle.keys if k in wide.columns]
+    if kept and wide.select(*kept).distinct().limit(2).count() > 1:
+        raise ValueError(f"The table holds several series; select one by {', '.join(kept)}.")
     if isinstance(day, str):
         day = datetime.fromisoformat(day)
     launch = datetime.combine(date(day.year, day.month, day.day), time()) + timedelta(hours=config.demo_hour)
@@ -186,7 +194,7 @@ def predict_for_date(
     if state["status"] == "no_cutoff":
         raise ValueError(f"Cut-off {launch} is not in the data.")
     if state["status"] == "short_history":
-        raise ValueError(f"Not enough history before {launch}: need {config.window_steps}, have {state['n_rows']}.")
+        raise ValueError(f"The window of {launch} has {state['n_rows']} of {config.window_steps} rows.")
     if state["status"] != "ok":
         raise ValueError(f"The history before {launch} has missing values.")
     return forecast.select("ts", "power_pred").orderBy("ts")
@@ -196,7 +204,7 @@ def save_bundle(spark: SparkSession, bundle: ForecastBundle, path: str) -> None:
     """Write the models and one metadata row below ``path``, replacing what is there."""
     for i, model in enumerate(bundle.models):
         model.write().overwrite().save(f"{path}/models/{i}")
-    meta = {**asdict(bundle.config), "n_models": len(bundle.models)}
+    meta = {**asdict(bundle.config), "n_models": len(bundle.models), "keys": bundle.keys}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
@@ -210,4 +218,5 @@ def load_bundle(spark: SparkSession, path: str) -> ForecastBundle:
         raise
     meta = json.loads(row["meta"])
     models = tuple(RandomForestRegressionModel.load(f"{path}/models/{i}") for i in range(meta.pop("n_models")))
-    return ForecastBundle(models, ForecastConfig(**{**meta, "feature_cols": tuple(meta["feature_cols"])}))
+    keys = tuple(meta.pop("keys"))
+    return ForecastBundle(models, ForecastConfig(**{**meta, "feature_cols": tuple(meta["feature_cols"])}), keys)

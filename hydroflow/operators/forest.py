@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -13,7 +14,7 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.config import FOREST_SEED, FOREST_TREES, TOP_FEATURES
+from hydroflow.config import FOREST_BINS, FOREST_DEPTH, FOREST_SEED, FOREST_TASKS, FOREST_TREES, TOP_FEATURES
 from hydroflow.functions import clip_nonnegative
 from hydroflow.functions.numbers import column
 from hydroflow.operators.features import columns_except, history_until, rows_after, rows_of_day
@@ -31,10 +32,13 @@ def forest(
     vector: str = _VECTOR,
     trees: int = FOREST_TREES,
     seed: int = FOREST_SEED,
-    max_depth: int = 10,
+    max_depth: int = FOREST_DEPTH,
     subset: str = "all",
+    max_bins: int = FOREST_BINS,
+    bootstrap: bool = True,
 ) -> RandomForestRegressor:
-    """The estimator. MLlib allows a depth up to 30; the depth bounds the work per tree level."""
+    """The estimator. 30 is MLlib's largest depth; a feature with no more distinct values than ``max_bins`` is split at
+    any of them. Without ``bootstrap`` every tree sees every row once."""
     return RandomForestRegressor(
         labelCol=label,
         featuresCol=vector,
@@ -43,6 +47,8 @@ def forest(
         seed=seed,
         maxDepth=max_depth,
         featureSubsetStrategy=subset,
+        maxBins=max_bins,
+        bootstrap=bootstrap,
         maxMemoryInMB=512,
     )
 
@@ -58,19 +64,27 @@ def fit_rows(estimator: RandomForestRegressor, rows: DataFrame) -> RandomForestR
 
 
 def fit_forest(
-    train: DataFrame, features: Sequence[str], target: str, tasks: int | None = None, **params
+    train: DataFrame, features: Sequence[str], target: str, tasks: int = FOREST_TASKS, **params
 ) -> RandomForestRegressionModel:
     """Fit on all rows of ``train``; only the vector and the label reach the trainer.
 
-    The trainer works on the partitions it is given. ``tasks`` spreads a small table, which would be one partition,
-    over that many; leave it out where the input already has more.
+    MLlib draws the rows of a tree partition by partition, so rows are dealt to ``tasks`` partitions by a hash of their
+    content and sorted there: the model depends neither on the number of cores nor on how the table was split. Give
+    more tasks for a large table.
     """
-    rows = _assembled(train, features).select(_VECTOR, column(target).cast("double").alias("_label"))
-    if tasks is not None:
-        rows = rows.repartition(tasks)
+    label = column(target).cast("double")
+    content = [*[column(c) for c in features], label]
+    dealt = train.repartition(tasks, F.xxhash64(*content)).sortWithinPartitions(*content)
+    rows = _assembled(dealt, features).select(_VECTOR, label.alias("_label"))
     return fit_rows(forest("_label", **params), rows)
 
 
+def at_once(run: Callable, items: Iterable, most: int = 8) -> list:
+    """Run independent fits from a bounded number of driver threads, so that their many short jobs overlap."""
+    with ThreadPoolExecutor(most) as pool:
+        return list(pool.map(run, items))
+
+
 def predict_known_features(model: RandomForestRegressionModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """One prediction per row from that row's own feature values, never below zero.
 
@@ -164,10 +178,10 @@ def backtest(
     df: DataFrame, time_col: str, target: str, cutoffs: Iterable[date], tie_break: Sequence[str] = (), **params
 ) -> DataFrame:
     """Runs for several cut-offs: one model each, all predictions in one frame ``(cutoff, ts, actual, power_pred)``."""
-    parts = [
-        as_of_run(df, time_col, target, day, tie_break, **params).scored.withColumn("cutoff", F.lit(day))
-        for day in cutoffs
-    ]
+    parts = at_once(
+        lambda day: as_of_run(df, time_col, target, day, tie_break, **params).scored.withColumn("cutoff", F.lit(day)),
+        cutoffs,
+    )
     if not parts:
         raise ValueError("At least one cut-off is required.")
     return reduce(DataFrame.unionByName, parts)

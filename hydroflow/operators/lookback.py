@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from hydroflow.config import MAX_GROUP_ROWS
 from hydroflow.functions import null_if_nan
-from hydroflow.operators.positions import with_positions
+from hydroflow.operators.positions import global_positions, null_safe_join
 
 
 def lookback(
@@ -19,27 +19,24 @@ def lookback(
     features: Sequence[str],
     cutoffs: DataFrame,
     window: int,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``(keys, cutoff, status, n_rows, lookback)`` for every row of ``cutoffs`` (keys, cutoff).
 
     ``lookback`` is ``[t0f0, t0f1, …, t1f0, …]`` over the last ``window`` rows up to and including the cut-off
     row (the first one if its time repeats), and NULL unless the status is ``ok``. Other states:
-    ``no_cutoff`` (time not in the data), ``short_history``, ``missing_values``.
+    ``no_cutoff`` (time not in the data), ``short_history``, ``missing_values``. A NULL key is a group like any other.
 
-    Only needed windows are built: positions are cut into chunks of ``window`` rows, a window touches at most
-    two of them, so rows and cut-offs meet in an equi-join on the chunk and no group exceeds one window.
+    Only keys and times get positions and are stored. Positions are cut into chunks of ``window`` rows, a window
+    touches at most two of them, so rows and cut-offs meet in an equi-join on the chunk; features are fetched by a
+    semi-join for the rows inside a window only.
     """
-    keys, time_col = list(keys), order[0]
-    tuple_of_row = F.array(*[null_if_nan(c) for c in features])
-    placed = with_positions(
-        df.select(*keys, *order, tuple_of_row.alias("_values")), keys, order, "_pos", max_group_rows
-    )
-
+    keys, order = list(keys), list(order)
+    placed = global_positions(df.select(*keys, *order), keys, order, "_pos")
     asked = cutoffs.select(*keys, "cutoff").distinct()
+
+    times = placed.select(*keys, F.col(order[0]).alias("cutoff"), "_pos")
     found = (
-        placed.select(*keys, F.col(time_col).alias("cutoff"), "_pos")
-        .join(asked, [*keys, "cutoff"])
+        null_safe_join(times, asked, [*keys, "cutoff"], "left_semi")
         .groupBy(*keys, "cutoff")
         .agg(F.min("_pos").alias("_at"))
     )
@@ -47,11 +44,21 @@ def lookback(
     last_chunk = F.floor(F.col("_at") / window)
     touched = found.withColumn("_chunk", F.explode(F.sequence(first_chunk, last_chunk)))
 
-    rows = placed.select(*keys, "_pos", "_values", F.floor(F.col("_pos") / window).alias("_chunk"))
+    rows = placed.withColumn("_chunk", F.floor(F.col("_pos") / window))
     inside = (F.col("_pos") <= F.col("_at")) & (F.col("_pos") > F.col("_at") - window)
+    met = null_safe_join(rows, touched.withColumnRenamed("cutoff", "_cutoff"), [*keys, "_chunk"], also=inside)
+    needed = met.select(*keys, *order, "_cutoff", "_pos")
+    # Rows that repeat a whole sort key are told apart by their number, in the order of their values.
+    sort_key = [*keys, *order]
+    needed = needed.withColumn("_nth", F.row_number().over(W.partitionBy(*sort_key, "_cutoff").orderBy("_pos")))
+    wanted = needed.select(*sort_key).distinct()
+    values = df.select(*sort_key, F.array(*[null_if_nan(c) for c in features]).alias("_values"))
+    values = null_safe_join(values, wanted, sort_key, "left_semi")
+    values = values.withColumn("_nth", F.row_number().over(W.partitionBy(*sort_key).orderBy("_values")))
+
     windows = (
-        rows.join(touched, [*keys, "_chunk"])
-        .filter(inside)
+        null_safe_join(needed, values, [*sort_key, "_nth"])
+        .select(*keys, F.col("_cutoff").alias("cutoff"), "_pos", "_values")
         .groupBy(*keys, "cutoff")
         .agg(F.sort_array(F.collect_list(F.struct("_pos", "_values"))).alias("_rows"))
         .select(
@@ -68,7 +75,7 @@ def lookback(
         .otherwise(F.lit("ok"))
     )
     return (
-        asked.join(windows, [*keys, "cutoff"], "left")
+        null_safe_join(asked, windows, [*keys, "cutoff"], "left")
         .withColumn("status", status)
         .select(
             *keys,

@@ -8,30 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from hydroflow.config import DAY_TREND_ROWS, MAX_GROUP_ROWS
+from hydroflow.config import DAY_TREND_ROWS
 from hydroflow.functions import day_of, null_if_nan
-from hydroflow.operators.positions import fits_one_task, global_positions
+from hydroflow.operators.positions import global_positions
 
 CHUNK_ROWS = 100_000
 
 
 def trailing_mean(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    rows: int,
-    out: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Mean of the present values among the last ``rows`` rows up to this one, over the whole series."""
-    if fits_one_task(df, keys, max_group_rows):
-        frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(-(rows - 1), 0)
-        return df.withColumn(out, F.avg(null_if_nan(value)).over(frame))
-    return trailing_mean_chunked(df, keys, order, value, rows, out)
-
-
-def trailing_mean_chunked(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -40,10 +24,11 @@ def trailing_mean_chunked(
     out: str,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """The same mean, computed in chunks of the position so that one series spreads over many tasks.
+    """Mean of the present values among the last ``rows`` rows up to this one, over the whole series.
 
-    A row is needed by itself and by the ``rows - 1`` rows after it. Rows near the end of a chunk are
-    therefore also sent to the next one, where they only feed frames.
+    Computed in chunks of the position, so that one series spreads over many tasks. A row is needed by itself and
+    by the ``rows - 1`` rows after it: rows near the end of a chunk are also sent to the next one, where they
+    only feed frames.
     """
     chunk = max(rows, chunk_rows)
     placed = global_positions(df, keys, order, "_pos")
@@ -65,8 +50,8 @@ def day_trailing_mean(
     value: str,
     out: str,
     rows: int = DAY_TREND_ROWS,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Trailing mean that starts anew on each calendar day (the day is filtered before the frame)."""
+    """Trailing mean that starts anew on each calendar day: a plain window, the day bounds its group."""
     by_day = df.withColumn("day", day_of(order[0]))
-    return trailing_mean(by_day, [*keys, "day"], order, value, rows, out, max_group_rows)
+    frame = W.partitionBy(*keys, "day").orderBy(*order).rowsBetween(-(rows - 1), 0)
+    return by_day.withColumn(out, F.avg(null_if_nan(value)).over(frame))

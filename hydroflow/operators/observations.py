@@ -7,23 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from hydroflow.config import EXCEEDANCE_ROWS, SAMPLE_ROWS
+from hydroflow.functions import iso_instant
 
 _SERIES = "datastream_id"
 
 
-def _iso(text: str) -> str:
-    if not text:
-        raise ValueError("Start and end of the window are required.")
-    return text if "T" in text else f"{text}T00:00:00Z"
-
-
 def in_range(obs: DataFrame, start: str, end: str, time_col: str = "ts") -> DataFrame:
     """Rows between two ISO times, both included. A bare date means its midnight, also at the end.
 
     The bounds are constants of the column's own type, so the range reaches the file scan.
     """
+    if not start or not end:
+        raise ValueError("A window needs both its ends.")
     kind = dict(obs.dtypes)[time_col]
-    return obs.filter(F.col(time_col).between(F.lit(_iso(start)).cast(kind), F.lit(_iso(end)).cast(kind)))
+    return obs.filter(F.col(time_col).between(*(iso_instant(F.lit(edge)).cast(kind) for edge in (start, end))))
 
 
 def with_unit(obs: DataFrame, datastreams: DataFrame) -> DataFrame:
@@ -76,15 +73,14 @@ def sample_series(obs: DataFrame, datastreams: DataFrame, n: int = SAMPLE_ROWS,
 def latest(obs: DataFrame, datastreams: DataFrame, tie_break: str | None = None) -> DataFrame:
     """The most recent observation of each series with name and unit.
 
-    Without a tie-break the aggregation keeps plain columns and stays a hash aggregate; give one where a
-    series may hold several rows of the same time.
+    Give a tie-break where a series may hold several rows of the same time. Both aggregations are over plain
+    numbers and stay hash aggregates: first the newest time, then the largest tie-break among its rows.
     """
-    if tie_break is None:
-        newest = obs.groupBy(_SERIES).agg(F.max("ts").alias("ts"), F.max_by("result", "ts").alias("result"))
-    else:
-        top = F.max(F.struct("ts", tie_break, "result"))
-        newest = obs.groupBy(_SERIES).agg(top.alias("top")).select(_SERIES, "top.ts", "top.result")
-    return with_unit(newest, datastreams)
+    newest = obs.groupBy(_SERIES).agg(F.max("ts").alias("ts"))
+    there = obs.join(newest, [_SERIES, "ts"])
+    by = "ts" if tie_break is None else tie_break
+    picked = there.groupBy(_SERIES, "ts").agg(F.max_by("result", by).alias("result"))
+    return with_unit(picked, datastreams)
 
 
 def exceedances(

@@ -1,53 +1,52 @@
-"""Row positions in time order, also for series too long for one task.
+"""Row positions in time order for series of any length.
 
-A window without a natural split (one plant, one gauge) sorts its whole group in one task. Groups up
-to ``max_group_rows`` do that; beyond it the rows are range-partitioned on the full sort key, so
-a group of any size is spread over many tasks, and get a global position instead of a per-group one.
-Both kinds of position grow by exactly one from row to row of a group, which is all that
-row frames need.
+Rows are range-partitioned on the full sort key, so one series is spread over many tasks and no task gets more than
+one range. Positions within a range come from the sorted rows themselves, the start of each range from the counts
+of the ranges before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from hydroflow.config import MAX_GROUP_ROWS
 from hydroflow.session import stored
 
-SALTS = 32
 _ROW_BITS = (1 << 33) - 1  # lower bits of monotonically_increasing_id: the row within its partition
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest group: one partial aggregation, one number to the driver."""
-    if not keys:
-        return df.count()
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
-def fits_one_task(df: DataFrame, keys: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> bool:
-    return largest_group(df, keys) <= max_group_rows
+def null_safe_join(
+    left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner", also: Column | None = None
+) -> DataFrame:
+    """Join on the named columns, NULL equal to NULL; the columns of the left side stay, as with a join on names."""
+    other = {c: f"_right_{c}" for c in names}
+    on = F.lit(True) if also is None else also
+    for c, r in other.items():
+        on = on & F.col(c).eqNullSafe(F.col(r))
+    return left.join(right.withColumnsRenamed(other), on, how).drop(*other.values())
 
 
-def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos: str = "pos") -> DataFrame:
-    """Gap-free position of every row in (keys, order); no task sees more than its range of the sort key.
-
-    ``order`` must end in a tie-break that makes the sort key unique. The ranges are sampled anew on each
-    run, so the placed rows are written to the shared folder once and only read from there.
-    """
-    sort_key = [*keys, *order]
-    placed = stored(
+def _placed(df: DataFrame, sort_key: Sequence[str]) -> DataFrame:
+    """Rows with their range and their row in it. Ranges are sampled anew on each run, so this is a stored table."""
+    return stored(
         df.repartitionByRange(*sort_key)
         .sortWithinPartitions(*sort_key)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_at_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))),
         "positions",
     )
-    # One row per write partition: bounded by the partition count, not by the data.
+
+
+def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos: str = "pos") -> DataFrame:
+    """Gap-free position of every row in (keys, order). Within a group it grows by one from row to row.
+
+    ``order`` must end in a tie-break that makes the sort key unique.
+    """
+    placed = _placed(df, [*keys, *order])
+    # One row per range: bounded by the partition count, not by the data.
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     starts = sizes.select("_part", (F.sum("_size").over(W.orderBy("_part")) - F.col("_size")).alias("_start"))
     return (
@@ -57,43 +56,18 @@ def global_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], p
     )
 
 
-def group_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos: str = "pos") -> DataFrame:
-    """Position within the group by a plain window; for groups that fit one task."""
-    return df.withColumn(pos, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_index") -> DataFrame:
+    """Zero-based row index of each row within its group after the sort; NULL keys are a group like any other.
 
-
-def with_positions(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    pos: str = "pos",
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Positions by the plain window where every group fits one task, else by ranges.
-
-    Either way the placed rows are a stored table: callers read it several times, the sort happens once.
+    Rows are counted per range and group; the sum of a group's counts over the ranges before is where it goes on.
+    The join is on range and group, so the rows of a long group meet it range by range.
     """
-    if fits_one_task(df, keys, max_group_rows):
-        return stored(group_positions(df, keys, order, pos), "positions")
-    return global_positions(df, keys, order, pos)
-
-
-def row_index(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str = "row_index",
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Zero-based row index of each row within its group after the sort."""
-    if fits_one_task(df, keys, max_group_rows):
-        return group_positions(df, keys, order, out).withColumn(out, F.col(out) - 1)
-    placed = global_positions(df, keys, order, "_pos")
     if not keys:
-        return placed.withColumnRenamed("_pos", out)
-    # Each group's start, once per salt: the rows of a hot group meet it in many tasks.
-    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first")).select(*keys, "_first", salt)
-    salted = placed.withColumn("_salt", F.pmod("_pos", F.lit(SALTS)).cast("int"))
-    joined = salted.join(first, [*keys, "_salt"])
-    return joined.withColumn(out, F.col("_pos") - F.col("_first")).drop("_pos", "_first", "_salt")
+        return global_positions(df, keys, order, out)
+    placed = _placed(df, [*keys, *order])
+    here = placed.groupBy("_part", *keys).agg(F.min("_at_row").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    starts = here.select("_part", *keys, (before - F.col("_first")).alias("_shift"))
+    joined = null_safe_join(placed, starts, ["_part", *keys])
+    return joined.select(*df.columns, (F.col("_at_row") + F.col("_shift")).alias(out))

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydroflow.operators.catalog import find_station, match_datastreams, resolve_stations
+from hydroflow.functions import series_name
+from hydroflow.operators.catalog import match_datastreams, resolve_stations
 from hydroflow.operators.observations import in_range, load_status
 from hydroflow.sinks.series import export_csv, write_series
 
@@ -46,14 +47,21 @@ def bulk_load(
         .select("thing_id", "station")
         .distinct()
         .join(matched, "thing_id")
-        .select("datastream_id", "station", F.coalesce("unit", F.lit("")).alias("unit"))
+        .select("datastream_id", F.col("thing_id").alias("station_id"), "station", F.coalesce("unit", F.lit("")).alias("unit"))
     )
     rows = window.join(series, "datastream_id").select(
-        F.lit(param).alias("param"), "station", F.lit(freq).alias("freq"), "unit", "ts", "result"
+        F.lit(param).alias("param"), "station_id", "station", F.lit(freq).alias("freq"), "unit", "ts", "result"
     )
     return BulkLoad(rows, load_status(resolved, matched, window))
 
 
+_REASONS = {
+    "no_station": "no station has this text in its name",
+    "no_datastream": "the station has no such datastream",
+    "no_data": "the datastream has no rows in the window",
+}
+
+
 class LoadError(Exception):
     """A single series could not be loaded; the message says at which step."""
 
@@ -71,20 +79,16 @@ def load_one(
 ) -> str:
     """Load one series as CSV with the header ``phenomenonTime,<param>_<unit>`` and return its path.
 
-    The rows are filtered by the series id before anything else, so only its files are read.
+    A bulk load of one request: its status says where the chain broke off, and only the found series is read.
     """
     if not station or not start or not end:
-        raise ValueError("Station, start and end are required.")
-    thing = find_station(things, station).first()
-    if thing is None:
-        raise LoadError(f"No station name contains {station!r}.")
-    ds = match_datastreams(datastreams.filter(F.col("thing_id") == thing["iot_id"]), param, freq).first()
-    if ds is None:
-        raise LoadError(f"Station {thing['name']!r} has no {freq} datastream of {param!r}.")
-    window = in_range(obs.filter(F.col("datastream_id") == ds["datastream_id"]), start, end)
-    if window.isEmpty():
-        raise LoadError(f"No data in the window; available: {ds['phenomenon_time'] or 'unknown'}.")
-    safe = thing["name"].translate(str.maketrans("/ ", "-_"))
-    path = f"{out_dir}/{param}_{safe}_{freq}.csv"
-    export_csv(window, path, param, ds["unit"] or "")
+        raise ValueError("A load needs a station and both ends of its window.")
+    spark = things.sparkSession
+    load = bulk_load(spark.createDataFrame([(station,)], "text string"), things, datastreams, obs, param, freq, start, end)
+    state = load.status.first()
+    if state["status"] != "loaded":
+        raise LoadError(f"{station!r}, {param!r}, {freq}: {_REASONS[state['status']]}")
+    names = load.rows.select("station", "unit", series_name("param", "station", "freq").alias("name")).first()
+    path = f"{out_dir}/{names['name']}.csv"
+    export_csv(load.rows, path, param, names["unit"])
     return path

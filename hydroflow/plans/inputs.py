@@ -131,4 +131,4 @@ def discharge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requested_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station texts to look for: the customer numbers, in capitals and as part of a station name."""
-    return table(spark, sf_dir, "customer").select(F.upper(F.substring("c_name", 7, 20)).alias("text"))
+    return table(spark, sf_dir, "customer").select(F.upper(F.substr("c_name", F.lit(7))).alias("text"))

@@ -98,9 +98,9 @@ status AS (
               WHEN c.n_obs IS NULL THEN 'no_data' ELSE 'loaded' END AS status
   FROM resolved r LEFT JOIN matched m ON r.thing_id = m.thing_id LEFT JOIN counted c ON m.datastream_id = c.datastream_id),
 store AS (
-  SELECT 'view' AS param, s.station, '15min' AS freq, d.unit, w.ts, w.result
+  SELECT 'view' AS param, s.station_id, s.station, '15min' AS freq, d.unit, w.ts, w.result
   FROM obs_window w
-  JOIN (SELECT DISTINCT m.datastream_id, r.station FROM resolved r JOIN matched m ON r.thing_id = m.thing_id) s
+  JOIN (SELECT DISTINCT m.datastream_id, r.thing_id AS station_id, r.station FROM resolved r JOIN matched m ON r.thing_id = m.thing_id) s
     ON w.datastream_id = s.datastream_id
   JOIN ds d ON d.datastream_id = w.datastream_id)"""
 
@@ -113,6 +113,21 @@ SELECT h.datastream_id, h.rank, h.total, {_time('h.ts')} AS ts, h.result, ds.uni
 FROM hits h JOIN ds ON h.datastream_id = ds.datastream_id WHERE h.rank <= 20"""
 
 
+_CUT = """days AS (SELECT DISTINCT plant, ts::DATE AS day FROM complete),
+cut AS (SELECT plant, day FROM days QUALIFY row_number() OVER (PARTITION BY plant ORDER BY day DESC) = 2)"""
+
+# The cut-off day, its trend, and the day after it; needs complete (plant, ts, power) and cut (plant, day).
+_ACTUALS = """of_day AS (SELECT c.* FROM complete c JOIN cut ON c.plant = cut.plant AND c.ts::DATE = cut.day),
+frame AS (
+  SELECT plant, ts, 'actual' AS series, power AS value FROM of_day
+  UNION ALL
+  SELECT plant, ts, 'trend', avg(power) OVER (PARTITION BY plant ORDER BY ts ROWS BETWEEN 15 PRECEDING AND CURRENT ROW) FROM of_day
+  UNION ALL
+  SELECT c.plant, c.ts, 'next_day_actual', c.power FROM complete c JOIN cut ON c.plant = cut.plant AND c.ts::DATE = cut.day + 1)"""
+
+_HOUR_MEANS = """hours AS (SELECT plant, hour(ts) AS hour, avg(power) AS mean FROM plants WHERE ts::DATE <= DATE '2024-01-15' GROUP BY 1, 2)"""
+
+
 _LINE = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || ',' || CAST(result AS VARCHAR)"
 
 ORACLE: dict[str, str] = {
@@ -142,6 +157,14 @@ SELECT plant, event_id, {_day('ts')} AS day,
        avg(power) OVER (PARTITION BY plant, ts::DATE ORDER BY ts, event_id
                         ROWS BETWEEN 15 PRECEDING AND CURRENT ROW) AS trend
 FROM plants""",
+    "trailing_mean_null_keys": f"""WITH {PLANTS}, rows_ AS (
+  SELECT CASE WHEN event_id % 5 <> 0 THEN plant END AS plant, ts, event_id, power FROM plants)
+SELECT plant, event_id,
+       avg(power) OVER (PARTITION BY plant ORDER BY ts, event_id ROWS BETWEEN 15 PRECEDING AND CURRENT ROW) AS power_ma_4h
+FROM rows_""",
+    "row_positions_null_keys": f"""WITH {PLANTS}, rows_ AS (
+  SELECT CASE WHEN event_id % 5 <> 0 THEN plant END AS plant, ts, event_id FROM plants)
+SELECT plant, event_id, row_number() OVER (PARTITION BY plant ORDER BY ts, event_id) - 1 AS row_index FROM rows_""",
     "row_positions": f"""WITH {PLANTS}
 SELECT plant, event_id, row_number() OVER (PARTITION BY plant ORDER BY ts, event_id) - 1 AS row_index FROM plants""",
     # Features and cut-offs
@@ -251,10 +274,11 @@ FROM newest n JOIN ds ON n.datastream_id = ds.datastream_id""",
     "load_status": f"{LOAD} SELECT status, count(*) AS n FROM status GROUP BY 1",
     "missing_stations": f"{LOAD} SELECT text, status FROM status WHERE status <> 'loaded'",
     # Files
-    "series_store": f"{LOAD} SELECT param, station, freq, unit, {_time('ts')} AS ts, result FROM store",
+    "series_store": f"{LOAD} SELECT param, station_id, station, freq, unit, {_time('ts')} AS ts, result FROM store",
     "series_store_counts": f"{LOAD} SELECT count(DISTINCT station) AS n_series, count(*) AS n_rows FROM store",
     "page_roundtrip": f"WITH {OBS} SELECT datastream_id, {_time('ts')} AS ts, result FROM obs",
-    "page_completeness": f"WITH {OBS} SELECT datastream_id, count(*) AS fetched FROM obs GROUP BY 1",
+    "page_completeness": f"""WITH {OBS} SELECT datastream_id, count(*) AS fetched, count(*) AS announced,
+       CAST(ceil(count(*) / 5.0) AS BIGINT) AS n_pages FROM obs GROUP BY 1""",
     "thing_pages": f"""WITH {THINGS} SELECT iot_id, name, description, NULLIF(station_id, '') AS station_id FROM things""",
     "datastream_pages": f"""WITH {DATASTREAMS}
 SELECT datastream_id AS iot_id, thing_id, datastream AS name, NULLIF(unit, '') AS unit, type, parameter,
@@ -279,14 +303,52 @@ FROM obs_window GROUP BY 1""",
     "date_labels": """SELECT event_id, strftime(ts, '%A, %d %b %Y') AS day_label,
        strftime(ts, '%Y-%m-%d %H:%M') AS minute_label FROM events""",
     "clip_nonnegative": """SELECT event_id, round(greatest(value - 20, 0), 6) AS clipped FROM events""",
-    # Models: the part that does not depend on the trees
-    "run_actuals": f"""WITH {WIDE}, {COMPLETE}, p AS (SELECT * FROM complete)
-SELECT plant, {_time('ts')} AS ts, 'actual' AS series, round(power, 6) AS value FROM p WHERE ts::DATE = DATE '2024-01-15'
+    # Models: what does not depend on the trees, and runs that are determined
+    "run_actuals": f"""WITH {WIDE}, {COMPLETE}, cut AS (SELECT DISTINCT plant, DATE '2024-01-15' AS day FROM complete),
+{_ACTUALS}
+SELECT plant, {_time('ts')} AS ts, series, round(value, 6) AS value FROM frame""",
+    "run_frame": f"""WITH {WIDE}, {COMPLETE}, {_CUT}, {_ACTUALS}
+SELECT plant, {_time('ts')} AS ts, series, round(value, 6) AS value, CAST(NULL AS VARCHAR) AS learned FROM frame
 UNION ALL
-SELECT plant, {_time('ts')} AS ts, 'trend' AS series,
-       round(avg(power) OVER (PARTITION BY plant ORDER BY p.ts ROWS BETWEEN 15 PRECEDING AND CURRENT ROW), 6) AS value
-FROM p WHERE p.ts::DATE = DATE '2024-01-15'
+SELECT plant, {_time('ts')}, 'prediction', NULL, 'true' FROM frame WHERE series = 'next_day_actual'""",
+    "run_peak": f"""WITH {WIDE}, {COMPLETE}, {_CUT}, {_ACTUALS}
+SELECT c.plant, {_time('min(f.ts)')} AS starts_at, round(max(f.value), 6) AS actual,
+       CASE WHEN count(f.ts) > 0 THEN 'true' END AS bounded
+FROM cut c LEFT JOIN frame f ON f.plant = c.plant AND series = 'next_day_actual' GROUP BY 1""",
+    "feature_importance_top10": f"""WITH {WIDE}, {COMPLETE}
+SELECT DISTINCT plant, feature, CAST(1 AS DOUBLE) AS total, 'true' AS share
+FROM complete, (VALUES ('discharge_view'), ('discharge_click')) f(feature)""",
+    "backtest": f"""WITH {WIDE}, {COMPLETE}, days AS (SELECT DISTINCT plant, ts::DATE AS day FROM complete),
+valid AS (SELECT * FROM days d WHERE day < (SELECT max(day) FROM days x WHERE x.plant = d.plant))
+SELECT v.plant, {_day('v.day')} AS cutoff, {_time('c.ts')} AS ts, round(c.power, 6) AS actual, 'true' AS learned
+FROM valid v JOIN complete c ON c.plant = v.plant AND c.ts::DATE = v.day + 1""",
+    "run_frame_exact": f"""WITH {PLANTS}, complete AS (SELECT * FROM plants),
+cut AS (SELECT DISTINCT plant, DATE '2024-01-15' AS day FROM complete), {_ACTUALS}, {_HOUR_MEANS}
+SELECT plant, {_time('ts')} AS ts, series, round(value, 6) AS value FROM frame
 UNION ALL
-SELECT plant, {_time('ts')} AS ts, 'next_day_actual' AS series, round(power, 6) AS value
-FROM p WHERE ts::DATE = DATE '2024-01-16'""",
+SELECT f.plant, {_time('f.ts')}, 'prediction', round(h.mean, 6)
+FROM frame f JOIN hours h ON h.plant = f.plant AND h.hour = hour(f.ts) WHERE series = 'next_day_actual'""",
+    "run_peak_exact": f"""WITH {PLANTS}, complete AS (SELECT * FROM plants),
+cut AS (SELECT DISTINCT plant, DATE '2024-01-15' AS day FROM complete), {_ACTUALS}, {_HOUR_MEANS}
+SELECT f.plant, {_time('min(f.ts)')} AS starts_at, round(greatest(max(f.value), max(h.mean)), 6) AS peak
+FROM frame f JOIN hours h ON h.plant = f.plant AND h.hour = hour(f.ts) WHERE series = 'next_day_actual' GROUP BY 1""",
+    "importance_exact": f"""WITH {PLANTS}
+SELECT DISTINCT plant, feature, importance
+FROM plants, (VALUES ('hour', CAST(1 AS DOUBLE)), ('constant', CAST(0 AS DOUBLE))) f(feature, importance)""",
+    "multistep_forecast": f"""WITH {WIDE}, {COMPLETE}, starts AS (
+  SELECT DISTINCT plant, date_trunc('day', ts) + INTERVAL 10 HOUR AS cutoff FROM complete)
+SELECT c.plant, {_time('c.ts')} AS cutoff, i AS step, {_time('c.ts + i * INTERVAL 1 HOUR')} AS ts, 'true' AS learned, 'true' AS shown
+FROM complete c JOIN starts s ON s.plant = c.plant AND s.cutoff = c.ts CROSS JOIN generate_series(1, 24) g(i)
+WHERE c.rn >= 24 AND c.ts >= TIMESTAMP '2024-01-15 00:00:00'""",
+    "multistep_training_rows": f"""WITH {WIDE}, {COMPLETE}, starts AS (
+  SELECT DISTINCT plant, date_trunc('day', ts) + INTERVAL 10 HOUR AS cutoff FROM complete)
+SELECT c.plant, {_time('c.ts')} AS cutoff, i AS step, {_time('t.ts')} AS ts, round(t.power, 6) AS label
+FROM complete c JOIN starts s ON s.plant = c.plant AND s.cutoff = c.ts CROSS JOIN generate_series(1, 24) g(i)
+JOIN complete t ON t.plant = c.plant AND t.ts = c.ts + i * INTERVAL 1 HOUR
+WHERE c.rn >= 24 AND t.ts <= TIMESTAMP '2024-01-15 00:00:00'""",
+    "predict_for_date": f"""WITH {WIDE}, {COMPLETE}, launch AS (
+  SELECT min(ts) AS launched FROM complete WHERE plant = 0 AND rn >= 24 AND hour(ts) = 10 AND ts > TIMESTAMP '2024-01-15 00:00:00')
+SELECT {_time('launched + i * INTERVAL 1 HOUR')} AS ts, 'true' AS learned FROM launch, generate_series(1, 24) g(i)""",
+    "plant_targets": f"""WITH {PLANTS}
+SELECT event_id, CASE plant WHEN 0 THEN 'power_burgau' ELSE 'power_rudolstadt' END AS target, round(power, 6) AS power FROM plants""",
 }

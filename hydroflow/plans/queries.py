@@ -7,13 +7,14 @@ by value.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from dataclasses import dataclass
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.config import ForecastConfig
+from hydroflow.config import PLANT_TARGETS, ForecastConfig
 from hydroflow.functions import (
     clip_nonnegative,
     day_label,
@@ -39,7 +40,7 @@ QUERIES: dict[str, Query] = {}
 FLOW = "Q_m³/s"
 CUTOFF = date(2024, 1, 15)
 WINDOW_START, WINDOW_END = "2024-01-05", "2024-01-12"
-PAGE_ROWS = 1000
+PAGE_ROWS = 5
 HOURLY = ForecastConfig(
     feature_prefix="discharge",
     target_col="power",
@@ -116,7 +117,7 @@ def trailing_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def trailing_mean_chunked(spark: SparkSession, sf: str) -> DataFrame:
-    rows = moving.trailing_mean_chunked(
+    rows = moving.trailing_mean(
         inputs.plant_rows(spark, sf), [], inputs.ORDER, "power", 96, "power_ma_24h", chunk_rows=1000
     )
     return rows.select("event_id", _time("ts"), "power_ma_24h")
@@ -128,6 +129,24 @@ def day_trailing_mean(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("plant", "event_id", _day("day"), "trend")
 
 
+@query
+def trailing_mean_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    rows = moving.trailing_mean(_null_plants(spark, sf), inputs.KEYS, inputs.ORDER, "power", 16, "power_ma_4h", chunk_rows=500)
+    return rows.select("plant", "event_id", "power_ma_4h")
+
+
+def _null_plants(spark: SparkSession, sf: str) -> DataFrame:
+    """Plant rows of which those with an event id divisible by five have no plant."""
+    plant = F.when(F.col("event_id") % 5 != 0, F.col("plant")).alias("plant")
+    return inputs.plant_rows(spark, sf).select(plant, "ts", "event_id", "power")
+
+
+@query
+def row_positions_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    rows = positions.row_index(_null_plants(spark, sf), inputs.KEYS, inputs.ORDER)
+    return rows.select("plant", "event_id", "row_index")
+
+
 @query
 def row_positions(spark: SparkSession, sf: str) -> DataFrame:
     rows = positions.row_index(inputs.plant_rows(spark, sf), inputs.KEYS, inputs.ORDER)
@@ -386,7 +405,8 @@ def missing_stations(spark: SparkSession, sf: str) -> DataFrame:
 def series_store(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "series")
     _load(spark, sf).write(path)
-    return sinks.read_series(spark, path).select("param", "station", "freq", "unit", _time("ts"), "result")
+    stored_rows = sinks.read_series(spark, path)
+    return stored_rows.select("param", "station_id", "station", "freq", "unit", _time("ts"), "result")
 
 
 @query
@@ -397,14 +417,21 @@ def series_store_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _landed_pages(spark: SparkSession, sf: str) -> str:
-    """Observations as landed page files: JSON lines, at most ``PAGE_ROWS`` observations per page."""
-    placed = positions.with_positions(inputs.observations(spark, sf), ["datastream_id"], ["ts", "obs_id"])
+    """Observations as landed page files: JSON lines of ``PAGE_ROWS`` observations, with count and link to the next."""
+    rows = inputs.observations(spark, sf)
+    placed = positions.row_index(rows, ["datastream_id"], ["ts", "obs_id"], "pos")
+    counts = rows.groupBy("datastream_id").agg(F.count(F.lit(1)).alias("@iot.count"))
     entity = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("phenomenonTime"), "result")
     page = placed.groupBy("datastream_id", F.floor(F.col("pos") / PAGE_ROWS).alias("page")).agg(
         F.collect_list(entity).alias("value")
     )
+    linked = page.join(counts, "datastream_id").withColumn(
+        "@iot.nextLink",
+        F.when((F.col("page") + 1) * PAGE_ROWS < F.col("`@iot.count`"), F.concat(F.lit("page="), F.col("page") + 1)),
+    )
     path = scratch_path(spark, "pages")
-    page.select(F.to_json(F.struct("datastream_id", "value")).alias("line")).write.text(path)
+    envelope = F.struct("datastream_id", "`@iot.count`", "`@iot.nextLink`", "value")
+    linked.select(F.to_json(envelope).alias("line")).write.text(path)
     return path
 
 
@@ -417,14 +444,16 @@ def page_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def page_completeness(spark: SparkSession, sf: str) -> DataFrame:
     landed = pages.read_pages(spark, _landed_pages(spark, sf), pages.OBSERVATIONS_PAGE)
-    return pages.page_completeness(landed).select("datastream_id", "fetched")
+    return pages.page_completeness(landed).select("datastream_id", "fetched", "announced", "n_pages")
 
 
 def _landed_entities(spark: SparkSession, purpose: str, rows: DataFrame, owner: str | None, entity: Column) -> str:
-    """Catalogue entities as landed page files, one entity per page."""
-    fields = ([owner] if owner else []) + [F.array(entity).alias("value")]
+    """Catalogue entities as landed page files: those of one owner on a page, or five by id where there is none."""
+    page = F.col(owner) if owner else F.floor(F.col("iot_id") / 5)
+    gathered = rows.groupBy(page.alias("page")).agg(F.collect_list(entity).alias("value"))
+    fields = ([F.col("page").alias(owner)] if owner else []) + [F.size("value").alias("@iot.count"), F.col("value")]
     path = scratch_path(spark, purpose)
-    rows.select(F.to_json(F.struct(*fields)).alias("line")).write.text(path)
+    gathered.select(F.to_json(F.struct(*fields)).alias("line")).write.text(path)
     return path
 
 
@@ -473,7 +502,9 @@ def plant_table_csv(spark: SparkSession, sf: str) -> DataFrame:
     wide = inputs.hourly_wide(spark, sf).select(
         "plant", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+02:00'").alias("time"), *inputs.HOURLY
     )
-    wide.write.option("header", True).partitionBy("plant").csv(path)
+    # The columns are landed in another order than they are asked for.
+    landed = wide.select("plant", *reversed(inputs.HOURLY), "time")
+    landed.write.option("header", True).partitionBy("plant").csv(path)
     rows = tables.read_plant_csv(spark, path, list(inputs.HOURLY))
     return rows.select(F.col("plant").cast("bigint").alias("plant"), _time("time"), *[_round(c) for c in inputs.HOURLY])
 
@@ -497,7 +528,11 @@ def plant_export_clean(spark: SparkSession, sf: str) -> DataFrame:
     )
     path = scratch_path(spark, "export")
     rows.write.option("header", True).csv(path)
-    clean = tables.clean_plant_export(tables.read_plant_export(spark, path), preamble_rows=0)
+    # The metadata rows of the export are one more part of it.
+    preamble = [("Einheit", "", "kW", "kW"), ("Quelle", "", "", ""), ("", "", "a", "b"), ("Zaehler", "", "1", "2"), ("Status", "", "ok", "ok")]
+    notes = spark.createDataFrame(preamble, rows.schema)
+    notes.write.mode("append").option("header", True).csv(path)
+    clean = tables.clean_plant_export(tables.read_plant_export(spark, path, in_parts=True))
     return clean.select(_time("Datum_von"), _time("Datum_bis"), "el", "el1")
 
 
@@ -544,7 +579,7 @@ def one_plant(table: DataFrame, plant: int) -> DataFrame:
 
 
 def _per_plant(frames: dict[int, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [df.withColumn("plant", F.lit(plant)) for plant, df in frames.items()])
+    return reduce(DataFrame.unionByName, [df.withColumn("plant", F.lit(plant).cast("bigint")) for plant, df in frames.items()])
 
 
 @query
@@ -553,51 +588,183 @@ def run_actuals(spark: SparkSession, sf: str) -> DataFrame:
     return frame.select("plant", _time("ts"), "series", _round("value"))
 
 
-def _runs(spark: SparkSession, sf: str) -> dict[int, forest.AsOfRun]:
-    """One run per plant, each up to the latest valid cut-off of the plant."""
+@dataclass(frozen=True)
+class PlantRun:
+    """A run of one plant, and the bounds of what it was trained on: no tree predicts a value outside."""
+
+    run: forest.AsOfRun
+    least: float
+    most: float
+
+
+def _between(value: Column, least: float, most: float) -> Column:
+    return value.between(F.lit(least), F.lit(most)).cast("string")
+
+
+def _bounds(rows: DataFrame) -> tuple[float, float]:
+    return tuple(rows.agg(F.min("power"), F.max("power")).first())
+
+
+def _runs(spark: SparkSession, sf: str) -> dict[int, PlantRun]:
+    """One run per plant, each up to the latest valid cut-off of the plant; plants are fitted side by side."""
     plants = plant_table(spark, sf)
     cutoffs = features.default_cutoff(plants, "ts", inputs.KEYS).collect()  # one row per plant
-    tasks = spark.sparkContext.defaultParallelism
-    return {
-        r["plant"]: forest.as_of_run(one_plant(plants, r["plant"]), "ts", "power", r["day"], tasks=tasks)
-        for r in sorted(cutoffs)
-    }
+
+    def run(row) -> tuple[int, PlantRun]:
+        own = one_plant(plants, row["plant"])
+        bounds = _bounds(features.history_until(own, "ts", row["day"]))
+        return row["plant"], PlantRun(forest.as_of_run(own, "ts", "power", row["day"]), *bounds)
+
+    return dict(sorted(forest.at_once(run, cutoffs)))
 
 
 @query
 def run_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return _per_plant({plant: run.frame for plant, run in _runs(spark, sf).items()})
+    """Values of the predictions depend on the trees; that they lie within what was learned does not."""
+    predicted = F.col("series") == "prediction"
+    return _per_plant(
+        {
+            plant: p.run.frame.select(
+                _time("ts"),
+                "series",
+                F.when(~predicted, F.round("value", 6)).alias("value"),
+                F.when(predicted, _between(F.col("value"), p.least, p.most)).alias("learned"),
+            )
+            for plant, p in _runs(spark, sf).items()
+        }
+    )
 
 
 @query
 def run_peak(spark: SparkSession, sf: str) -> DataFrame:
-    return _per_plant({plant: run.peak() for plant, run in _runs(spark, sf).items()})
+    frames = {}
+    for plant, p in _runs(spark, sf).items():
+        top = p.run.scored.agg(F.max("actual").alias("actual"))
+        peak = p.run.peak().join(top, F.lit(True))
+        bounded = F.col("peak").between(F.col("actual"), F.greatest("actual", F.lit(p.most)))
+        frames[plant] = peak.select(_time("starts_at"), _round("actual"), bounded.cast("string").alias("bounded"))
+    return _per_plant(frames)
 
 
 @query
 def feature_importance_top10(spark: SparkSession, sf: str) -> DataFrame:
-    return _per_plant({plant: run.importance for plant, run in _runs(spark, sf).items()})
+    frames = {}
+    for plant, p in _runs(spark, sf).items():
+        total = p.run.importance.agg(F.round(F.sum("importance"), 6).alias("total"))
+        rows = p.run.importance.join(total, F.lit(True))
+        frames[plant] = rows.select("feature", "total", _between(F.col("importance"), 0.0, 1.0).alias("share"))
+    return _per_plant(frames)
 
 
 @query
 def backtest(spark: SparkSession, sf: str) -> DataFrame:
-    plants, days = plant_table(spark, sf), [date(2024, 1, 10), CUTOFF, date(2024, 1, 20)]
-    return _per_plant(
-        {
-            plant: forest.backtest(one_plant(plants, plant), "ts", "power", days, trees=10, max_depth=5)
-            for plant in inputs.PLANTS
-        }
+    """Every valid cut-off of every plant, each with its own forest."""
+    plants = plant_table(spark, sf)
+    cutoffs = features.valid_cutoffs(plants, "ts", inputs.KEYS).collect()  # one row per plant and day
+    names = sorted({r["plant"] for r in cutoffs})
+    scored = {}
+    for plant in names:
+        days = sorted(r["day"] for r in cutoffs if r["plant"] == plant)
+        own = one_plant(plants, plant)
+        least, most = _bounds(own)
+        rows = forest.backtest(own, "ts", "power", days)
+        scored[plant] = rows.select(
+            _day("cutoff"), _time("ts"), _round("actual"), _between(F.col("power_pred"), least, most).alias("learned")
+        )
+    return _per_plant(scored)
+
+
+def _hour_runs(spark: SparkSession, sf: str) -> dict[int, forest.AsOfRun]:
+    """Runs whose result is determined: one feature, the hour, tells all that trees without drawn rows can learn,
+    so a prediction is the mean of its hour."""
+    hour = F.hour(F.col("ts").cast("timestamp_ntz")).cast("double").alias("hour")
+    rows = inputs.plant_rows(spark, sf).select("plant", "ts", "event_id", "power", hour, F.lit(1.0).alias("constant"))
+    rows = stored(rows, "hours")
+    return dict(
+        forest.at_once(
+            lambda plant: (
+                plant,
+                forest.as_of_run(one_plant(rows, plant), "ts", "power", CUTOFF, ["event_id"], trees=2, bootstrap=False),
+            ),
+            [r["plant"] for r in rows.select("plant").distinct().orderBy("plant").collect()],
+        )
     )
 
 
 @query
-def multistep_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    wide = stored(_complete(spark, sf), "wide")
+def run_frame_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return _per_plant({k: r.frame.select(_time("ts"), "series", _round("value")) for k, r in _hour_runs(spark, sf).items()})
+
+
+@query
+def run_peak_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return _per_plant({k: r.peak().select(_time("starts_at"), _round("peak")) for k, r in _hour_runs(spark, sf).items()})
+
+
+@query
+def importance_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return _per_plant({k: r.importance.select("feature", _round("importance")) for k, r in _hour_runs(spark, sf).items()})
+
+
+def _until_cutoff(spark: SparkSession, wide: DataFrame) -> str:
+    """A bundle that has seen no target after the cut-off, written and read again."""
+    until = datetime.combine(CUTOFF, datetime.min.time())
     launches = forecast.daily_cutoffs(wide, HOURLY, inputs.KEYS)
-    bundle = forecast.train_forecast(
-        wide, HOURLY, inputs.KEYS, launches, trees=20, max_depth=5, subset="onethird"
-    )
+    bundle = forecast.train_forecast(wide, HOURLY, inputs.KEYS, launches, until=until)
     path = scratch_path(spark, "model")
     forecast.save_bundle(spark, bundle, path)
-    predicted, _ = forecast.forecast_cutoffs(wide, forecast.load_bundle(spark, path), launches, inputs.KEYS)
-    return sinks.render_forecast(predicted).select("plant", "cutoff", "step", "ts", "power_pred", "power_text")
+    return path
+
+
+@query
+def multistep_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Launches after the last target that was learned from."""
+    wide = stored(_complete(spark, sf), "wide")
+    bundle = forecast.load_bundle(spark, _until_cutoff(spark, wide))
+    launches = forecast.daily_cutoffs(wide, HOURLY, inputs.KEYS).filter(F.col("cutoff") >= F.lit(CUTOFF))
+    predicted, _ = forecast.forecast_cutoffs(wide, bundle, launches, inputs.KEYS)
+    least, most = _bounds(features.history_until(wide, "ts", CUTOFF))
+    return sinks.render_forecast(predicted).select(
+        "plant",
+        _time("cutoff"),
+        F.col("step").cast("bigint").alias("step"),
+        _time("ts"),
+        _between(F.col("power_pred"), least, most).alias("learned"),
+        (F.trim("power_text") == F.format_string("%.1f", "power_pred")).cast("string").alias("shown"),
+    )
+
+
+@query
+def multistep_training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """What a bundle trained until the cut-off learns from: no target lies after it."""
+    wide = _complete(spark, sf)
+    rows, names = features.build_features(wide, HOURLY, inputs.KEYS)
+    windows = lookback(rows, inputs.KEYS, ["ts"], names, forecast.daily_cutoffs(wide, HOURLY, inputs.KEYS), HOURLY.window_steps)
+    training = forecast.training_rows(windows, rows, HOURLY, inputs.KEYS, datetime.combine(CUTOFF, datetime.min.time()))
+    return training.select("plant", _time("cutoff"), F.col("step").cast("bigint").alias("step"), _time("ts"), _round("label"))
+
+
+@query
+def predict_for_date(spark: SparkSession, sf: str) -> DataFrame:
+    """The serving call on a written wide table: one plant, the first launch that its history allows after the cut-off."""
+    wide = stored(_complete(spark, sf), "wide")
+    source = scratch_path(spark, "wide-table")
+    wide.write.parquet(source)
+    names = ["discharge_view", "discharge_click"]
+    launches = forecast.daily_cutoffs(wide, HOURLY, inputs.KEYS).filter((F.col("cutoff") > F.lit(CUTOFF)) & (F.col("plant") == 0))
+    usable = lookback(wide, inputs.KEYS, ["ts"], names, launches, HOURLY.window_steps).filter("status = 'ok'")
+    day = usable.agg(F.min("cutoff")).first()[0]
+    least, most = _bounds(features.history_until(wide, "ts", CUTOFF))
+    rows = forecast.predict_for_date(spark, day, _until_cutoff(spark, wide), source, plant=0)
+    return rows.select(_time("ts"), _between(F.col("power_pred"), least, most).alias("learned"))
+
+
+@query
+def plant_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the plants under the target column that their plant choice maps to."""
+    rows = inputs.plant_rows(spark, sf)
+    parts = [
+        rows.filter(F.col("plant") == i).select("event_id", F.lit(features.plant_target(name)).alias("target"), _round("power"))
+        for i, name in enumerate(PLANT_TARGETS)
+    ]
+    return reduce(DataFrame.unionByName, parts)

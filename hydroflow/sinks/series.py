@@ -1,33 +1,52 @@
 """Writing series.
 
-The store has one directory per (param, station, freq). Rows are range-partitioned by series and time before
-the write: a small series lands in one file, a very long one is cut by time into many.
+The store has one directory per parameter, frequency and bucket of the station id; rows carry the id and the plain
+name of their station and are sorted by station and time inside the files, so row groups prune by both. The
+number of directories depends on the buckets, not on the stations.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.functions import safe_name
 from hydroflow.functions.numbers import column
 from hydroflow.operators.observations import in_range
+from hydroflow.operators.positions import null_safe_join
+from hydroflow.session import stored
 
-LAYOUT = ("param", "station", "freq")
-STORED = "ts timestamp_ntz, result double, unit string, param string, station string, freq string"
+LAYOUT = ("param", "freq", "bucket")
+SERIES = ("param", "station_id", "freq")
+BUCKETS = 32
+STORED = (
+    "ts timestamp_ntz, result double, unit string, station string, station_id bigint, "
+    "param string, freq string, bucket int"
+)
 
 
-def write_series(obs: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write ``(param, station, freq, unit, ts, result)``; a series that is written again replaces its old rows.
+def write_series(obs: DataFrame, path: str, fmt: str = "parquet", buckets: int = BUCKETS) -> None:
+    """Write ``(param, station_id, station, freq, unit, ts, result)``; a series that is written again replaces its old rows.
 
-    Only the partitions present in ``obs`` are overwritten, so a failed or repeated load leaves the rest alone.
+    Only the buckets present in ``obs`` are rewritten, with the other series that they hold, so a failed or repeated
+    load leaves the rest alone. The number of buckets must not change over the life of a store. Adaptive
+    execution sizes the writing tasks and splits large buckets.
     """
-    rows = obs.select("ts", "result", "unit", "param", safe_name("station").alias("station"), "freq")
-    # A given number keeps many tiny series from being merged into one task that writes all their files.
-    tasks = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = obs.sparkSession
+    bucket = F.pmod(F.xxhash64("station_id"), F.lit(buckets)).cast("int")
+    columns = [c.split()[0] for c in STORED.split(", ")]
+    rows = stored(obs.withColumn("bucket", bucket).select(*columns), "new-series")
+    try:
+        old = read_series(spark, path, fmt, dict(rows.dtypes)["ts"])
+        touched, written = rows.select(*LAYOUT).distinct(), rows.select(*SERIES).distinct()
+        old = null_safe_join(null_safe_join(old, touched, LAYOUT, "left_semi"), written, SERIES, "left_anti")
+        rows = rows.unionByName(stored(old.select(*columns), "kept-series"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
     (
-        rows.repartitionByRange(tasks, *LAYOUT, "ts")
-        .sortWithinPartitions(*LAYOUT, "ts")
+        rows.hint("rebalance", *LAYOUT)
+        .sortWithinPartitions(*LAYOUT, "station_id", "ts")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
@@ -38,17 +57,17 @@ def write_series(obs: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_series(spark: SparkSession, path: str, fmt: str = "parquet", time_type: str = "timestamp_ntz") -> DataFrame:
-    """Read the store; filters on param, station and freq prune directories."""
+    """Read the store; filters on param and freq prune directories, those on station_id and ts row groups."""
     schema = STORED.replace("timestamp_ntz", time_type)
     return spark.read.schema(schema).option("header", True).format(fmt).load(path)
 
 
 def count_series(store: DataFrame) -> DataFrame:
     """Number of series, data files and rows in the store."""
-    return store.select(*LAYOUT, F.col("_metadata.file_path").alias("file")).groupBy(*LAYOUT, "file").agg(
+    return store.select(*SERIES, F.col("_metadata.file_path").alias("file")).groupBy(*SERIES, "file").agg(
         F.count(F.lit(1)).alias("n")
     ).agg(
-        F.count_distinct(F.struct(*LAYOUT)).alias("n_series"),
+        F.count_distinct(F.struct(*SERIES)).alias("n_series"),
         F.count_distinct("file").alias("n_files"),
         F.sum("n").alias("n_rows"),
     )
@@ -79,10 +98,17 @@ def export_summary(obs: DataFrame, by: str = "datastream_id") -> DataFrame:
     kind = dict(obs.dtypes)["ts"]
 
     def line(edge: str) -> Column:
-        return F.concat_ws(",", _iso_text(F.col(f"{edge}.ts"), kind), F.col(f"{edge}.result").cast("string"))
+        return F.concat_ws(",", _iso_text(F.col(f"{edge}_ts"), kind), F.col(f"{edge}_result").cast("string"))
 
-    row = F.struct("ts", "result")
-    edges = obs.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.min(row).alias("lo"), F.max(row).alias("hi"))
+    # Plain numbers only, so that both steps stay hash aggregates; of equal times the extreme values count.
+    times = obs.groupBy(F.col(by).alias("_by")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("lo_ts"), F.max("ts").alias("hi_ts")
+    )
+    at = obs.join(times, F.col(by).eqNullSafe(F.col("_by")) & ((F.col("ts") == F.col("lo_ts")) | (F.col("ts") == F.col("hi_ts"))))
+    edges = at.groupBy(by, "n_rows", "lo_ts", "hi_ts").agg(
+        F.min(F.when(F.col("ts") == F.col("lo_ts"), F.col("result"))).alias("lo_result"),
+        F.max(F.when(F.col("ts") == F.col("hi_ts"), F.col("result"))).alias("hi_result"),
+    )
     return edges.select(
         by,
         "n_rows",

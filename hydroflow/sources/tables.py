@@ -36,13 +36,15 @@ def read_observation_csv(spark: SparkSession, path: str, value: str) -> DataFram
 def read_plant_csv(spark: SparkSession, path: str, columns: Sequence[str], time_col: str = "time") -> DataFrame:
     """Merged plant table: wall-clock time, double features and target, rows with a gap in any column dropped.
 
-    ``columns`` are the value columns in file order; with several plants under one root (``plant=…/``) the plant
-    is a partition column and a filter on it prunes files.
+    Columns are taken by the names in the header; files whose headers differ are refused. With several plants under
+    one root (``plant=…/``) the plant is a partition column and a filter on it prunes files.
     """
-    fields = ", ".join([f"`{time_col}` string", *[f"`{c}` double" for c in columns]])
-    raw = spark.read.schema(fields).option("header", True).option("mode", "FAILFAST").csv(path)
-    rest = [c for c in raw.columns if c != time_col]
-    return drop_incomplete(raw.select(wall_clock(time_col).alias(time_col), *[column(c) for c in rest]))
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    own = [time_col, *columns]
+    headed = set(spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).columns)
+    rest = [c for c in raw.columns if c not in headed]
+    typed = [parse_number(c).alias(c) for c in columns]
+    return drop_incomplete(raw.select(wall_clock(own[0]).alias(time_col), *typed, *[column(c) for c in rest]))
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
@@ -50,10 +52,14 @@ def read_wide(spark: SparkSession, path: str) -> DataFrame:
     return _nan_to_null(spark.read.parquet(path))
 
 
-def read_plant_export(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Plant power export as text columns, names assigned by position."""
+def read_plant_export(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", in_parts: bool = False
+) -> DataFrame:
+    """Plant power export as text columns, names assigned by position. A file is an export, or with ``in_parts`` all
+    files of a folder are one."""
     raw = spark.read.schema(EXPORT).option("header", True).option("encoding", encoding).csv(path)
-    return raw.toDF(*EXPORT_COLUMNS).withColumn("_file", F.col("_metadata.file_path"))
+    file = F.col("_metadata.file_path")
+    return raw.toDF(*EXPORT_COLUMNS).withColumn("_export", F.regexp_replace(file, "/[^/]*$", "") if in_parts else file)
 
 
 def clean_plant_export(
@@ -62,23 +68,19 @@ def clean_plant_export(
     """Typed rows of the export without the metadata rows below its header.
 
     Metadata rows are those whose start is no timestamp. Strict mode demands exactly ``preamble_rows`` of them
-    per file and raises on malformed numbers, so that a broken data row is an error and not a silent loss;
-    permissive mode drops rows without a start time and turns bad numbers into NULL.
+    per export and raises on malformed numbers, so that a broken data row is an error and not a silent loss; the
+    count runs in the job that reads the rows. Permissive mode drops rows without a start time and turns bad
+    numbers into NULL.
     """
-    start = parse_german("Datum_von", strict=False)
+    rows = raw.withColumn("_start", parse_german("Datum_von", strict=False))
     if strict:
-        odd = F.count_if(start.isNull()).alias("n")
-        wrong = raw.groupBy("_file").agg(odd).filter(F.col("n") != preamble_rows)
-        bad = wrong.first()
-        if bad is not None:
-            raise ValueError(f"{bad['_file']} has {bad['n']} rows without a start time, expected {preamble_rows}.")
-    return (
-        raw.withColumn("_start", start)
-        .filter(F.col("_start").isNotNull())
-        .select(
-            F.col("_start").alias("Datum_von"),
-            parse_german("Datum_bis", strict=False).alias("Datum_bis"),
-            parse_number("el", strict).alias("el"),
-            parse_number("el1", strict).alias("el1"),
-        )
+        odd = rows.groupBy(F.col("_export").alias("_of")).agg(F.count_if(F.col("_start").isNull()).alias("_n"))
+        message = F.concat("_export", F.lit(" has "), "_n", F.lit(f" rows without a start time, expected {preamble_rows}."))
+        checked = F.when(F.col("_n") != preamble_rows, F.raise_error(message)).isNull()
+        rows = rows.join(odd, F.col("_export") == F.col("_of")).filter(checked)
+    return rows.filter(F.col("_start").isNotNull()).select(
+        F.col("_start").alias("Datum_von"),
+        parse_german("Datum_bis", strict=False).alias("Datum_bis"),
+        parse_number("el", strict).alias("el"),
+        parse_number("el1", strict).alias("el1"),
     )

@@ -69,9 +69,10 @@ def test_multi_line_page_and_malformed_page(spark, tmp_path):
 @pytest.fixture
 def rows(spark):
     data = [
-        ("Q", "Jena / Saale", "1D", "m³/s", datetime(2024, 1, d), float(d)) for d in (3, 1, 2)
-    ] + [("W", "Gera", "1D", "cm", datetime(2024, 1, 1), 5.0)]
-    return spark.createDataFrame(data, "param string, station string, freq string, unit string, ts timestamp_ntz, result double")
+        ("Q", 1, "Jena / Saale", "1D", "m³/s", datetime(2024, 1, d), float(d)) for d in (3, 1, 2)
+    ] + [("W", 2, "Gera", "1D", "cm", datetime(2024, 1, 1), 5.0)]
+    schema = "param string, station_id bigint, station string, freq string, unit string, ts timestamp_ntz, result double"
+    return spark.createDataFrame(data, schema)
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
@@ -81,7 +82,7 @@ def test_store_replaces_only_written_series(spark, rows, tmp_path, fmt):
     sinks.write_series(rows.filter("param = 'Q'").withColumn("result", F.col("result") * 10), path, fmt)
     got = sinks.read_series(spark, path, fmt)
     assert sorted((r["station"], r["result"], r["unit"]) for r in got.collect()) == [
-        ("Gera", 5.0, "cm"), ("Jena_-_Saale", 10.0, "m³/s"), ("Jena_-_Saale", 20.0, "m³/s"), ("Jena_-_Saale", 30.0, "m³/s"),
+        ("Gera", 5.0, "cm"), ("Jena / Saale", 10.0, "m³/s"), ("Jena / Saale", 20.0, "m³/s"), ("Jena / Saale", 30.0, "m³/s"),
     ]
     counts = sinks.count_series(got).first()
     assert (counts["n_series"], counts["n_rows"]) == (2, 4) and counts["n_files"] >= 2
@@ -89,6 +90,20 @@ def test_store_replaces_only_written_series(spark, rows, tmp_path, fmt):
     assert "PartitionFilters: [isnotnull(param" in plan
 
 
+def test_store_keeps_stations_of_like_names_apart(spark, tmp_path):
+    path, n = str(tmp_path / "store"), 60
+    data = [("Q", i, "A/B" if i % 2 else "A-B", "1D", "x", datetime(2024, 1, 1), float(i)) for i in range(n)]
+    schema = "param string, station_id bigint, station string, freq string, unit string, ts timestamp_ntz, result double"
+    sinks.write_series(spark.createDataFrame(data, schema), path, buckets=4)
+    again = spark.createDataFrame([("Q", 3, "A/B", "1D", "x", datetime(2024, 1, 2), -1.0)], schema)
+    sinks.write_series(again, path, buckets=4)
+    store = sinks.read_series(spark, path)
+    got = {(r["station_id"], r["station"], r["result"]) for r in store.collect()}
+    assert got == {(i, s, -1.0 if i == 3 else v) for _, i, s, _, _, _, v in data}
+    counts = sinks.count_series(store).first()
+    assert counts["n_series"] == n and counts["n_files"] <= 8
+
+
 def test_csv_has_the_value_header_and_reads_back(spark, rows, tmp_path):
     path = str(tmp_path / "q.csv")
     sinks.export_csv(rows.filter("param = 'Q'"), path, "Q", "m³/s")
@@ -140,8 +155,8 @@ def test_plant_export(spark, tmp_path):
 
 def test_plant_export_strict_and_permissive(spark, tmp_path):
     bad_time = tables.read_plant_export(spark, export_file(tmp_path / "t", [*PREAMBLE, *GOOD, "2026-01-01,x,1,1"]))
-    with pytest.raises(ValueError, match="6 rows without a start time"):
-        tables.clean_plant_export(bad_time)
+    with pytest.raises(Exception, match="6 rows without a start time"):
+        tables.clean_plant_export(bad_time).collect()
     assert tables.clean_plant_export(bad_time, strict=False).count() == 2
     bad_number = tables.read_plant_export(spark, export_file(tmp_path / "n", [*PREAMBLE, *GOOD, "01.01.2026 00:15:00,,x,1"]))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
@@ -161,6 +176,23 @@ def test_plant_csv(spark, tmp_path):
     ]
 
 
+def test_plant_csv_is_read_by_its_header(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("power,more,time,flow\n2.0,9,2024-07-01 00:15:00,1.0\n")
+    assert tables.read_plant_csv(spark, str(tmp_path), ["flow", "power"]).first()[1:] == (1.0, 2.0)
+    (tmp_path / "q.csv").write_text("flow,more,time,power\n2.0,9,2024-07-01 00:15:00,1.0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_plant_csv(spark, str(tmp_path), ["flow", "power"]).collect()
+    (tmp_path / "q.csv").write_text("power,more,time,flow\nx,9,2024-07-01 00:15:00,1.0\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.read_plant_csv(spark, str(tmp_path), ["flow", "power"]).collect()
+
+
+def test_plant_export_in_parts(spark, tmp_path):
+    folder = export_file(tmp_path / "parts", PREAMBLE + GOOD[:1])
+    (tmp_path / "parts" / "f.csv").write_text("a,b,c,d\n" + GOOD[1] + "\n")
+    assert tables.clean_plant_export(tables.read_plant_export(spark, folder, in_parts=True)).count() == 2
+
+
 def test_stream_takes_each_page_once(spark, tmp_path):
     landing, out, state = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "state")
     land(landing, "1.json", {"datastream_id": 7, **obs_page([("2024-01-01T00:00:00Z", 1.0)])})

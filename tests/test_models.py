@@ -40,9 +40,8 @@ def launches(wide):
     return forecast.daily_cutoffs(wide, CONFIG, KEYS)
 
 
-@pytest.mark.parametrize("limit", [10_000, 20])
-def test_lookback_is_time_major_and_ends_at_the_cutoff(wide, limit):
-    got = lookback(wide, KEYS, ["ts"], NAMES, launches(wide), 6, max_group_rows=limit).collect()
+def test_lookback_is_time_major_and_ends_at_the_cutoff(wide):
+    got = lookback(wide, KEYS, ["ts"], NAMES, launches(wide), 6).collect()
     rows = {"A": plant_rows(), "B": plant_rows("B", seed=4, skip={58})}
     assert len(got) == 12
     for r in got:
@@ -55,13 +54,12 @@ def test_lookback_is_time_major_and_ends_at_the_cutoff(wide, limit):
         assert (r["status"], r["n_rows"], r["lookback"]) == ("ok", 6, want)
 
 
-@pytest.mark.parametrize("limit", [10_000, 20])
-def test_lookback_guards(spark, wide, limit):
+def test_lookback_guards(spark, wide):
     asked = spark.createDataFrame(
         [("A", START + timedelta(hours=h)) for h in (4, 5, 30)] + [("C", START)], "plant string, cutoff timestamp_ntz"
     )
     holes = wide.withColumn("discharge_a", F.when(F.col("ts") == START + timedelta(hours=28), math.nan).otherwise(F.col("discharge_a")))
-    got = lookback(holes, KEYS, ["ts"], NAMES, asked, 6, max_group_rows=limit)
+    got = lookback(holes, KEYS, ["ts"], NAMES, asked, 6)
     assert {(r["plant"], r["cutoff"].day, r["cutoff"].hour, r["status"], r["n_rows"]) for r in got.collect()} == {
         ("A", 1, 4, "short_history", 5), ("A", 1, 5, "ok", 6), ("A", 2, 6, "missing_values", 6), ("C", 1, 0, "no_cutoff", 0),
     }
@@ -78,9 +76,16 @@ def test_lookback_takes_the_first_of_repeated_times(spark):
     assert not none["found"] and none["x"] is None
 
 
-@pytest.mark.parametrize("limit", [10_000, 20])
-def test_features_are_prefix_columns_then_the_trailing_mean(wide, limit):
-    frame, names = features.build_features(wide, CONFIG, KEYS, max_group_rows=limit)
+def test_lookback_of_null_keys_and_repeated_rows(spark):
+    rows = [(None, START + timedelta(hours=h), float(h)) for h in (0, 1, 1, 2)]
+    df = spark.createDataFrame(rows, "plant string, ts timestamp_ntz, x double")
+    asked = spark.createDataFrame([(None, START + timedelta(hours=2))], "plant string, cutoff timestamp_ntz")
+    row = lookback(df, KEYS, ["ts"], ["x"], asked, 4).first()
+    assert (row["status"], row["lookback"]) == ("ok", [0.0, 1.0, 1.0, 2.0])
+
+
+def test_features_are_prefix_columns_then_the_trailing_mean(wide):
+    frame, names = features.build_features(wide, CONFIG, KEYS)
     assert names == ["discharge_a", "discharge_b", "power_ma_3h"]
     rows = [r for r in frame.orderBy("plant", "ts").collect() if r["plant"] == "A"]
     power = [x[5] for x in plant_rows()]
@@ -162,6 +167,16 @@ def test_training_sees_nothing_after_the_cutoff(run, plant):
     assert a == b
 
 
+def test_forest_does_not_depend_on_how_the_table_is_split(spark, plant):
+    names = ["discharge_a", "discharge_b", "other"]
+    parts = [plant.repartition(n) for n in (1, 3, 8)]
+    first, *others = [
+        [r["power_pred"] for r in forest.predict_known_features(forest.fit_forest(p, names, "power", trees=5, max_depth=6), plant, names).orderBy("ts").collect()]
+        for p in parts
+    ]
+    assert all(x == first for x in others)
+
+
 def test_missing_next_day_and_missing_history(plant):
     last = forest.as_of_run(plant, "ts", "power", date(2024, 1, 6), trees=2, max_depth=2)
     assert last.frame.filter("series = 'prediction'").count() == 0
@@ -197,13 +212,15 @@ def test_multistep_forecast(spark, wide, tmp_path, per_step):
     want = sorted((r["ts"], r["power_pred"]) for r in got if r["plant"] == "B" and r["cutoff"].day == 4)
     assert [(r["ts"], r["power_pred"]) for r in one] == want
 
+    with pytest.raises(ValueError, match="several series"):
+        forecast.predict_for_date(spark, "2024-01-04", path, source)
     with pytest.raises(ValueError, match="not in the data"):
         forecast.predict_for_date(spark, date(2024, 1, 3), path, source, plant="B")
     with pytest.raises(ValueError, match="not in the data"):
         forecast.predict_for_date(spark, date(2025, 1, 3), path, source, plant="B")
     short = str(tmp_path / "short")
     wide.filter(F.col("ts") >= datetime(2024, 1, 4, 8)).write.parquet(short)
-    with pytest.raises(ValueError, match="need 6, have 3"):
+    with pytest.raises(ValueError, match="has 3 of 6 rows"):
         forecast.predict_for_date(spark, datetime(2024, 1, 4, 23), path, short, plant="B")
     renamed = str(tmp_path / "renamed")
     wide.withColumnRenamed("other", "discharge_c").write.parquet(renamed)

@@ -50,15 +50,14 @@ def assert_same(got, want):
 
 
 @pytest.mark.parametrize("window", [1, 4, 16, 400])
-@pytest.mark.parametrize("limit", [10_000, 10])
-def test_trailing_mean_equals_rolling(plants, window, limit):
-    got = moving.trailing_mean(plants, ["plant"], ["ts", "id"], "power", window, "mean", max_group_rows=limit)
+def test_trailing_mean_equals_rolling(plants, window):
+    got = moving.trailing_mean(plants, ["plant"], ["ts", "id"], "power", window, "mean")
     assert_same(as_map(got, "mean"), expected_means(series(300) + series(37, "B", seed=2), window))
 
 
 @pytest.mark.parametrize("chunk", [16, 17, 50])
 def test_chunk_size_does_not_matter(plants, chunk):
-    got = moving.trailing_mean_chunked(plants, ["plant"], ["ts", "id"], "power", 16, "mean", chunk_rows=chunk)
+    got = moving.trailing_mean(plants, ["plant"], ["ts", "id"], "power", 16, "mean", chunk_rows=chunk)
     assert got.count() == 337
     assert_same(as_map(got, "mean"), expected_means(series(300) + series(37, "B", seed=2), 16))
 
@@ -72,12 +71,28 @@ def test_day_trend_restarts_and_whole_series_mean_does_not(spark):
     assert as_map(daily, "m") == {("A", 1): 10.0, ("A", 2): 20.0}
 
 
-@pytest.mark.parametrize("limit", [10_000, 10])
-def test_row_index(plants, limit):
-    got = as_map(positions.row_index(plants, ["plant"], ["ts", "id"], max_group_rows=limit), "row_index")
+def test_row_index(plants):
+    got = as_map(positions.row_index(plants, ["plant"], ["ts", "id"]), "row_index")
     assert got == {(p, i): i for p, n in (("A", 300), ("B", 37)) for i in range(n)}
 
 
+def test_row_index_with_a_hot_key_and_null_keys(spark):
+    key = F.when(F.col("id") % 50 == 0, "cold").when(F.col("id") % 10 == 3, F.lit(None)).otherwise("hot")
+    df = spark.range(20_000).select(key.alias("plant"), (F.col("id") * 7919 % 20_000).alias("ts")).repartition(5)
+    got = positions.row_index(df, ["plant"], ["ts"]).collect()
+    assert len(got) == 20_000
+    for plant in ("hot", "cold", None):
+        own = sorted((r["ts"], r["row_index"]) for r in got if r["plant"] == plant)
+        assert [i for _, i in own] == list(range(len(own)))
+
+
+def test_means_of_null_keys(spark):
+    rows = [(p, START + timedelta(hours=h), h, float(h)) for h in range(40) for p in ("A", None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = moving.trailing_mean(df, ["plant"], ["ts", "id"], "power", 4, "mean", chunk_rows=8)
+    assert as_map(got, "mean") == {(p, h): np.mean(range(max(0, h - 3), h + 1)) for h in range(40) for p in ("A", None)}
+
+
 def test_global_positions_are_gap_free(spark):
     # One key holds almost all rows; the sort key still spreads them.
     df = spark.range(20_000).select(
