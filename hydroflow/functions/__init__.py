@@ -8,7 +8,6 @@ from hydroflow.functions.times import (
     forecast_index,
     launch_time,
     minute_label,
-    next_day,
     parse_german,
     parse_instant,
     step_interval,
@@ -23,7 +22,6 @@ __all__ = [
     "iso_instant",
     "launch_time",
     "minute_label",
-    "next_day",
     "null_if_nan",
     "parse_german",
     "parse_instant",

@@ -29,11 +29,6 @@ def day_of(c: str | Column) -> Column:
     return F.to_date(column(c))
 
 
-def next_day(c: str | Column) -> Column:
-    """The following calendar day of a date."""
-    return F.date_add(column(c), 1)
-
-
 def launch_time(c: str | Column, hour: int) -> Column:
     """Midnight of the given date or time, plus the launch hour."""
     midnight = day_of(c).cast("timestamp_ntz")

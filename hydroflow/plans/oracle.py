@@ -218,7 +218,8 @@ CROSS JOIN generate_series(1, 24) g(i)
 JOIN complete t ON t.plant = f.plant AND t.ts = f.ts + i * INTERVAL 1 HOUR
 WHERE f.rn >= 24""",
     # Catalogue
-    "station_list": f"WITH {THINGS} SELECT iot_id, name, description, station_id FROM things",
+    "station_list": f"""WITH {THINGS} SELECT iot_id, name, description, station_id,
+       row_number() OVER (ORDER BY name, iot_id) - 1 AS place FROM things""",
     "station_search_ci": f"""WITH {THINGS} SELECT iot_id, name, description, station_id FROM things
 WHERE contains(lower(name), 'supplier#00000001') ORDER BY iot_id LIMIT 1""",
     "station_search_cs": f"""WITH {THINGS} SELECT iot_id, name, description, station_id FROM things
@@ -235,16 +236,20 @@ SELECT thing_id, min(datastream_id) AS datastream_id, arg_min(datastream, datast
        arg_min(unit, datastream_id) AS unit
 FROM ds WHERE starts_with(datastream, 'view@') AND type = 'TH_PEGELDATEN_15MIN' GROUP BY 1""",
     "datastreams_by_type": f"""WITH {DATASTREAMS}
-SELECT COALESCE(type, 'unknown') AS type, count(*) AS n FROM ds GROUP BY 1""",
+SELECT *, row_number() OVER (ORDER BY n DESC, type) - 1 AS place
+FROM (SELECT COALESCE(type, 'unknown') AS type, count(*) AS n FROM ds GROUP BY 1)""",
     "datastreams_by_parameter": f"""WITH {DATASTREAMS}
-SELECT parameter, count(*) AS n FROM ds GROUP BY 1""",
+SELECT *, row_number() OVER (ORDER BY n DESC, parameter) - 1 AS place
+FROM (SELECT parameter, count(*) AS n FROM ds GROUP BY 1)""",
     "station_frequencies": f"""WITH {DATASTREAMS}
 SELECT thing_id, COALESCE(type, 'unknown') AS freq_type, datastream_id, datastream, unit,
-       'no data' AS phenomenon_time FROM ds""",
+       'no data' AS phenomenon_time,
+       row_number() OVER (ORDER BY thing_id, COALESCE(type, 'unknown'), datastream_id) - 1 AS place FROM ds""",
     "station_location": f"""WITH {LOCATIONS}
 SELECT thing_id, name, round(lon, 6) AS lon, round(lat, 6) AS lat, 'true' AS is_point FROM locations""",
     "stations_in_bbox": f"""WITH {THINGS}, {LOCATIONS}
-SELECT iot_id, name, description, station_id FROM things WHERE iot_id IN (
+SELECT iot_id, name, description, station_id, row_number() OVER (ORDER BY name, iot_id) - 1 AS place
+FROM things WHERE iot_id IN (
   SELECT thing_id FROM locations WHERE lon > 10.25 AND lon < 11.95 AND lat > 50.45 AND lat < 51.35)""",
     "dedupe_last_by_name": """SELECT p_name AS name, p_brand AS description,
        CASE WHEN p_size > 25 THEN p_type END AS station_id

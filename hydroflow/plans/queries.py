@@ -245,9 +245,15 @@ def forecast_training_rows(spark: SparkSession, sf: str) -> DataFrame:
 # Catalogue
 
 
+def _in_order(df: DataFrame) -> DataFrame:
+    """The rows with their place in the order that the operator returns them in."""
+    numbered = df.withColumn("_id", F.monotonically_increasing_id())
+    return positions.global_positions(numbered, [], ["_id"], "place").drop("_id")
+
+
 @query
 def station_list(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.list_stations(inputs.things(spark, sf))
+    return _in_order(catalog.list_stations(inputs.things(spark, sf)))
 
 
 @query
@@ -285,17 +291,17 @@ def datastream_match(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def datastreams_by_type(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.count_by_type(inputs.datastreams(spark, sf))
+    return _in_order(catalog.count_by_type(inputs.datastreams(spark, sf)))
 
 
 @query
 def datastreams_by_parameter(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.count_by_parameter(inputs.datastreams(spark, sf))
+    return _in_order(catalog.count_by_parameter(inputs.datastreams(spark, sf)))
 
 
 @query
 def station_frequencies(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.station_frequencies(inputs.datastreams(spark, sf))
+    return _in_order(catalog.station_frequencies(inputs.datastreams(spark, sf)))
 
 
 @query
@@ -306,7 +312,8 @@ def station_location(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stations_in_bbox(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.stations_in_box(inputs.things(spark, sf), inputs.locations(spark, sf), 10.25, 50.45, 11.95, 51.35)
+    inside = catalog.stations_in_box(inputs.things(spark, sf), inputs.locations(spark, sf), 10.25, 50.45, 11.95, 51.35)
+    return _in_order(inside)
 
 
 @query
