@@ -41,8 +41,9 @@ UNITS = frozenset(
 
 _EMPTY, _TITLE, _NUMBER, _UNIT, _ENDS, _WITH_UNIT = 1, 2, 4, 8, 16, 32
 _OUTER = re.compile(r"^[\W_]+|[\W_]+$")
-_IS_NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
-_NUMBER_UNIT = re.compile(r"([+-]?\d[\d.,]*)([^\W\d_/]+(?:/[a-z])?)")
+_STOPS, _CLOSING = (".", "!", "?"), "\"')]}»”’"
+_IS_NUMBER = re.compile(r"\d[\d.,:/]*(?:st|nd|rd|th)?")
+_NUMBER_UNIT = re.compile(r"(\d[\d.,]*)([^\W\d_/]+(?:/[a-z])?)")
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,25 +60,30 @@ class Lexicon(dict):
         self.hashes, self.flags = np.zeros(1024, dtype=np.uint64), np.zeros(1024, dtype=np.uint8)
 
     def __missing__(self, raw: str) -> int:
-        core = _OUTER.sub("", raw)
-        lower, flags, value = core.lower(), 0, ""
-        if raw.rstrip("\"')]}»”’").endswith((".", "!", "?")):
-            flags |= _ENDS
+        flags, value = 0, ""
+        if raw.isalpha():
+            core = raw
+        else:
+            core = _OUTER.sub("", raw)
+            if raw.rstrip(_CLOSING).endswith(_STOPS):
+                flags = _ENDS
+        lower = core.lower()
         if not core:
             flags |= _UNIT if raw == "%" else _EMPTY
             lower = raw
-        elif _IS_NUMBER.fullmatch(core):
-            flags |= _NUMBER
-            if raw.rstrip(".,;:!?)]").endswith("%"):
-                flags |= _WITH_UNIT
-                value = "%"
-        elif (m := _NUMBER_UNIT.fullmatch(core)) and m[2].lower() in UNITS:
-            flags |= _NUMBER | _WITH_UNIT
-            lower, value = m[1], m[2].lower()
+        elif core[0].isdecimal():
+            if _IS_NUMBER.fullmatch(core):
+                flags |= _NUMBER
+                if raw.rstrip(".,;:!?)]").endswith("%"):
+                    flags |= _WITH_UNIT
+                    value = "%"
+            elif (m := _NUMBER_UNIT.fullmatch(core)) and m[2].lower() in UNITS:
+                flags |= _NUMBER | _WITH_UNIT
+                lower, value = m[1], m[2].lower()
         else:
             if lower in UNITS:
                 flags |= _UNIT
-            if core[0].isupper() and not core[1:].isupper() and len(core) > 1:
+            if core[0].isupper() and len(core) > 1 and not core[1:].isupper():
                 flags |= _TITLE
         at = len(self.words)
         if at == len(self.flags):
