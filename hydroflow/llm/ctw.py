@@ -258,6 +258,22 @@ def _score(frequent: Broadcast, model: Broadcast):
     return score
 
 
+def _frequent(words: DataFrame) -> dict[bytes, float]:
+    """Logarithms for the most frequent words, FREQUENT at most: all words from the smallest count level on of which
+    there are no more. Levels are eighths of a power of two, so there are a few hundred of them."""
+    level = F.floor(F.log2("times") * 8).cast("int")
+    own = words.filter(F.octet_length("word") <= KEY_BYTES).select("word", "times", level.alias("level"))
+    total, least = 0, None
+    for r in sorted(own.groupBy("level").count().collect(), key=lambda r: -r["level"]):
+        total += r["count"]
+        if total > FREQUENT:
+            break
+        least = r["level"]
+    if least is None:
+        return {}
+    return {bytes(r["word"]): math.log10(r["times"] + 1) for r in own.filter(F.col("level") >= least).collect()}
+
+
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -275,8 +291,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     words = counts.filter("word is not null")
     train_tokens, vocabulary = words.agg(F.sum("times"), F.count(F.lit(1))).first()
     train_tokens = train_tokens or 0
-    top = words.orderBy(F.desc("times"), "word").limit(FREQUENT).select("word", "times").collect()
-    frequent = spark.sparkContext.broadcast({bytes(r["word"]): math.log10(r["times"] + 1) for r in top if len(r["word"]) <= KEY_BYTES})
+    frequent = spark.sparkContext.broadcast(_frequent(words))
     model = spark.sparkContext.broadcast(train_contexts(counts))
     # Rows are numbered and written in one go, so the numbers hold whatever is computed again later.
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "body")
