@@ -303,6 +303,8 @@ def near_duplicates(
     of_print = smallest.join(named, "print", "left").select(
         "print", F.coalesce("least", "own").alias("component_id"), F.coalesce("root", "print").alias("root")
     )
+    # Written, so that both sides of the join are dealt for it and a print of many documents can be split.
+    of_print = stored(of_print, "print-components")
     return rows.join(of_print, "print").select("doc_id", "print", "component_id", "root", "k_hash", "k_len")
 
 
