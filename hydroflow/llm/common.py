@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,21 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+#: Bytes of one text that are cut into words at once.
+PIECE = 1 << 22
+
+
+def word_blocks(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in blocks, so that memory does not follow its length."""
+    at, n = 0, len(text)
+    while at < n:
+        end = min(n, at + PIECE)
+        while end < n and text[end] not in b" \t\n\x0b\x0c\r":
+            end += 1
+        yield text[at:end].split()
+        at = end
+
+
 def crc_remainder(key: str, modulus: int) -> Column:
     """crc32 of the key written as text, modulo a number; NULL for a NULL key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus
@@ -71,7 +88,8 @@ def by_bitmap(df: DataFrame, key: list[Column], bitmap: DataFrame) -> tuple[Data
     position = F.bitmap_bit_position(F.col(place))
     byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
     is_set = F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))
-    return joined.filter(~is_set).select(*df.columns), joined.filter(is_set).select(*df.columns)
+    own = [place, bucket, bits]
+    return joined.filter(~is_set).drop(*own), joined.filter(is_set).drop(*own)
 
 
 def _matches(df: DataFrame, keys: DataFrame, doc_id: str, text: str) -> Column:

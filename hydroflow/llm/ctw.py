@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.llm.common import crc_remainder, text_or_empty
+from hydroflow.llm.common import crc_remainder, text_or_empty, word_blocks
 from hydroflow.session import stored
 
 DEPTH = 2
@@ -47,11 +47,6 @@ def word_key(word: bytes) -> bytes:
     return word if len(word) <= KEY_BYTES else b"\0" + xxhash.xxh3_128_digest(word)
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words between ASCII blanks, A-Z lower-cased."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
-
-
 def grams(text: bytes) -> np.ndarray:
     """For each byte the number made of the two bytes before it and itself; before the text are zero bytes."""
     a = np.frombuffer(_PAD + text, dtype=np.uint8).astype(np.uint32)
@@ -77,8 +72,12 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for text in batch["body"]:
             raw = text.encode("utf-8", "surrogatepass").lower()
-            words.update(map(word_key, raw.split()))
             words[END] += 1
+            for block in word_blocks(raw):
+                words.update(map(word_key, block))
+                if len(words) >= HELD_WORDS:
+                    yield word_rows()
+                    words.clear()
             for at in range(0, len(raw), HELD_BYTES):
                 before = raw[max(0, at - DEPTH) : at]
                 part = grams(before + raw[at : at + HELD_BYTES])[len(before) :]
@@ -87,9 +86,6 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if size >= HELD_BYTES:
                     fold()
                     size = 0
-            if len(words) >= HELD_WORDS:
-                yield word_rows()
-                words.clear()
     if held:
         fold()
     if words:
@@ -241,8 +237,9 @@ def _score(frequent: Broadcast, model: Broadcast):
             out = []
             for row, doc_id, body in zip(batch["row"], batch["doc_id"], batch["body"], strict=True):
                 raw = body.encode("utf-8", "surrogatepass").lower()
-                times = Counter(raw.split())
-                times[END] = 1
+                times = Counter({END: 1})
+                for block in word_blocks(raw):
+                    times.update(block)
                 n_known, known, rare, rare_times = 0, 0.0, [], []
                 for word, n in times.items():
                     log = logs.get(word)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydroflow.llm.common import crc_remainder, text_or_empty, without_rows
+from hydroflow.llm.common import crc_remainder, text_or_empty, without_rows, word_blocks
 from hydroflow.session import stored
 
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -49,13 +49,16 @@ def statistics(text: str) -> list[float]:
     """The numbers that a score depends on; all of an empty text are zero."""
     raw = text.encode("utf-8", "surrogatepass")
     n = len(raw)
-    words = raw.split()
-    if not words:
+    times: Counter = Counter()
+    m, repeated, before = 0, 0, b""
+    for words in word_blocks(raw):
+        times.update(words)
+        repeated += sum(a == b for a, b in zip([before, *words], words, strict=False))
+        m, before = m + len(words), words[-1] if words else before
+    if not m:
         return [0.0] * len(FEATURES)
-    m = len(words)
     seen = np.bincount(np.frombuffer(raw, dtype=np.uint8), minlength=256)
     share = seen / n
-    times = Counter(words)
     lines = [x for x in raw.split(b"\n") if x.strip()]
     letters = max(1, int(seen[_LETTER].sum()))
     used = share[share > 0]
@@ -69,7 +72,7 @@ def statistics(text: str) -> list[float]:
         *(float(share[group].sum()) for group in (_BLANK, _BYTES >= 128, _CONTROL)),
         len(times) / m,
         max(times.values()) / m,
-        sum(a == b for a, b in zip(words, words[1:], strict=False)) / m,
+        repeated / m,
         sum(c for w, c in times.items() if w[-1] not in _PLAIN_ENDS) / m,
         sum(c for w, c in times.items() if w.isupper()) / m,
         sum(c for w, c in times.items() if 65 <= w[0] <= 90) / m,

@@ -113,8 +113,11 @@ FROM written GROUP BY conv_id"""
 )
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted and read back; digests of the turns and of the text under the loss mask."""
-    own = spark.createDataFrame(
-        [(-7, 0, "user", _CHECKED), (-7, 1, "assistant", _CHECKED)], "conv_id long, turn long, role string, text string"
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(_CHECKED).alias("text"),
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     parts = turns.select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hydroflow.llm.common import keep_one_of_each, text_or_empty
+from hydroflow.llm.common import keep_one_of_each, text_or_empty, word_blocks
 from hydroflow.llm.components import connected_components
 from hydroflow.session import stored
 
@@ -32,23 +32,10 @@ SHINGLE_WORDS, MAX_BITS = 4, 4
 SEED = 42
 #: Fingerprints in one run of the sort, those of a leaf, and the average that the key width aims at.
 CHUNK, FANOUT, KEY_ROWS = 4096, 16, 2048
-#: Bytes of one text that are cut into words at once.
-PIECE = 1 << 22
 #: Query fingerprints that walk an index together.
 WALKERS = 256
 
 
-def _word_blocks(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text in blocks, so that memory does not follow the length of the text."""
-    at, n = 0, len(text)
-    while at < n:
-        end = min(n, at + PIECE)
-        while end < n and text[end] not in b" \t\n\x0b\x0c\r":
-            end += 1
-        yield text[at:end].split()
-        at = end
-
-
 def _bit_sums(shingles: list[bytes]) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(s, SEED) for s in shingles], dtype=">u8")
@@ -58,7 +45,7 @@ def _bit_sums(shingles: list[bytes]) -> np.ndarray:
 def fingerprint(text: str, width: int = SHINGLE_WORDS) -> int:
     """64 majority bits over the XXH64 hashes of all word shingles, as a signed number; zero without a word."""
     total, sums, carry = 0, np.zeros(64, dtype=np.int64), []
-    for block in _word_blocks(text.encode("utf-8", "surrogatepass").lower()):
+    for block in word_blocks(text.encode("utf-8", "surrogatepass").lower()):
         words = carry + block
         if len(words) >= width:
             ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
@@ -248,8 +235,9 @@ def _across(max_bits: int):
 
 
 def link_prints(prints: DataFrame, column: str, max_bits: int = MAX_BITS) -> DataFrame:
-    """Links (a, b) between distinct fingerprints of at most ``max_bits`` differences: enough of them to connect
-    what is connected, none that is farther. ``column`` must hold each fingerprint once and be stored or cheap."""
+    """Pairs (a, b) that connect what differences of at most ``max_bits`` connect, and nothing else: within a run each
+    fingerprint is tied to the first that it reaches there, over however many steps. ``column`` must hold each
+    fingerprint once and be stored or cheap."""
     masks = key_masks(prints.count(), max_bits)
     tables = F.array(
         *[F.struct(F.lit(t).alias("t"), F.col(column).bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks)]

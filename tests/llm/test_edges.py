@@ -53,7 +53,7 @@ def awkward(spark):
 
 def clashing(df):
     """Extra columns named like those that the operators work with."""
-    names = "print kept keep_id group_size mixed tokens key_place k_hash score judged block count word row body".split()
+    names = "print kept keep_id group_size mixed tokens key_place k_hash score judged block count word row body of_source d_source a.b".split()
     return df.select("*", *[F.lit("x").alias(n) for n in names])
 
 
@@ -105,6 +105,7 @@ def test_url_patterns_equal_trying_every_rule(spark, monkeypatch):
     assert [(j.pattern, j.verdict) for j in judge(spark, urls, rules)] == wanted
     # The same in blocks of rules.
     monkeypatch.setattr(url_filter, "RULES_AT_ONCE", 2)
+    monkeypatch.setattr(url_filter, "TOKENS_AT_ONCE", 2)
     assert [(j.pattern, j.verdict) for j in judge(spark, urls, rules)] == wanted
 
 
@@ -145,7 +146,7 @@ def test_simhash_awkward_rows(spark, awkward):
 def test_simhash_pieces_of_a_long_text(monkeypatch):
     text = prose(6, 500).replace(" ", " \n\t")
     whole = simhash.fingerprint(text)
-    monkeypatch.setattr(simhash, "PIECE", 40)
+    monkeypatch.setattr(common, "PIECE", 40)
     assert simhash.fingerprint(text) == whole and whole % 2**64 == brute.fingerprint(text)
 
 
@@ -236,6 +237,29 @@ def test_quality_awkward_rows(spark, awkward):
     assert quality.keep_accepted(clashing(awkward), labels).columns == clashing(awkward).columns
 
 
+def test_quality_learns_from_the_smallest_hashes_at_most(spark, monkeypatch):
+    docs = documents(spark, [(d, prose(d, 5)) for d in range(300)])
+    labels = spark.createDataFrame([(d, d % 2) for d in range(300)], "doc_id long, quality int")
+    seen = {}
+
+    def fit(x, y):
+        seen["n"] = len(y)
+        return quality.Trees(0.0, np.zeros((0, 1), dtype=np.int32), np.zeros((0, 1)), np.zeros((0, 2)))
+
+    monkeypatch.setattr(quality, "fit_trees", fit)
+    for most in (10, 60, 1000):
+        quality.score_quality(docs, labels, max_rows=most)
+        known = sum(not brute.held_out(d, 5, 0) for d in range(300))
+        assert 0.5 * min(most, known) <= seen["n"] <= min(most, known)
+
+
+def test_quality_statistics_do_not_depend_on_pieces(monkeypatch):
+    texts = ["a a a b\n b c! C ", "\n \n", prose(3, 400), "x " * 100]
+    whole = [quality.statistics(t) for t in texts]
+    monkeypatch.setattr(common, "PIECE", 7)
+    assert [quality.statistics(t) for t in texts] == whole
+
+
 def test_quality_statistics_are_numbers():
     for text in ["", " ", "\n", "a", "\x00", "漢", "A" * 10_000, "! " * 50, prose(1, 30_000)]:
         assert len(quality.statistics(text)) == len(quality.FEATURES)
@@ -588,6 +612,7 @@ def test_ctw_awkward_rows(spark, awkward, monkeypatch):
     usual = {(r.doc_id, r.n_tokens): r for r in ctw.score_texts(clashing(awkward)).collect()}
     assert usual[3, 1].score == 0.0 and usual[None, 51].held_out is False
     # Few frequent words, small blocks, and words that are replaced by their hash: the same sums.
+    monkeypatch.setattr(common, "PIECE", 50)
     for name, value in {"FREQUENT": 3, "HELD_WORDS": 10, "HELD_BYTES": 100}.items():
         monkeypatch.setattr(ctw, name, value)
     again = {(r.doc_id, r.n_tokens): r for r in ctw.score_texts(awkward).collect()}
@@ -601,6 +626,16 @@ def test_ctw_awkward_rows(spark, awkward, monkeypatch):
     assert (r.n_known, r.train_tokens) == (0, 0) and r.score == pytest.approx(3 * 8 * np.log10(0.5), rel=1e-6)
 
 
+def test_frequent_words_are_whole_levels_within_the_bound(spark, monkeypatch):
+    rows = [(f"w{i}".encode(), 2 ** (i % 9)) for i in range(90)] + [(b"x" * 40, 10**6)]
+    words = spark.createDataFrame(rows, "word binary, times long")
+    for most, kept in ((1000, 90), (35, 30), (9, 0)):
+        monkeypatch.setattr(ctw, "FREQUENT", most)
+        found = ctw._frequent(words)
+        assert len(found) == kept and all(v >= np.log10(2 ** (9 - kept // 10)) for v in found.values())
+    assert ctw._frequent(words.limit(0)) == {}
+
+
 def test_log_kt():
     for a, b in [(0, 0), (1, 0), (0, 3), (5, 9), (40, 2)]:
         assert ctw.log_kt(np.array([a]), np.array([b]))[0] == pytest.approx(brute.kt(a, b), abs=1e-9)
