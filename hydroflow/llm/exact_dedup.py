@@ -109,7 +109,10 @@ def find_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
     rows = stored(
         recipes.groupBy(*of_text, "doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("times")), "recipes"
     )
-    groups = rows.groupBy(*of_text).agg(F.max("doc_id").alias("keep_id"), F.sum("times").alias("group_size"))
+    # Written, so that both sides of the join are dealt for it and a text of many documents can be split.
+    groups = stored(
+        rows.groupBy(*of_text).agg(F.max("doc_id").alias("keep_id"), F.sum("times").alias("group_size")), "recipe-groups"
+    )
     named = rows.join(groups, of_text).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     named = named.select(
         "doc_id",
