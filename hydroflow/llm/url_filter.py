@@ -26,6 +26,8 @@ from hydroflow.llm.common import ascii_lower, fresh, text_or_empty
 ALLOW, BLOCK = "allow", "block"
 #: Rules whose index is shipped to the tasks at once. A longer list is applied in blocks of this many.
 RULES_AT_ONCE = 50_000
+#: Tokens of rules that are broadcast to be counted: a few MB.
+TOKENS_AT_ONCE = 100_000
 _TOKEN = re.compile("[a-z0-9]+")
 _MATCH = "host_rule string, host_length int, host_action string, pattern string, pattern_length int, pattern_action string"
 
@@ -129,12 +131,21 @@ def url_parts(url: Column) -> tuple[Column, Column, Column]:
 
 
 def token_counts(targets: DataFrame, column: str, tokens: Iterable[str]) -> dict[str, int]:
-    """How many urls have each of the rules' tokens. The result has one entry per token asked for."""
-    wanted = targets.sparkSession.createDataFrame([(t,) for t in set(tokens)], "token string")
+    """How many urls have each of the rules' tokens. The result has one entry per token asked for.
+
+    Up to TOKENS_AT_ONCE of them the token table goes to every task, and only counts are shuffled; beyond, tokens are
+    counted before they are joined, so that a frequent one is never gathered either.
+    """
+    rows = [(t,) for t in set(tokens)]
+    wanted = targets.sparkSession.createDataFrame(rows, "token string")
     found = targets.select(
         F.explode(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col(column)), F.lit("([a-z0-9]+)"), 1))).alias("token")
     )
-    return {r.token: r["count"] for r in found.join(wanted, "token").groupBy("token").count().collect()}
+    if len(rows) <= TOKENS_AT_ONCE:
+        counts = found.join(F.broadcast(wanted), "token").groupBy("token").count()
+    else:
+        counts = found.groupBy("token").count().join(wanted, "token")
+    return {r["token"]: r["count"] for r in counts.collect()}
 
 
 def _matcher(index: RuleIndex):
