@@ -23,7 +23,7 @@ from hydroflow.session import stored
 
 SEED = 17
 #: Share of the largest possible entropy that the mix has, passes over one source, and tokens of a block.
-ENTROPY_SHARE, MAX_PASSES, BLOCK_TOKENS = 0.95, 4.0, 4_000_000
+ENTROPY_SHARE, MAX_PASSES, BLOCK_TOKENS = 0.95, 4.0, 1_000_000
 #: Points of the bisection that one aggregation looks at, and how many times it narrows them.
 POINTS, ROUNDS = 32, 6
 
@@ -118,7 +118,8 @@ def mix_sources(
         ),
         "token-counts",
     )
-    totals = rows.groupBy("source").agg(F.sum("tokens").alias("tokens")).filter("tokens > 0")
+    # Documents count towards the size of a block too, so that empty ones do not pile up in it.
+    totals = rows.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")).filter("tokens > 0")
     totals = stored(totals, "source-tokens")
     all_tokens = totals.agg(F.sum("tokens")).first()[0] or 0
     shares = stored(totals.withColumn("share", F.col("tokens") / F.lit(float(max(1, all_tokens)))), "shares")
@@ -130,7 +131,7 @@ def mix_sources(
             "source",
             F.col("tokens").alias("source_tokens"),
             (F.pow("share", F.lit(exponent)) / F.lit(z)).alias("weight"),
-            F.ceil(F.col("tokens") / F.lit(block_tokens)).cast("long").alias("blocks"),
+            F.ceil((F.col("tokens") + F.col("docs")) / F.lit(block_tokens)).cast("long").alias("blocks"),
         )
         .withColumn("quota", F.round(F.col("weight") * F.lit(wanted)).cast("long"))
         .withColumn("passes", F.ceil(F.col("quota") / F.col("source_tokens")).cast("long")),
@@ -178,7 +179,6 @@ def mix_sources(
         ),
         "mix-decisions",
     )
-    decided = decided.select(*[F.col(c).alias(f"d_{c}") for c in decided.columns])
     return _take(docs, decided, exponent, seed, doc_id, text, source)
 
 
@@ -194,13 +194,15 @@ def _take(
     docs: DataFrame, decided: DataFrame, exponent: float, seed: int, doc_id: str, text: str, source: str
 ) -> DataFrame:
     """Each document as often as its source's decision says; texts are only read."""
-    name = fresh(docs, "mixed")
+    name, of_source = fresh(docs, "mixed"), fresh(docs, "of_source")
+    decided = decided.select(F.col("source").alias("d_source"), F.struct("*").alias(of_source))
+    joined = docs.join(decided, docs[source].eqNullSafe(decided["d_source"])).drop(decided["d_source"])
+    says = F.col(of_source)
     key, k_hash = docs[doc_id], F.xxhash64(text_or_empty(docs[text]))
-    joined = docs.join(decided, docs[source].eqNullSafe(decided["d_source"]))
-    block, last = _block(key, k_hash, F.col("d_blocks"), seed), F.col("d_passes") - 1
+    block, last = _block(key, k_hash, says["blocks"], seed), says["passes"] - 1
     place = _place(block, last, seed)
-    inside = (place < F.col("d_place")) | ((place == F.col("d_place")) & (block < F.col("d_block")))
-    inside = inside | ((block == F.col("d_block")) & (_turn(key, k_hash, seed) <= F.col("d_last_turn")))
+    inside = (place < says["place"]) | ((place == says["place"]) & (block < says["block"]))
+    inside = inside | ((block == says["block"]) & (_turn(key, k_hash, seed) <= says["last_turn"]))
     passes = last + inside.cast("long")
     made = F.transform(
         F.when(passes > 0, F.sequence(F.lit(0).cast("long"), passes - 1)).otherwise(F.array().cast("array<bigint>")),
@@ -208,8 +210,8 @@ def _take(
             p.alias("pass"),
             block.alias("block"),
             _place(block, p, seed).alias("place"),
-            F.col("d_weight").alias("weight"),
+            says["weight"].alias("weight"),
             F.lit(exponent).alias("exponent"),
         ),
     )
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(made).alias(name))
+    return joined.withColumn(name, F.explode(made)).drop(of_source)
