@@ -5,10 +5,15 @@ bytes before it, down to DEPTH of them. A tree node holds how often each bit fol
 next bit by Krichevsky and Trofimov. Weighting mixes, at every node, its own estimate with that of its children, by how
 well either coded the training texts; this gives the code length of a byte as a mixture over all depths.
 
-Training is counting: every task counts byte n-grams and words of its training texts, Spark adds them up. Weights are
-computed bottom up by a Spark job over the groups of one last context byte, 256 groups of at most 65,536 counts. With
-DEPTH 2 the trained model is a table of 2 ** 24 code lengths, 64 MB at most for any corpus; only contexts that occur
-are shipped. Scoring walks whole texts in Arrow batches through that table.
+Training is counting: every task counts byte n-grams and words of its training texts, Spark adds them up. A node's key
+holds the context, its last byte lowest, and the decision. N-grams are dealt out and sorted by the last TOP + 1 bytes of
+their contexts; tasks walk them in pieces that end where those bytes change, so all nodes deeper than TOP lie within one
+piece. The sums of the nodes of depth TOP, and from there of one aggregation per depth, give the weights of the upper
+nodes; what these mix is sent to the tasks (2 ** 24 nodes at most) for the way down. Deeper nodes are never gathered:
+they grow with the texts.
+
+Every n-gram of the documents gets its code length from the deepest nodes that were seen. The FREQUENT_GRAMS most
+frequent ones go to the tasks as a table of that size; all other n-grams of a text are joined with the full table.
 
 The base score is a unigram model with add-one smoothing over words and an end token. Counts of the FREQUENT most
 frequent words go to the tasks as a table of that size; all other words of a text are joined with the full counts.
@@ -24,75 +29,113 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydroflow.llm.common import crc_remainder, text_or_empty, word_blocks
 from hydroflow.session import stored
 
-DEPTH = 2
+#: Bytes of context of the registered query; with the byte itself an n-gram is a long of 56 bits, so 6 is also the most.
+DEPTH = 6
+#: Nodes up to this depth are sent to all tasks.
+TOP = 2
+#: N-grams of a piece; one more group of equal last bytes may come on top.
+PIECE_GRAMS = 1 << 17
 FOLDS, HELD_OUT_FOLD = 7, 2
 #: Words whose counts every task has; the others go through a join.
 FREQUENT = 1 << 17
+#: N-grams whose code length every task has; 16 bytes each.
+FREQUENT_GRAMS = 1 << 20
 #: Distinct words that a counting task holds before it gives them out, and bytes of text that it counts at once.
-HELD_WORDS, HELD_BYTES = 1 << 19, 1 << 22
+HELD_WORDS, HELD_BYTES = 1 << 18, 1 << 21
+#: Distinct n-grams that a counting task holds before it gives them out.
+HELD_GRAMS = 1 << 20
 #: A word up to this many bytes is its own key; a longer one is replaced by its 128-bit hash, marked by a zero byte.
 KEY_BYTES = 32
 #: The end token; no word begins with a blank.
 END = b" "
-_PAD = bytes(DEPTH)
 
 
 def word_key(word: bytes) -> bytes:
     return word if len(word) <= KEY_BYTES else b"\0" + xxhash.xxh3_128_digest(word)
 
 
-def grams(text: bytes) -> np.ndarray:
-    """For each byte the number made of the two bytes before it and itself; before the text are zero bytes."""
-    a = np.frombuffer(_PAD + text, dtype=np.uint8).astype(np.uint32)
-    return (a[:-2] << 16) | (a[1:-1] << 8) | a[2:]
+def grams(text: bytes, depth: int) -> np.ndarray:
+    """For each byte the number made of the bytes before it and itself; before the text are zero bytes."""
+    a = np.frombuffer(bytes(depth) + text, dtype=np.uint8).astype(np.int64)
+    out = np.zeros(len(text), dtype=np.int64)
+    for k in range(depth + 1):
+        out = (out << 8) | a[k : k + len(text)]
+    return out
+
 
+def gram_blocks(text: bytes, depth: int) -> Iterator[np.ndarray]:
+    """The n-grams of a text in blocks, so that memory does not follow its length."""
+    for at in range(0, len(text), HELD_BYTES):
+        before = text[max(0, at - depth) : at]
+        yield grams(before + text[at : at + HELD_BYTES], depth)[len(before) :]
 
-_COUNTS = "word binary, gram int, times long"
 
+_COUNTS = "word binary, gram long, times long"
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Word and n-gram counts of a task's texts, folded as far as memory allows."""
-    words: Counter = Counter()
-    seen, held, size = np.zeros(1 << 24, dtype=np.int64), [], 0
 
-    def word_rows() -> pd.DataFrame:
-        return pd.DataFrame({"word": list(words.keys()), "gram": -1, "times": list(words.values())})
+def _add_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    found, place = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+    return found, np.bincount(place, np.concatenate([n for _, n in held]), len(found)).astype(np.int64)
 
-    def fold() -> None:
-        found, times = np.unique(np.concatenate(held), return_counts=True)
-        seen[found] += times
-        held.clear()
 
-    for batch in batches:
-        for text in batch["body"]:
-            raw = text.encode("utf-8", "surrogatepass").lower()
-            words[END] += 1
-            for block in word_blocks(raw):
-                words.update(map(word_key, block))
-                if len(words) >= HELD_WORDS:
-                    yield word_rows()
-                    words.clear()
-            for at in range(0, len(raw), HELD_BYTES):
-                before = raw[max(0, at - DEPTH) : at]
-                part = grams(before + raw[at : at + HELD_BYTES])[len(before) :]
-                held.append(part)
-                size += len(part)
-                if size >= HELD_BYTES:
-                    fold()
-                    size = 0
-    if held:
+def _count(depth: int):
+    """Word and n-gram counts of a task's training texts, folded as far as memory allows. N-grams of held-out texts are
+    listed with a count of zero, because they get a code length as well."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: Counter = Counter()
+        blocks: dict[bool, list] = {False: [], True: []}
+        size, held = 0, []
+
+        def word_rows() -> pd.DataFrame:
+            return pd.DataFrame({"word": list(words.keys()), "gram": None, "times": list(words.values())})
+
+        def fold() -> int:
+            for held_out, own in blocks.items():
+                if own:
+                    found, times = np.unique(np.concatenate(own), return_counts=True)
+                    held.append((found, times * (not held_out)))
+                    own.clear()
+            if len(held) > 1 and sum(len(g) for g, _ in held) >= HELD_GRAMS:
+                held[:] = [_add_up(held)]
+            return sum(len(g) for g, _ in held)
+
+        def gram_rows() -> Iterator[pd.DataFrame]:
+            found, times = _add_up(held)
+            held.clear()
+            for at in range(0, len(found), PIECE_GRAMS):
+                yield pd.DataFrame({"word": None, "gram": found[at : at + PIECE_GRAMS], "times": times[at : at + PIECE_GRAMS]})
+
+        for batch in batches:
+            for text, held_out in zip(batch["body"], batch["held_out"], strict=True):
+                raw = text.encode("utf-8", "surrogatepass").lower()
+                if not held_out:
+                    words[END] += 1
+                    for block in word_blocks(raw):
+                        words.update(map(word_key, block))
+                        if len(words) >= HELD_WORDS:
+                            yield word_rows()
+                            words.clear()
+                for part in gram_blocks(raw, depth):
+                    blocks[bool(held_out)].append(part)
+                    size += len(part)
+                    if size >= HELD_BYTES:
+                        size = 0
+                        if fold() >= HELD_GRAMS:
+                            yield from gram_rows()
         fold()
-    if words:
-        yield word_rows()
-    found = np.flatnonzero(seen)
-    if len(found):
-        yield pd.DataFrame({"word": None, "gram": found.astype(np.int32), "times": seen[found]})
+        if words:
+            yield word_rows()
+        if held:
+            yield from gram_rows()
+
+    return count
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -105,34 +148,22 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - shift
 
 
+# ln gamma of k + 1/2 and of k + 1 for small counts.
+_HALVES, _WHOLES = _log_gamma(np.arange(4096) + 0.5), _log_gamma(np.arange(4096) + 1.0)
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the Krichevsky-Trofimov probability of a sequence with these counts."""
     a, b = np.asarray(zeros, dtype=np.float64), np.asarray(ones, dtype=np.float64)
-    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - math.log(math.pi)
-
 
-def next_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """The estimate that the next bit is one."""
-    return (ones + 0.5) / (zeros + ones + 1)
+    def each(x: np.ndarray, table: np.ndarray, step: float) -> np.ndarray:
+        out = table[np.minimum(x, len(table) - 1).astype(np.int64)]
+        large = x >= len(table)
+        if large.any():
+            out[large] = _log_gamma(x[large] + step)
+        return out
 
-
-def decisions(byte_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of zeros and ones at the 255 decision nodes (index 1 to 255), from counts by byte on the last axis."""
-    total = np.zeros((*byte_counts.shape[:-1], 512), dtype=np.float64)
-    total[..., 256:] = byte_counts
-    for node in range(255, 0, -1):
-        total[..., node] = total[..., 2 * node] + total[..., 2 * node + 1]
-    nodes = np.arange(256)
-    zeros, ones = total[..., 2 * nodes], total[..., 2 * nodes + 1]
-    zeros[..., 0] = ones[..., 0] = 0
-    return zeros, ones
-
-
-def weigh(zeros: np.ndarray, ones: np.ndarray, of_children: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """ln of the weighted probability of a node, and the weight of its own estimate from now on."""
-    own = math.log(0.5) + log_kt(zeros, ones)
-    weighted = np.logaddexp(own, math.log(0.5) + of_children)
-    return weighted, np.exp(own - weighted)
+    return each(a, _HALVES, 0.5) + each(b, _HALVES, 0.5) - each(a + b, _WHOLES, 1.0) - math.log(math.pi)
 
 
 _BITS = [(np.arange(256) + 256) >> (8 - level) for level in range(8)]
@@ -149,92 +180,216 @@ def byte_code_lengths(one: np.ndarray) -> np.ndarray:
     return out
 
 
-def _by_context(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of one last context byte: the bytes before it that occur, and their counts by next byte."""
-    gram = rows["gram"].to_numpy(np.int64)
-    earlier, place = np.unique(gram >> 16, return_inverse=True)
-    counts = np.zeros((len(earlier), 256))
-    np.add.at(counts, (place, gram & 255), rows["times"].to_numpy(np.float64))
-    return earlier, counts, counts.sum(axis=0)
-
-
-def _middle(counts: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Zeros, ones, weighted probability and own weight of the nodes of depth 1, their children being leaves."""
-    leaves = log_kt(*decisions(counts)).sum(axis=0)
-    zeros, ones = decisions(total)
-    return zeros, ones, *weigh(zeros, ones, leaves)
+def _log_gamma_column(x: Column) -> Column:
+    product = x
+    for k in range(1, 8):
+        product = product * (x + k)
+    y = x + 8
+    i = 1 / y
+    series = i * (1 / 12 - i * i * (1 / 360 - i * i * (1 / 1260 - i * i / 1680)))
+    return (y - 0.5) * F.ln(y) - y + 0.5 * math.log(2 * math.pi) + series - F.ln(product)
 
 
-def _upper(rows: pd.DataFrame) -> pd.DataFrame:
-    _, counts, total = _by_context(rows)
-    zeros, ones, weighted, _ = _middle(counts, total)
-    last = int(rows["last"].iloc[0])
-    return pd.DataFrame([(last, zeros, ones, weighted)], columns=["last", "zeros", "ones", "weighted"])
+def _log_kt_column(zeros: Column, ones: Column) -> Column:
+    """``log_kt`` as a column expression."""
+    return _log_gamma_column(zeros + 0.5) + _log_gamma_column(ones + 0.5) - _log_gamma_column(zeros + ones + 1.0) - math.log(math.pi)
 
 
-def _tables(root_one: np.ndarray, root_weight: np.ndarray):
-    """Code lengths of all contexts that end in one byte; the row of a context that never occurred comes last."""
+def _mask(depth: int) -> int:
+    """The bits of a key that name a node of this depth."""
+    return (1 << 8 * (depth + 1)) - 1
 
-    def table(rows: pd.DataFrame) -> pd.DataFrame:
-        earlier, counts, total = _by_context(rows)
-        zeros, ones, _, weight = _middle(counts, total)
-        deepest = np.concatenate((next_one(*decisions(counts)), np.full((1, 256), 0.5)))
-        one = weight * next_one(zeros, ones) + (1 - weight) * deepest
-        one = root_weight * root_one + (1 - root_weight) * one
-        out = byte_code_lengths(one).astype(np.float32)
-        last = int(rows["last"].iloc[0])
-        return pd.DataFrame([(last, earlier.astype(np.int32), out.tobytes())], columns=["last", "earlier", "lengths"])
 
-    return table
+def _pieces(batches: Iterator[pd.DataFrame], upper: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """N-grams and counts of a sorted partition, cut where the last ``upper + 1`` bytes of the context change."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        gram, times = batch["gram"].to_numpy(np.int64), batch["times"].to_numpy(np.int64)
+        if not len(gram):
+            continue
+        held.append((gram, times))
+        if sum(len(g) for g, _ in held) >= PIECE_GRAMS:
+            gram, times = (np.concatenate(x) for x in zip(*held, strict=True))
+            group = gram & (_mask(upper + 1) - 255)
+            end = int(np.argmax(group == group[-1]))
+            held = [(gram[end:], times[end:])]
+            if end:
+                yield gram[:end], times[:end]
+    if held:
+        gram, times = (np.concatenate(x) for x in zip(*held, strict=True))
+        yield gram, times
+
+
+def _decision_keys(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Key at full depth and bit of the eight decisions of each n-gram, by level."""
+    byte = gram & 255
+    keys = [(gram - byte) + ((byte | 256) >> (8 - level)) for level in range(8)]
+    return np.stack(keys), np.stack([(byte >> (7 - level)) & 1 for level in range(8)])
+
+
+def _add_below(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys, the place of each key among them, and sums of the values."""
+    found, place = np.unique(keys, return_inverse=True)
+    return found, place, [np.bincount(place, v, len(found)) for v in values]
+
+
+def _climb(gram: np.ndarray, times: np.ndarray, depth: int, upper: int):
+    """The nodes of a piece from ``depth`` up to ``upper + 1``, each depth as (keys, own estimate, weight, place of the
+    parent), and the sums that the nodes of depth ``upper`` get: keys, zeros, ones, weighted probability below."""
+    keys, bits = _decision_keys(gram[times > 0])
+    n = np.broadcast_to(times[times > 0].astype(np.float64), keys.shape).ravel()
+    bits = bits.ravel()
+    keys, _, (zeros, ones) = _add_below(keys.ravel(), n * (1 - bits), n * bits)
+    below, nodes = None, []
+    for d in range(depth, upper, -1):
+        own = log_kt(zeros, ones)
+        if below is None:
+            weighted, weight = own, np.ones(len(own))
+        else:
+            weighted = math.log(0.5) + np.logaddexp(own, below)
+            weight = np.exp(math.log(0.5) + own - weighted)
+        estimate = (ones + 0.5) / (zeros + ones + 1)
+        parents, place, (zeros, ones, below) = _add_below(keys & _mask(d - 1), zeros, ones, weighted)
+        nodes.append((keys, estimate, weight, place))
+        keys = parents
+    return nodes, (keys, zeros, ones, below)
+
+
+def _sums(depth: int, upper: int):
+    def climb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for gram, times in _pieces(batches, upper):
+            keys, zeros, ones, below = _climb(gram, times, depth, upper)[1]
+            if len(keys):
+                yield pd.DataFrame({"key": keys, "zeros": zeros, "ones": ones, "below": below})
+
+    return climb
+
+
+def train_contexts(dealt: DataFrame, depth: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The nodes of depth 0 to TOP from n-grams dealt out by ``_deal``: keys in order, the probability of a one that the
+    depths down to there give, and the weight that is left for deeper ones.
+
+    Every n-gram has a full context, so the counts of a node are the sums over its children.
+    """
+    upper = min(TOP, depth - 1)
+    nodes = dealt.mapInPandas(_sums(depth, upper), "key long, zeros double, ones double, below double")
+    levels: list[DataFrame] = []
+    for d in range(upper, -1, -1):
+        nodes = nodes.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")])
+        nodes = nodes.withColumn("kt", _log_kt_column(F.col("zeros"), F.col("ones")))
+        most, least = F.greatest("kt", "below"), F.least("kt", "below")
+        nodes = nodes.withColumn("weighted", math.log(0.5) + most + F.log1p(F.exp(least - most)))
+        nodes = nodes.withColumn("weight", F.exp(math.log(0.5) + F.col("kt") - F.col("weighted")))
+        levels.insert(0, stored(nodes.select("key", "zeros", "ones", "weighted", "weight"), f"nodes-{d}"))
+        if d:
+            parent = F.col("key").bitwiseAND(F.lit(_mask(d - 1)))
+            nodes = levels[0].select(parent.alias("key"), "zeros", "ones", F.col("weighted").alias("below"))
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for d, level in enumerate(levels):
+        found = level.select("key", ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)).alias("own"), "weight").toArrow()
+        order = np.argsort(found["key"].to_numpy())
+        keys, own, weight = (found[c].to_numpy()[order] for c in ("key", "own", "weight"))
+        given, rest = np.zeros(len(keys)), np.ones(len(keys))
+        if d:
+            place = np.searchsorted(out[-1][0], keys & _mask(d - 1))
+            given, rest = out[-1][1][place], out[-1][2][place]
+        out.append((keys, given + rest * weight * own, rest * (1 - weight)))
+    return out
 
 
-def train_contexts(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Row number of each context (of 65,536) and log10 probability of each byte in each row, from n-gram counts.
+def _lengths(tops, depth: int):
+    """log10 of the probability of the last byte of every n-gram. A decision that never occurred after a context is a
+    half below the deepest node where it did."""
+
+    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        upper, own_tops = min(TOP, depth - 1), tops.value
+        for gram, times in _pieces(batches, upper):
+            nodes, (top_keys, *_) = _climb(gram, times, depth, upper)
+            place = np.searchsorted(own_tops[upper][0], top_keys)
+            given, rest = own_tops[upper][1][place], own_tops[upper][2][place]
+            levels = list(own_tops)
+            for keys, own, weight, place in reversed(nodes):
+                given, rest = given[place], rest[place]
+                given, rest = given + rest * weight * own, rest * (1 - weight)
+                levels.append((keys, given, rest))
+            keys, bits = _decision_keys(gram)
+            one, open_ = np.full(keys.size, 0.5), np.arange(keys.size)
+            flat = keys.ravel()
+            for d in range(depth, -1, -1):
+                known, given, rest = levels[d]
+                if not len(known) or not len(open_):
+                    continue
+                wanted = flat[open_] & _mask(d)
+                at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+                hit = known[at] == wanted
+                one[open_[hit]] = given[at[hit]] + 0.5 * rest[at[hit]]
+                open_ = open_[~hit]
+            p = np.where(bits.ravel() == 1, one, 1 - one)
+            length = np.log10(np.clip(p, 1e-300, 1.0)).reshape(keys.shape).sum(axis=0)
+            yield pd.DataFrame({"gram": gram, "times": times, "length": length})
+
+    return descend
+
+
+def _deal(counts: DataFrame, depth: int) -> DataFrame:
+    """All n-grams, those with the same last TOP + 1 bytes of context one after another in one partition."""
+    group = F.col("gram").bitwiseAND(F.lit(_mask(min(TOP, depth - 1) + 1) - 255))
+    every = counts.filter("gram is not null").select("gram", "times", group.alias("last"))
+    return every.repartition("last").sortWithinPartitions("last").select("gram", "times")
+
+
+def gram_code_lengths(counts: DataFrame, depth: int) -> DataFrame:
+    """The stored code lengths: gram, times, length, of every n-gram, trained or not."""
+    dealt = _deal(counts, depth)
+    tops = counts.sparkSession.sparkContext.broadcast(train_contexts(dealt, depth))
+    return stored(dealt.mapInPandas(_lengths(tops, depth), "gram long, times long, length double"), "code-lengths")
+
+
+def _frequent_grams(lengths: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent n-grams in order and their code lengths, FREQUENT_GRAMS at most."""
+    least = _least_level(lengths.filter("times > 0"), FREQUENT_GRAMS)
+    if least is None:
+        return np.empty(0, dtype=np.int64), np.empty(0)
+    found = lengths.filter((F.col("times") > 0) & (_level() >= least)).select("gram", "length").toArrow()
+    gram, length = found["gram"].to_numpy(), found["length"].to_numpy()
+    order = np.argsort(gram)
+    return gram[order], length[order]
 
-    At most 65,537 + 256 rows of 256 numbers. Without training every bit is a half.
-    """
-    grams_ = counts.filter("gram >= 0").select(((F.shiftright("gram", 8)) % 256).alias("last"), "gram", "times")
-    upper = grams_.groupBy("last").applyInPandas(
-        _upper, "last int, zeros array<double>, ones array<double>, weighted array<double>"
-    )
-    rows = upper.collect()
-    zeros, ones, below = (
-        np.array([r[c] for r in rows], dtype=np.float64).reshape(len(rows), 256).sum(axis=0) for c in ("zeros", "ones", "weighted")
-    )
-    _, root_weight = weigh(zeros, ones, below)
-    root_one = next_one(zeros, ones)
-    # Last bytes that never occurred: half and half below the root.
-    unseen = byte_code_lengths(root_weight * root_one + (1 - root_weight) * 0.5).astype(np.float32)
-    row_of = np.zeros(1 << 16, dtype=np.int32)
-    parts, n = [unseen[None, :]], 1
-    for r in grams_.groupBy("last").applyInPandas(_tables(root_one, root_weight), "last int, earlier array<int>, lengths binary").collect():
-        lengths = np.frombuffer(r["lengths"], dtype=np.float32).reshape(-1, 256)
-        contexts = np.arange(256) << 8 | r["last"]
-        row_of[contexts] = n + len(lengths) - 1
-        row_of[(np.array(r["earlier"], dtype=np.int64) << 8) | r["last"]] = n + np.arange(len(lengths) - 1)
-        parts.append(lengths)
-        n += len(lengths)
-    return row_of, np.concatenate(parts)
-
-
-def text_code_length(text: bytes, row_of: np.ndarray, table: np.ndarray) -> float:
-    """log10 of the probability of the bytes, given their number; summed in parts of bounded size."""
-    total, flat = 0.0, table.ravel()
-    for at in range(0, len(text), HELD_BYTES):
-        before = text[max(0, at - DEPTH) : at]
-        g = grams(before + text[at : at + HELD_BYTES])[len(before) :]
-        total += float(flat[(row_of[g >> 8].astype(np.int64) << 8) | (g & 255)].sum(dtype=np.float64))
-    return total
 
+_SCORED = (
+    "row long, doc_id string, n_tokens long, n_known long, known double, score double, rare array<binary>, rare_times array<long>, "
+    "grams array<long>, gram_times array<long>"
+)
 
-_SCORED = "row long, doc_id string, n_tokens long, n_known long, known double, score double, rare array<binary>, rare_times array<long>"
 
+def _score(frequent: Broadcast, model: Broadcast, depth: int):
+    """A row per document; n-grams that have to be joined come in rows of their own, without n_tokens."""
 
-def _score(frequent: Broadcast, model: Broadcast):
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        logs, (row_of, table) = frequent.value, model.value
+        logs, (known_grams, lengths) = frequent.value, model.value
+        columns = [c.split()[0] for c in _SCORED.split(", ")]
+        held, size, out = [], 0, []
+
+        def resolve() -> None:
+            """Add to each text what is known of its held n-grams, and give out the others."""
+            found, place = np.unique(np.concatenate([g for _, g in held]), return_inverse=True)
+            at = np.searchsorted(known_grams, found)
+            hit = np.zeros(len(found), dtype=bool)
+            inside = at < len(known_grams)
+            hit[inside] = known_grams[at[inside]] == found[inside]
+            length = np.zeros(len(found))
+            length[hit] = lengths[at[hit]]
+            end = 0
+            for own, part in held:
+                start, end = end, end + len(part)
+                own[5] += float(length[place[start:end]].sum())
+                rest = place[start:end][~hit[place[start:end]]]
+                if len(rest):
+                    which, times = np.unique(rest, return_counts=True)
+                    out.append([own[0], None, None, None, None, None, None, None, found[which].tolist(), times.tolist()])
+            held.clear()
+
         for batch in batches:
-            out = []
             for row, doc_id, body in zip(batch["row"], batch["doc_id"], batch["body"], strict=True):
                 raw = body.encode("utf-8", "surrogatepass").lower()
                 times = Counter({END: 1})
@@ -249,57 +404,94 @@ def _score(frequent: Broadcast, model: Broadcast):
                     else:
                         known += n * log
                         n_known += n
-                out.append((row, doc_id, sum(times.values()), n_known, known, text_code_length(raw, row_of, table), rare, rare_times))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _SCORED.split(", ")])
+                own = [row, doc_id, sum(times.values()), n_known, known, 0.0, rare, rare_times, None, None]
+                for part in gram_blocks(raw, depth):
+                    held.append((own, part))
+                    size += len(part)
+                    if size >= HELD_BYTES:
+                        resolve()
+                        size = 0
+                        if out:
+                            yield _scored_rows(out, columns)
+                            out = []
+                out.append(own)
+            if held:
+                resolve()
+                size = 0
+            if out:
+                yield _scored_rows(out, columns)
+                out = []
 
     return score
 
 
-def _frequent(words: DataFrame) -> dict[bytes, float]:
-    """Logarithms for the most frequent words, FREQUENT at most: all words from the smallest count level on of which
-    there are no more. Levels are eighths of a power of two, so there are a few hundred of them."""
-    level = F.floor(F.log2("times") * 8).cast("int")
-    own = words.filter(F.octet_length("word") <= KEY_BYTES).select("word", "times", level.alias("level"))
+def _scored_rows(rows: list[list], columns: list[str]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=columns, dtype=object)
+    return frame.astype({"row": "int64", "n_tokens": "Int64", "n_known": "Int64", "known": "Float64", "score": "Float64"})
+
+
+def _level() -> Column:
+    """Levels are eighths of a power of two, so there are a few hundred of them."""
+    return F.floor(F.log2("times") * 8).cast("int")
+
+
+def _least_level(counted: DataFrame, most: int) -> int | None:
+    """The smallest count level from which on there are no more than ``most`` rows."""
     total, least = 0, None
-    for r in sorted(own.groupBy("level").count().collect(), key=lambda r: -r["level"]):
+    for r in sorted(counted.groupBy(_level().alias("level")).count().collect(), key=lambda r: -r["level"]):
         total += r["count"]
-        if total > FREQUENT:
+        if total > most:
             break
         least = r["level"]
+    return least
+
+
+def _frequent(words: DataFrame) -> dict[bytes, float]:
+    """Logarithms for the most frequent words, FREQUENT at most: all words from the smallest count level on of which
+    there are no more."""
+    own = words.filter(F.octet_length("word") <= KEY_BYTES).select("word", "times")
+    least = _least_level(own, FREQUENT)
     if least is None:
         return {}
-    return {bytes(r["word"]): math.log10(r["times"] + 1) for r in own.filter(F.col("level") >= least).collect()}
+    return {bytes(r["word"]): math.log10(r["times"] + 1) for r in own.filter(_level() >= least).collect()}
 
 
-def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 2) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the documents whose crc32(doc_id as text) modulo 7 is not 2; a NULL id is learned from and not held
     out. NULL texts count as empty: one end token and a score of 0. Repeated rows are learned from
     and scored each. Other columns are not looked at. If there is nothing to learn from, counts are zero and every
-    bit is a half; no documents give no rows.
+    bit is a half; no documents give no rows. ``depth`` is the number of bytes of context, 1 to 6.
     """
+    if not 1 <= depth <= 6:
+        raise ValueError("depth must be 1 to 6")
     spark: SparkSession = docs.sparkSession
     body = text_or_empty(text)
     held_out = F.coalesce(crc_remainder("doc_id", FOLDS) == HELD_OUT_FOLD, F.lit(False))
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body"))
-    counts = rows.filter(~held_out).select("body").mapInPandas(_count, _COUNTS)
+    counts = rows.select("body", held_out.alias("held_out")).mapInPandas(_count(depth), _COUNTS)
     counts = stored(counts.groupBy("word", "gram").agg(F.sum("times").alias("times")), "counts")
     words = counts.filter("word is not null")
     train_tokens, vocabulary = words.agg(F.sum("times"), F.count(F.lit(1))).first()
     train_tokens = train_tokens or 0
     frequent = spark.sparkContext.broadcast(_frequent(words))
-    model = spark.sparkContext.broadcast(train_contexts(counts))
+    lengths = gram_code_lengths(counts, depth)
+    model = spark.sparkContext.broadcast(_frequent_grams(lengths))
     # Rows are numbered and written in one go, so the numbers hold whatever is computed again later.
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "body")
-    scored = stored(numbered.mapInPandas(_score(frequent, model), _SCORED), "scores")
+    scored = stored(numbered.mapInPandas(_score(frequent, model, depth), _SCORED), "scores")
     rare = scored.select("row", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("rare_times").alias("n"))))
     found = rare.join(words.select("word", "times"), "word")
     found = found.groupBy(F.col("row").alias("of_row")).agg(
         F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("times") + 1)).alias("rare_log")
     )
+    others = scored.filter("n_tokens is null").select("row", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("gram_times").alias("n"))))
+    others = others.join(lengths.select("gram", "length"), "gram")
+    others = others.groupBy(F.col("row").alias("gram_row")).agg(F.sum(F.col("n") * F.col("length")).alias("rare_score"))
     size = math.log10(train_tokens + vocabulary + 1)
-    both = scored.drop("rare", "rare_times").join(found, F.col("row") == F.col("of_row"), "left")
+    texts = scored.filter("n_tokens is not null").drop("rare", "rare_times", "grams", "gram_times")
+    both = texts.join(found, F.col("row") == F.col("of_row"), "left").join(others, F.col("row") == F.col("gram_row"), "left")
     known = F.col("known") + F.coalesce("rare_log", F.lit(0.0))
     return both.select(
         F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"),
@@ -308,5 +500,5 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         (known - F.col("n_tokens") * F.lit(size)).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
     )

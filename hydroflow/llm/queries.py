@@ -218,4 +218,4 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of every document."""
-    return ctw.score_texts(table(spark, sf_dir, "documents"))
+    return ctw.score_texts(table(spark, sf_dir, "documents"), depth=ctw.DEPTH)

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hydroflow.llm import chat, common, ctw, decontaminate, exact_dedup, html_text, mixing, quality, simhash, url_filter, warc
+from hydroflow.llm.queries import QUERIES
 from hydroflow.llm.components import connected_components
 from hydroflow.session import scratch_path
 
@@ -608,6 +609,27 @@ def test_ctw_equals_plain_context_trees(spark):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-5, abs=1e-9)
 
 
+@pytest.mark.parametrize("frequent", [1 << 21, 40, 0])
+def test_ctw_of_six_bytes_equals_plain_context_trees(spark, monkeypatch, frequent):
+    monkeypatch.setattr(ctw, "FREQUENT_GRAMS", frequent)
+    monkeypatch.setattr(ctw, "HELD_BYTES", 50)
+    monkeypatch.setattr(ctw, "HELD_GRAMS", 30)
+    monkeypatch.setattr(ctw, "PIECE_GRAMS", 30)
+    texts = [(d, prose(d, 12 + d % 5) + (" É\x00 " if d % 3 else "")) for d in range(14)] + [(20, None), (21, ""), (22, "A" * 50)]
+    found = {r.doc_id: r.score for r in ctw.score_texts(documents(spark, texts), depth=6).collect()}
+    model = brute.Ctw([brute.lowered(t).encode() for d, t in texts if not brute.held_out(d, 7, 2)], depth=6)
+    assert found == pytest.approx({d: model.log10(brute.lowered(t).encode()) for d, t in texts}, rel=1e-9, abs=1e-9)
+
+
+def test_ctw_query_looks_six_bytes_back(spark, tmp_path):
+    rows = [(d, ("abcdefgx" if d % 2 else "zbcdefgy") * 20) for d in range(20)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r.score for r in QUERIES["op10_ctw"](spark, str(tmp_path)).collect()}
+    deep, flat = (brute.Ctw([t.encode() for d, t in rows if not brute.held_out(d, 7, 2)], depth=k) for k in (6, 2))
+    assert found == pytest.approx({d: deep.log10(t.encode()) for d, t in rows}, rel=1e-9)
+    assert sum(found.values()) > sum(flat.log10(t.encode()) for _, t in rows)
+
+
 def test_ctw_awkward_rows(spark, awkward, monkeypatch):
     usual = {(r.doc_id, r.n_tokens): r for r in ctw.score_texts(clashing(awkward)).collect()}
     assert usual[3, 1].score == 0.0 and usual[None, 51].held_out is False
