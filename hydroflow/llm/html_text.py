@@ -22,7 +22,7 @@ from hydroflow.llm.common import fresh, text_or_empty
 # Element names of the HTML standard, by what they do to layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INVISIBLE = frozenset(
-    "audio canvas datalist dialog head iframe link map math meta noembed noframes object script style svg template title video".split()
+    "annotation annotation-xml audio canvas datalist head iframe link meta noembed noframes object script style svg template title video".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer form "
@@ -106,7 +106,7 @@ class TreeBuilder(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
-        # In HTML the slash means nothing, except inside drawings and formulas, which are not visible text.
+        # In HTML the slash means nothing, except inside drawings and formulas.
         if tag not in VOID and (self.count.get("svg") or self.count.get("math")) and self.open[-1].tag == tag:
             self._pop()
 
@@ -134,6 +134,7 @@ def is_hidden(node: Node) -> bool:
     return (
         node.tag in INVISIBLE
         or "hidden" in attrs
+        or (node.tag == "dialog" and "open" not in attrs)
         or (node.tag == "input" and (attrs.get("type") or "").lower() == "hidden")
         or bool(attrs.get("style") and _HIDDEN_STYLE.search(attrs["style"]))
     )
@@ -274,7 +275,12 @@ def render(root: Node) -> str:
             def end_table(own=own, lines_before=lines, indent=indent):
                 nonlocal lines
                 tables.pop()
-                lines = lines_before
+                # Text that got into no cell stands before the table.
+                loose, lines = lines.done(), lines_before
+                for text in loose.split("\n") if loose else ():
+                    lines._open("")
+                    lines.line.append(text)
+                    lines.block(False)
                 for text in own.laid_out():
                     lines._open(indent)
                     lines.line.append(text)
@@ -321,23 +327,59 @@ def render(root: Node) -> str:
         elif tag == "q":
             lines.text('"', indent)
             stack.append(('"', indent, False))
-        stack.extend((child, inner, pre or tag in ("pre", "textarea", "listing", "xmp")) for child in reversed(node.children))
+        children = node.children
         if tables and tag in ("table", "tr", "thead", "tbody", "tfoot"):
-            # Text that is directly in a table stands before it in browsers; here it joins the row as a cell of its own.
-            loose = [c for c in node.children if isinstance(c, str) and c.strip()]
-            if loose:
-                stack[-len(node.children) :] = [
-                    (_as_cell(child), inner, pre) for child in reversed(node.children)
-                ]
+            # What is directly in a table stands before it in browsers; here it joins the row as a cell of its own.
+            children = _in_cells(children)
+        stack.extend((child, inner, pre or tag in ("pre", "textarea", "listing", "xmp")) for child in reversed(children))
     return lines.done()
 
 
-def _as_cell(child: Node | str) -> Node | str:
-    if isinstance(child, str) and child.strip():
-        cell = Node("td", {})
-        cell.children.append(child)
-        return cell
-    return child
+TABLE_PARTS = frozenset("tr td th caption thead tbody tfoot".split())
+
+
+def _holds(child: Node | str) -> tuple[bool, bool]:
+    """Whether there may be something to see in a child of a table, and whether it holds parts of that table."""
+    shows, stack = False, [child]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            shows = shows or bool(node.strip())
+        elif not is_hidden(node):
+            if node.tag in TABLE_PARTS:
+                return True, True
+            shows = shows or node.tag in ("img", "input", "area", "q", "table")
+            if node.tag != "table":
+                stack.extend(node.children)
+    return shows, False
+
+
+def _in_cells(children: list[Node | str]) -> list[Node | str]:
+    """The children with each run of those that are no parts of a table put into a cell, if it shows anything."""
+    out: list[Node | str] = []
+    run: list[Node | str] = []
+    shown = False
+
+    def end_run() -> None:
+        nonlocal run, shown
+        if shown:
+            cell = Node("td", {})
+            cell.children = run
+            out.append(cell)
+        else:
+            out.extend(run)
+        run, shown = [], False
+
+    for child in children:
+        shows, parts = _holds(child)
+        if parts:
+            end_run()
+            out.append(child)
+        else:
+            run.append(child)
+            shown = shown or shows
+    end_run()
+    return out
 
 
 def extract(html: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import brute
 import numpy as np
@@ -320,6 +321,34 @@ def test_html_layout(html, text):
     assert html_text.extract(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<table><p>b</p><tr><td>x</table>", "b\nx"),
+        ("<table><tr><div>x</div></tr></table>", "x"),
+        ("<table><tr><td>y</td><a>x</a></tr></table>", "y | x"),
+        ("<table><img alt=pic><tr><td>x</table>", "pic\nx"),
+        ("<table><tr><td>a</td></tr><p>late</p></table>", "a | late"),
+        ("<table><tr>see <b>this</b> one<td>c</table>", "see this one | c"),
+        ("<table><form><tr><td>a</td></tr>loose</form></table>", "loose\na"),
+        ("<table><script>x</script> <br><tr><td>a</table>", "a"),
+        ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"),
+        ("<map name=m><p>way</p></map>", "way"),
+        ("<dialog open>hi</dialog><dialog>no</dialog>", "hi"),
+    ],
+)
+def test_html_loses_no_visible_text(html, text):
+    assert html_text.extract(html) == text
+
+
+def test_html_has_every_word_of_broken_tables():
+    parts = ["<tr>", "</tr>", "<td>", "</td>", "<tbody>", "<p>", "</p>", "<div>", "</div>", "<a>", "</a>", "<li>", "<form>", "</form>", "<table>", "</table>", "<caption>", "<th colspan=2>", "<br>", "<colgroup>"]
+    for seed in range(400):
+        draw = np.random.default_rng(seed)
+        page = "<table>" + "".join(f"{parts[k]} w{i} " for i, k in enumerate(draw.integers(0, len(parts), 25)))
+        assert sorted(re.findall(r"w\d+", html_text.extract(page))) == sorted(re.findall(r"w\d+", page)), page
+
+
 def test_html_deep_and_broken():
     assert html_text.extract("<div>" * 20_000 + "x") == "x"
     assert html_text.extract("<ul><li>" * 300 + "x").endswith("- x")
