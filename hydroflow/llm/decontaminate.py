@@ -6,6 +6,10 @@ are hashed into an index table. Documents are read once in Arrow batches; a bitm
 windows whose hash may be in the index, and those are hash-joined with it, template against template. Along one
 alignment of a document with an item each slot value of the item must stand for one value in the document, else the
 windows with that slot do not count. A document is contaminated by an item if it has SHARE of its windows.
+
+Names are known by their capitals, so a copy in other letter case has other names. Windows are therefore filed and looked up
+in a second, folded form, where names are words like any other; the same rules hold in it. A window of the first form
+counts as found if the folded one that starts at the same word is.
 """
 
 from __future__ import annotations
@@ -67,7 +71,7 @@ class Lexicon(dict):
             core = _OUTER.sub("", raw)
             if raw.rstrip(_CLOSING).endswith(_STOPS):
                 flags = _ENDS
-        lower = core.lower()
+        lower = core.casefold()
         if not core:
             flags |= _UNIT if raw == "%" else _EMPTY
             lower = raw
@@ -102,6 +106,7 @@ class Template:
     """The template tokens of a text: hash and kind per token, and on demand their words."""
 
     def __init__(self, text: str, lexicon: Lexicon, name_first: bool = False):
+        """With ``name_first`` the first word may be a name."""
         raw = text.split()
         ids = np.fromiter(map(lexicon.__getitem__, raw), dtype=np.int64, count=len(raw))
         flags = lexicon.flags[ids]
@@ -110,7 +115,16 @@ class Template:
         if name_first:
             starts[:1] = False
         used = (flags & _EMPTY) == 0
-        ids, flags, starts = ids[used], flags[used], starts[used]
+        self._assemble(ids[used], flags[used], starts[used], lexicon)
+
+    def folded(self) -> Template:
+        """The same text with names as words."""
+        out = Template.__new__(Template)
+        out._assemble(self.ids, self.flags, np.ones(len(self.ids), dtype=bool), self.lexicon)
+        return out
+
+    def _assemble(self, ids: np.ndarray, flags: np.ndarray, starts: np.ndarray, lexicon: Lexicon) -> None:
+        """A titled word is a name unless it is among ``starts``."""
         kind = np.zeros(len(ids), dtype=np.uint8)
         kind[(flags & _NUMBER) != 0] = 1
         kind[((flags & _TITLE) != 0) & ~starts] = 2
@@ -128,11 +142,15 @@ class Template:
         self.unit_part[1:] = self.at[1:] == self.at[:-1]
         self.kind = np.where(self.unit_part, 3, kind[self.at]).astype(np.uint8)
         self.hashes = np.where(self.kind > 0, _KIND_HASH[self.kind], lexicon.hashes[ids[self.at]]) if len(ids) else np.empty(0, np.uint64)
-        self.ids, self.lexicon = ids, lexicon
+        self.ids, self.flags, self.lexicon = ids, flags, lexicon
 
     def __len__(self) -> int:
         return len(self.at)
 
+    def starts(self) -> np.ndarray:
+        """Where each token begins, in a numbering that both forms of a text share."""
+        return 2 * self.at + self.unit_part
+
     def windows(self, length: int) -> np.ndarray:
         """A hash per window of ``length`` tokens."""
         n = len(self) - length + 1
@@ -165,24 +183,32 @@ class Template:
         return " ".join(tokens), slots
 
 
-_INDEX = "item string, place int, total int, length int, hash long, template string, slots array<string>"
+_INDEX = (
+    "item string, form int, place int, start int, in_named boolean, n_named int, n_folded int, length int, hash long, "
+    "template string, slots array<string>"
+)
 
 
 def _item_windows(window: int):
-    """The windows of each item. Its first word may be a name in a document where no sentence ends before it, so
-    windows that begin with it are filed both ways."""
+    """The windows of each item in both forms. Its first word may be a name in a document where no sentence ends before
+    it, so windows that begin with it are filed both ways."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lexicon, out = Lexicon(), []
             for item, text in zip(batch["item"], batch["body"], strict=True):
                 plain, named = Template(text, lexicon), Template(text, lexicon, name_first=True)
-                places, hashes = plain.telling(window), plain.windows(window).view(np.int64)
-                for place in places.tolist():
-                    out.append((item, place, len(places), window, hashes[place], *plain.shown(place, window)))
-                if len(places) and places[0] == 0 and named.kind[0] != plain.kind[0] and 0 in named.telling(window):
+                forms = (plain, plain.folded())
+                places = [t.telling(window) for t in forms]
+                totals, in_named = [len(p) for p in places], set(plain.starts()[places[0]].tolist())
+                for form, template in enumerate(forms):
+                    hashes, starts = template.windows(window).view(np.int64), template.starts().tolist()
+                    for place in places[form].tolist():
+                        shown = template.shown(place, window)
+                        out.append((item, form, place, starts[place], starts[place] in in_named, *totals, window, hashes[place], *shown))
+                if totals[0] and places[0][0] == 0 and named.kind[0] != plain.kind[0] and 0 in named.telling(window):
                     first = named.windows(window).view(np.int64)[0]
-                    out.append((item, 0, len(places), window, first, *named.shown(0, window)))
+                    out.append((item, 0, 0, 0, True, *totals, window, first, *named.shown(0, window)))
             if out:
                 yield pd.DataFrame(out, columns=[c.split()[0] for c in _INDEX.split(", ")])
 
@@ -192,7 +218,7 @@ def _item_windows(window: int):
 def index_items(
     benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW
 ) -> DataFrame:
-    """The stored index: item, place and total of its windows, hash, template, slots."""
+    """The stored index: item, form, place and start of its windows, how many there are by form, hash, template, slots."""
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), text_or_empty(text).alias("body"))
     return stored(items.mapInPandas(_item_windows(window), _INDEX), "item-windows")
 
@@ -205,7 +231,7 @@ def _window_map(index: DataFrame) -> np.ndarray:
     return np.packbits(found)
 
 
-_HITS = "doc_id string, k_hash long, k_len int, spot int, hash long, template string, slots array<string>"
+_HITS = "doc_id string, k_hash long, k_len int, form int, spot int, hash long, template string, slots array<string>"
 
 
 def _document_windows(window: int, packed_map):
@@ -217,12 +243,14 @@ def _document_windows(window: int, packed_map):
             for doc_id, k_hash, k_len, body in zip(batch["doc_id"], batch["k_hash"], batch["k_len"], batch["body"], strict=True):
                 if len(lexicon) > REMEMBERED:
                     lexicon = Lexicon()
-                template = Template(body, lexicon)
-                hashes = template.windows(window)
-                for spot in np.flatnonzero(known[hashes & mask]).tolist():
-                    out.append((doc_id, k_hash, k_len, spot, int(hashes[spot : spot + 1].view(np.int64)[0]), *template.shown(spot, window)))
+                plain = Template(body, lexicon)
+                for form, template in enumerate((plain, plain.folded())):
+                    hashes = template.windows(window)
+                    signed = hashes.view(np.int64)
+                    for spot in np.flatnonzero(known[hashes & mask]).tolist():
+                        out.append((doc_id, k_hash, k_len, form, spot, int(signed[spot]), *template.shown(spot, window)))
             if out:
-                yield pd.DataFrame(out, columns=["doc_id", "k_hash", "k_len", "spot", "hash", "template", "slots"])
+                yield pd.DataFrame(out, columns=["doc_id", "k_hash", "k_len", "form", "spot", "hash", "template", "slots"])
 
     return find
 
@@ -256,9 +284,9 @@ def find_contaminated(
     )
     packed = spark.sparkContext.broadcast(_window_map(index))
     hits = stored(rows.mapInPandas(_document_windows(window, packed), _HITS), "window-hits")
-    own = index.select("item", "place", "total", "hash", "template", F.col("slots").alias("item_slots"))
-    met = hits.join(own, ["hash", "template"]).select(
-        "doc_id", "k_hash", "k_len", "item", "place", "total", (F.col("spot") - F.col("place")).alias("line"), "slots", "item_slots"
+    own = index.drop("length").withColumnRenamed("slots", "item_slots")
+    met = hits.join(own, ["form", "hash", "template"]).select(
+        "doc_id", "k_hash", "k_len", "item", "form", "place", "start", "in_named", "n_named", "n_folded", (F.col("spot") - F.col("place")).alias("line"), "slots", "item_slots"
     )
     met = stored(met.distinct(), "window-matches")
     found = _consistent(met, share)
@@ -267,7 +295,7 @@ def find_contaminated(
 
 
 def _consistent(met: DataFrame, share: float) -> DataFrame:
-    line = ["k_hash", "k_len", "item", "line"]
+    line = ["k_hash", "k_len", "item", "form", "line"]
     pairs = met.filter("size(slots) > 0").select("doc_id", *line, "place", F.inline(F.arrays_zip("item_slots", "slots")))
     values = pairs.groupBy("doc_id", *line, "item_slots").agg(F.min("slots").alias("least"), F.max("slots").alias("most"))
     clashing = values.filter("least != most").select(
@@ -287,13 +315,22 @@ def _consistent(met: DataFrame, share: float) -> DataFrame:
         .distinct()
     )
     sound = met.join(broken, same("b") & (F.col("place") == F.col("b_place")), "left_anti")
-    key = ["doc_id", "k_hash", "k_len", "item", "total"]
-    places = sound.groupBy(*key, "place").agg(F.min((F.col("slots") != F.col("item_slots")).cast("int")).alias("other"))
-    found = places.groupBy(*key).agg(F.count(F.lit(1)).alias("n_found"), F.max("other").alias("other"))
+    key = ["doc_id", "k_hash", "k_len", "item", "n_named", "n_folded"]
+    places = sound.groupBy(*key, "start").agg(
+        F.max(F.col("in_named").cast("int")).alias("named"),
+        F.max("form").alias("folded"),
+        F.min((F.col("slots") != F.col("item_slots")).cast("int")).alias("other"),
+    )
+    found = places.groupBy(*key).agg(F.sum("named").alias("named"), F.sum("folded").alias("folded"), F.max("other").alias("other"))
+    # The form of which more is found; the first one if both are alike.
+    first = F.col("named") * F.col("n_folded") >= F.col("folded") * F.col("n_named")
+    first = (F.col("n_named") > 0) & ((F.col("n_folded") == 0) | first)
+    total, n_found = F.when(first, F.col("n_named")).otherwise(F.col("n_folded")), F.when(first, F.col("named")).otherwise(F.col("folded"))
+    found = found.withColumns({"total": total.cast("long"), "n_found": n_found})
     return found.filter(F.col("n_found") >= F.lit(share) * F.col("total")).select(
         "doc_id",
         F.col("item").alias("item_id"),
-        F.col("total").cast("long").alias("n_windows"),
+        F.col("total").alias("n_windows"),
         "n_found",
         (F.col("n_found") / F.col("total")).alias("share"),
         (F.col("other") == 1).alias("reparameterised"),

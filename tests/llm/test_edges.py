@@ -598,6 +598,16 @@ def test_reparameterised_questions(spark):
     assert found[3, 1].reparameterised and not found[1, 1].reparameterised and found[1, 1].share == 1.0
 
 
+def test_copies_in_another_letter_case(spark):
+    titled = " ".join(w.capitalize() for w in prose(3, 30).split())
+    other = ITEM.upper().replace("120", "80").replace(" 9 ", " 10 ")
+    mixed_up = ITEM.lower().replace("120 km", "80 km")
+    texts = [(1, ITEM.lower()), (6, ITEM.upper().replace("?", " ??")), (2, prose(1, 300) + " " + ITEM.title() + " " + prose(2, 300)), (3, other), (4, mixed_up), (5, titled.lower()), (7, "x " + titled)]
+    found = contaminated(spark, texts, [(1, ITEM), (2, titled)])
+    assert set(found) == {(1, 1), (6, 1), (2, 1), (3, 1), (5, 2), (7, 2)}
+    assert found[6, 1].share == 1.0 and not found[6, 1].reparameterised and found[3, 1].reparameterised
+
+
 def test_decontamination_awkward_items(spark):
     text = prose(1, 40)
     items = [(1, text), (2, text), (3, "too short"), (4, None), (5, "1 2 3 4 5 6 7 8 9 10"), (None, text), (6, "")]
