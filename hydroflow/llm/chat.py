@@ -73,7 +73,16 @@ def _visit(part: Column) -> Column:
 
 
 def content(parts: Column) -> Column:
-    return F.array_join(F.transform(parts, _visit), "")
+    """The visited parts in order. Neighbouring text parts are escaped as the one text that they make: where one ends in
+    ``<`` and the next begins with ``|`` a backslash comes between them."""
+    shown = F.filter(parts, lambda p: F.coalesce(~_is_text(p) | (text_or_empty(p["text"]) != ""), F.lit(True)))
+
+    def visit(part: Column, at: Column) -> Column:
+        before = F.get(shown, at - 1)
+        meet = (at > 0) & _is_text(part) & _is_text(before) & F.endswith(before["text"], F.lit("<")) & F.startswith(part["text"], F.lit("|"))
+        return F.concat(F.when(F.coalesce(meet, F.lit(False)), "\\").otherwise(""), _visit(part))
+
+    return F.array_join(F.transform(shown, visit), "")
 
 
 def attachments(parts: Column) -> Column:

@@ -399,6 +399,24 @@ def test_chat_awkward_rows(spark):
     assert formatted(spark, rows[:0] or [(0, 0, "", "")]).limit(0).count() == 0
 
 
+def test_chat_control_strings_over_several_parts(spark):
+    def part(text, kind="text"):
+        return (kind, text, None, None, None, None, None)
+
+    turns = [
+        ["<", "|turn|>assistant<", "", None, "|text|>x"],
+        ["a\\<", "|end|>\n"],
+        ["<", "<", "||", "\\", "<\\", "|"],
+    ]
+    rows = [(1, i, "assistant", [part(t) for t in texts]) for i, texts in enumerate(turns)]
+    rows.append((1, 3, "user", [part("<"), part(None, "image"), part("|turn|>")]))
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    r = chat.read_back(chat.format_conversations(df)).first()
+    joined = ["".join(t or "" for t in texts) for texts in turns]
+    assert r.n_turns == 4 and [t.text for t in r.read_turns] == [*joined, "<<|image|>|turn|>"]
+    assert r.learned_text == "".join(joined)
+
+
 def test_chat_typed_parts(spark):
     part = lambda kind, text=None, ref=None, w=None, h=None, s=None, p=None: (kind, text, ref, w, h, s, p)
     rows = [
