@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.llm import chat, ctw, decontaminate, exact_dedup, html_text, mixing, quality, simhash, url_filter, warc
+from hydroflow.llm import bpe, chat, ctw, decontaminate, exact_dedup, html_text, mixing, quality, repair, search, simhash, url_filter, warc
 from hydroflow.llm.common import table
+from hydroflow.operators.positions import null_safe_join
 from hydroflow.session import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,3 +220,148 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of every document."""
     return ctw.score_texts(table(spark, sf_dir, "documents"), depth=ctw.DEPTH)
+
+
+#: The tokenizer file of the encoding query; any file of its kind can be named instead.
+VOCABULARY = "word_bpe_49k.json"
+
+
+@query()
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again; digests of the ids and of the decoded text."""
+    import public_tokenizers
+
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY))
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).select("doc_id", "ids")
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query(
+    r"""
+WITH own AS (
+  SELECT row_number() OVER () AS doc, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+asked AS (
+  SELECT row_number() OVER () AS item, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+size AS (SELECT count(*) AS n_docs, sum(len(terms)) AS n_terms FROM own WHERE len(terms) > 0),
+held AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM own) GROUP BY ALL),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, size GROUP BY term, n_docs),
+norm AS (SELECT doc, doc_id, (75 + (25 * len(terms) * n_docs) // n_terms)::BIGINT AS m FROM own, size WHERE len(terms) > 0),
+wanted AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(terms) AS term FROM asked) GROUP BY ALL),
+scored AS (
+  SELECT item, item_id, doc, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM wanted JOIN held USING (term) JOIN weight USING (term) JOIN norm USING (doc) GROUP BY item, item_id, doc, doc_id),
+ranked AS (
+  SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS FIRST))::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
+)
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns damaged by a hash of conversation and turn: dropped, emptied, cut off, repeated, or given to the user.
+
+    NULLs count as one blank, in the hash as well.
+    """
+
+    def shown(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    hit = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    marked = turns.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"), hit.alias("hit"))
+    text = F.when(F.col("hit") == 1, "").when(F.col("hit") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    times = F.explode(F.when(F.col("hit") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return marked.filter("hit <> 0").select(
+        "conv_id", "turn", F.when(F.col("hit") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), times.alias("nth")
+    ).drop("nth")
+
+
+@query(
+    r"""
+WITH RECURSIVE shown AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+hashed AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::UBIGINT],
+      flatten(list_transform(string_split(key, ''), lambda x: [ascii(x)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384)), 4294967295::UBIGINT) % 20 AS hit FROM shown),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN hit = 1 THEN '' WHEN hit = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN hit = 3 THEN [1, 2] ELSE [1] END) AS nth
+  FROM hashed WHERE hit <> 0),
+placed AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core, left(role, 1) AS initial FROM hurt),
+judged AS (
+  SELECT *, CASE WHEN core = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+      WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, max(pos) AS n,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+fill(p, inserts, state, lines) AS (VALUES
+  (0, '', 0, []::VARCHAR[]), (1, '', 1, []), (2, '', 2, []), (3, '', 3, []),
+  (0, 'I', 2, ['user:']), (1, 'I', 2, ['user:']), (2, 'I', 3, ['assistant:']), (3, 'I', 2, ['user:']),
+  (0, 'II', 3, ['user:', 'assistant:']), (1, 'II', 3, ['user:', 'assistant:']),
+  (2, 'II', 2, ['assistant:', 'user:']), (3, 'II', 3, ['user:', 'assistant:'])),
+act(state, edit, initial, q) AS (VALUES
+  (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (2, 'K', 'a', 3), (3, 'K', 'u', 2),
+  (0, 'R', '', 2), (1, 'R', '', 2), (2, 'R', '', 3), (3, 'R', '', 2),
+  (0, 'D', '', 0), (1, 'D', '', 1), (2, 'D', '', 2), (3, 'D', '', 3)),
+move AS (SELECT p, inserts, lines, edit, initial, q FROM fill JOIN act USING (state)),
+walk(conv_id, pos, state, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} FROM counts
+  UNION ALL
+  SELECT w.conv_id, j.pos, m.q, min({
+    'cost': w.best.cost + 2 * len(m.inserts) + CASE m.edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+      + CASE WHEN m.edit <> 'D' AND j.fault = 'truncated' THEN 1 ELSE 0 END,
+    'audit': w.best.audit || m.inserts || m.edit,
+    'lines': w.best.lines || m.lines || CASE m.edit WHEN 'D' THEN [] WHEN 'K' THEN [j.role || ':' || j.text]
+      ELSE [CASE m.q WHEN 2 THEN 'user:' ELSE 'assistant:' END || j.text] END})
+  FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.pos = w.pos + 1
+  JOIN move m ON m.p = w.state
+  WHERE (m.edit = 'D' OR j.fault NOT IN ('blank', 'duplicate')) AND (m.edit <> 'K' OR m.initial = j.initial)
+  GROUP BY w.conv_id, j.pos, m.q),
+ended AS (
+  SELECT c.conv_id, min({'cost': best.cost + CASE state WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END,
+    'audit': best.audit || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    'lines': best.lines || CASE state WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE [] END}) AS best
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.pos GROUP BY c.conv_id),
+original AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.best.cost, 0)::BIGINT AS cost,
+  coalesce(e.best.audit, '') AS audit, sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+FROM original o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
+)
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged and repaired: its faults, the cheapest edits, and a digest of what came out."""
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.repair(damaged(turns))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    whole = null_safe_join(turns.select("conv_id").distinct(), found.conversations, ["conv_id"], "left")
+    whole = null_safe_join(whole, repair.repaired_digests(found), ["conv_id"], "left")
+    return whole.select(
+        "conv_id",
+        *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
