@@ -152,9 +152,9 @@ def test_no_rows_and_extra_columns(spark):
     rows = [(1, i, "user", f"{t}.", "x", 3, "y") for i, t in enumerate("abc")]
     df = spark.createDataFrame(rows, SCHEMA + ", pos string, chunk int, digest string")
     done = repair.repair(df)
-    assert [r.audit for r in done.conversations.collect()] == ["KRKI"]
+    assert [r.audit for r in done.conversations.collect()] == ["KIKR"]
     turns = sorted((r.pos, r.nth, r.edit, r.role, r.text) for r in done.turns.collect())
-    assert turns == [(0, 1, "K", "user", "a."), (1, 1, "R", "assistant", "b."), (2, 1, "K", "user", "c."), (3, 1, "I", "assistant", "")]
+    assert turns == [(0, 1, "K", "user", "a."), (1, 1, "I", "assistant", ""), (1, 2, "K", "user", "b."), (2, 1, "R", "assistant", "c.")]
 
 
 def test_twin_with_nulls_and_ties(spark, tmp_path):
