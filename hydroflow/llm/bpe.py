@@ -17,7 +17,8 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from functools import cached_property
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -29,10 +30,12 @@ from pyspark.sql import functions as F
 
 from hydroflow.llm.common import fresh, text_or_empty
 
-#: Characters of texts that are cut into words at once, words that a worker remembers, and their longest length.
+#: Characters of texts that are cut into words at once; words that a worker remembers twice over, and their longest length.
 PIECE = 1 << 20
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 REMEMBERED_LENGTH = 64
+#: Words that are looked up at once, and ids that are given on at once.
+HELD = 1 << 17
 
 _NEVER = np.int64(1) << 40
 # The white space of Unicode.
@@ -53,6 +56,11 @@ _APART = re.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _UNCOMPOSED)
 
 def _composed(text: str) -> str:
     """NFC as the tokenizer has it: what its tables do not know stays where it is and composes with nothing."""
+    try:
+        text.encode("latin-1")
+        return text  # nothing here composes
+    except UnicodeEncodeError:
+        pass
     return "".join([x if i % 2 else unicodedata.normalize("NFC", x) for i, x in enumerate(_APART.split(text))])
 
 
@@ -102,7 +110,8 @@ class Vocabulary:
             raise ValueError("This tokenizer file has settings that are not supported.")
         self.pattern: str = cuts[0]["pattern"]["Regex"]
         self._read_merges(model["merges"])
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, Sequence[int]] = {}
+        self._older: dict[str, Sequence[int]] = {}
 
     def _read_merges(self, merges: Sequence) -> None:
         size = len(self.names)
@@ -245,7 +254,7 @@ class Vocabulary:
                 heappush(queue, x)
         return [t for t in tokens if t is not None]
 
-    def _learn(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+    def _learn(self, words: set[str]) -> dict[str, Sequence[int]]:
         """Tokens of words: proposals whose neighbours all fit, and exact merges of the others."""
         spelled = {w: w.encode() for w in words}
         if not self.ordered:
@@ -286,36 +295,47 @@ class Vocabulary:
             yield self.words(block[start:] if start else block)
             at = end
 
-    def _ids_of(self, piece: list[str] | int, learned: dict[str, tuple[int, ...]]) -> Iterator[int]:
-        if isinstance(piece, int):
-            return iter((piece,))
-        return chain.from_iterable(map(learned.__getitem__, piece))
-
-    def _number(self, group: list[tuple[int, list[str] | int]], out: list[list[np.ndarray]]) -> None:
-        """Ids of the pieces of some texts, put to the lists of their texts."""
-        words = set(chain.from_iterable(p for _, p in group if not isinstance(p, int)))
-        new = self._learn(words - self._known.keys())
+    def _found(self, words: set[str]) -> dict[str, Sequence[int]]:
+        """Tokens of words, those known from before among them. Words not seen for a while are forgotten."""
+        found = {w: t for w in words if (t := self._known.get(w) or self._older.get(w)) is not None}
+        found |= self._learn({w for w in words if w not in found})
+        self._known |= {w: t for w, t in found.items() if len(w) <= REMEMBERED_LENGTH}
         if len(self._known) > REMEMBERED:
-            kept, self._known = self._known, {}
-            new |= {w: kept[w] for w in words if w in kept}
-        self._known |= {w: t for w, t in new.items() if len(w) <= REMEMBERED_LENGTH}
-        learned = self._known if all(len(w) <= REMEMBERED_LENGTH for w in new) else self._known | new
-        for at, piece in group:
-            out[at].append(np.fromiter(self._ids_of(piece, learned), np.int32))
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        group, size = [], 0
-        for at, text in enumerate(texts):
+            self._known, self._older = {}, self._known
+        return found
+
+    def blocks(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, list[int]]]:
+        """Ids of texts in order, with how many each text has, in blocks of some texts."""
+        ids, lengths = array("i"), []
+        group: list[tuple[int, list[str] | int]] = []
+        held = 0
+
+        def number() -> None:
+            found = self._found(set(chain.from_iterable(p for _, p in group if not isinstance(p, int))))
+            for at, piece in group:
+                before = len(ids)
+                ids.extend((piece,) if isinstance(piece, int) else chain.from_iterable(map(found.__getitem__, piece)))
+                lengths[at] += len(ids) - before
+            group.clear()
+
+        for text in texts:
+            lengths.append(0)
             for piece in self.pieces(text):
-                group.append((at, piece))
-                size += 1 if isinstance(piece, int) else len(piece)
-                if size * 4 > PIECE:
-                    self._number(group, out)
-                    group, size = [], 0
-        self._number(group, out)
-        return [np.concatenate(parts) if parts else np.empty(0, np.int32) for parts in out]
+                group.append((len(lengths) - 1, piece))
+                held += 1 if isinstance(piece, int) else len(piece)
+                if held >= HELD:
+                    number()
+                    held = 0
+            if len(ids) >= HELD:
+                number()
+                yield np.frombuffer(ids, np.int32), lengths
+                ids, lengths, held = array("i"), [], 0
+        number()
+        yield np.frombuffer(ids, np.int32), lengths
+
+    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        return [own for ids, lengths in self.blocks(texts) for own in np.split(ids, np.cumsum(lengths)[:-1]) if lengths]
 
     def decode(self, ids: Sequence[int | None]) -> str:
         """The tokens of the ids, special ones too, joined by blanks; numbers that are no token's are left out."""
@@ -341,10 +361,8 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", into: str
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            ids = shared.value.encode(batch.to_pylist())
-            ends = np.cumsum([0, *map(len, ids)])
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            for ids, lengths in shared.value.blocks(body.as_py() for body in batch):
+                yield pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), pa.array(ids, pa.int32()))
 
     return df.withColumn(fresh(df, into), F.arrow_udf(run, "array<int>")(text_or_empty(text)))
 
@@ -355,10 +373,16 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str =
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            read, ends = shared.value.decode, batch.offsets.to_numpy()
-            values = batch.values.to_pylist() if batch.values.null_count else batch.values.to_numpy().tolist()
-            there = batch.is_valid().to_numpy(zero_copy_only=False).tolist()
-            rows = zip(there, ends[:-1].tolist(), ends[1:].tolist(), strict=True)
-            yield pa.array([read(values[a:b]) if known else "" for known, a, b in rows], pa.string())
+            ends, there = batch.offsets.to_numpy(), batch.is_valid().to_numpy(zero_copy_only=False)
+            out, held = [], 0
+            for at, known in enumerate(there.tolist()):
+                own = batch.values[ends[at] : ends[at + 1]]
+                ids = own.to_pylist() if own.null_count else own.to_numpy().tolist()
+                out.append(shared.value.decode(ids) if known else "")
+                held += len(ids)
+                if held >= HELD:
+                    yield pa.array(out, pa.string())
+                    out, held = [], 0
+            yield pa.array(out, pa.string())
 
     return df.withColumn(fresh(df, into), F.arrow_udf(run, "string")(F.col(ids)))

@@ -81,6 +81,7 @@ def test_pieces_and_forgotten_words_change_nothing(library, monkeypatch):
     text = " ".join(f"word{i} Ünï{i * 7} don't<|endoftext|>" for i in range(400))
     monkeypatch.setattr(bpe, "PIECE", 50)
     monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    monkeypatch.setattr(bpe, "HELD", 30)
     small = bpe.read_vocabulary(PATH)
     again = small.encode([text, "", text])
     wanted = library.encode(text, add_special_tokens=False).ids
