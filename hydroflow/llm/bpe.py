@@ -32,12 +32,15 @@ from hydroflow.llm.common import fresh, text_or_empty
 
 #: Characters of texts that are cut into words at once; words that a worker remembers twice over, and their longest length.
 PIECE = 1 << 20
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 REMEMBERED_LENGTH = 64
 #: Words that are looked up at once, and ids that are given on at once.
 HELD = 1 << 17
+#: Symbols of a word that is merged by looking through its pairs.
+SHORT = 48
 
 _NEVER = np.int64(1) << 40
+_LAST = 1 << 40
 # The white space of Unicode.
 _SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _AT_SPACE = re.compile(f"[{_SPACE}]")
@@ -209,27 +212,55 @@ class Vocabulary:
             x, y = np.where(back, self.right[x], x), np.where(back, y, self.left[y])
         return good
 
+    @cached_property
+    def _reach(self) -> dict[bytes, int]:
+        """The largest number of bytes of a token inside a word, by its first two bytes."""
+        out: dict[bytes, int] = {}
+        for text in self._tables[0]:
+            if len(text) > 1:
+                out[text[:2]] = max(out.get(text[:2], 0), len(text))
+        return out
+
     def _propose(self, word: bytes) -> list[int] | None:
         """Longest matches from the left; None where a byte has no token or nothing fits the end."""
         inner, final, longest = self._tables
-        out, at, n = [], 0, len(word)
+        reach, out, at, n = self._reach.get, [], 0, len(word)
         while True:
             rest = n - at
             if rest <= longest and (number := final.get(word[at:])) is not None:
-                return [*out, number]
-            for size in range(min(longest, rest - 1), 0, -1):
-                if (number := inner.get(word[at : at + size])) is not None:
-                    break
-            else:
+                out.append(number)
+                return out
+            end = at + min(reach(word[at : at + 2], 1), rest - 1)
+            while end > at and (number := inner.get(word[at:end])) is None:
+                end -= 1
+            if end == at:
                 return None
             out.append(number)
-            at += size
+            at = end
 
     def merged(self, word: bytes) -> list[int]:
         """Exact merging: the lowest rank first, of equal ranks the leftmost. Bytes without a token are left out."""
         inner, final = self._symbols
         tokens = [inner[b] for b in word[:-1]] + [final[b] for b in word[-1:]]
         tokens = [t for t in tokens if t is not None]
+        return self._merged_short(tokens) if len(tokens) <= SHORT else self._merged_long(tokens)
+
+    def _merged_short(self, tokens: list[int]) -> list[int]:
+        """By looking through all ranks for every merge."""
+        merge, none = self.merge.get, (_LAST, -1)
+        steps = [merge(pair, none) for pair in zip(tokens, tokens[1:], strict=False)]
+        while steps and (step := min(steps)) is not none:
+            at = steps.index(step)
+            tokens[at : at + 2] = [step[1]]
+            del steps[at]
+            if at:
+                steps[at - 1] = merge((tokens[at - 1], tokens[at]), none)
+            if at < len(steps):
+                steps[at] = merge((tokens[at], tokens[at + 1]), none)
+        return tokens
+
+    def _merged_long(self, tokens: list) -> list[int]:
+        """With a queue of merges, so that time does not follow the square of the length."""
         n = len(tokens)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
 
@@ -295,14 +326,14 @@ class Vocabulary:
             yield self.words(block[start:] if start else block)
             at = end
 
-    def _found(self, words: set[str]) -> dict[str, Sequence[int]]:
-        """Tokens of words, those known from before among them. Words not seen for a while are forgotten."""
-        found = {w: t for w in words if (t := self._known.get(w) or self._older.get(w)) is not None}
-        found |= self._learn({w for w in words if w not in found})
-        self._known |= {w: t for w, t in found.items() if len(w) <= REMEMBERED_LENGTH}
+    def _know(self, words: set[str]) -> None:
+        """See that all these words are known. Words not seen for a while are forgotten first."""
         if len(self._known) > REMEMBERED:
-            self._known, self._older = {}, self._known
-        return found
+            self._known, self._older = {w: t for w, t in self._known.items() if w in words}, self._known
+        missing = words.difference(self._known)
+        older = {w: self._older[w] for w in missing if w in self._older}
+        self._known |= older
+        self._known |= self._learn(missing.difference(older))
 
     def blocks(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, list[int]]]:
         """Ids of texts in order, with how many each text has, in blocks of some texts."""
@@ -311,11 +342,16 @@ class Vocabulary:
         held = 0
 
         def number() -> None:
-            found = self._found(set(chain.from_iterable(p for _, p in group if not isinstance(p, int))))
+            words = set(chain.from_iterable(p for _, p in group if not isinstance(p, int)))
+            self._know(words)
+            tokens = self._known.__getitem__
             for at, piece in group:
                 before = len(ids)
-                ids.extend((piece,) if isinstance(piece, int) else chain.from_iterable(map(found.__getitem__, piece)))
+                ids.extend((piece,) if isinstance(piece, int) else chain.from_iterable(map(tokens, piece)))
                 lengths[at] += len(ids) - before
+            for word in words:
+                if len(word) > REMEMBERED_LENGTH:
+                    del self._known[word]
             group.clear()
 
         for text in texts:
