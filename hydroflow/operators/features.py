@@ -13,6 +13,7 @@ from hydroflow.config import PLANT_TARGETS, ForecastConfig
 from hydroflow.functions import day_of
 from hydroflow.functions.numbers import column
 from hydroflow.operators.moving import trailing_mean
+from hydroflow.operators.positions import null_safe_join
 
 
 def prefixed_columns(df: DataFrame, prefix: str) -> list[str]:
@@ -110,12 +111,13 @@ def default_cutoff(df: DataFrame, time_col: str, keys: Sequence[str] = ()) -> Da
 def rows_at(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cutoffs: DataFrame
 ) -> DataFrame:
-    """The first row at each ``(keys, cutoff)``; cut-offs absent from the data keep NULLs and are flagged.
+    """The first row at each ``(keys, cutoff)``; cut-offs absent from the data keep NULLs and are flagged. A NULL key is a
+    group like any other.
 
     The rank limit runs before the shuffle, so repeated times do not pile up.
     """
     time_col = order[0]
-    at = df.withColumnRenamed(time_col, "cutoff").join(cutoffs, [*keys, "cutoff"])
+    at = null_safe_join(df.withColumnRenamed(time_col, "cutoff"), cutoffs, [*keys, "cutoff"])
     rank = F.row_number().over(W.partitionBy(*keys, "cutoff").orderBy(*[F.col(c) for c in order[1:]] or [F.lit(1)]))
     first = at.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank").withColumn("found", F.lit(True))
-    return cutoffs.join(first, [*keys, "cutoff"], "left").na.fill({"found": False})
+    return null_safe_join(cutoffs, first, [*keys, "cutoff"], "left").na.fill({"found": False})

@@ -18,6 +18,7 @@ from hydroflow.functions import day_of, forecast_index, launch_time, step_interv
 from hydroflow.operators.features import build_features, check_features
 from hydroflow.operators.forest import fit_rows, forest
 from hydroflow.operators.lookback import lookback
+from hydroflow.operators.positions import null_safe_join
 from hydroflow.session import stored
 from hydroflow.sources.tables import read_wide
 
@@ -77,7 +78,7 @@ def training_rows(
     ).filter(F.col("label").isNotNull())
     if until is not None:
         targets = targets.filter(F.col("ts") <= F.lit(until.isoformat(" ")).cast(dict(targets.dtypes)["ts"]))
-    return _stepped(lookbacks, config, keys, step).join(targets, [*keys, "ts"])
+    return null_safe_join(_stepped(lookbacks, config, keys, step), targets, [*keys, "ts"])
 
 
 def fit_multistep(

@@ -208,6 +208,16 @@ SELECT plant, {_day('day')} AS day FROM ranked WHERE r = 2""",
 SELECT l.plant, {_time('l.cutoff')} AS cutoff, CASE WHEN c.ts IS NULL THEN 'false' ELSE 'true' END AS found,
        round(c.power, 6) AS power
 FROM launches l LEFT JOIN complete c ON c.plant = l.plant AND c.ts = l.cutoff""",
+    "cutoff_lookup_null_keys": f"""WITH {WIDE}, {COMPLETE}, {LAUNCHES}
+SELECT nullif(l.plant, 1) AS plant, {_time('l.cutoff')} AS cutoff, CASE WHEN c.ts IS NULL THEN 'false' ELSE 'true' END AS found,
+       round(c.power, 6) AS power
+FROM launches l LEFT JOIN complete c ON c.plant = l.plant AND c.ts = l.cutoff""",
+    "forecast_training_rows_null_keys": f"""WITH {WIDE}, {COMPLETE}, {LAUNCHES}, {_FEATURES}
+SELECT nullif(f.plant, 1) AS plant, {_time('f.ts')} AS cutoff, i AS step, round(t.power, 6) AS label
+FROM features f JOIN launches l ON f.plant = l.plant AND f.ts = l.cutoff
+CROSS JOIN generate_series(1, 24) g(i)
+JOIN complete t ON t.plant = f.plant AND t.ts = f.ts + i * INTERVAL 1 HOUR
+WHERE f.rn >= 24""",
     "forecast_index": f"""WITH {WIDE}, {LAUNCHES}
 SELECT plant, {_time('cutoff')} AS cutoff, i AS step, {_time('cutoff + i * INTERVAL 15 MINUTE')} AS ts
 FROM launches, generate_series(1, 96) g(i)""",

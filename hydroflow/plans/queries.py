@@ -222,6 +222,17 @@ def cutoff_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("plant", _time("cutoff"), F.col("found").cast("string").alias("found"), _round("power"))
 
 
+def _null_second(df: DataFrame) -> DataFrame:
+    """The same rows with the second plant's name missing."""
+    return df.withColumn("plant", F.nullif(F.col("plant"), F.lit(1).cast("bigint")))
+
+
+@query
+def cutoff_lookup_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    found = features.rows_at(_null_second(_complete(spark, sf)), inputs.KEYS, ["ts"], _null_second(_launches(spark, sf)))
+    return found.select("plant", _time("cutoff"), F.col("found").cast("string").alias("found"), _round("power"))
+
+
 @query
 def forecast_index_(spark: SparkSession, sf: str) -> DataFrame:
     steps = _launches(spark, sf).select("plant", "cutoff", F.posexplode(forecast_index("cutoff", 96, 4)).alias("at", "ts"))
@@ -245,6 +256,14 @@ def forecast_training_rows(spark: SparkSession, sf: str) -> DataFrame:
 # Catalogue
 
 
+@query
+def forecast_training_rows_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    rows, names = features.build_features(_null_second(_complete(spark, sf)), HOURLY, inputs.KEYS)
+    windows = lookback(rows, inputs.KEYS, ["ts"], names, _null_second(_launches(spark, sf)), HOURLY.window_steps)
+    training = forecast.training_rows(windows, rows, HOURLY, inputs.KEYS)
+    return training.select("plant", _time("cutoff"), F.col("step").cast("bigint").alias("step"), _round("label"))
+
+
 def _in_order(df: DataFrame) -> DataFrame:
     """The rows with their place in the order that the operator returns them in."""
     numbered = df.withColumn("_id", F.monotonically_increasing_id())
