@@ -23,11 +23,13 @@ TOP_FEATURES = 10
 EXCEEDANCE_ROWS = 20
 SAMPLE_ROWS = 5
 
-# The forest: MLlib's largest depth, candidate splits per feature (all distinct values where there are fewer), and the
-# tasks that training rows are dealt to by content, so that the model does not depend on the number of cores.
+# The forest: MLlib's largest depth; candidate splits per feature (all distinct values where there are fewer; the
+# statistics of every node grow with them); the least number of tasks and the rows that one holds, so that tasks follow
+# the rows; and the memory for the statistics of the nodes of one pass.
 FOREST_DEPTH = 30
-FOREST_BINS = 4096
-FOREST_TASKS = 4
+FOREST_BINS = 256
+FOREST_TASKS, FOREST_TASK_ROWS = 4, 50_000
+FOREST_MEMORY_MB = 1024
 
 
 @dataclass(frozen=True)

@@ -13,10 +13,10 @@ from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.config import FOREST_TASKS, ForecastConfig
+from hydroflow.config import ForecastConfig
 from hydroflow.functions import day_of, forecast_index, launch_time, step_interval
 from hydroflow.operators.features import build_features, check_features
-from hydroflow.operators.forest import fit_rows, forest
+from hydroflow.operators.forest import dealt_by_content, fit_rows, forest
 from hydroflow.operators.lookback import lookback
 from hydroflow.operators.positions import null_safe_join
 from hydroflow.session import stored
@@ -88,7 +88,6 @@ def fit_multistep(
     keys: Sequence[str],
     until: datetime | None = None,
     per_step: bool = False,
-    tasks: int = FOREST_TASKS,
     **params,
 ) -> ForecastBundle:
     """One model over all steps, or one model per step.
@@ -102,8 +101,7 @@ def fit_multistep(
     for step in steps:
         rows = training_rows(lookbacks, features, config, keys, until, step)
         # Dealt by content, as for every forest: the model does not depend on cores or files.
-        content = ["lookback", "step", "label"]
-        dealt = rows.repartition(tasks, F.xxhash64(*content)).sortWithinPartitions(*content)
+        dealt = dealt_by_content(rows, ["lookback", "step", "label"])
         models.append(fit_rows(forest("label", _VECTOR, **params), dealt.select(_vector(per_step), "label")))
     return ForecastBundle(tuple(models), config, tuple(keys))
 

@@ -11,10 +11,10 @@ from functools import reduce
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.config import FOREST_BINS, FOREST_DEPTH, FOREST_SEED, FOREST_TASKS, FOREST_TREES, TOP_FEATURES
+from hydroflow.config import FOREST_BINS, FOREST_DEPTH, FOREST_MEMORY_MB, FOREST_SEED, FOREST_TASK_ROWS, FOREST_TASKS, FOREST_TREES, TOP_FEATURES
 from hydroflow.functions import clip_nonnegative
 from hydroflow.functions.numbers import column
 from hydroflow.operators.features import columns_except, history_until, rows_after, rows_of_day
@@ -49,7 +49,7 @@ def forest(
         featureSubsetStrategy=subset,
         maxBins=max_bins,
         bootstrap=bootstrap,
-        maxMemoryInMB=512,
+        maxMemoryInMB=FOREST_MEMORY_MB,
     )
 
 
@@ -63,18 +63,22 @@ def fit_rows(estimator: RandomForestRegressor, rows: DataFrame) -> RandomForestR
         raise
 
 
-def fit_forest(
-    train: DataFrame, features: Sequence[str], target: str, tasks: int = FOREST_TASKS, **params
-) -> RandomForestRegressionModel:
-    """Fit on all rows of ``train``; only the vector and the label reach the trainer.
+def dealt_by_content(rows: DataFrame, content: Sequence[str | Column], task_rows: int = FOREST_TASK_ROWS) -> DataFrame:
+    """Rows dealt to tasks by a hash of their content and sorted there; the number of tasks follows the number of rows.
 
-    MLlib draws the rows of a tree partition by partition, so rows are dealt to ``tasks`` partitions by a hash of their
-    content and sorted there: the model depends neither on the number of cores nor on how the table was split. Give
-    more tasks for a large table.
+    MLlib draws the rows of a tree partition by partition: a model fitted on these depends neither on the number of
+    cores nor on how the table was split.
     """
+    tasks = max(FOREST_TASKS, -(-rows.count() // task_rows))
+    return rows.repartition(tasks, F.xxhash64(*content)).sortWithinPartitions(*content)
+
+
+def fit_forest(
+    train: DataFrame, features: Sequence[str], target: str, task_rows: int = FOREST_TASK_ROWS, **params
+) -> RandomForestRegressionModel:
+    """Fit on all rows of ``train``; only the vector and the label reach the trainer, dealt by their content."""
     label = column(target).cast("double")
-    content = [*[column(c) for c in features], label]
-    dealt = train.repartition(tasks, F.xxhash64(*content)).sortWithinPartitions(*content)
+    dealt = dealt_by_content(train, [*[column(c) for c in features], label], task_rows)
     rows = _assembled(dealt, features).select(_VECTOR, label.alias("_label"))
     return fit_rows(forest("_label", **params), rows)
 
@@ -138,8 +142,8 @@ def run_actuals(
         "trend",
     )
     following = rows_after(df, time_col, cutoff)
-    return _series_of(today, keys, time_col, {target: "actual", "trend": "trend"}).unionByName(
-        _series_of(following, keys, time_col, {target: "next_day_actual"})
+    return series_of(today, keys, time_col, {target: "actual", "trend": "trend"}).unionByName(
+        series_of(following, keys, time_col, {target: "next_day_actual"})
     )
 
 
@@ -163,12 +167,12 @@ def as_of_run(
         F.col(time_col).alias("ts"), column(target).alias("actual"), "power_pred"
     )
     frame = run_actuals(df, time_col, target, cutoff, tie_break).unionByName(
-        _series_of(scored, [], "ts", {"power_pred": "prediction"})
+        series_of(scored, [], "ts", {"power_pred": "prediction"})
     )
     return AsOfRun(frame, scored, feature_importance(df.sparkSession, model, features), features)
 
 
-def _series_of(df: DataFrame, keys: Sequence[str], time_col: str, names: dict[str, str]) -> DataFrame:
+def series_of(df: DataFrame, keys: Sequence[str], time_col: str, names: dict[str, str]) -> DataFrame:
     """Long form ``(keys, ts, series, value)`` of the named columns."""
     pairs = [F.struct(F.lit(series).alias("series"), column(c).alias("value")) for c, series in names.items()]
     return df.select(*keys, F.col(time_col).alias("ts"), F.inline(F.array(*pairs)))

@@ -355,6 +355,29 @@ FROM plants, (VALUES ('hour', CAST(1 AS DOUBLE)), ('constant', CAST(0 AS DOUBLE)
 SELECT c.plant, {_time('c.ts')} AS cutoff, i AS step, {_time('c.ts + i * INTERVAL 1 HOUR')} AS ts, 'true' AS learned, 'true' AS shown
 FROM complete c JOIN starts s ON s.plant = c.plant AND s.cutoff = c.ts CROSS JOIN generate_series(1, 24) g(i)
 WHERE c.rn >= 24 AND c.ts >= TIMESTAMP '2024-01-15 00:00:00'""",
+    "keyed_runs": f"""WITH {PLANTS}, rows AS (SELECT *, CAST(ts AS DATE) AS day, hour(ts) AS hour FROM plants),
+days AS (SELECT DISTINCT plant, day FROM rows), runs AS (
+  SELECT plant, day AS cutoff FROM (SELECT *, max(day) OVER (PARTITION BY plant) AS last FROM days) WHERE day < last),
+hours AS (
+  SELECT u.plant, u.cutoff, r.hour, avg(r.power) AS mean FROM runs u JOIN rows r ON r.plant = u.plant AND r.day <= u.cutoff GROUP BY ALL),
+least AS (SELECT plant, cutoff, min(hour) AS first, max(hour) AS last FROM hours GROUP BY ALL),
+following AS (SELECT u.cutoff, r.* FROM runs u JOIN rows r ON r.plant = u.plant AND r.day = u.cutoff + 1),
+today AS (SELECT *, avg(power) OVER (PARTITION BY plant, day ORDER BY ts, event_id ROWS 15 PRECEDING) AS trend FROM rows)
+SELECT nullif(plant, 1) AS plant, {_day('cutoff')} AS cutoff, {_time('ts')} AS ts, series, round(value, 6) AS value FROM (
+  SELECT u.plant, u.cutoff, t.ts, 'actual' AS series, t.power AS value FROM runs u JOIN today t ON t.plant = u.plant AND t.day = u.cutoff
+  UNION ALL SELECT u.plant, u.cutoff, t.ts, 'trend', t.trend FROM runs u JOIN today t ON t.plant = u.plant AND t.day = u.cutoff
+  UNION ALL SELECT plant, cutoff, ts, 'next_day_actual', power FROM following
+  UNION ALL SELECT f.plant, f.cutoff, f.ts, 'prediction', h.mean FROM following f JOIN hours h
+    ON h.plant = f.plant AND h.cutoff = f.cutoff AND h.hour = f.hour)""",
+    "vector_forecast": f"""WITH {WIDE}, {COMPLETE}, starts AS (
+  SELECT c.plant, c.ts AS cutoff FROM complete c WHERE hour(c.ts) = 10 AND c.rn >= 3),
+means AS (
+  SELECT s.plant, i AS step, avg(t.power) AS mean FROM starts s CROSS JOIN generate_series(1, 24) g(i)
+  JOIN complete t ON t.plant = s.plant AND t.ts = s.cutoff + i * INTERVAL 1 HOUR
+  WHERE t.ts <= TIMESTAMP '2024-01-15 00:00:00' GROUP BY ALL)
+SELECT s.plant, {_time('s.cutoff')} AS cutoff, i AS step, {_time('s.cutoff + i * INTERVAL 1 HOUR')} AS ts, round(m.mean, 6) AS power_pred
+FROM starts s CROSS JOIN generate_series(1, 24) g(i) LEFT JOIN means m ON m.plant = s.plant AND m.step = i
+WHERE s.cutoff >= TIMESTAMP '2024-01-15 00:00:00'""",
     "multistep_training_rows": f"""WITH {WIDE}, {COMPLETE}, starts AS (
   SELECT DISTINCT plant, date_trunc('day', ts) + INTERVAL 10 HOUR AS cutoff FROM complete)
 SELECT c.plant, {_time('c.ts')} AS cutoff, i AS step, {_time('t.ts')} AS ts, round(t.power, 6) AS label

@@ -7,7 +7,7 @@ by value.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
 
@@ -24,7 +24,7 @@ from hydroflow.functions import (
     series_name,
     value_name,
 )
-from hydroflow.operators import catalog, features, forecast, forest, moving, observations, positions, resample
+from hydroflow.operators import catalog, features, forecast, forest, leaves, moving, observations, positions, resample
 from hydroflow.operators.lookback import lookback
 from hydroflow.plans import inputs
 from hydroflow.plans.bulk_load import BulkLoad, bulk_load
@@ -614,90 +614,88 @@ def run_actuals(spark: SparkSession, sf: str) -> DataFrame:
     return frame.select("plant", _time("ts"), "series", _round("value"))
 
 
-@dataclass(frozen=True)
-class PlantRun:
-    """A run of one plant, and the bounds of what it was trained on: no tree predicts a value outside."""
-
-    run: forest.AsOfRun
-    least: float
-    most: float
-
-
-def _between(value: Column, least: float, most: float) -> Column:
-    return value.between(F.lit(least), F.lit(most)).cast("string")
+def _between(value: Column, least: Column | float, most: Column | float) -> Column:
+    least, most = (x if isinstance(x, Column) else F.lit(x) for x in (least, most))
+    return value.between(least, most).cast("string")
 
 
 def _bounds(rows: DataFrame) -> tuple[float, float]:
     return tuple(rows.agg(F.min("power"), F.max("power")).first())
 
 
-def _runs(spark: SparkSession, sf: str) -> dict[int, PlantRun]:
-    """One run per plant, each up to the latest valid cut-off of the plant; plants are fitted side by side."""
+def _latest_runs(spark: SparkSession, sf: str) -> tuple[DataFrame, leaves.KeyedRuns]:
+    """A run of every plant up to its latest valid cut-off, all in one fit."""
     plants = plant_table(spark, sf)
-    cutoffs = features.default_cutoff(plants, "ts", inputs.KEYS).collect()  # one row per plant
-
-    def run(row) -> tuple[int, PlantRun]:
-        own = one_plant(plants, row["plant"])
-        bounds = _bounds(features.history_until(own, "ts", row["day"]))
-        return row["plant"], PlantRun(forest.as_of_run(own, "ts", "power", row["day"]), *bounds)
-
-    return dict(sorted(forest.at_once(run, cutoffs)))
+    return plants, leaves.keyed_runs(plants, inputs.KEYS, "ts", "power", features.default_cutoff(plants, "ts", inputs.KEYS))
 
 
 @query
 def run_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Values of the predictions depend on the trees; that they lie within what was learned does not."""
+    plants, found = _latest_runs(spark, sf)
+    frame = leaves.keyed_frame(plants, found, inputs.KEYS, "ts", "power").join(found.bounds, [*inputs.KEYS, "cutoff"])
     predicted = F.col("series") == "prediction"
-    return _per_plant(
-        {
-            plant: p.run.frame.select(
-                _time("ts"),
-                "series",
-                F.when(~predicted, F.round("value", 6)).alias("value"),
-                F.when(predicted, _between(F.col("value"), p.least, p.most)).alias("learned"),
-            )
-            for plant, p in _runs(spark, sf).items()
-        }
+    return frame.select(
+        _time("ts"),
+        "series",
+        F.when(~predicted, F.round("value", 6)).alias("value"),
+        F.when(predicted, _between(F.col("value"), F.col("least"), F.col("most"))).alias("learned"),
+        "plant",
     )
 
 
 @query
 def run_peak(spark: SparkSession, sf: str) -> DataFrame:
-    frames = {}
-    for plant, p in _runs(spark, sf).items():
-        top = p.run.scored.agg(F.max("actual").alias("actual"))
-        peak = p.run.peak().join(top, F.lit(True))
-        bounded = F.col("peak").between(F.col("actual"), F.greatest("actual", F.lit(p.most)))
-        frames[plant] = peak.select(_time("starts_at"), _round("actual"), bounded.cast("string").alias("bounded"))
-    return _per_plant(frames)
+    _, found = _latest_runs(spark, sf)
+    run = [*inputs.KEYS, "cutoff"]
+    actual = found.scored.groupBy(*run).agg(F.max("actual").alias("actual"))
+    peaks = found.peaks(inputs.KEYS).join(actual, run).join(found.bounds, run)
+    bounded = F.col("peak").between(F.col("actual"), F.greatest("actual", "most"))
+    return peaks.select(_time("starts_at"), _round("actual"), bounded.cast("string").alias("bounded"), "plant")
 
 
 @query
 def feature_importance_top10(spark: SparkSession, sf: str) -> DataFrame:
+    plants = plant_table(spark, sf)
+    cutoffs = features.default_cutoff(plants, "ts", inputs.KEYS).collect()  # one row per plant
+
+    def importance(row) -> tuple[int, DataFrame]:
+        own = one_plant(plants, row["plant"])
+        names = features.columns_except(own, ["ts", "power"])
+        model = forest.fit_forest(features.history_until(own, "ts", row["day"]), names, "power")
+        return row["plant"], forest.feature_importance(spark, model, names)
+
     frames = {}
-    for plant, p in _runs(spark, sf).items():
-        total = p.run.importance.agg(F.round(F.sum("importance"), 6).alias("total"))
-        rows = p.run.importance.join(total, F.lit(True))
+    for plant, strongest in sorted(forest.at_once(importance, cutoffs), key=lambda x: x[0]):
+        total = strongest.agg(F.round(F.sum("importance"), 6).alias("total"))
+        rows = strongest.crossJoin(total)
         frames[plant] = rows.select("feature", "total", _between(F.col("importance"), 0.0, 1.0).alias("share"))
     return _per_plant(frames)
 
 
 @query
 def backtest(spark: SparkSession, sf: str) -> DataFrame:
-    """Every valid cut-off of every plant, each with its own forest."""
+    """Every valid cut-off of every plant, each learned from its own history, all in one fit."""
     plants = plant_table(spark, sf)
-    cutoffs = features.valid_cutoffs(plants, "ts", inputs.KEYS).collect()  # one row per plant and day
-    names = sorted({r["plant"] for r in cutoffs})
-    scored = {}
-    for plant in names:
-        days = sorted(r["day"] for r in cutoffs if r["plant"] == plant)
-        own = one_plant(plants, plant)
-        least, most = _bounds(own)
-        rows = forest.backtest(own, "ts", "power", days)
-        scored[plant] = rows.select(
-            _day("cutoff"), _time("ts"), _round("actual"), _between(F.col("power_pred"), least, most).alias("learned")
-        )
-    return _per_plant(scored)
+    # One fit has the nodes of all runs, a few hundred thousand with ten trees each.
+    days = features.valid_cutoffs(plants, "ts", inputs.KEYS)
+    found = leaves.keyed_runs(plants, inputs.KEYS, "ts", "power", days, trees=10)
+    rows = found.scored.join(found.bounds, [*inputs.KEYS, "cutoff"])
+    learned = _between(F.col("power_pred"), F.col("least"), F.col("most"))
+    return rows.select(_day("cutoff"), _time("ts"), _round("actual"), learned.alias("learned"), "plant")
+
+
+@query
+def keyed_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs whose result is determined, for every plant and valid cut-off day, one of the plants without a name: the hour
+    tells all that trees without drawn rows can learn, so a prediction is the mean of its hour in the run's own history."""
+    hour = F.hour(F.col("ts").cast("timestamp_ntz")).cast("double").alias("hour")
+    rows = _null_second(inputs.plant_rows(spark, sf)).select("plant", "ts", "event_id", "power", hour, F.lit(1.0).alias("constant"))
+    rows = stored(rows, "hours")
+    days = features.valid_cutoffs(rows, "ts", inputs.KEYS)
+    found = leaves.keyed_runs(rows, inputs.KEYS, "ts", "power", days, ["event_id"], trees=2, bootstrap=False)
+    frame = leaves.keyed_frame(rows, found, inputs.KEYS, "ts", "power", ["event_id"])
+    return frame.select("plant", _day("cutoff"), _time("ts"), "series", _round("value"))
 
 
 def _hour_runs(spark: SparkSession, sf: str) -> dict[int, forest.AsOfRun]:
@@ -760,6 +758,23 @@ def multistep_forecast(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def vector_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """A forecast whose result is determined: look-backs tell the plant and nothing else, so each step is the plant's mean
+    over the launches that were learned from. The bundle is written and read again."""
+    wide = stored(_complete(spark, sf), "wide")
+    own = wide.select("plant", "ts", "power", F.col("plant").cast("double").alias("discharge_class"))
+    config = replace(HOURLY, ma_hours=0, window_steps=3)
+    launches = forecast.daily_cutoffs(own, config, inputs.KEYS)
+    until = datetime.combine(CUTOFF, datetime.min.time())
+    bundle = leaves.train_vector(own, config, inputs.KEYS, launches, until=until, trees=3, bootstrap=False)
+    path = scratch_path(spark, "vector-model")
+    leaves.save_vector(spark, bundle, path)
+    later = launches.filter(F.col("cutoff") >= F.lit(CUTOFF))
+    rows = leaves.vector_forecast_cutoffs(own, leaves.load_vector(spark, path), later, inputs.KEYS)
+    return rows.select("plant", _time("cutoff"), F.col("step").cast("bigint").alias("step"), _time("ts"), _round("power_pred"))
+
+
 @query
 def multistep_training_rows(spark: SparkSession, sf: str) -> DataFrame:
     """What a bundle trained until the cut-off learns from: no target lies after it."""

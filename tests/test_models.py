@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hydroflow.config import ForecastConfig
-from hydroflow.operators import features, forecast, forest
+from hydroflow.operators import features, forecast, forest, leaves
 from hydroflow.operators.lookback import lookback
 
 START = datetime(2024, 1, 1)
@@ -247,3 +247,95 @@ def test_single_step_rows_are_those_of_the_whole_horizon(wide):
     every = forecast.training_rows(windows, frame, CONFIG, KEYS).filter("step = 3")
     only = forecast.training_rows(windows, frame, CONFIG, KEYS, step=3).select(*every.columns)
     assert sorted(every.collect()) == sorted(only.collect())
+
+
+# Leaf tables
+
+
+def test_vector_forecast_is_the_mean_of_its_leaf(spark, tmp_path):
+    """Look-backs of two classes: each step's forecast is the class's mean over the launches that have a target there."""
+    rows = [("A", START + timedelta(hours=h), float(h // 24 % 2), float(h % 7 + 100 * (h // 24 % 2))) for h in range(24 * 8) if h not in (37, 90)]
+    rows += [(None, *r[1:3], r[3] + 1000) for r in rows]
+    df = spark.createDataFrame(rows, "plant string, ts timestamp_ntz, discharge_class double, power double")
+    config = replace(CONFIG, ma_hours=0, window_steps=2)
+    bundle = leaves.train_vector(df, config, KEYS, trees=2, bootstrap=False)
+    leaves.save_vector(spark, bundle, str(tmp_path / "m"))
+    read = leaves.load_vector(spark, str(tmp_path / "m"))
+    got = leaves.vector_forecast_cutoffs(df, read, launches_of(df, config), KEYS).collect()
+    power = {(p, t): v for p, t, _, v in rows}
+    wanted = {}
+    for p, t, c, _ in rows:
+        if t.hour == config.demo_hour:
+            for step in range(1, 6):
+                same = [u for q, u, d, _ in rows if u.hour == config.demo_hour and d == c]
+                values = [power[q, u + timedelta(hours=step)] for u in same for q in ("A", None) if (q, u + timedelta(hours=step)) in power]
+                wanted[p, t, step] = sum(values) / len(values)
+    assert {(r.plant, r.cutoff, r.step): r.power_pred for r in got} == pytest.approx(wanted)
+    assert all(r.ts == r.cutoff + timedelta(hours=r.step) for r in got)
+    assert bundle.table.count() <= 2 * 2
+    with pytest.raises(FileNotFoundError):
+        leaves.load_vector(spark, str(tmp_path / "none"))
+
+
+def launches_of(df, config):
+    return forecast.daily_cutoffs(df, config, KEYS)
+
+
+def test_vector_forecast_repeats_no_lookback(spark, wide):
+    windows = lookback(wide, KEYS, ["ts"], NAMES, launches(wide), 6)
+    vectors = leaves.target_vectors(windows, wide, CONFIG, KEYS)
+    assert vectors.count() == windows.filter("status = 'ok'").count()
+    assert all(len(r.targets) == CONFIG.horizon_steps for r in vectors.collect())
+    until = leaves.target_vectors(windows, wide, CONFIG, KEYS, datetime(2024, 1, 2, 12)).collect()
+    assert {tuple(x is None for x in r.targets) for r in until if r.cutoff.day == 2} == {(False, False, True, True, True)}
+
+
+def keyed(spark, plants, days=3):
+    rows = [(p, START + timedelta(hours=h), float(h % 4), 10.0 * p + (h % 4) + h // 24) for p in range(plants) for h in range(24 * 4)]
+    df = spark.createDataFrame(rows, "plant int, ts timestamp_ntz, hour double, power double")
+    cutoffs = df.select("plant", F.to_date("ts").alias("day")).distinct().filter(F.dayofmonth("day") <= days)
+    return rows, df, cutoffs
+
+
+def test_keyed_runs_equal_runs_of_their_own(spark):
+    rows, df, cutoffs = keyed(spark, 3)
+    found = leaves.keyed_runs(df, KEYS, "ts", "power", cutoffs, trees=2, bootstrap=False)
+    got = {(r.plant, r.cutoff, r.ts): r.power_pred for r in found.scored.collect()}
+    wanted = {}
+    for p, t, hour, _ in rows:
+        for day in (1, 2, 3):
+            if t.date() == date(2024, 1, day + 1):
+                own = [v for q, u, h, v in rows if q == p and u.date() <= date(2024, 1, day) and h == hour]
+                wanted[p, date(2024, 1, day), t] = sum(own) / len(own)
+    assert got == pytest.approx(wanted)
+    peaks = {(r.plant, r.cutoff): r.peak for r in found.peaks(KEYS).collect()}
+    assert peaks == {(p, date(2024, 1, d)): 10.0 * p + 3 + d for p in range(3) for d in (1, 2, 3)}
+
+
+def test_keyed_runs_take_as_many_jobs_for_any_number_of_plants(spark):
+    def jobs(plants):
+        _, df, cutoffs = keyed(spark, plants, days=1)
+        spark.sparkContext.setJobGroup(f"keyed-{plants}", "")
+        leaves.keyed_runs(df, KEYS, "ts", "power", cutoffs, trees=1, bootstrap=False, max_depth=6)
+        n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"keyed-{plants}"))
+        spark.sparkContext.setJobGroup("others", "")
+        return n
+
+    few, many = jobs(2), jobs(14)
+    # Levels that part the runs: a few passes more, whatever the number of plants; a fit each would add hundreds.
+    assert many <= few + 8
+
+
+def test_keyed_runs_see_nothing_after_their_cutoff(spark):
+    _, df, cutoffs = keyed(spark, 2)
+    first = cutoffs.filter(F.dayofmonth("day") == 1)
+    changed = df.withColumn("power", F.when(F.dayofmonth("ts") > 2, F.lit(-999.0)).otherwise(F.col("power")))
+    runs = [leaves.keyed_runs(d, KEYS, "ts", "power", first, trees=3) for d in (df, changed)]
+    a, b = ([tuple(r) for r in found.scored.orderBy("plant", "ts").collect()] for found in runs)
+    assert a == b and len(a) == 48
+
+
+def test_keyed_runs_without_rows(spark):
+    _, df, cutoffs = keyed(spark, 1)
+    with pytest.raises(ValueError, match="no training rows"):
+        leaves.keyed_runs(df.limit(0), KEYS, "ts", "power", cutoffs)
