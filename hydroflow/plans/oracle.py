@@ -105,6 +105,35 @@ store AS (
   JOIN ds d ON d.datastream_id = w.datastream_id)"""
 
 
+REQUESTS = f"""WITH {THINGS}, {DATASTREAMS}, {OBS},
+asked AS (
+  SELECT c_custkey AS request_id, c_custkey AS k,
+    CASE WHEN c_custkey % 29 = 0 THEN '' WHEN c_custkey % 31 = 0 THEN 'no such place'
+      ELSE 'SUPPLIER#' || lpad(((c_custkey * 7) % 97)::VARCHAR, 9, '0') END AS text,
+    ['view', 'click', 'purchase', 'signup', 'error', 'flow'][c_custkey % 6 + 1] AS param,
+    ['15min', '1D', '15min', '1D', '15min', '1H'][(c_custkey // 6) % 6 + 1] AS freq,
+    (DATE '2024-01-01' + (c_custkey % 25)::INTEGER)::TIMESTAMP AS starts,
+    CASE WHEN c_custkey % 37 <> 0 THEN (DATE '2024-01-01' + (c_custkey % 25 + c_custkey % 41 - 1)::INTEGER)::TIMESTAMP END AS ends
+  FROM customer),
+named AS (
+  SELECT a.*, CASE WHEN text <> '' THEN (SELECT min(iot_id) FROM things t WHERE contains(lower(t.name), lower(a.text))) END AS thing_id
+  FROM asked a),
+matched AS (
+  SELECT n.*, t.name AS station, (SELECT min(datastream_id) FROM ds d WHERE d.thing_id = n.thing_id AND split_part(d.datastream, '@', 1) = n.param
+    AND d.type = CASE n.freq WHEN '1D' THEN 'TH_PEGELDATEN_1D' WHEN '15min' THEN 'TH_PEGELDATEN_15MIN' END) AS datastream_id
+  FROM named n LEFT JOIN things t ON t.iot_id = n.thing_id),
+held AS (
+  SELECT m.*, d.unit, o.ts, o.result FROM matched m JOIN ds d ON d.datastream_id = m.datastream_id
+  JOIN obs o ON o.datastream_id = m.datastream_id AND o.ts >= m.starts AND o.ts <= m.ends),
+outcome AS (
+  SELECT m.request_id, coalesce(n, 0)::BIGINT AS n_obs, CASE WHEN text = '' OR ends IS NULL THEN 'incomplete'
+    WHEN freq NOT IN ('1D', '15min') THEN 'bad_frequency'
+    WHEN param NOT IN (SELECT split_part(datastream, '@', 1) FROM ds) THEN 'bad_parameter'
+    WHEN thing_id IS NULL THEN 'no_station' WHEN datastream_id IS NULL THEN 'no_datastream'
+    WHEN n IS NULL THEN 'no_data' ELSE 'loaded' END AS status
+  FROM matched m LEFT JOIN (SELECT request_id, count(*) AS n FROM held GROUP BY 1) h ON h.request_id = m.request_id)"""
+
+
 def _exceed(condition: str) -> str:
     return f"""WITH {DATASTREAMS}, {OBS},
 hits AS (SELECT *, row_number() OVER (PARTITION BY datastream_id ORDER BY ts, obs_id) AS rank,
@@ -290,10 +319,31 @@ FROM newest n JOIN ds ON n.datastream_id = ds.datastream_id""",
     "missing_stations": f"{LOAD} SELECT text, status FROM status WHERE status <> 'loaded'",
     # Files
     "series_store": f"{LOAD} SELECT param, station_id, station, freq, unit, {_time('ts')} AS ts, result FROM store",
-    "series_store_counts": f"{LOAD} SELECT count(DISTINCT station) AS n_series, count(*) AS n_rows FROM store",
+    "series_store_counts": f"{LOAD} SELECT count(DISTINCT station) AS n_series, count(*) AS n_rows, 'true' AS few_files FROM store",
+    "store_versions": f"""{LOAD} SELECT param, station_id, freq, {_time('ts')} AS ts, round(result, 6) AS result FROM (
+  SELECT *, 0.0::DOUBLE AS r FROM store WHERE station_id % 7 = 0 UNION ALL
+  SELECT *, -result FROM store WHERE station_id % 7 <> 0 AND station_id % 5 = 0 AND result > 10 UNION ALL
+  SELECT *, result + 100 FROM store WHERE station_id % 7 <> 0 AND station_id % 3 = 0
+    AND NOT (station_id % 5 = 0 AND station_id IN (SELECT station_id FROM store WHERE result > 10)) UNION ALL
+  SELECT *, result FROM store WHERE station_id % 7 <> 0 AND station_id % 3 <> 0
+    AND NOT (station_id % 5 = 0 AND station_id IN (SELECT station_id FROM store WHERE result > 10))) x(
+    param, station_id, station, freq, unit, ts, old, result)""",
+    "bulk_requests": f"""{REQUESTS}
+SELECT request_id, param, thing_id AS station_id, station, freq, unit, {_time('ts')} AS ts, result FROM held""",
+    "request_status": f"""{REQUESTS}
+SELECT request_id, status, n_obs FROM outcome""",
     "page_roundtrip": f"WITH {OBS} SELECT datastream_id, {_time('ts')} AS ts, result FROM obs",
     "page_completeness": f"""WITH {OBS} SELECT datastream_id, count(*) AS fetched, count(*) AS announced,
        CAST(ceil(count(*) / 5.0) AS BIGINT) AS n_pages FROM obs GROUP BY 1""",
+    "page_chain": f"""WITH {OBS}, n AS (SELECT datastream_id, count(*) AS rows, ceil(count(*) / 5.0)::BIGINT AS pages FROM obs GROUP BY 1),
+kept AS (SELECT *, pages - (CASE WHEN datastream_id % 3 = 0 AND pages > 1 THEN 1 ELSE 0 END) - (CASE WHEN datastream_id % 7 = 0 THEN 1 ELSE 0 END) AS landed,
+  datastream_id % 7 = 0 AS headless, datastream_id % 3 = 0 AND pages > 1 AS cut FROM n)
+SELECT datastream_id, CASE WHEN headless THEN 'no_first' WHEN cut THEN 'broken' ELSE 'complete' END AS status,
+  CASE WHEN headless THEN 0 WHEN cut THEN 1 ELSE pages END AS n_pages,
+  (CASE WHEN headless THEN 0 WHEN cut THEN 5 ELSE rows END)::BIGINT AS n_rows,
+  CASE WHEN cut AND NOT headless THEN 'page=1' END AS missing,
+  landed - CASE WHEN headless THEN 0 WHEN cut THEN 1 ELSE pages END AS n_orphans
+FROM kept WHERE landed > 0""",
     "thing_pages": f"""WITH {THINGS} SELECT iot_id, name, description, NULLIF(station_id, '') AS station_id FROM things""",
     "datastream_pages": f"""WITH {DATASTREAMS}
 SELECT datastream_id AS iot_id, thing_id, datastream AS name, NULLIF(unit, '') AS unit, type, parameter,

@@ -26,12 +26,12 @@ from hydroflow.functions import (
 )
 from hydroflow.operators import catalog, features, forecast, forest, leaves, moving, observations, positions, resample
 from hydroflow.operators.lookback import lookback
-from hydroflow.plans import inputs
+from hydroflow.plans import inputs, requests
 from hydroflow.plans.bulk_load import BulkLoad, bulk_load
 from hydroflow.plans.relation import daily_relation, relation_strength
 from hydroflow.session import scratch_path, stored
 from hydroflow.sinks import series as sinks
-from hydroflow.sources import pages, tables
+from hydroflow.sources import chains, pages, tables
 from hydroflow.streaming import load_landed_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,7 +439,57 @@ def series_store(spark: SparkSession, sf: str) -> DataFrame:
 def series_store_counts(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "series")
     _load(spark, sf).write(path)
-    return sinks.count_series(sinks.read_series(spark, path)).select("n_series", "n_rows")
+    counts = sinks.count_series(spark, path)
+    # Files follow the rows, not the series.
+    return counts.select("n_series", "n_rows", (F.col("n_files") <= F.lit(8)).cast("string").alias("few_files"))
+
+
+@query
+def store_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Four loads into one store, the second and third of some stations only, compacted and cleaned before the last."""
+    path, load = scratch_path(spark, "versions"), _load(spark, sf).rows
+    load = stored(load, "loaded")
+    sinks.write_series(load, path)
+    sinks.write_series(load.filter("station_id % 3 = 0").withColumn("result", F.col("result") + 100), path)
+    sinks.write_series(load.filter("station_id % 5 = 0 and result > 10").withColumn("result", F.col("result") * -1), path)
+    sinks.compact(spark, path, loads=2)
+    sinks.vacuum(spark, path, keep_hours=0)
+    sinks.write_series(load.filter("station_id % 7 = 0").withColumn("result", F.lit(0.0)), path)
+    return sinks.read_series(spark, path).select("param", "station_id", "freq", _time("ts"), _round("result"))
+
+
+def _requests(spark: SparkSession, sf: str) -> DataFrame:
+    """A request of every customer: station text, parameter, frequency and window follow the customer's number. Windows
+    of customers of one station overlap; some parameters, frequencies, texts and ends are wrong or missing."""
+    key = F.col("c_custkey")
+    start = F.date_add(F.lit("2024-01-01").cast("date"), (key % 25).cast("int"))
+    kinds = F.array(*[F.lit(k) for k in ("view", "click", "purchase", "signup", "error", "flow")])
+    steps = F.array(*[F.lit(k) for k in ("15min", "1D", "15min", "1D", "15min", "1H")])
+    return inputs.table(spark, sf, "customer").select(
+        key.alias("request_id"),
+        F.when(key % 29 == 0, "").when(key % 31 == 0, "no such place").otherwise(
+            F.format_string("SUPPLIER#%09d", (key * 7) % 97)
+        ).alias("text"),
+        F.get(kinds, (key % 6).cast("int")).alias("param"),
+        F.get(steps, (F.floor(key / 6) % 6).cast("int")).alias("freq"),
+        F.date_format(start, "yyyy-MM-dd").alias("start"),
+        F.when(key % 37 != 0, F.date_format(F.date_add(start, (key % 41 - 1).cast("int")), "yyyy-MM-dd")).alias("end"),
+    )
+
+
+def _request_load(spark: SparkSession, sf: str):
+    things, ds = inputs.things(spark, sf), inputs.datastreams(spark, sf)
+    return requests.bulk_requests(_requests(spark, sf), things, ds, inputs.observations(spark, sf))
+
+
+@query
+def bulk_requests(spark: SparkSession, sf: str) -> DataFrame:
+    return _request_load(spark, sf).rows.select("request_id", "param", "station_id", "station", "freq", "unit", _time("ts"), "result")
+
+
+@query
+def request_status(spark: SparkSession, sf: str) -> DataFrame:
+    return _request_load(spark, sf).status.select("request_id", "status", "n_obs")
 
 
 def _landed_pages(spark: SparkSession, sf: str) -> str:
@@ -451,12 +501,12 @@ def _landed_pages(spark: SparkSession, sf: str) -> str:
     page = placed.groupBy("datastream_id", F.floor(F.col("pos") / PAGE_ROWS).alias("page")).agg(
         F.collect_list(entity).alias("value")
     )
-    linked = page.join(counts, "datastream_id").withColumn(
+    linked = page.join(counts, "datastream_id").withColumn("@iot.selfLink", F.concat(F.lit("page="), F.col("page"))).withColumn(
         "@iot.nextLink",
         F.when((F.col("page") + 1) * PAGE_ROWS < F.col("`@iot.count`"), F.concat(F.lit("page="), F.col("page") + 1)),
     )
     path = scratch_path(spark, "pages")
-    envelope = F.struct("datastream_id", "`@iot.count`", "`@iot.nextLink`", "value")
+    envelope = F.struct("datastream_id", "`@iot.count`", "`@iot.selfLink`", "`@iot.nextLink`", "value")
     linked.select(F.to_json(envelope).alias("line")).write.text(path)
     return path
 
@@ -473,6 +523,18 @@ def page_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return pages.page_completeness(landed).select("datastream_id", "fetched", "announced", "n_pages")
 
 
+@query
+def page_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Chains of which every series whose number divides by three has lost its second page, and every one whose number
+    divides by seven its first."""
+    landed = pages.read_pages(spark, _landed_pages(spark, sf), pages.OBSERVATIONS_PAGE)
+    own, key = F.col("`@iot.selfLink`"), F.col("datastream_id")
+    lost = ((key % 3 == 0) & (own == "page=1")) | ((key % 7 == 0) & (own == "page=0"))
+    return chains.chain_report(
+        landed.filter(~lost), ["datastream_id"], "`@iot.selfLink`", "`@iot.nextLink`", own == "page=0", F.size("value")
+    )
+
+
 def _landed_entities(spark: SparkSession, purpose: str, rows: DataFrame, owner: str | None, entity: Column) -> str:
     """Catalogue entities as landed page files: those of one owner on a page, or five by id where there is none."""
     page = F.col(owner) if owner else F.floor(F.col("iot_id") / 5)

@@ -15,7 +15,7 @@ LOCATION = "struct<name:string,location:struct<type:string,coordinates:array<dou
 def page_schema(entity: str, owner: str | None = None) -> str:
     """Envelope of a landed page; ``owner`` is the id of the parent entity, written by the lander."""
     head = f"{owner} bigint, " if owner else ""
-    return f"{head}`@iot.count` bigint, `@iot.nextLink` string, value array<{entity}>"
+    return f"{head}`@iot.count` bigint, `@iot.selfLink` string, `@iot.nextLink` string, value array<{entity}>"
 
 
 THINGS_PAGE = page_schema(THING)

@@ -1,21 +1,27 @@
-"""Writers: partitioned series store, single-series CSV, window export and forecast text."""
+"""Writers: versioned series store, single-series CSV, window export and forecast text."""
 
 from hydroflow.sinks.series import (
+    compact,
     count_series,
     export_csv,
     export_summary,
     export_window,
     read_series,
     render_forecast,
+    series_versions,
+    vacuum,
     write_series,
 )
 
 __all__ = [
+    "compact",
     "count_series",
     "export_csv",
     "export_summary",
     "export_window",
     "read_series",
     "render_forecast",
+    "series_versions",
+    "vacuum",
     "write_series",
 ]

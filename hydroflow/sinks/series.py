@@ -1,13 +1,16 @@
 """Writing series.
 
-The store has one directory per parameter, frequency and bucket of the station id; rows carry the id and the plain
-name of their station and are sorted by station and time inside the files, so row groups prune by both. The
-number of directories depends on the buckets, not on the stations.
+The store takes loads one after the other. A load writes its rows to directories of its own, below parameter and
+frequency, then one row per series to the list of series; only what is listed is read. Of a series the newest version counts.
+Inside the files rows are sorted by station and time, so row groups prune by both. The bytes that a load writes
+depend on the load alone; :func:`compact` and :func:`vacuum` are jobs of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import secrets
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,63 +19,137 @@ from hydroflow.operators.observations import in_range
 from hydroflow.operators.positions import null_safe_join
 from hydroflow.session import stored
 
-LAYOUT = ("param", "freq", "bucket")
+LAYOUT = ("param", "freq", "load")
 SERIES = ("param", "station_id", "freq")
-BUCKETS = 32
 STORED = (
     "ts timestamp_ntz, result double, unit string, station string, station_id bigint, "
-    "param string, freq string, bucket int"
+    "param string, freq string, load bigint"
 )
+LISTED = "param string, station_id bigint, freq string, version bigint, load bigint, n_rows bigint"
+#: Directories of a parameter and frequency that a compaction leaves alone.
+LOADS = 8
+_RANDOM_BITS = 12
 
 
-def write_series(obs: DataFrame, path: str, fmt: str = "parquet", buckets: int = BUCKETS) -> None:
-    """Write ``(param, station_id, station, freq, unit, ts, result)``; a series that is written again replaces its old rows.
+def _new_load() -> int:
+    """A number for a load: microseconds, then random bits, so that loads of one moment stay apart."""
+    return (time.time_ns() // 1000 << _RANDOM_BITS) | secrets.randbits(_RANDOM_BITS)
 
-    Only the buckets present in ``obs`` are rewritten, with the other series that they hold, so a failed or repeated
-    load leaves the rest alone. The number of buckets must not change over the life of a store. Adaptive
-    execution sizes the writing tasks and splits large buckets.
-    """
-    spark = obs.sparkSession
-    bucket = F.pmod(F.xxhash64("station_id"), F.lit(buckets)).cast("int")
+
+def _rows(spark: SparkSession, path: str, fmt: str, time_type: str) -> DataFrame:
+    schema = STORED.replace("timestamp_ntz", time_type)
+    return spark.read.schema(schema).option("header", True).format(fmt).load(f"{path}/rows")
+
+
+def _write_rows(rows: DataFrame, path: str, fmt: str, load: int) -> None:
+    """Adaptive execution sizes the writing tasks and splits large directories."""
     columns = [c.split()[0] for c in STORED.split(", ")]
-    rows = stored(obs.withColumn("bucket", bucket).select(*columns), "new-series")
-    try:
-        old = read_series(spark, path, fmt, dict(rows.dtypes)["ts"])
-        touched, written = rows.select(*LAYOUT).distinct(), rows.select(*SERIES).distinct()
-        old = null_safe_join(null_safe_join(old, touched, LAYOUT, "left_semi"), written, SERIES, "left_anti")
-        rows = rows.unionByName(stored(old.select(*columns), "kept-series"))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
     (
-        rows.hint("rebalance", *LAYOUT)
-        .sortWithinPartitions(*LAYOUT, "station_id", "ts")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        rows.withColumn("load", F.lit(load))
+        .select(*columns)
+        .hint("rebalance", "param", "freq")
+        .sortWithinPartitions("param", "freq", "station_id", "ts")
+        .write.mode("append")
         .option("header", True)
         .partitionBy(*LAYOUT)
         .format(fmt)
-        .save(path)
+        .save(f"{path}/rows")
     )
 
 
+def _list(series: DataFrame, path: str) -> None:
+    """The commit of a load: its series become what is read."""
+    series.select(*[c.split()[0] for c in LISTED.split(", ")]).coalesce(1).write.mode("append").parquet(f"{path}/series")
+
+
+def write_series(obs: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append a load ``(param, station_id, station, freq, unit, ts, result)``; its series replace their older versions.
+
+    Nothing that is there is read or moved. A load that fails before its series are listed leaves files that no reader
+    looks at. Of loads at the same time the one that began later counts, by the writers' clocks.
+    """
+    load, kind = _new_load(), dict(obs.dtypes)["ts"]
+    _write_rows(obs, path, fmt, load)
+    own = _rows(obs.sparkSession, path, fmt, kind).filter(F.col("load") == load)
+    counts = own.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n_rows"))
+    _list(counts.withColumns({"version": F.lit(load), "load": F.lit(load)}), path)
+
+
+def series_versions(spark: SparkSession, path: str) -> DataFrame:
+    """Every listed version of every series: when it was written (``version``) and the load that holds it now."""
+    return spark.read.schema(LISTED).parquet(f"{path}/series")
+
+
+def _newest(spark: SparkSession, path: str) -> DataFrame:
+    """The version of each series that counts; of the same version the one that was compacted last."""
+    last = series_versions(spark, path).groupBy(*SERIES).agg(F.max(F.struct("version", "load", "n_rows")).alias("last"))
+    return last.select(*SERIES, "last.*")
+
+
+def _current(rows: DataFrame, newest: DataFrame) -> DataFrame:
+    return null_safe_join(rows, newest.select(*SERIES, "load"), [*SERIES, "load"], "left_semi")
+
+
 def read_series(spark: SparkSession, path: str, fmt: str = "parquet", time_type: str = "timestamp_ntz") -> DataFrame:
-    """Read the store; filters on param and freq prune directories, those on station_id and ts row groups."""
-    schema = STORED.replace("timestamp_ntz", time_type)
-    return spark.read.schema(schema).option("header", True).format(fmt).load(path)
+    """Read the newest version of every series; filters on param and freq prune directories, those on station_id and ts
+    row groups. The list of series is joined by its size; hot series are split by the adaptive skew join."""
+    return _current(_rows(spark, path, fmt, time_type), _newest(spark, path)).drop("load")
 
 
-def count_series(store: DataFrame) -> DataFrame:
-    """Number of series, data files and rows in the store."""
-    return store.select(*SERIES, F.col("_metadata.file_path").alias("file")).groupBy(*SERIES, "file").agg(
-        F.count(F.lit(1)).alias("n")
-    ).agg(
+def count_series(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Number of series, data files and rows that are read."""
+    rows = _rows(spark, path, fmt, "timestamp_ntz").select(*SERIES, "load", F.col("_metadata.file_path").alias("file"))
+    held = rows.groupBy(*SERIES, "load", "file").agg(F.count(F.lit(1)).alias("n"))
+    return _current(held, _newest(spark, path)).agg(
         F.count_distinct(F.struct(*SERIES)).alias("n_series"),
         F.count_distinct("file").alias("n_files"),
         F.sum("n").alias("n_rows"),
     )
 
 
+def compact(spark: SparkSession, path: str, fmt: str = "parquet", loads: int = LOADS, time_type: str = "timestamp_ntz") -> bool:
+    """Write what counts in every parameter and frequency that lies in more than ``loads`` loads once more, as one load.
+
+    Series keep their version, so a load that comes in meanwhile still counts. True if there was something to do.
+    """
+    newest = _newest(spark, path)
+    crowded = series_versions(spark, path).groupBy("param", "freq").agg(F.count_distinct("load").alias("n")).filter(F.col("n") > loads)
+    crowded_only = null_safe_join(newest, crowded.select("param", "freq"), ["param", "freq"], "left_semi")
+    # Fixed, as rows and list must agree on the versions that are moved.
+    moved = stored(crowded_only, "compacted")
+    if moved.isEmpty():
+        return False
+    load = _new_load()
+    _write_rows(_current(_rows(spark, path, fmt, time_type), moved), path, fmt, load)
+    _list(moved.withColumn("load", F.lit(load)), path)
+    return True
+
+
+def vacuum(spark: SparkSession, path: str, keep_hours: float = 24.0) -> int:
+    """Delete the directories that no listed series needs any more, and return how many.
+
+    Those of the last ``keep_hours`` stay, for readers and writers that are still at work. The list of series is written
+    anew with the versions that count.
+    """
+    newest = _newest(spark, path)
+    old_lists = series_versions(spark, path).inputFiles()
+    newest = stored(newest, "listed")
+    needed = {r["load"] for r in newest.select("load").distinct().toLocalIterator()}  # a number per load
+    _list(newest, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in old_lists:
+        files.delete(hadoop.Path(name), False)
+    before = int((time.time() - keep_hours * 3600) * 1e6) << _RANDOM_BITS
+    dropped = 0
+    for folder in files.globStatus(hadoop.Path(f"{path}/rows/*/*/load=*")):
+        load = int(folder.getPath().getName().removeprefix("load="))
+        if load < before and load not in needed:
+            files.delete(folder.getPath(), True)
+            dropped += 1
+    return dropped
+
+
 def _iso_text(time: Column, kind: str) -> Column:
     """UTC ISO text. Instants are read in UTC whatever the session's zone; zone-free times are taken as UTC."""
     utc = F.to_utc_timestamp(time, F.current_timezone()) if kind == "timestamp" else time

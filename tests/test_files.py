@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from hydroflow.schemas import OBSERVATIONS_PAGE
 from hydroflow.sinks import series as sinks
-from hydroflow.sources import pages, tables
+from hydroflow.sources import chains, pages, tables
 from hydroflow.streaming import load_landed_pages
 
 
@@ -84,7 +85,7 @@ def test_store_replaces_only_written_series(spark, rows, tmp_path, fmt):
     assert sorted((r["station"], r["result"], r["unit"]) for r in got.collect()) == [
         ("Gera", 5.0, "cm"), ("Jena / Saale", 10.0, "m³/s"), ("Jena / Saale", 20.0, "m³/s"), ("Jena / Saale", 30.0, "m³/s"),
     ]
-    counts = sinks.count_series(got).first()
+    counts = sinks.count_series(spark, path, fmt).first()
     assert (counts["n_series"], counts["n_rows"]) == (2, 4) and counts["n_files"] >= 2
     plan = got.filter("param = 'Q'")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(param" in plan
@@ -94,14 +95,72 @@ def test_store_keeps_stations_of_like_names_apart(spark, tmp_path):
     path, n = str(tmp_path / "store"), 60
     data = [("Q", i, "A/B" if i % 2 else "A-B", "1D", "x", datetime(2024, 1, 1), float(i)) for i in range(n)]
     schema = "param string, station_id bigint, station string, freq string, unit string, ts timestamp_ntz, result double"
-    sinks.write_series(spark.createDataFrame(data, schema), path, buckets=4)
+    sinks.write_series(spark.createDataFrame(data, schema), path)
     again = spark.createDataFrame([("Q", 3, "A/B", "1D", "x", datetime(2024, 1, 2), -1.0)], schema)
-    sinks.write_series(again, path, buckets=4)
+    sinks.write_series(again, path)
     store = sinks.read_series(spark, path)
     got = {(r["station_id"], r["station"], r["result"]) for r in store.collect()}
     assert got == {(i, s, -1.0 if i == 3 else v) for _, i, s, _, _, _, v in data}
-    counts = sinks.count_series(store).first()
-    assert counts["n_series"] == n and counts["n_files"] <= 8
+    counts = sinks.count_series(spark, path).first()
+    assert counts["n_series"] == n and counts["n_files"] <= 4
+
+
+def size_of(path):
+    return sum(f.stat().st_size for f in Path(path).rglob("*") if f.is_file())
+
+
+def series_rows(spark, ids, value, n=50):
+    schema = "param string, station_id bigint, station string, freq string, unit string, ts timestamp_ntz, result double"
+    data = [("Q", i, f"S{i}", "1D", "x", datetime(2024, 1, 1, h % 24, h // 24), value) for i in ids for h in range(n)]
+    return spark.createDataFrame(data, schema)
+
+
+def test_a_load_writes_the_same_bytes_whatever_the_store_holds(spark, tmp_path):
+    grown = []
+    for n in (1, 300):
+        path = str(tmp_path / f"store-{n}")
+        sinks.write_series(series_rows(spark, range(1000, 1000 + n), 1.5), path)
+        before = size_of(path)
+        sinks.write_series(series_rows(spark, [7], 2.5), path)
+        grown.append(size_of(path) - before)
+    assert abs(grown[0] - grown[1]) < 200
+
+
+def test_compaction_and_vacuum_keep_what_counts(spark, tmp_path):
+    path = str(tmp_path / "store")
+    for value in (1.0, 2.0, 3.0):
+        sinks.write_series(series_rows(spark, range(int(value), 6), value, 2), path)
+    sinks.write_series(series_rows(spark, [None], 9.0, 2), path)
+    wanted = {1: 1.0, 2: 2.0, 3: 3.0, 4: 3.0, 5: 3.0, None: 9.0}
+
+    def held():
+        rows = sinks.read_series(spark, path).collect()
+        assert len(rows) == 2 * len({r["station_id"] for r in rows})
+        return {r["station_id"]: r["result"] for r in rows}
+
+    assert held() == wanted
+    assert not sinks.compact(spark, path, loads=8)
+    assert sinks.compact(spark, path, loads=2)
+    assert held() == wanted
+    assert sinks.vacuum(spark, path) == 0 and held() == wanted
+    assert sinks.vacuum(spark, path, keep_hours=-1) == 4 and held() == wanted
+    assert sinks.series_versions(spark, path).count() == len(wanted)
+    sinks.write_series(series_rows(spark, [4], 5.0, 2), path)
+    assert held() == wanted | {4: 5.0}
+
+
+def test_rows_of_a_load_that_failed_are_not_read(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    sinks.write_series(series_rows(spark, [1, 2], 1.0, 2), path)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "_list", fail)
+        with pytest.raises(RuntimeError):
+            sinks.write_series(series_rows(spark, [2, 3], 5.0, 2), path)
+    assert {(r["station_id"], r["result"]) for r in sinks.read_series(spark, path).collect()} == {(1, 1.0), (2, 1.0)}
 
 
 def test_csv_has_the_value_header_and_reads_back(spark, rows, tmp_path):
@@ -201,3 +260,28 @@ def test_stream_takes_each_page_once(spark, tmp_path):
     load_landed_pages(spark, str(landing), out, state, max_files=1)
     load_landed_pages(spark, str(landing), out, state)
     assert sorted(r["result"] for r in spark.read.parquet(out).collect()) == [1.0, 2.0, 3.0]
+
+
+def report(spark, pages, first=("p0",)):
+    df = spark.createDataFrame(pages, "series bigint, own string, next string, n int")
+    got = chains.chain_report(df, ["series"], "own", "next", F.col("own").isin(*first), F.col("n")).collect()
+    return {r.series: (r.status, r.n_pages, r.n_rows, r.missing, r.n_orphans) for r in got}
+
+
+def test_page_chains(spark):
+    whole = [(1, f"p{i}", f"p{i + 1}" if i < 36 else None, 2) for i in range(37)]
+    broken = [(2, "p0", "p1", 1), (2, "p2", "p3", 1), (2, "p3", None, 1)]
+    loop = [(3, "p0", "p1", 1), (3, "p1", "p2", 1), (3, "p2", "p1", 1)]
+    headless = [(4, "p1", "p2", 1), (4, "p2", None, 1)]
+    unnamed = [(None, "p0", None, 4), (None, "p0", None, 4), (None, "x", "y", 1)]
+    assert report(spark, whole + broken + loop + headless + unnamed) == {
+        1: ("complete", 37, 74, None, 0), 2: ("broken", 1, 1, "p1", 2), 3: ("loop", 3, 3, None, 0), 4: ("no_first", 0, 0, None, 2),
+        None: ("complete", 1, 4, None, 1),
+    }
+    assert report(spark, []) == {}
+
+
+def test_pages_of_a_chain_are_in_order(spark):
+    df = spark.createDataFrame([(1, f"p{i}", f"p{i + 1}") for i in range(20)], "series int, own string, next string")
+    order = chains.follow_links(df, ["series"], "own", "next", F.col("own") == "p0").orderBy("at").collect()
+    assert [(r.page, r["at"]) for r in order] == [(f"p{i}", i) for i in range(20)]
