@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from hydroflow.config import FREQ_TO_TYPE
+from hydroflow.operators.names import resolve_names
 
 THING_DEFAULTS = {"description": "", "station_id": ""}
 
@@ -37,30 +41,8 @@ def find_station(things: DataFrame, text: str) -> DataFrame:
 
 
 def resolve_stations(requested: DataFrame, things: DataFrame) -> DataFrame:
-    """For each distinct text the station :func:`find_station` would pick, NULL where there is none.
-
-    Substring search as an equi-join: the parts of station names that have the length of some requested text are
-    keys. Names meet the distinct lengths in an equi-join over their own possible lengths, and give one part per
-    place and length. The smallest id per part is taken before the join, so a text that many names share stays
-    one row.
-    """
-    asked = requested.select("text").distinct().withColumn("part", F.lower("text"))
-    lengths = asked.select(F.length("part").alias("n")).filter("n > 0").distinct()
-    low = things.select("iot_id", F.lower("name").alias("low"))
-    parts = (
-        low.filter(F.length("low") > 0)
-        .withColumn("n", F.explode(F.sequence(F.lit(1), F.length("low"))))
-        .join(lengths, "n")
-        .withColumn("start", F.explode(F.sequence(F.lit(1), F.length("low") - F.col("n") + 1)))
-        .select("iot_id", F.substr("low", "start", "n").alias("part"))
-    )
-    first = parts.groupBy("part").agg(F.min("iot_id").alias("thing_id"))
-    names = things.select(F.col("iot_id").alias("thing_id"), F.col("name").alias("station"))
-    return (
-        asked.join(first, "part", "left")
-        .join(names, "thing_id", "left")
-        .select("text", "thing_id", "station")
-    )
+    """For each distinct text the station :func:`find_station` would pick, NULL where there is none."""
+    return resolve_names(requested, things)
 
 
 def type_of(freq: str) -> str:
@@ -91,13 +73,10 @@ def match_datastreams(datastreams: DataFrame, parameter: str, freq: str) -> Data
     wanted = datastreams.filter(
         F.startswith("name", F.lit(f"{parameter}@")) & (F.col("type") == type_of(freq))
     )
-    picked = wanted.groupBy("thing_id").agg(F.min(F.struct("iot_id", "name", "unit", "phenomenon_time")).alias("ds"))
-    return picked.select(
-        "thing_id",
-        F.col("ds.iot_id").alias("datastream_id"),
-        F.col("ds.name").alias("datastream"),
-        F.col("ds.unit").alias("unit"),
-        F.col("ds.phenomenon_time").alias("phenomenon_time"),
+    # Plain numbers only, so that it stays a hash aggregate; ids are unique.
+    picked = wanted.groupBy("thing_id").agg(F.min("iot_id").alias("iot_id"))
+    return wanted.join(picked, ["thing_id", "iot_id"]).select(
+        "thing_id", F.col("iot_id").alias("datastream_id"), F.col("name").alias("datastream"), "unit", "phenomenon_time"
     )
 
 
@@ -159,9 +138,12 @@ def stations_in_box(
     return list_stations(things.join(ids, "iot_id", "left_semi"), limit)
 
 
-def last_by_name(things: DataFrame, ingest_order: str) -> DataFrame:
-    """One row per name with its description and properties; the last one loaded wins."""
-    latest = things.groupBy("name").agg(
-        F.max(F.struct(F.col(ingest_order), "description", "station_id")).alias("last")
-    )
-    return latest.select("name", "last.description", "last.station_id")
+def last_by_name(things: DataFrame, ingest_order: str, attributes: Sequence[str] | None = None) -> DataFrame:
+    """One row per name with its attributes (all other columns unless given, so all properties); the last one loaded wins.
+
+    Each task passes on one row of a name at most. Of rows of one name and order the one of the smallest content hash counts.
+    """
+    attributes = [c for c in things.columns if c not in ("name", ingest_order)] if attributes is None else attributes
+    content = F.xxhash64(*[F.to_json(F.struct(c)) for c in attributes])
+    newest = W.partitionBy("name").orderBy(F.desc(ingest_order), content)
+    return things.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").select("name", *attributes)

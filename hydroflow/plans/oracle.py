@@ -290,8 +290,26 @@ SELECT thing_id, name, round(lon, 6) AS lon, round(lat, 6) AS lat, 'true' AS is_
 SELECT iot_id, name, description, station_id, row_number() OVER (ORDER BY name, iot_id) - 1 AS place
 FROM things WHERE iot_id IN (
   SELECT thing_id FROM locations WHERE lon > 10.25 AND lon < 11.95 AND lat > 50.45 AND lat < 51.35)""",
+    "stations_in_regions": f"""WITH {THINGS}, {LOCATIONS}, nations AS (
+  SELECT DISTINCT s_nationkey AS k, 9.87::DOUBLE + (s_nationkey % 10) * 0.21::DOUBLE AS x, 50.27::DOUBLE + (s_nationkey % 5) * 0.23::DOUBLE AS y FROM supplier)
+SELECT DISTINCT region_id, iot_id, things.name FROM (
+  SELECT 'box ' || k AS region_id, thing_id FROM nations, locations WHERE lon > x AND lon < x + 0.55 AND lat > y AND lat < y + 0.41
+  UNION ALL
+  SELECT 'diamond ' || k, thing_id FROM nations, locations WHERE abs(lon - x) / 0.37 + abs(lat - y) / 0.29 < 1) r
+JOIN things ON iot_id = thing_id""",
+    "correlation_matrix": f"""WITH {WIDE}, long AS (
+  SELECT plant, ts, unnest(['discharge_view', 'discharge_click', 'power', 'constant']) AS name, unnest([1, 2, 3, 4]) AS i,
+    unnest([discharge_view, discharge_click, power, 7.0]) AS v FROM wide),
+pairs AS (SELECT a.plant, a.name AS a, b.name AS b, a.v AS x, b.v AS y FROM long a JOIN long b ON a.plant = b.plant AND a.ts = b.ts AND a.i < b.i)
+SELECT plant, a, b, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS n,
+  CASE WHEN b <> 'constant' THEN round(corr(x, y) FILTER (x IS NOT NULL AND y IS NOT NULL), 6) END AS corr FROM pairs GROUP BY 1, 2, 3""",
+    "trailing_mean_year": f"""WITH {PLANTS}
+SELECT nullif(p, 9) AS plant, event_id, round(avg(power) OVER (PARTITION BY p ORDER BY ts, event_id ROWS 35039 PRECEDING), 6) AS year_mean
+FROM (SELECT *, CASE WHEN event_id % 5 <> 0 THEN plant ELSE 9 END AS p FROM plants)""",
+    "trailing_mean_long": f"""WITH {PLANTS}
+SELECT plant, event_id, round(avg(power) OVER (PARTITION BY plant ORDER BY ts, event_id ROWS 95 PRECEDING), 6) AS day_mean FROM plants""",
     "dedupe_last_by_name": """SELECT p_name AS name, p_brand AS description,
-       CASE WHEN p_size > 25 THEN p_type END AS station_id
+       CASE WHEN p_size > 25 THEN p_type END AS station_id, CAST(p_size AS VARCHAR) AS size
 FROM part QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) = 1""",
     # Observations
     "observation_window": f"""WITH {OBS}, {WINDOW}
@@ -320,6 +338,8 @@ FROM newest n JOIN ds ON n.datastream_id = ds.datastream_id""",
     # Files
     "series_store": f"{LOAD} SELECT param, station_id, station, freq, unit, {_time('ts')} AS ts, result FROM store",
     "series_store_counts": f"{LOAD} SELECT count(DISTINCT station) AS n_series, count(*) AS n_rows, 'true' AS few_files FROM store",
+    "store_ranges": f"""{LOAD} SELECT param, station_id, freq, count(*) AS n_rows, {_time('min(ts)')} AS first_ts, {_time('max(ts)')} AS last_ts
+FROM store GROUP BY 1, 2, 3""",
     "store_versions": f"""{LOAD} SELECT param, station_id, freq, {_time('ts')} AS ts, round(result, 6) AS result FROM (
   SELECT *, 0.0::DOUBLE AS r FROM store WHERE station_id % 7 = 0 UNION ALL
   SELECT *, -result FROM store WHERE station_id % 7 <> 0 AND station_id % 5 = 0 AND result > 10 UNION ALL

@@ -24,7 +24,7 @@ from hydroflow.functions import (
     series_name,
     value_name,
 )
-from hydroflow.operators import catalog, features, forecast, forest, leaves, moving, observations, positions, resample
+from hydroflow.operators import catalog, correlate, features, forecast, forest, leaves, moving, observations, positions, regions, resample
 from hydroflow.operators.lookback import lookback
 from hydroflow.plans import inputs, requests
 from hydroflow.plans.bulk_load import BulkLoad, bulk_load
@@ -341,9 +341,48 @@ def dedupe_last_by_name(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey").alias("iot_id"),
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("description"),
-        F.when(F.col("p_size") > 25, F.col("p_type")).alias("station_id"),
+        F.create_map(
+            F.lit("station_id"), F.when(F.col("p_size") > 25, F.col("p_type")), F.lit("size"), F.col("p_size").cast("string")
+        ).alias("properties"),
     )
-    return catalog.last_by_name(parts, "iot_id")
+    last = catalog.last_by_name(parts, "iot_id")
+    return last.select("name", "description", F.col("properties")["station_id"].alias("station_id"), F.col("properties")["size"].alias("size"))
+
+
+@query
+def stations_in_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """A box and a diamond of every nation, laid over the stations."""
+    key = F.col("s_nationkey")
+    nations = inputs.table(spark, sf, "supplier").select("s_nationkey").distinct()
+    lon, lat = F.lit(9.87) + (key % 10) * F.lit(0.21), F.lit(50.27) + (key % 5) * F.lit(0.23)
+    corner = [(lon - 0.37, lat), (lon, lat + 0.29), (lon + 0.37, lat), (lon, lat - 0.29)]
+    diamond = F.array(*[F.struct(x.alias("lon"), y.alias("lat")) for x, y in corner])
+    shapes = [
+        nations.select(F.concat(F.lit("box "), key.cast("string")).alias("region_id"), regions.box_ring(lon, lat, lon + 0.55, lat + 0.41).alias("ring")),
+        nations.select(F.concat(F.lit("diamond "), key.cast("string")).alias("region_id"), diamond.alias("ring")),
+    ]
+    return regions.stations_in_regions(inputs.things(spark, sf), inputs.locations(spark, sf), shapes[0].unionByName(shapes[1]))
+
+
+@query
+def correlation_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pair of hourly columns of every plant, with hours where some are missing, and a constant."""
+    wide = inputs.hourly_wide(spark, sf).withColumn("constant", F.lit(7.0))
+    return correlate.correlation_matrix(wide, [*inputs.HOURLY, "constant"], inputs.KEYS).select("plant", "a", "b", "n", _round("corr"))
+
+
+@query
+def trailing_mean_year(spark: SparkSession, sf: str) -> DataFrame:
+    """A frame as long as a year of quarter hours, of series without and with a name."""
+    rows = moving.long_trailing_mean(_null_plants(spark, sf), inputs.KEYS, inputs.ORDER, "power", 35_040, "year_mean", chunk_rows=1000)
+    return rows.select("plant", "event_id", _round("year_mean"))
+
+
+@query
+def trailing_mean_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of 96 rows that reach over several chunks."""
+    rows = moving.long_trailing_mean(inputs.plant_rows(spark, sf), inputs.KEYS, inputs.ORDER, "power", 96, "day_mean", chunk_rows=40)
+    return rows.select("plant", "event_id", _round("day_mean"))
 
 
 # Observations
@@ -444,6 +483,15 @@ def series_store_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counts.select("n_series", "n_rows", (F.col("n_files") <= F.lit(8)).cast("string").alias("few_files"))
 
 
+@query
+def store_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Count and time range of every stored series without reading its rows."""
+    path = scratch_path(spark, "ranges")
+    _load(spark, sf).write(path)
+    ranges = sinks.series_ranges(spark, path)
+    return ranges.select("param", "station_id", "freq", "n_rows", _time("first_ts"), _time("last_ts"))
+
+
 @query
 def store_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Four loads into one store, the second and third of some stations only, compacted and cleaned before the last."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-THING = "struct<`@iot.id`:bigint,name:string,description:string,properties:struct<station_id:string>>"
+THING = "struct<`@iot.id`:bigint,name:string,description:string,properties:map<string,string>>"
 DATASTREAM = (
     "struct<`@iot.id`:bigint,name:string,unitOfMeasurement:struct<symbol:string>,"
     "properties:struct<type:string,parameter:string,station_id:string,measurement_start:string>,"

@@ -8,6 +8,7 @@ from hydroflow.sinks.series import (
     export_window,
     read_series,
     render_forecast,
+    series_ranges,
     series_versions,
     vacuum,
     write_series,
@@ -21,6 +22,7 @@ __all__ = [
     "export_window",
     "read_series",
     "render_forecast",
+    "series_ranges",
     "series_versions",
     "vacuum",
     "write_series",

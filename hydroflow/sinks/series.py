@@ -25,7 +25,9 @@ STORED = (
     "ts timestamp_ntz, result double, unit string, station string, station_id bigint, "
     "param string, freq string, load bigint"
 )
-LISTED = "param string, station_id bigint, freq string, version bigint, load bigint, n_rows bigint"
+LISTED = (
+    "param string, station_id bigint, freq string, version bigint, load bigint, n_rows bigint, first_ts timestamp_ntz, last_ts timestamp_ntz"
+)
 #: Directories of a parameter and frequency that a compaction leaves alone.
 LOADS = 8
 _RANDOM_BITS = 12
@@ -71,21 +73,27 @@ def write_series(obs: DataFrame, path: str, fmt: str = "parquet") -> None:
     load, kind = _new_load(), dict(obs.dtypes)["ts"]
     _write_rows(obs, path, fmt, load)
     own = _rows(obs.sparkSession, path, fmt, kind).filter(F.col("load") == load)
-    counts = own.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = own.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     _list(counts.withColumns({"version": F.lit(load), "load": F.lit(load)}), path)
 
 
-def series_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Every listed version of every series: when it was written (``version``) and the load that holds it now."""
-    return spark.read.schema(LISTED).parquet(f"{path}/series")
+def series_versions(spark: SparkSession, path: str, time_type: str = "timestamp_ntz") -> DataFrame:
+    """Every listed version of every series: when it was written (``version``), the load that holds it now, its rows and times."""
+    return spark.read.schema(LISTED.replace("timestamp_ntz", time_type)).parquet(f"{path}/series")
 
 
-def _newest(spark: SparkSession, path: str) -> DataFrame:
+def _newest(spark: SparkSession, path: str, time_type: str = "timestamp_ntz") -> DataFrame:
     """The version of each series that counts; of the same version the one that was compacted last."""
-    last = series_versions(spark, path).groupBy(*SERIES).agg(F.max(F.struct("version", "load", "n_rows")).alias("last"))
+    listed = series_versions(spark, path, time_type)
+    last = listed.groupBy(*SERIES).agg(F.max(F.struct("version", "load", "n_rows", "first_ts", "last_ts")).alias("last"))
     return last.select(*SERIES, "last.*")
 
 
+def series_ranges(spark: SparkSession, path: str, time_type: str = "timestamp_ntz") -> DataFrame:
+    """Row count and time range of every series, from the list alone: no row of the store is read."""
+    return _newest(spark, path, time_type).select(*SERIES, "n_rows", "first_ts", "last_ts")
+
+
 def _current(rows: DataFrame, newest: DataFrame) -> DataFrame:
     return null_safe_join(rows, newest.select(*SERIES, "load"), [*SERIES, "load"], "left_semi")
 
@@ -93,7 +101,7 @@ def _current(rows: DataFrame, newest: DataFrame) -> DataFrame:
 def read_series(spark: SparkSession, path: str, fmt: str = "parquet", time_type: str = "timestamp_ntz") -> DataFrame:
     """Read the newest version of every series; filters on param and freq prune directories, those on station_id and ts
     row groups. The list of series is joined by its size; hot series are split by the adaptive skew join."""
-    return _current(_rows(spark, path, fmt, time_type), _newest(spark, path)).drop("load")
+    return _current(_rows(spark, path, fmt, time_type), _newest(spark, path, time_type)).drop("load")
 
 
 def count_series(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -112,8 +120,8 @@ def compact(spark: SparkSession, path: str, fmt: str = "parquet", loads: int = L
 
     Series keep their version, so a load that comes in meanwhile still counts. True if there was something to do.
     """
-    newest = _newest(spark, path)
-    crowded = series_versions(spark, path).groupBy("param", "freq").agg(F.count_distinct("load").alias("n")).filter(F.col("n") > loads)
+    newest = _newest(spark, path, time_type)
+    crowded = series_versions(spark, path, time_type).groupBy("param", "freq").agg(F.count_distinct("load").alias("n")).filter(F.col("n") > loads)
     crowded_only = null_safe_join(newest, crowded.select("param", "freq"), ["param", "freq"], "left_semi")
     # Fixed, as rows and list must agree on the versions that are moved.
     moved = stored(crowded_only, "compacted")
@@ -125,14 +133,14 @@ def compact(spark: SparkSession, path: str, fmt: str = "parquet", loads: int = L
     return True
 
 
-def vacuum(spark: SparkSession, path: str, keep_hours: float = 24.0) -> int:
+def vacuum(spark: SparkSession, path: str, keep_hours: float = 24.0, time_type: str = "timestamp_ntz") -> int:
     """Delete the directories that no listed series needs any more, and return how many.
 
     Those of the last ``keep_hours`` stay, for readers and writers that are still at work. The list of series is written
     anew with the versions that count.
     """
-    newest = _newest(spark, path)
-    old_lists = series_versions(spark, path).inputFiles()
+    newest = _newest(spark, path, time_type)
+    old_lists = series_versions(spark, path, time_type).inputFiles()
     newest = stored(newest, "listed")
     needed = {r["load"] for r in newest.select("load").distinct().toLocalIterator()}  # a number per load
     _list(newest, path)

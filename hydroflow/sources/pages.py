@@ -20,9 +20,10 @@ def read_pages(spark: SparkSession, path: str, schema: str, multi_line: bool = F
 
 
 def things_of(pages: DataFrame) -> DataFrame:
+    """Flat stations; ``properties`` holds all of them as text."""
     thing = pages.select(F.inline("value"))
     return thing.select(
-        F.col("`@iot.id`").alias("iot_id"), "name", "description", F.col("properties.station_id").alias("station_id")
+        F.col("`@iot.id`").alias("iot_id"), "name", "description", F.col("properties")["station_id"].alias("station_id"), "properties"
     )
 
 

@@ -24,11 +24,13 @@ def obs_page(times, **extra):
 
 def test_things_tolerate_missing_attributes(spark, tmp_path):
     land(tmp_path, "things.json", {"value": [
-        {"@iot.id": 1, "name": "A", "description": "d", "properties": {"station_id": "9"}},
+        {"@iot.id": 1, "name": "A", "description": "d", "properties": {"station_id": "9", "river": "Saale", "km": 3}},
         {"@iot.id": 2, "name": "B", "properties": None},
     ]})
     rows = pages.read_things(spark, str(tmp_path)).orderBy("iot_id").collect()
-    assert [tuple(r) for r in rows] == [(1, "A", "d", "9"), (2, "B", None, None)]
+    assert [tuple(r) for r in rows] == [
+        (1, "A", "d", "9", {"station_id": "9", "river": "Saale", "km": "3"}), (2, "B", None, None, None)
+    ]
 
 
 def test_datastreams_split_the_available_range(spark, tmp_path):
@@ -145,6 +147,9 @@ def test_compaction_and_vacuum_keep_what_counts(spark, tmp_path):
     assert sinks.vacuum(spark, path) == 0 and held() == wanted
     assert sinks.vacuum(spark, path, keep_hours=-1) == 4 and held() == wanted
     assert sinks.series_versions(spark, path).count() == len(wanted)
+    ranges = sinks.series_ranges(spark, path)
+    assert {(r.n_rows, r.first_ts, r.last_ts) for r in ranges.collect()} == {(2, datetime(2024, 1, 1, 0), datetime(2024, 1, 1, 1))}
+    assert "/rows" not in "".join(ranges.inputFiles())
     sinks.write_series(series_rows(spark, [4], 5.0, 2), path)
     assert held() == wanted | {4: 5.0}
 
