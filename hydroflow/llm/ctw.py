@@ -5,12 +5,13 @@ bytes before it, down to DEPTH of them. A tree node holds how often each bit fol
 next bit by Krichevsky and Trofimov. Weighting mixes, at every node, its own estimate with that of its children, by how
 well either coded the training texts; this gives the code length of a byte as a mixture over all depths.
 
-Training is counting: every task counts byte n-grams and words of its training texts, Spark adds them up. A node's key
-holds the context, its last byte lowest, and the decision. N-grams are dealt out and sorted by the last TOP + 1 bytes of
-their contexts; tasks walk them in pieces that end where those bytes change, so all nodes deeper than TOP lie within one
-piece. The sums of the nodes of depth TOP, and from there of one aggregation per depth, give the weights of the upper
-nodes; what these mix is sent to the tasks (2 ** 24 nodes at most) for the way down. Deeper nodes are never gathered:
-they grow with the texts.
+Training is counting: every task counts byte n-grams and words of its training texts. One exchange deals n-grams out by
+the last TOP + 1 bytes of their contexts, and words by themselves; tasks add up what they get and write it in pieces that
+end where those bytes change, a row each, so all nodes deeper than TOP lie within one piece, and later steps read pieces
+without another exchange. A node's key holds the context, its last byte lowest, and the decision. With every piece go
+the sums that it gives the nodes of depth TOP; from there one aggregation per depth gives the weights of the upper nodes,
+and what these mix is sent to the tasks (2 ** 24 nodes at most) for the way down. Deeper nodes are never gathered: they
+grow with the texts.
 
 Every n-gram of the documents gets its code length from the deepest nodes that were seen. The FREQUENT_GRAMS most
 frequent ones go to the tasks as a table of that size; all other n-grams of a text are joined with the full table.
@@ -24,9 +25,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,7 +42,7 @@ from hydroflow.session import stored
 DEPTH = 6
 #: Nodes up to this depth are sent to all tasks.
 TOP = 2
-#: N-grams of a piece; one more group of equal last bytes may come on top.
+#: N-grams of a piece, at least; one more group of equal last bytes may come on top.
 PIECE_GRAMS = 1 << 17
 FOLDS, HELD_OUT_FOLD = 7, 2
 #: Words whose counts every task has; the others go through a join.
@@ -80,50 +83,62 @@ _COUNTS = "word binary, gram long, times long"
 
 
 def _add_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    found, place = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
-    return found, np.bincount(place, np.concatenate([n for _, n in held]), len(found)).astype(np.int64)
+    """Distinct n-grams in order, and the sums of their counts; quick for parts that are in order themselves."""
+    if len(held) == 1 and (len(held[0][0]) < 2 or (np.diff(held[0][0]) > 0).all()):
+        return held[0]
+    gram, times = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(gram, kind="stable")
+    gram, times = gram[order], times[order]
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.empty(0, np.int64)
+    return gram[first], np.add.reduceat(times, first) if len(first) else times
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def _count(depth: int):
     """Word and n-gram counts of a task's training texts, folded as far as memory allows. N-grams of held-out texts are
     listed with a count of zero, because they get a code length as well."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
         blocks: dict[bool, list] = {False: [], True: []}
         size, held = 0, []
 
-        def word_rows() -> pd.DataFrame:
-            return pd.DataFrame({"word": list(words.keys()), "gram": None, "times": list(words.values())})
+        def word_rows() -> pa.RecordBatch:
+            keys, times = pa.array(map(word_key, words), pa.binary()), pa.array(words.values(), pa.int64())
+            return _batch(word=keys, gram=pa.nulls(len(keys), pa.int64()), times=times)
 
         def fold() -> int:
             for held_out, own in blocks.items():
                 if own:
                     found, times = np.unique(np.concatenate(own), return_counts=True)
-                    held.append((found, times * (not held_out)))
+                    held.append((found, times.astype(np.int64) * (not held_out)))
                     own.clear()
             if len(held) > 1 and sum(len(g) for g, _ in held) >= HELD_GRAMS:
                 held[:] = [_add_up(held)]
             return sum(len(g) for g, _ in held)
 
-        def gram_rows() -> Iterator[pd.DataFrame]:
+        def gram_rows() -> Iterator[pa.RecordBatch]:
             found, times = _add_up(held)
             held.clear()
             for at in range(0, len(found), PIECE_GRAMS):
-                yield pd.DataFrame({"word": None, "gram": found[at : at + PIECE_GRAMS], "times": times[at : at + PIECE_GRAMS]})
+                own = pa.array(found[at : at + PIECE_GRAMS])
+                yield _batch(word=pa.nulls(len(own), pa.binary()), gram=own, times=pa.array(times[at : at + PIECE_GRAMS]))
 
         for batch in batches:
-            for text, held_out in zip(batch["body"], batch["held_out"], strict=True):
-                raw = text.encode("utf-8", "surrogatepass").lower()
+            for body, held_out in zip(batch.column("body"), batch.column("held_out").to_pylist(), strict=True):
+                raw = body.as_py().lower()
                 if not held_out:
                     words[END] += 1
                     for block in word_blocks(raw):
-                        words.update(map(word_key, block))
+                        words.update(block)
                         if len(words) >= HELD_WORDS:
                             yield word_rows()
                             words.clear()
                 for part in gram_blocks(raw, depth):
-                    blocks[bool(held_out)].append(part)
+                    blocks[held_out].append(part)
                     size += len(part)
                     if size >= HELD_BYTES:
                         size = 0
@@ -200,24 +215,31 @@ def _mask(depth: int) -> int:
     return (1 << 8 * (depth + 1)) - 1
 
 
-def _pieces(batches: Iterator[pd.DataFrame], upper: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """N-grams and counts of a sorted partition, cut where the last ``upper + 1`` bytes of the context change."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        gram, times = batch["gram"].to_numpy(np.int64), batch["times"].to_numpy(np.int64)
+def _pieces(parts: Iterator[tuple[np.ndarray, np.ndarray]], upper: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct n-grams in order and their counts, from parts sorted by the last ``upper + 1`` bytes of the context, cut
+    where these change. Parts of an unfinished group are only looked at again when it ends."""
+    last_bytes = _mask(upper + 1) - 255
+    done: list[tuple[np.ndarray, np.ndarray]] = []
+    open_: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for gram, times in parts:
         if not len(gram):
             continue
-        held.append((gram, times))
-        if sum(len(g) for g, _ in held) >= PIECE_GRAMS:
-            gram, times = (np.concatenate(x) for x in zip(*held, strict=True))
-            group = gram & (_mask(upper + 1) - 255)
-            end = int(np.argmax(group == group[-1]))
-            held = [(gram[end:], times[end:])]
-            if end:
-                yield gram[:end], times[:end]
-    if held:
-        gram, times = (np.concatenate(x) for x in zip(*held, strict=True))
-        yield gram, times
+        group = gram & last_bytes
+        start = int(np.argmax(group == group[-1]))
+        if open_ and (start or group[0] != open_[-1][0][-1] & last_bytes):
+            done += open_
+            size += sum(len(g) for g, _ in open_)
+            open_ = []
+        if start:
+            done.append((gram[:start], times[:start]))
+            size += start
+        open_.append((gram[start:], times[start:]))
+        if size >= PIECE_GRAMS:
+            yield _add_up(done)
+            done, size = [], 0
+    if done or open_:
+        yield _add_up(done + open_)
 
 
 def _decision_keys(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,24 +277,67 @@ def _climb(gram: np.ndarray, times: np.ndarray, depth: int, upper: int):
     return nodes, (keys, zeros, ones, below)
 
 
-def _sums(depth: int, upper: int):
-    def climb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for gram, times in _pieces(batches, upper):
+_SUMS = ("keys", "zeros", "ones", "below")
+_FOLDED = "word binary, times long, grams array<long>, counts array<long>, keys array<long>, zeros array<double>, ones array<double>, below array<double>"
+
+
+def _list(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+
+
+def _fold(depth: int):
+    """Rows of a partition sorted by last bytes, then word, become a row per word, and a row per piece with the sums that it
+    gives the nodes of depth TOP."""
+    upper = min(TOP, depth - 1)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter = Counter()
+        ready: list[pa.RecordBatch] = []
+
+        def word_rows() -> pa.RecordBatch:
+            keys = pa.array(words, pa.binary())
+            empty = {c.split()[0]: pa.nulls(len(keys), pa.list_(pa.int64() if "long" in c else pa.float64())) for c in _FOLDED.split(", ")[2:]}
+            return _batch(word=keys, times=pa.array(words.values(), pa.int64()), **empty)
+
+        def grams_of() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                n = batch.num_rows - batch.column("word").null_count  # words come first
+                if n:
+                    last = None
+                    for word, times in zip(batch.column("word").slice(0, n).to_pylist(), batch.column("times").slice(0, n).to_pylist(), strict=True):
+                        words[word] += times
+                        last = word
+                    if len(words) >= HELD_WORDS:
+                        # Equal words follow one another: all but the last one are complete.
+                        rest = words.pop(last)
+                        ready.append(word_rows())
+                        words.clear()
+                        words[last] = rest
+                yield batch.column("gram").slice(n).to_numpy(), batch.column("times").slice(n).to_numpy()
+
+        for gram, times in _pieces(grams_of(), upper):
+            yield from ready
+            ready.clear()
             keys, zeros, ones, below = _climb(gram, times, depth, upper)[1]
-            if len(keys):
-                yield pd.DataFrame({"key": keys, "zeros": zeros, "ones": ones, "below": below})
+            sums = {c: _list(v) for c, v in zip(_SUMS, (keys, zeros, ones, np.zeros(len(keys)) if below is None else below), strict=True)}
+            none = pa.nulls(1, pa.binary())
+            yield _batch(word=none, times=pa.nulls(1, pa.int64()), grams=_list(gram), counts=_list(times), **sums)
+        yield from ready
+        if words:
+            yield word_rows()
 
-    return climb
+    return fold
 
 
-def train_contexts(dealt: DataFrame, depth: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The nodes of depth 0 to TOP from n-grams dealt out by ``_deal``: keys in order, the probability of a one that the
+def train_contexts(counts: DataFrame, depth: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The nodes of depth 0 to TOP from the sums of the pieces: keys in order, the probability of a one that the
     depths down to there give, and the weight that is left for deeper ones.
 
     Every n-gram has a full context, so the counts of a node are the sums over its children.
     """
     upper = min(TOP, depth - 1)
-    nodes = dealt.mapInPandas(_sums(depth, upper), "key long, zeros double, ones double, below double")
+    sums = F.inline(F.arrays_zip(F.col("keys").alias("key"), *[F.col(c) for c in _SUMS[1:]]))
+    nodes = counts.filter("keys is not null").select(sums)
     levels: list[DataFrame] = []
     for d in range(upper, -1, -1):
         nodes = nodes.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")])
@@ -301,9 +366,10 @@ def _lengths(tops, depth: int):
     """log10 of the probability of the last byte of every n-gram. A decision that never occurred after a context is a
     half below the deepest node where it did."""
 
-    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         upper, own_tops = min(TOP, depth - 1), tops.value
-        for gram, times in _pieces(batches, upper):
+        rows = (r for b in batches for r in zip(b.column("grams"), b.column("counts"), strict=True))
+        for gram, times in ((g.values.to_numpy(), n.values.to_numpy()) for g, n in rows):
             nodes, (top_keys, *_) = _climb(gram, times, depth, upper)
             place = np.searchsorted(own_tops[upper][0], top_keys)
             given, rest = own_tops[upper][1][place], own_tops[upper][2][place]
@@ -326,23 +392,60 @@ def _lengths(tops, depth: int):
                 open_ = open_[~hit]
             p = np.where(bits.ravel() == 1, one, 1 - one)
             length = np.log10(np.clip(p, 1e-300, 1.0)).reshape(keys.shape).sum(axis=0)
-            yield pd.DataFrame({"gram": gram, "times": times, "length": length})
+            yield _batch(gram=pa.array(gram), times=pa.array(times), length=pa.array(length))
 
     return descend
 
 
-def _deal(counts: DataFrame, depth: int) -> DataFrame:
-    """All n-grams, those with the same last TOP + 1 bytes of context one after another in one partition."""
-    group = F.col("gram").bitwiseAND(F.lit(_mask(min(TOP, depth - 1) + 1) - 255))
-    every = counts.filter("gram is not null").select("gram", "times", group.alias("last"))
-    return every.repartition("last").sortWithinPartitions("last").select("gram", "times")
+def count_texts(texts: DataFrame, depth: int) -> DataFrame:
+    """Stored counts of ``texts`` (body binary, held_out): a row per word (word, times), and a row per piece of n-grams
+    (grams, counts, and the sums for the nodes of depth TOP)."""
+    last = F.col("gram").bitwiseAND(F.lit(_mask(min(TOP, depth - 1) + 1) - 255))
+    counted = texts.mapInArrow(_count(depth), _COUNTS).withColumn("last", last)
+    dealt = counted.repartition(F.coalesce("last", F.xxhash64("word"))).sortWithinPartitions("last", "word")
+    return stored(dealt.select("word", "gram", "times").mapInArrow(_fold(depth), _FOLDED), "counts")
 
 
 def gram_code_lengths(counts: DataFrame, depth: int) -> DataFrame:
     """The stored code lengths: gram, times, length, of every n-gram, trained or not."""
-    dealt = _deal(counts, depth)
-    tops = counts.sparkSession.sparkContext.broadcast(train_contexts(dealt, depth))
-    return stored(dealt.mapInPandas(_lengths(tops, depth), "gram long, times long, length double"), "code-lengths")
+    tops = counts.sparkSession.sparkContext.broadcast(train_contexts(counts, depth))
+    pieces = counts.filter("grams is not null").select("grams", "counts")
+    return stored(pieces.mapInArrow(_lengths(tops, depth), "gram long, times long, length double"), "code-lengths")
+
+
+class GramTable:
+    """N-grams with a number each, found by a hash: open places, twice as many as n-grams or more."""
+
+    def __init__(self, grams: np.ndarray, values: np.ndarray):
+        self.bits = max(1, (2 * len(grams)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        at, left = self._places(grams), np.arange(len(grams))
+        while len(left):
+            place = at[left]
+            free = self.keys[place] < 0
+            self.keys[place[free]] = grams[left[free]]
+            there = self.keys[place] == grams[left]  # of several for one place the last one has it
+            self.values[place[there]] = values[left[there]]
+            left = left[~there]
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+
+    def _places(self, grams: np.ndarray) -> np.ndarray:
+        return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def look_up(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each n-gram, zero where it is not there, and whether it is."""
+        at = self._places(grams)
+        own = self.keys[at]
+        hit = own == grams
+        values = np.where(hit, self.values[at], 0.0)
+        open_ = np.flatnonzero(~hit & (own >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.keys) - 1)
+            own = self.keys[at[open_]]
+            found = own == grams[open_]
+            hit[open_[found]], values[open_[found]] = True, self.values[at[open_[found]]]
+            open_ = open_[~found & (own >= 0)]
+        return values, hit
 
 
 def _frequent_grams(lengths: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -366,45 +469,35 @@ def _score(frequent: Broadcast, model: Broadcast, depth: int):
     """A row per document; n-grams that have to be joined come in rows of their own, without n_tokens."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        logs, (known_grams, lengths) = frequent.value, model.value
+        logs, table = frequent.value, GramTable(*model.value)
         columns = [c.split()[0] for c in _SCORED.split(", ")]
         held, size, out = [], 0, []
 
         def resolve() -> None:
             """Add to each text what is known of its held n-grams, and give out the others."""
-            found, place = np.unique(np.concatenate([g for _, g in held]), return_inverse=True)
-            at = np.searchsorted(known_grams, found)
-            hit = np.zeros(len(found), dtype=bool)
-            inside = at < len(known_grams)
-            hit[inside] = known_grams[at[inside]] == found[inside]
-            length = np.zeros(len(found))
-            length[hit] = lengths[at[hit]]
+            length, hit = table.look_up(np.concatenate([g for _, g in held]))
             end = 0
             for own, part in held:
                 start, end = end, end + len(part)
-                own[5] += float(length[place[start:end]].sum())
-                rest = place[start:end][~hit[place[start:end]]]
+                own[5] += float(length[start:end].sum())
+                rest = part[~hit[start:end]]
                 if len(rest):
                     which, times = np.unique(rest, return_counts=True)
-                    out.append([own[0], None, None, None, None, None, None, None, found[which].tolist(), times.tolist()])
+                    out.append([own[0], None, None, None, None, None, None, None, which, times])
             held.clear()
 
         for batch in batches:
             for row, doc_id, body in zip(batch["row"], batch["doc_id"], batch["body"], strict=True):
-                raw = body.encode("utf-8", "surrogatepass").lower()
+                raw = body.lower()
                 times = Counter({END: 1})
                 for block in word_blocks(raw):
                     times.update(block)
-                n_known, known, rare, rare_times = 0, 0.0, [], []
-                for word, n in times.items():
-                    log = logs.get(word)
-                    if log is None:
-                        rare.append(word_key(word))
-                        rare_times.append(n)
-                    else:
-                        known += n * log
-                        n_known += n
-                own = [row, doc_id, sum(times.values()), n_known, known, 0.0, rare, rare_times, None, None]
+                n = np.fromiter(times.values(), np.int64, len(times))
+                log = np.fromiter(map(logs.get, times, repeat(math.nan)), np.float64, len(times))
+                hit, distinct = ~np.isnan(log), list(times)
+                rare = [word_key(distinct[i]) for i in np.flatnonzero(~hit).tolist()]
+                known = float((n[hit] * log[hit]).sum())
+                own = [row, doc_id, int(n.sum()), int(n[hit].sum()), known, 0.0, rare, n[~hit].tolist(), None, None]
                 for part in gram_blocks(raw, depth):
                     held.append((own, part))
                     size += len(part)
@@ -456,7 +549,7 @@ def _frequent(words: DataFrame) -> dict[bytes, float]:
     return {bytes(r["word"]): math.log10(r["times"] + 1) for r in own.filter(_level() >= least).collect()}
 
 
-def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 2) -> DataFrame:
+def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the documents whose crc32(doc_id as text) modulo 7 is not 2; a NULL id is learned from and not held
@@ -467,12 +560,11 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dep
     if not 1 <= depth <= 6:
         raise ValueError("depth must be 1 to 6")
     spark: SparkSession = docs.sparkSession
-    body = text_or_empty(text)
+    body = text_or_empty(text).cast("binary")
     held_out = F.coalesce(crc_remainder("doc_id", FOLDS) == HELD_OUT_FOLD, F.lit(False))
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body"))
-    counts = rows.select("body", held_out.alias("held_out")).mapInPandas(_count(depth), _COUNTS)
-    counts = stored(counts.groupBy("word", "gram").agg(F.sum("times").alias("times")), "counts")
-    words = counts.filter("word is not null")
+    counts = count_texts(rows.select("body", held_out.alias("held_out")), depth)
+    words = counts.filter("word is not null").select("word", "times")
     train_tokens, vocabulary = words.agg(F.sum("times"), F.count(F.lit(1))).first()
     train_tokens = train_tokens or 0
     frequent = spark.sparkContext.broadcast(_frequent(words))

@@ -658,7 +658,7 @@ def test_document_windows_forget_words(spark, monkeypatch):
 
 def test_ctw_equals_plain_context_trees(spark):
     texts = [(d, prose(d, 12 + d % 5) + (" É\x00 " if d % 3 else "")) for d in range(14)] + [(20, None), (21, ""), (22, "A" * 50)]
-    found = {r.doc_id: r for r in ctw.score_texts(documents(spark, texts)).collect()}
+    found = {r.doc_id: r for r in ctw.score_texts(documents(spark, texts), depth=2).collect()}
     wanted = brute.lm_scores(texts)
     for d, (out, n, known, total, base, score) in wanted.items():
         r = found[d]
@@ -715,6 +715,31 @@ def test_frequent_words_are_whole_levels_within_the_bound(spark, monkeypatch):
     assert ctw._frequent(words.limit(0)) == {}
 
 
+def test_pieces_end_between_groups(monkeypatch):
+    monkeypatch.setattr(ctw, "PIECE_GRAMS", 20)
+    rng = np.random.default_rng(1)
+    gram = rng.integers(0, 6, size=3000) << 32 | rng.integers(0, 9, size=3000) << 8 | rng.integers(0, 3, size=3000)
+    gram = gram[np.argsort(gram & (1 << 32) - 256, kind="stable")]
+    parts = np.split(gram, np.sort(rng.integers(0, 3000, size=400)))
+    pieces = list(ctw._pieces(((p, np.ones(len(p), np.int64)) for p in parts), 2))
+    groups = [set((g & (1 << 32) - 256).tolist()) for g, _ in pieces]
+    assert sum(map(len, groups)) == len(set().union(*groups)) == 9 and len(pieces) > 3
+    found = {int(g): int(n) for own, times in pieces for g, n in zip(own, times)}
+    assert found == {int(g): int(n) for g, n in zip(*np.unique(gram, return_counts=True))}
+
+
+def test_gram_table_equals_a_dictionary():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 1000):
+        keys = np.unique(rng.integers(0, 1 << 56, size=n))
+        table = ctw.GramTable(keys, np.arange(len(keys)) + 0.5)
+        asked = np.concatenate([keys, rng.integers(0, 1 << 56, size=500)])
+        values, hit = table.look_up(asked)
+        wanted = {int(k): i + 0.5 for i, k in enumerate(keys)}
+        assert hit.tolist() == [int(a) in wanted for a in asked]
+        assert values.tolist() == [wanted.get(int(a), 0.0) for a in asked]
+
+
 def test_log_kt():
     for a, b in [(0, 0), (1, 0), (0, 3), (5, 9), (40, 2)]:
         assert ctw.log_kt(np.array([a]), np.array([b]))[0] == pytest.approx(brute.kt(a, b), abs=1e-9)
