@@ -252,7 +252,7 @@ def _decision_keys(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _add_below(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Distinct keys, the place of each key among them, and sums of the values."""
     found, place = np.unique(keys, return_inverse=True)
-    return found, place, [np.bincount(place, v, len(found)) for v in values]
+    return found, place, [np.bincount(place, v, len(found)).astype(np.float64) for v in values]
 
 
 def _climb(gram: np.ndarray, times: np.ndarray, depth: int, upper: int):

@@ -700,6 +700,10 @@ def test_ctw_awkward_rows(spark, awkward, monkeypatch):
         assert (r.n_known, r.train_tokens) == (usual[key].n_known, usual[key].train_tokens)
         assert r.base_score == pytest.approx(usual[key].base_score) and r.score == pytest.approx(usual[key].score)
     assert ctw.score_texts(awkward.limit(0)).count() == 0
+    # One task with held-out n-grams only in some of its pieces.
+    monkeypatch.setattr(ctw, "PIECE_GRAMS", 4)
+    mixed = documents(spark, [(d, "zq" if brute.held_out(d, 7, 2) else "a b c") for d in range(40)])
+    assert mixed.coalesce(1).count() == ctw.score_texts(mixed.coalesce(1)).count()
     held = documents(spark, [(d, "a b") for d in range(200) if brute.held_out(d, 7, 2)])
     r = ctw.score_texts(held).first()
     assert (r.n_known, r.train_tokens) == (0, 0) and r.score == pytest.approx(3 * 8 * np.log10(0.5), rel=1e-6)
