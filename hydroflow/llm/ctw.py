@@ -5,10 +5,10 @@ bytes before it, down to DEPTH of them. A tree node holds how often each bit fol
 next bit by Krichevsky and Trofimov. Weighting mixes, at every node, its own estimate with that of its children, by how
 well either coded the training texts; this gives the code length of a byte as a mixture over all depths.
 
-Training is counting: every task counts byte n-grams and words of its training texts. One exchange deals n-grams out by
-the last TOP + 1 bytes of their contexts, and words by themselves; tasks add up what they get and write it in pieces that
-end where those bytes change, a row each, so all nodes deeper than TOP lie within one piece, and later steps read pieces
-without another exchange. A node's key holds the context, its last byte lowest, and the decision. With every piece go
+Training is counting: every task counts byte n-grams and words of its training texts, sorts its n-grams so that the last
+TOP + 1 bytes of the context come first, and packs them by buckets of these bytes: one row holds many. One exchange brings
+the rows of a bucket together; tasks add them up and write pieces of whole buckets, a row each, so all nodes deeper than
+TOP lie within one piece, and later steps read pieces without another exchange. A node's key holds the context, its last byte lowest, and the decision. With every piece go
 the sums that it gives the nodes of depth TOP; from there one aggregation per depth gives the weights of the upper nodes,
 and what these mix is sent to the tasks (2 ** 24 nodes at most) for the way down. Deeper nodes are never gathered: they
 grow with the texts.
@@ -26,6 +26,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,7 @@ from hydroflow.session import stored
 DEPTH = 6
 #: Nodes up to this depth are sent to all tasks.
 TOP = 2
-#: N-grams of a piece, at least; one more group of equal last bytes may come on top.
+#: N-grams of a piece, at least; buckets stay whole.
 PIECE_GRAMS = 1 << 17
 FOLDS, HELD_OUT_FOLD = 7, 2
 #: Words whose counts every task has; the others go through a join.
@@ -52,7 +53,9 @@ FREQUENT_GRAMS = 1 << 20
 #: Distinct words that a counting task holds before it gives them out, and bytes of text that it counts at once.
 HELD_WORDS, HELD_BYTES = 1 << 18, 1 << 21
 #: Distinct n-grams that a counting task holds before it gives them out.
-HELD_GRAMS = 1 << 20
+HELD_GRAMS = 1 << 21
+#: Buckets for each task of the exchange, and the fewest.
+TASK_BUCKETS, LEAST_BUCKETS = 8, 256
 #: A word up to this many bytes is its own key; a longer one is replaced by its 128-bit hash, marked by a zero byte.
 KEY_BYTES = 32
 #: The end token; no word begins with a blank.
@@ -79,7 +82,34 @@ def gram_blocks(text: bytes, depth: int) -> Iterator[np.ndarray]:
         yield grams(before + text[at : at + HELD_BYTES], depth)[len(before) :]
 
 
-_COUNTS = "word binary, gram long, times long"
+_COUNTS = "bucket int, n int, grams binary, times binary, words array<binary>, word_times array<long>"
+
+
+def _turned(gram: np.ndarray, depth: int) -> np.ndarray:
+    """N-grams with the last TOP + 1 bytes of their context first: their order is that of the groups."""
+    low = 8 * (min(TOP, depth - 1) + 2)
+    group = gram >> 8 & (1 << low - 8) - 1
+    return group << 8 * (depth + 1) - low + 8 | gram >> low << 8 | gram & 255
+
+
+def _turned_back(key: np.ndarray, depth: int) -> np.ndarray:
+    low = 8 * (min(TOP, depth - 1) + 2)
+    shift = 8 * (depth + 1) - low + 8
+    return (key >> 8 & (1 << shift - 8) - 1) << low | key >> shift << 8 | key & 255
+
+
+def _buckets(key: np.ndarray, depth: int, n: int) -> np.ndarray:
+    """The bucket of each turned n-gram: that of its group."""
+    group = (key >> 8 * (depth + 1) - 8 * (min(TOP, depth - 1) + 2) + 8).astype(np.uint64)
+    return ((group * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(n)).astype(np.int32)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(numbers, np.int64).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw, 8 * n, codec="zstd", asbytes=True), np.int64)
 
 
 def _add_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,9 +127,9 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _count(depth: int):
-    """Word and n-gram counts of a task's training texts, folded as far as memory allows. N-grams of held-out texts are
-    listed with a count of zero, because they get a code length as well."""
+def _count(depth: int, n_buckets: int):
+    """Word and n-gram counts of a task's training texts, folded as far as memory allows and packed by bucket. N-grams of
+    held-out texts are listed with a count of zero, because they get a code length as well."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
@@ -107,8 +137,19 @@ def _count(depth: int):
         size, held = 0, []
 
         def word_rows() -> pa.RecordBatch:
-            keys, times = pa.array(map(word_key, words), pa.binary()), pa.array(words.values(), pa.int64())
-            return _batch(word=keys, gram=pa.nulls(len(keys), pa.int64()), times=times)
+            lists: dict[int, tuple[list, list]] = {}
+            for word, times in words.items():
+                key = word_key(word)
+                own = lists.setdefault(crc32(key) % n_buckets, ([], []))
+                own[0].append(key)
+                own[1].append(times)
+            words.clear()
+            none = pa.nulls(len(lists), pa.binary())
+            return _batch(
+                bucket=pa.array(lists, pa.int32()), n=pa.nulls(len(lists), pa.int32()), grams=none, times=none,
+                words=pa.array([w for w, _ in lists.values()], pa.list_(pa.binary())),
+                word_times=pa.array([t for _, t in lists.values()], pa.list_(pa.int64())),
+            )
 
         def fold() -> int:
             for held_out, own in blocks.items():
@@ -120,12 +161,21 @@ def _count(depth: int):
                 held[:] = [_add_up(held)]
             return sum(len(g) for g, _ in held)
 
-        def gram_rows() -> Iterator[pa.RecordBatch]:
-            found, times = _add_up(held)
+        def gram_rows() -> pa.RecordBatch:
+            key, times = _add_up(held)
             held.clear()
-            for at in range(0, len(found), PIECE_GRAMS):
-                own = pa.array(found[at : at + PIECE_GRAMS])
-                yield _batch(word=pa.nulls(len(own), pa.binary()), gram=own, times=pa.array(times[at : at + PIECE_GRAMS]))
+            bucket = _buckets(key, depth, n_buckets)
+            order = np.argsort(bucket, kind="stable")
+            key, times, bucket = key[order], times[order], bucket[order]
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            sizes = np.diff(np.append(starts, len(key)))
+            parts = [(a, a + n) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+            return _batch(
+                bucket=pa.array(bucket[starts]), n=pa.array(sizes, pa.int32()),
+                grams=pa.array([_packed(np.diff(key[a:b], prepend=0)) for a, b in parts], pa.binary()),
+                times=pa.array([_packed(times[a:b]) for a, b in parts], pa.binary()),
+                words=pa.nulls(len(parts), pa.list_(pa.binary())), word_times=pa.nulls(len(parts), pa.list_(pa.int64())),
+            )
 
         for batch in batches:
             for body, held_out in zip(batch.column("body"), batch.column("held_out").to_pylist(), strict=True):
@@ -136,19 +186,18 @@ def _count(depth: int):
                         words.update(block)
                         if len(words) >= HELD_WORDS:
                             yield word_rows()
-                            words.clear()
                 for part in gram_blocks(raw, depth):
-                    blocks[held_out].append(part)
+                    blocks[held_out].append(_turned(part, depth))
                     size += len(part)
                     if size >= HELD_BYTES:
                         size = 0
                         if fold() >= HELD_GRAMS:
-                            yield from gram_rows()
+                            yield gram_rows()
         fold()
         if words:
             yield word_rows()
         if held:
-            yield from gram_rows()
+            yield gram_rows()
 
     return count
 
@@ -215,33 +264,6 @@ def _mask(depth: int) -> int:
     return (1 << 8 * (depth + 1)) - 1
 
 
-def _pieces(parts: Iterator[tuple[np.ndarray, np.ndarray]], upper: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct n-grams in order and their counts, from parts sorted by the last ``upper + 1`` bytes of the context, cut
-    where these change. Parts of an unfinished group are only looked at again when it ends."""
-    last_bytes = _mask(upper + 1) - 255
-    done: list[tuple[np.ndarray, np.ndarray]] = []
-    open_: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
-    for gram, times in parts:
-        if not len(gram):
-            continue
-        group = gram & last_bytes
-        start = int(np.argmax(group == group[-1]))
-        if open_ and (start or group[0] != open_[-1][0][-1] & last_bytes):
-            done += open_
-            size += sum(len(g) for g, _ in open_)
-            open_ = []
-        if start:
-            done.append((gram[:start], times[:start]))
-            size += start
-        open_.append((gram[start:], times[start:]))
-        if size >= PIECE_GRAMS:
-            yield _add_up(done)
-            done, size = [], 0
-    if done or open_:
-        yield _add_up(done + open_)
-
-
 def _decision_keys(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Key at full depth and bit of the eight decisions of each n-gram, by level."""
     byte = gram & 255
@@ -286,43 +308,58 @@ def _list(values: np.ndarray) -> pa.Array:
 
 
 def _fold(depth: int):
-    """Rows of a partition sorted by last bytes, then word, become a row per word, and a row per piece with the sums that it
-    gives the nodes of depth TOP."""
+    """Packed rows of a partition sorted by bucket become a row per word, and a row per piece with the sums that it gives the
+    nodes of depth TOP."""
     upper = min(TOP, depth - 1)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        ready: list[pa.RecordBatch] = []
+        done: list[tuple[np.ndarray, np.ndarray]] = []  # of whole buckets
+        open_: list[tuple[np.ndarray, np.ndarray]] = []  # of the bucket that is being read
+
+        def held(parts: list) -> int:
+            return sum(len(g) for g, _ in parts)
 
         def word_rows() -> pa.RecordBatch:
             keys = pa.array(words, pa.binary())
             empty = {c.split()[0]: pa.nulls(len(keys), pa.list_(pa.int64() if "long" in c else pa.float64())) for c in _FOLDED.split(", ")[2:]}
-            return _batch(word=keys, times=pa.array(words.values(), pa.int64()), **empty)
-
-        def grams_of() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for batch in batches:
-                n = batch.num_rows - batch.column("word").null_count  # words come first
-                if n:
-                    last = None
-                    for word, times in zip(batch.column("word").slice(0, n).to_pylist(), batch.column("times").slice(0, n).to_pylist(), strict=True):
-                        words[word] += times
-                        last = word
-                    if len(words) >= HELD_WORDS:
-                        # Equal words follow one another: all but the last one are complete.
-                        rest = words.pop(last)
-                        ready.append(word_rows())
-                        words.clear()
-                        words[last] = rest
-                yield batch.column("gram").slice(n).to_numpy(), batch.column("times").slice(n).to_numpy()
-
-        for gram, times in _pieces(grams_of(), upper):
-            yield from ready
-            ready.clear()
+            rows = _batch(word=keys, times=pa.array(words.values(), pa.int64()), **empty)
+            words.clear()
+            return rows
+
+        def piece() -> pa.RecordBatch:
+            key, times = (np.concatenate(x) for x in zip(*done, strict=True))
+            done.clear()
+            gram = _turned_back(key, depth)
             keys, zeros, ones, below = _climb(gram, times, depth, upper)[1]
             sums = {c: _list(v) for c, v in zip(_SUMS, (keys, zeros, ones, np.zeros(len(keys)) if below is None else below), strict=True)}
-            none = pa.nulls(1, pa.binary())
-            yield _batch(word=none, times=pa.nulls(1, pa.int64()), grams=_list(gram), counts=_list(times), **sums)
-        yield from ready
+            return _batch(word=pa.nulls(1, pa.binary()), times=pa.nulls(1, pa.int64()), grams=_list(gram), counts=_list(times), **sums)
+
+        now = None
+        for batch in batches:
+            columns = [batch.column(c) for c in ("bucket", "n", "grams", "times", "words", "word_times")]
+            for bucket, n, grams_, times, own, own_times in zip(*columns, strict=True):
+                if now != bucket.as_py():
+                    now = bucket.as_py()
+                    if open_:
+                        done.append(_add_up(open_))
+                        open_ = []
+                    if held(done) >= PIECE_GRAMS:
+                        yield piece()
+                    if len(words) >= HELD_WORDS:
+                        yield word_rows()
+                if n.as_py() is None:
+                    for word, count in zip(own.as_py(), own_times.as_py(), strict=True):
+                        words[word] += count
+                else:
+                    size = n.as_py()
+                    open_.append((np.cumsum(_unpacked(grams_.as_py(), size)), _unpacked(times.as_py(), size)))
+                    if len(open_) > 1 and held(open_) >= 2 * max(PIECE_GRAMS, len(open_[0][0])):
+                        open_ = [_add_up(open_)]
+        if open_:
+            done.append(_add_up(open_))
+        if done:
+            yield piece()
         if words:
             yield word_rows()
 
@@ -400,10 +437,10 @@ def _lengths(tops, depth: int):
 def count_texts(texts: DataFrame, depth: int) -> DataFrame:
     """Stored counts of ``texts`` (body binary, held_out): a row per word (word, times), and a row per piece of n-grams
     (grams, counts, and the sums for the nodes of depth TOP)."""
-    last = F.col("gram").bitwiseAND(F.lit(_mask(min(TOP, depth - 1) + 1) - 255))
-    counted = texts.mapInArrow(_count(depth), _COUNTS).withColumn("last", last)
-    dealt = counted.repartition(F.coalesce("last", F.xxhash64("word"))).sortWithinPartitions("last", "word")
-    return stored(dealt.select("word", "gram", "times").mapInArrow(_fold(depth), _FOLDED), "counts")
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = texts.mapInArrow(_count(depth, max(LEAST_BUCKETS, TASK_BUCKETS * tasks)), _COUNTS)
+    dealt = counted.repartition("bucket").sortWithinPartitions("bucket")
+    return stored(dealt.mapInArrow(_fold(depth), _FOLDED), "counts")
 
 
 def gram_code_lengths(counts: DataFrame, depth: int) -> DataFrame:

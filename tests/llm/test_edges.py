@@ -719,17 +719,17 @@ def test_frequent_words_are_whole_levels_within_the_bound(spark, monkeypatch):
     assert ctw._frequent(words.limit(0)) == {}
 
 
-def test_pieces_end_between_groups(monkeypatch):
-    monkeypatch.setattr(ctw, "PIECE_GRAMS", 20)
+@pytest.mark.parametrize("depth", [1, 2, 3, 6])
+def test_turned_grams_are_in_groups(depth):
     rng = np.random.default_rng(1)
-    gram = rng.integers(0, 6, size=3000) << 32 | rng.integers(0, 9, size=3000) << 8 | rng.integers(0, 3, size=3000)
-    gram = gram[np.argsort(gram & (1 << 32) - 256, kind="stable")]
-    parts = np.split(gram, np.sort(rng.integers(0, 3000, size=400)))
-    pieces = list(ctw._pieces(((p, np.ones(len(p), np.int64)) for p in parts), 2))
-    groups = [set((g & (1 << 32) - 256).tolist()) for g, _ in pieces]
-    assert sum(map(len, groups)) == len(set().union(*groups)) == 9 and len(pieces) > 3
-    found = {int(g): int(n) for own, times in pieces for g, n in zip(own, times)}
-    assert found == {int(g): int(n) for g, n in zip(*np.unique(gram, return_counts=True))}
+    gram = np.unique(rng.integers(0, 4, size=(3000, depth + 1)) @ (256 ** np.arange(depth + 1)))
+    key = ctw._turned(gram, depth)
+    assert (ctw._turned_back(key, depth) == gram).all()
+    group = gram & (ctw._mask(min(ctw.TOP, depth - 1) + 1) - 255)
+    in_order = group[np.argsort(key)]
+    assert (np.diff(in_order) != 0).sum() + 1 == len(np.unique(group))
+    bucket = ctw._buckets(key, depth, 7)
+    assert {g: b for g, b in zip(group.tolist(), bucket.tolist())} == {g: b for g, b in zip(group.tolist()[::-1], bucket.tolist()[::-1])}
 
 
 def test_gram_table_equals_a_dictionary():
