@@ -14,7 +14,8 @@ and what these mix is sent to the tasks (2 ** 24 nodes at most) for the way down
 grow with the texts.
 
 Every n-gram of the documents gets its code length from the deepest nodes that were seen. The FREQUENT_GRAMS most
-frequent ones go to the tasks as a table of that size; all other n-grams of a text are joined with the full table.
+frequent ones go to the tasks as a table of that size; all other n-grams of a text are packed by bucket and meet the code
+lengths of their bucket in a second exchange, from which each task gives one sum per text.
 
 The base score is a unigram model with add-one smoothing over words and an end token. Counts of the FREQUENT most
 frequent words go to the tasks as a table of that size; all other words of a text are joined with the full counts.
@@ -29,7 +30,6 @@ from itertools import repeat
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
@@ -104,6 +104,14 @@ def _buckets(key: np.ndarray, depth: int, n: int) -> np.ndarray:
     return ((group * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(n)).astype(np.int32)
 
 
+def _bucket_parts(bucket: np.ndarray) -> list[tuple[int, int, int]]:
+    """Bucket, start and end of each run of equal buckets."""
+    if not len(bucket):
+        return []
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    return list(zip(bucket[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True))
+
+
 def _packed(numbers: np.ndarray) -> bytes:
     return pa.compress(np.ascontiguousarray(numbers, np.int64).tobytes(), codec="zstd", asbytes=True)
 
@@ -167,13 +175,11 @@ def _count(depth: int, n_buckets: int):
             bucket = _buckets(key, depth, n_buckets)
             order = np.argsort(bucket, kind="stable")
             key, times, bucket = key[order], times[order], bucket[order]
-            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            sizes = np.diff(np.append(starts, len(key)))
-            parts = [(a, a + n) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+            parts = _bucket_parts(bucket)
             return _batch(
-                bucket=pa.array(bucket[starts]), n=pa.array(sizes, pa.int32()),
-                grams=pa.array([_packed(np.diff(key[a:b], prepend=0)) for a, b in parts], pa.binary()),
-                times=pa.array([_packed(times[a:b]) for a, b in parts], pa.binary()),
+                bucket=pa.array([k for k, *_ in parts], pa.int32()), n=pa.array([b - a for _, a, b in parts], pa.int32()),
+                grams=pa.array([_packed(np.diff(key[a:b], prepend=0)) for _, a, b in parts], pa.binary()),
+                times=pa.array([_packed(times[a:b]) for _, a, b in parts], pa.binary()),
                 words=pa.nulls(len(parts), pa.list_(pa.binary())), word_times=pa.nulls(len(parts), pa.list_(pa.int64())),
             )
 
@@ -399,7 +405,7 @@ def train_contexts(counts: DataFrame, depth: int) -> list[tuple[np.ndarray, np.n
     return out
 
 
-def _lengths(tops, depth: int):
+def _lengths(tops, depth: int, n_buckets: int):
     """log10 of the probability of the last byte of every n-gram. A decision that never occurred after a context is a
     half below the deepest node where it did."""
 
@@ -429,68 +435,78 @@ def _lengths(tops, depth: int):
                 open_ = open_[~hit]
             p = np.where(bits.ravel() == 1, one, 1 - one)
             length = np.log10(np.clip(p, 1e-300, 1.0)).reshape(keys.shape).sum(axis=0)
-            yield _batch(gram=pa.array(gram), times=pa.array(times), length=pa.array(length))
+            key = _turned(gram, depth)
+            for bucket, a, b in _bucket_parts(_buckets(key, depth, n_buckets)):
+                yield _batch(
+                    bucket=pa.array([bucket], pa.int32()), n=pa.array([b - a], pa.int32()),
+                    grams=pa.array([_packed(np.diff(key[a:b], prepend=0))], pa.binary()),
+                    times=pa.array([_packed(times[a:b])], pa.binary()),
+                    length=pa.array([_packed(length[a:b].view(np.int64))], pa.binary()),
+                )
 
     return descend
 
 
-def count_texts(texts: DataFrame, depth: int) -> DataFrame:
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of n-grams: some for each task of an exchange."""
+    return max(LEAST_BUCKETS, TASK_BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def count_texts(texts: DataFrame, depth: int, n_buckets: int) -> DataFrame:
     """Stored counts of ``texts`` (body binary, held_out): a row per word (word, times), and a row per piece of n-grams
     (grams, counts, and the sums for the nodes of depth TOP)."""
-    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = texts.mapInArrow(_count(depth, max(LEAST_BUCKETS, TASK_BUCKETS * tasks)), _COUNTS)
+    counted = texts.mapInArrow(_count(depth, n_buckets), _COUNTS)
     dealt = counted.repartition("bucket").sortWithinPartitions("bucket")
     return stored(dealt.mapInArrow(_fold(depth), _FOLDED), "counts")
 
 
-def gram_code_lengths(counts: DataFrame, depth: int) -> DataFrame:
-    """The stored code lengths: gram, times, length, of every n-gram, trained or not."""
+_LENGTHS = "bucket int, n int, grams binary, times binary, length binary"
+
+
+def gram_code_lengths(counts: DataFrame, depth: int, n_buckets: int) -> DataFrame:
+    """The stored code lengths of all n-grams, trained or not, in a row per bucket: its number of n-grams, and packed the
+    turned n-grams in order, their counts and their code lengths."""
     tops = counts.sparkSession.sparkContext.broadcast(train_contexts(counts, depth))
     pieces = counts.filter("grams is not null").select("grams", "counts")
-    return stored(pieces.mapInArrow(_lengths(tops, depth), "gram long, times long, length double"), "code-lengths")
-
-
-class GramTable:
-    """N-grams with a number each, found by a hash: open places, twice as many as n-grams or more."""
-
-    def __init__(self, grams: np.ndarray, values: np.ndarray):
-        self.bits = max(1, (2 * len(grams)).bit_length())
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
-        at, left = self._places(grams), np.arange(len(grams))
-        while len(left):
-            place = at[left]
-            free = self.keys[place] < 0
-            self.keys[place[free]] = grams[left[free]]
-            there = self.keys[place] == grams[left]  # of several for one place the last one has it
-            self.values[place[there]] = values[left[there]]
-            left = left[~there]
-            at[left] = (at[left] + 1) & (len(self.keys) - 1)
-
-    def _places(self, grams: np.ndarray) -> np.ndarray:
-        return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def look_up(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The number of each n-gram, zero where it is not there, and whether it is."""
-        at = self._places(grams)
-        own = self.keys[at]
-        hit = own == grams
-        values = np.where(hit, self.values[at], 0.0)
-        open_ = np.flatnonzero(~hit & (own >= 0))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & (len(self.keys) - 1)
-            own = self.keys[at[open_]]
-            found = own == grams[open_]
-            hit[open_[found]], values[open_[found]] = True, self.values[at[open_[found]]]
-            open_ = open_[~found & (own >= 0)]
-        return values, hit
+    return stored(pieces.mapInArrow(_lengths(tops, depth, n_buckets), _LENGTHS), "code-lengths")
+
+
+def _unpacked_rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list]:
+    """Rows with ``n`` and packed columns, the first of them n-grams."""
+    for batch in batches:
+        for row in zip(batch.column("n").to_pylist(), *[batch.column(c) for c in names], strict=True):
+            n, grams, *others = row
+            yield [np.cumsum(_unpacked(grams.as_py(), n)), *[_unpacked(x.as_py(), n) for x in others]]
+
+
+def _levels(times: np.ndarray) -> np.ndarray:
+    """Count levels are eighths of a power of two, so there are a few hundred of them."""
+    return np.floor(np.log2(times) * 8).astype(np.int64)
 
 
 def _frequent_grams(lengths: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent n-grams in order and their code lengths, FREQUENT_GRAMS at most."""
-    least = _least_level(lengths.filter("times > 0"), FREQUENT_GRAMS)
+    """The most frequent n-grams, turned and in order, and their code lengths: all from the smallest count level on of which
+    there are no more than FREQUENT_GRAMS."""
+
+    def count_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for _, times in _unpacked_rows(batches, "grams", "times"):
+            level, n = np.unique(_levels(times[times > 0]), return_counts=True)
+            total.update(dict(zip(level.tolist(), n.tolist(), strict=True)))
+        yield _batch(level=pa.array(total, pa.int64()), n=pa.array(total.values(), pa.int64()))
+
+    levels = lengths.select("n", "grams", "times").mapInArrow(count_levels, "level long, n long").groupBy("level").agg(F.sum("n").alias("count"))
+    least = _least(levels, FREQUENT_GRAMS)
     if least is None:
         return np.empty(0, dtype=np.int64), np.empty(0)
-    found = lengths.filter((F.col("times") > 0) & (_level() >= least)).select("gram", "length").toArrow()
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, times, length in _unpacked_rows(batches, "grams", "times", "length"):
+            own = np.flatnonzero(times > 0)
+            own = own[_levels(times[own]) >= least]
+            yield _batch(gram=pa.array(key[own]), length=pa.array(length.view(np.float64)[own]))
+
+    found = lengths.mapInArrow(pick, "gram long, length double").toArrow()
     gram, length = found["gram"].to_numpy(), found["length"].to_numpy()
     order = np.argsort(gram)
     return gram[order], length[order]
@@ -498,66 +514,139 @@ def _frequent_grams(lengths: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 _SCORED = (
     "row long, doc_id string, n_tokens long, n_known long, known double, score double, rare array<binary>, rare_times array<long>, "
-    "grams array<long>, gram_times array<long>"
+    "bucket int, n int, grams binary, times binary, rows binary"
 )
+#: Texts whose n-grams are looked up at once: their number in the block takes the eight bits that an n-gram leaves.
+BLOCK_TEXTS = 256
 
 
-def _score(frequent: Broadcast, model: Broadcast, depth: int):
-    """A row per document; n-grams that have to be joined come in rows of their own, without n_tokens."""
+def _score(frequent: Broadcast, model: Broadcast, depth: int, n_buckets: int):
+    """A row per document, and rows of packed n-grams that have to be joined, without n_tokens."""
+    simple = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "binary": pa.binary()}
+    lists = {"array<binary>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64())}
+    kinds = [(name, (simple | lists)[kind]) for name, kind in (c.split() for c in _SCORED.split(", "))]
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        logs, table = frequent.value, GramTable(*model.value)
-        columns = [c.split()[0] for c in _SCORED.split(", ")]
-        held, size, out = [], 0, []
+    def rows_of(how_many: int, **columns) -> pa.RecordBatch:
+        return _batch(**{c: pa.array(columns[c], kind) if c in columns else pa.nulls(how_many, kind) for c, kind in kinds})
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs, (known_grams, lengths) = frequent.value, model.value
+        texts: list[list] = []  # of the rows that are not given out yet
+        block: list[np.ndarray] = []
+        members: list[int] = []  # the place among ``texts`` of each text of the block
+        rare: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
 
         def resolve() -> None:
-            """Add to each text what is known of its held n-grams, and give out the others."""
-            length, hit = table.look_up(np.concatenate([g for _, g in held]))
-            end = 0
-            for own, part in held:
-                start, end = end, end + len(part)
-                own[5] += float(length[start:end].sum())
-                rest = part[~hit[start:end]]
-                if len(rest):
-                    which, times = np.unique(rest, return_counts=True)
-                    out.append([own[0], None, None, None, None, None, None, None, which, times])
-            held.clear()
+            """Add to each text what is known of its n-grams in the block, and keep the others."""
+            both = np.concatenate([key.astype(np.uint64) << np.uint64(8) | np.uint64(i) for i, key in enumerate(block)])
+            both.sort()
+            first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+            times = np.diff(np.append(first, len(both)))
+            key, member = (both[first] >> np.uint64(8)).astype(np.int64), (both[first] & np.uint64(255)).astype(np.int64)
+            at = np.minimum(np.searchsorted(known_grams, key), max(0, len(known_grams) - 1))
+            hit = known_grams[at] == key if len(known_grams) else np.zeros(len(key), bool)
+            sums = np.bincount(member[hit], lengths[at[hit]] * times[hit], len(block)) if hit.any() else np.zeros(len(block))
+            for place, value in zip(members, sums.tolist(), strict=True):
+                texts[place][5] += value
+            row = np.array([texts[place][0] for place in members], np.int64)
+            rare.append((key[~hit], times[~hit], row[member[~hit]]))
+            block.clear()
+            members.clear()
+
+        def rare_rows() -> pa.RecordBatch:
+            key, times, row = (np.concatenate(x) for x in zip(*rare, strict=True))
+            rare.clear()
+            order = np.argsort(key, kind="stable")
+            order = order[np.argsort(_buckets(key[order], depth, n_buckets), kind="stable")]
+            key, times, row = key[order], times[order], row[order]
+            parts = _bucket_parts(_buckets(key, depth, n_buckets))
+            spans = [slice(a, b) for _, a, b in parts]
+            return rows_of(
+                len(parts), bucket=[k for k, *_ in parts], n=[b - a for _, a, b in parts],
+                grams=[_packed(np.diff(key[x], prepend=0)) for x in spans], times=[_packed(times[x]) for x in spans],
+                rows=[_packed(row[x]) for x in spans],
+            )
+
+        def text_rows() -> pa.RecordBatch:
+            columns = dict(zip([c for c, _ in kinds[:8]], zip(*texts, strict=True), strict=True))
+            given = rows_of(len(texts), **columns)
+            texts.clear()
+            return given
 
         for batch in batches:
-            for row, doc_id, body in zip(batch["row"], batch["doc_id"], batch["body"], strict=True):
-                raw = body.lower()
+            columns = [batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("body")]
+            for row, doc_id, body in zip(*columns, strict=True):
+                raw = body.as_py().lower()
                 times = Counter({END: 1})
-                for block in word_blocks(raw):
-                    times.update(block)
+                for words in word_blocks(raw):
+                    times.update(words)
                 n = np.fromiter(times.values(), np.int64, len(times))
                 log = np.fromiter(map(logs.get, times, repeat(math.nan)), np.float64, len(times))
                 hit, distinct = ~np.isnan(log), list(times)
-                rare = [word_key(distinct[i]) for i in np.flatnonzero(~hit).tolist()]
+                unknown = [word_key(distinct[i]) for i in np.flatnonzero(~hit).tolist()]
                 known = float((n[hit] * log[hit]).sum())
-                own = [row, doc_id, int(n.sum()), int(n[hit].sum()), known, 0.0, rare, n[~hit].tolist(), None, None]
+                texts.append([row, doc_id, int(n.sum()), int(n[hit].sum()), known, 0.0, unknown, n[~hit].tolist()])
                 for part in gram_blocks(raw, depth):
-                    held.append((own, part))
+                    block.append(_turned(part, depth))
+                    members.append(len(texts) - 1)
                     size += len(part)
-                    if size >= HELD_BYTES:
+                    if size >= HELD_BYTES or len(block) == BLOCK_TEXTS:
                         resolve()
                         size = 0
-                        if out:
-                            yield _scored_rows(out, columns)
-                            out = []
-                out.append(own)
-            if held:
-                resolve()
-                size = 0
-            if out:
-                yield _scored_rows(out, columns)
-                out = []
+                        if sum(len(k) for k, *_ in rare) >= HELD_BYTES:
+                            yield rare_rows()
+                if not block and len(texts) >= BLOCK_TEXTS:
+                    yield text_rows()
+        if block:
+            resolve()
+        if rare:
+            yield rare_rows()
+        if texts:
+            yield text_rows()
 
     return score
 
 
-def _scored_rows(rows: list[list], columns: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=columns, dtype=object)
-    return frame.astype({"row": "int64", "n_tokens": "Int64", "n_known": "Int64", "known": "Float64", "score": "Float64"})
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a partition sorted by bucket, the code lengths of a bucket before the n-grams of its texts: a sum per text."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    held, known, lengths = 0, np.empty(0, np.int64), np.empty(0)
+
+    def sums() -> pa.RecordBatch:
+        rows, values = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
+        distinct, place = np.unique(rows, return_inverse=True)
+        return _batch(gram_row=pa.array(distinct), rare_score=pa.array(np.bincount(place, values, len(distinct))))
+
+    for batch in batches:
+        columns = [batch.column(c) for c in ("n", "grams", "length", "times", "rows")]
+        for n, grams, length, times, rows in zip(*columns, strict=True):
+            key = np.cumsum(_unpacked(grams.as_py(), n.as_py()))
+            if length.is_valid:
+                # A bucket's code lengths are in one row.
+                known, lengths = key, _unpacked(length.as_py(), n.as_py()).view(np.float64)
+                continue
+            value = lengths[np.searchsorted(known, key)] * _unpacked(times.as_py(), n.as_py())
+            rows = _unpacked(rows.as_py(), n.as_py())
+            distinct, place = np.unique(rows, return_inverse=True)
+            found.append((distinct, np.bincount(place, value, len(distinct))))
+            held += len(distinct)
+            if held >= HELD_BYTES:
+                held = 0
+                yield sums()
+    if found:
+        yield sums()
+
+
+def _rare_scores(scored: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(gram_row, rare_score): the code lengths of the n-grams that were not at hand, added up per text."""
+    asked = scored.filter("bucket is not null").select("bucket", "n", "grams", "times", "rows", F.lit(None).cast("binary").alias("length"))
+    known = lengths.select("bucket", "n", "grams", F.lit(None).cast("binary").alias("times"), F.lit(None).cast("binary").alias("rows"), "length")
+    met = known.withColumn("asked", F.lit(False)).unionByName(asked.withColumn("asked", F.lit(True)))
+    dealt = met.repartition("bucket").sortWithinPartitions("bucket", "asked").drop("bucket", "asked")
+    parts = dealt.mapInArrow(_settle, "gram_row long, rare_score double")
+    return parts.groupBy("gram_row").agg(F.sum("rare_score").alias("rare_score"))
 
 
 def _level() -> Column:
@@ -565,10 +654,10 @@ def _level() -> Column:
     return F.floor(F.log2("times") * 8).cast("int")
 
 
-def _least_level(counted: DataFrame, most: int) -> int | None:
-    """The smallest count level from which on there are no more than ``most`` rows."""
+def _least(levels: DataFrame, most: int) -> int | None:
+    """The smallest count level from which on there are no more than ``most`` rows, of (level, count)."""
     total, least = 0, None
-    for r in sorted(counted.groupBy(_level().alias("level")).count().collect(), key=lambda r: -r["level"]):
+    for r in sorted(levels.collect(), key=lambda r: -r["level"]):
         total += r["count"]
         if total > most:
             break
@@ -580,7 +669,7 @@ def _frequent(words: DataFrame) -> dict[bytes, float]:
     """Logarithms for the most frequent words, FREQUENT at most: all words from the smallest count level on of which
     there are no more."""
     own = words.filter(F.octet_length("word") <= KEY_BYTES).select("word", "times")
-    least = _least_level(own, FREQUENT)
+    least = _least(own.groupBy(_level().alias("level")).count(), FREQUENT)
     if least is None:
         return {}
     return {bytes(r["word"]): math.log10(r["times"] + 1) for r in own.filter(_level() >= least).collect()}
@@ -600,26 +689,25 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dep
     body = text_or_empty(text).cast("binary")
     held_out = F.coalesce(crc_remainder("doc_id", FOLDS) == HELD_OUT_FOLD, F.lit(False))
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body"))
-    counts = count_texts(rows.select("body", held_out.alias("held_out")), depth)
+    n_buckets = bucket_count(spark)
+    counts = count_texts(rows.select("body", held_out.alias("held_out")), depth, n_buckets)
     words = counts.filter("word is not null").select("word", "times")
     train_tokens, vocabulary = words.agg(F.sum("times"), F.count(F.lit(1))).first()
     train_tokens = train_tokens or 0
     frequent = spark.sparkContext.broadcast(_frequent(words))
-    lengths = gram_code_lengths(counts, depth)
+    lengths = gram_code_lengths(counts, depth, n_buckets)
     model = spark.sparkContext.broadcast(_frequent_grams(lengths))
     # Rows are numbered and written in one go, so the numbers hold whatever is computed again later.
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "body")
-    scored = stored(numbered.mapInPandas(_score(frequent, model, depth), _SCORED), "scores")
+    scored = stored(numbered.mapInArrow(_score(frequent, model, depth, n_buckets), _SCORED), "scores")
     rare = scored.select("row", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("rare_times").alias("n"))))
     found = rare.join(words.select("word", "times"), "word")
     found = found.groupBy(F.col("row").alias("of_row")).agg(
         F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("times") + 1)).alias("rare_log")
     )
-    others = scored.filter("n_tokens is null").select("row", F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("gram_times").alias("n"))))
-    others = others.join(lengths.select("gram", "length"), "gram")
-    others = others.groupBy(F.col("row").alias("gram_row")).agg(F.sum(F.col("n") * F.col("length")).alias("rare_score"))
+    others = _rare_scores(scored, lengths)
     size = math.log10(train_tokens + vocabulary + 1)
-    texts = scored.filter("n_tokens is not null").drop("rare", "rare_times", "grams", "gram_times")
+    texts = scored.filter("n_tokens is not null").select("row", "doc_id", "n_tokens", "n_known", "known", "score")
     both = texts.join(found, F.col("row") == F.col("of_row"), "left").join(others, F.col("row") == F.col("gram_row"), "left")
     known = F.col("known") + F.coalesce("rare_log", F.lit(0.0))
     return both.select(

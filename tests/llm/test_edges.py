@@ -671,6 +671,7 @@ def test_ctw_of_six_bytes_equals_plain_context_trees(spark, monkeypatch, frequen
     monkeypatch.setattr(ctw, "FREQUENT_GRAMS", frequent)
     monkeypatch.setattr(ctw, "HELD_BYTES", 50)
     monkeypatch.setattr(ctw, "HELD_GRAMS", 30)
+    monkeypatch.setattr(ctw, "BLOCK_TEXTS", 2)
     monkeypatch.setattr(ctw, "PIECE_GRAMS", 30)
     texts = [(d, prose(d, 12 + d % 5) + (" É\x00 " if d % 3 else "")) for d in range(14)] + [(20, None), (21, ""), (22, "A" * 50)]
     found = {r.doc_id: r.score for r in ctw.score_texts(documents(spark, texts), depth=6).collect()}
@@ -732,18 +733,6 @@ def test_turned_grams_are_in_groups(depth):
     assert {g: b for g, b in zip(group.tolist(), bucket.tolist())} == {g: b for g, b in zip(group.tolist()[::-1], bucket.tolist()[::-1])}
 
 
-def test_gram_table_equals_a_dictionary():
-    rng = np.random.default_rng(7)
-    for n in (0, 1, 1000):
-        keys = np.unique(rng.integers(0, 1 << 56, size=n))
-        table = ctw.GramTable(keys, np.arange(len(keys)) + 0.5)
-        asked = np.concatenate([keys, rng.integers(0, 1 << 56, size=500)])
-        values, hit = table.look_up(asked)
-        wanted = {int(k): i + 0.5 for i, k in enumerate(keys)}
-        assert hit.tolist() == [int(a) in wanted for a in asked]
-        assert values.tolist() == [wanted.get(int(a), 0.0) for a in asked]
-
-
 def test_log_kt():
     for a, b in [(0, 0), (1, 0), (0, 3), (5, 9), (40, 2)]:
         assert ctw.log_kt(np.array([a]), np.array([b]))[0] == pytest.approx(brute.kt(a, b), abs=1e-9)
