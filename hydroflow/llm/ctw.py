@@ -608,45 +608,89 @@ def _score(frequent: Broadcast, model: Broadcast, depth: int, n_buckets: int):
     return score
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a partition sorted by bucket, the code lengths of a bucket before the n-grams of its texts: a sum per text."""
+def _slots(row: np.ndarray, n: int) -> np.ndarray:
+    return ((row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(n)).astype(np.int32)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    rows, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+    distinct, place = np.unique(rows, return_inverse=True)
+    return distinct, np.bincount(place, values, len(distinct))
+
+
+def _settle(n_slots: int):
+    """Rows of a partition sorted by bucket, the code lengths of a bucket before the n-grams of its texts: sums per text,
+    packed by slots of the texts' numbers."""
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        held, known, lengths = 0, np.empty(0, np.int64), np.empty(0)
+
+        def sums() -> pa.RecordBatch:
+            row, value = _summed(found)
+            found.clear()
+            slot = _slots(row, n_slots)
+            order = np.argsort(slot, kind="stable")
+            row, value = row[order], value[order]
+            parts = _bucket_parts(slot[order])
+            return _batch(
+                slot=pa.array([k for k, *_ in parts], pa.int32()), n=pa.array([b - a for _, a, b in parts], pa.int32()),
+                rows=pa.array([_packed(row[a:b]) for _, a, b in parts], pa.binary()),
+                values=pa.array([_packed(value[a:b].view(np.int64)) for _, a, b in parts], pa.binary()),
+            )
+
+        for batch in batches:
+            columns = [batch.column(c) for c in ("n", "grams", "length", "times", "rows")]
+            for n, grams, length, times, rows in zip(*columns, strict=True):
+                size = n.as_py()
+                key = np.cumsum(_unpacked(grams.as_py(), size))
+                if length.is_valid:
+                    # A bucket's code lengths are in one row.
+                    known, lengths = key, _unpacked(length.as_py(), size).view(np.float64)
+                    continue
+                value = lengths[np.searchsorted(known, key)] * _unpacked(times.as_py(), size)
+                found.append(_summed([(_unpacked(rows.as_py(), size), value)]))
+                held += len(found[-1][0])
+                if held >= HELD_BYTES:
+                    held = 0
+                    yield sums()
+        if found:
+            yield sums()
+
+    return settle
+
+
+def _add_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed sums of a partition sorted by slot: one sum per text."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    held, known, lengths = 0, np.empty(0, np.int64), np.empty(0)
+    now = None
 
-    def sums() -> pa.RecordBatch:
-        rows, values = (np.concatenate(x) for x in zip(*found, strict=True))
+    def given() -> pa.RecordBatch:
+        row, value = _summed(found)
         found.clear()
-        distinct, place = np.unique(rows, return_inverse=True)
-        return _batch(gram_row=pa.array(distinct), rare_score=pa.array(np.bincount(place, values, len(distinct))))
+        return _batch(gram_row=pa.array(row), rare_score=pa.array(value))
 
     for batch in batches:
-        columns = [batch.column(c) for c in ("n", "grams", "length", "times", "rows")]
-        for n, grams, length, times, rows in zip(*columns, strict=True):
-            key = np.cumsum(_unpacked(grams.as_py(), n.as_py()))
-            if length.is_valid:
-                # A bucket's code lengths are in one row.
-                known, lengths = key, _unpacked(length.as_py(), n.as_py()).view(np.float64)
-                continue
-            value = lengths[np.searchsorted(known, key)] * _unpacked(times.as_py(), n.as_py())
-            rows = _unpacked(rows.as_py(), n.as_py())
-            distinct, place = np.unique(rows, return_inverse=True)
-            found.append((distinct, np.bincount(place, value, len(distinct))))
-            held += len(distinct)
-            if held >= HELD_BYTES:
-                held = 0
-                yield sums()
+        for slot, n, rows, values in zip(*[batch.column(c) for c in ("slot", "n", "rows", "values")], strict=True):
+            if slot.as_py() != now:
+                now = slot.as_py()
+                if sum(len(r) for r, _ in found) >= BLOCK_TEXTS:
+                    yield given()
+            size = n.as_py()
+            found.append((_unpacked(rows.as_py(), size), _unpacked(values.as_py(), size).view(np.float64)))
     if found:
-        yield sums()
+        yield given()
 
 
-def _rare_scores(scored: DataFrame, lengths: DataFrame) -> DataFrame:
-    """(gram_row, rare_score): the code lengths of the n-grams that were not at hand, added up per text."""
+def _rare_scores(scored: DataFrame, lengths: DataFrame, n_buckets: int) -> DataFrame:
+    """(gram_row, rare_score): the code lengths of the n-grams that were not at hand, added up per text. Sums cross the second
+    exchange packed as well: each task has some for nearly every text."""
     asked = scored.filter("bucket is not null").select("bucket", "n", "grams", "times", "rows", F.lit(None).cast("binary").alias("length"))
     known = lengths.select("bucket", "n", "grams", F.lit(None).cast("binary").alias("times"), F.lit(None).cast("binary").alias("rows"), "length")
     met = known.withColumn("asked", F.lit(False)).unionByName(asked.withColumn("asked", F.lit(True)))
     dealt = met.repartition("bucket").sortWithinPartitions("bucket", "asked").drop("bucket", "asked")
-    parts = dealt.mapInArrow(_settle, "gram_row long, rare_score double")
-    return parts.groupBy("gram_row").agg(F.sum("rare_score").alias("rare_score"))
+    parts = dealt.mapInArrow(_settle(n_buckets), "slot int, n int, rows binary, values binary")
+    return parts.repartition("slot").sortWithinPartitions("slot").mapInArrow(_add_scores, "gram_row long, rare_score double")
 
 
 def _level() -> Column:
@@ -705,7 +749,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dep
     found = found.groupBy(F.col("row").alias("of_row")).agg(
         F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("times") + 1)).alias("rare_log")
     )
-    others = _rare_scores(scored, lengths)
+    others = _rare_scores(scored, lengths, n_buckets)
     size = math.log10(train_tokens + vocabulary + 1)
     texts = scored.filter("n_tokens is not null").select("row", "doc_id", "n_tokens", "n_known", "known", "score")
     both = texts.join(found, F.col("row") == F.col("of_row"), "left").join(others, F.col("row") == F.col("gram_row"), "left")
