@@ -682,14 +682,16 @@ def _add_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield given()
 
 
-def _rare_scores(scored: DataFrame, lengths: DataFrame, n_buckets: int) -> DataFrame:
+def _rare_scores(scored: DataFrame, lengths: DataFrame) -> DataFrame:
     """(gram_row, rare_score): the code lengths of the n-grams that were not at hand, added up per text. Sums cross the second
     exchange packed as well: each task has some for nearly every text."""
     asked = scored.filter("bucket is not null").select("bucket", "n", "grams", "times", "rows", F.lit(None).cast("binary").alias("length"))
     known = lengths.select("bucket", "n", "grams", F.lit(None).cast("binary").alias("times"), F.lit(None).cast("binary").alias("rows"), "length")
     met = known.withColumn("asked", F.lit(False)).unionByName(asked.withColumn("asked", F.lit(True)))
     dealt = met.repartition("bucket").sortWithinPartitions("bucket", "asked").drop("bucket", "asked")
-    parts = dealt.mapInArrow(_settle(n_buckets), "slot int, n int, rows binary, values binary")
+    # Every task has a row for every slot: one slot for each task of the exchange.
+    n_slots = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = dealt.mapInArrow(_settle(n_slots), "slot int, n int, rows binary, values binary")
     return parts.repartition("slot").sortWithinPartitions("slot").mapInArrow(_add_scores, "gram_row long, rare_score double")
 
 
@@ -749,7 +751,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dep
     found = found.groupBy(F.col("row").alias("of_row")).agg(
         F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("times") + 1)).alias("rare_log")
     )
-    others = _rare_scores(scored, lengths, n_buckets)
+    others = _rare_scores(scored, lengths)
     size = math.log10(train_tokens + vocabulary + 1)
     texts = scored.filter("n_tokens is not null").select("row", "doc_id", "n_tokens", "n_known", "known", "score")
     both = texts.join(found, F.col("row") == F.col("of_row"), "left").join(others, F.col("row") == F.col("gram_row"), "left")
