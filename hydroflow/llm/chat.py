@@ -130,7 +130,7 @@ def format_conversations(
         F.concat(head, F.col("body"), F.lit(END)).alias("piece"),
         (F.col("role") == LEARNED_ROLE).alias("learned"),
     )
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "body")
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", unescape(F.col("body")))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     placed = pieces.select(
         "conv_id",

@@ -36,9 +36,14 @@ def _prints(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _recipes(shared: DataFrame, pattern: str) -> DataFrame:
-    """Rows of ``shared`` with their recipe: the verified identifiers of their chunks, in order."""
-    cut = shared.withColumn("parts", chunks(F.col("body"), pattern))
+def _recipes(rows: DataFrame, shared: DataFrame, pattern: str) -> DataFrame:
+    """Rows whose print is among ``shared`` with their recipe: the verified identifiers of their chunks, in order.
+
+    ``rows`` are those that may be. Digest and recipe are made where a text is read; what crosses an exchange is a row's
+    id, print and recipe, and every distinct chunk once.
+    """
+    digest = F.sha2(F.col("body").cast("binary"), 256).alias("text_sha256")
+    cut = rows.select("doc_id", "n_bytes", "print", digest, chunks(F.col("body"), pattern).alias("parts"))
     # Every distinct chunk moves once; the partial aggregation folds copies before the shuffle.
     hashed = cut.select(F.explode("parts").alias("chunk")).distinct().withColumn("chunk_hash", F.xxhash64("chunk"))
     clashing = stored(
@@ -47,10 +52,10 @@ def _recipes(shared: DataFrame, pattern: str) -> DataFrame:
     recipes = cut.select(
         "doc_id", "n_bytes", "print", "text_sha256", F.transform("parts", lambda c: F.xxhash64(c)).alias("recipe")
     )
-    if clashing.isEmpty():
-        return recipes
-    number = F.row_number().over(Window.partitionBy("chunk_hash").orderBy("chunk"))
-    return _with_numbers(cut, hashed.join(clashing, "chunk_hash").withColumn("number", number))
+    if not clashing.isEmpty():
+        number = F.row_number().over(Window.partitionBy("chunk_hash").orderBy("chunk"))
+        recipes = _with_numbers(cut, hashed.join(clashing, "chunk_hash").withColumn("number", number))
+    return recipes.join(shared, ["print", "n_bytes"], "left_semi")
 
 
 def _with_numbers(cut: DataFrame, numbered: DataFrame) -> DataFrame:
@@ -100,11 +105,10 @@ def find_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
         "n_bytes",
         "print",
     )
-    # The bitmap clears most rows without a shuffle; only the rest moves its texts to the exact join.
+    # The bitmap clears most rows without a shuffle.
     shared_bits = key_bitmap(shared, ["print", "n_bytes"])
     maybe = by_bitmap(prints, [F.col("print"), F.col("n_bytes")], shared_bits)[1]
-    together = maybe.join(shared, ["print", "n_bytes"], "left_semi").withColumn("text_sha256", digest)
-    recipes = _recipes(together, pattern)
+    recipes = _recipes(maybe, shared, pattern)
     of_text = ["print", "n_bytes", "recipe"]
     rows = stored(
         recipes.groupBy(*of_text, "doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("times")), "recipes"

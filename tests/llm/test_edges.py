@@ -8,10 +8,11 @@ import re
 import brute
 import numpy as np
 import pytest
+from compare import differences, open_tables
 from pyspark.sql import functions as F
 
 from hydroflow.llm import chat, common, ctw, decontaminate, exact_dedup, html_text, mixing, quality, simhash, url_filter, warc
-from hydroflow.llm.queries import QUERIES
+from hydroflow.llm.queries import ORACLE, QUERIES
 from hydroflow.llm.components import connected_components
 from hydroflow.session import scratch_path
 
@@ -391,6 +392,14 @@ def test_chat_round_trip_of_control_strings(spark):
         assert r.formatted.count("<|turn|>") == len(r.turns) == r.formatted.count("<|end|>")
 
 
+def test_chat_equal_turns_are_ordered_by_their_text(spark, tmp_path):
+    rows = [(1, 0, "user", "<a"), (1, 0, "user", "<|x"), (1, None, "user", "z"), (1, 0, "user", "\\b"), (1, 0, "user", "]c")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    con = open_tables(str(tmp_path / "none"))
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert differences(spark, con, QUERIES["op5_chat_format"], ORACLE["op5_chat_format"], str(tmp_path)) == []
+
+
 def test_chat_awkward_rows(spark):
     rows = [(1, None, "user", "first"), (1, 2, None, None), (1, 2, "user", "b"), (1, 2, "user", "a"), (1, 2, "user", "a"), (None, 0, "assistant", "z")]
     found = {r.conv_id: r for r in chat.read_back(formatted(spark, rows)).collect()}
@@ -509,6 +518,17 @@ def test_exact_dedup_awkward_rows(spark, awkward):
     assert exact_dedup.drop_copies(awkward.limit(0)).count() == 0
 
 
+def test_no_text_crosses_the_join_on_prints(spark):
+    df = documents(spark, [(d, prose(d % 5, 900)) for d in range(20)])
+    prints = exact_dedup._prints(df, "doc_id", "text")
+    shared = prints.groupBy("print", "n_bytes").count().select("print", "n_bytes")
+    plan = exact_dedup._recipes(prints, shared, exact_dedup.CHUNK)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().apply(0)
+    moved = plan.children().apply(0).output().mkString(" ")
+    assert "recipe" in moved and "body" not in moved and "parts" not in moved
+
+
 def test_chunks_give_the_text_again(spark):
     texts = ["", "a", "x" * 30_000, prose(1, 20_000), "\n\U0001f600 " * 9000]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", exact_dedup.chunks(F.col("t")).alias("c"))
