@@ -541,6 +541,21 @@ def test_chunks_give_the_text_again(spark):
     assert len(set(x) & set(y)) > len(x) / 2
 
 
+def test_an_insertion_costs_a_few_chunks(spark):
+    rng = random.Random(3)
+    texts = {
+        "prose": prose(1, 20_000),
+        "codes": "".join(rng.choice("0123456789abcdef") for _ in range(60_000)),
+        "mixed": "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(60_000)),
+        "script": "".join(chr(rng.randint(0x4E00, 0x6FFF)) for _ in range(60_000)),
+        "lines": "The same line, again and again, for what it is worth.\n" * 1500,
+    }
+    rows = [(k, t, t[:1000] + "some words put in" + t[1000:]) for k, t in texts.items()]
+    df = spark.createDataFrame(rows, "kind string, a string, b string")
+    for r in df.select("kind", *[exact_dedup.chunks(F.col(c)).alias(c) for c in "ab"]).collect():
+        assert len(r.a) > 20 and len(set(r.b) - set(r.a)) <= 8, r.kind
+
+
 def test_exact_dedup_tells_clashing_hashes_apart(spark, monkeypatch):
     """With a hash that is the same for all, only the verified identifiers tell contents apart."""
     texts = [(1, prose(1, 900)), (2, prose(1, 900)), (3, prose(2, 900)[: len(prose(1, 900))].ljust(len(prose(1, 900)))), (4, prose(3, 5))]
