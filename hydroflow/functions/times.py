@@ -25,6 +25,11 @@ def parse_german(c: str | Column, strict: bool = True) -> Column:
     return parse(column(c), F.lit(GERMAN_TIMESTAMP) if not strict else GERMAN_TIMESTAMP).cast("timestamp_ntz")
 
 
+def clock_in(c: str | Column, zone: str) -> Column:
+    """The clock reading of an instant in a zone, as a time without zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit(zone), column(c).cast("timestamp_ntz"))
+
+
 def day_of(c: str | Column) -> Column:
     return F.to_date(column(c))
 

@@ -104,9 +104,13 @@ def feature_importance(
 ) -> DataFrame:
     """``(feature, importance)``: the ``top`` strongest, shown in ascending order. One number per feature."""
     pairs = list(zip(features, (float(x) for x in model.featureImportances.toArray()), strict=True))
-    table = spark.createDataFrame(pairs, "feature string, importance double")
-    strongest = table.orderBy(F.desc("importance"), "feature")
-    return (strongest if top is None else strongest.limit(top)).orderBy("importance", F.desc("feature"))
+    return strongest(spark.createDataFrame(pairs, "feature string, importance double"), top)
+
+
+def strongest(importance: DataFrame, top: int | None = TOP_FEATURES) -> DataFrame:
+    """The ``top`` strongest of ``(feature, importance)`` in ascending order; of equal ones the first names stay."""
+    falling = importance.orderBy(F.desc("importance"), "feature")
+    return (falling if top is None else falling.limit(top)).orderBy("importance", F.desc("feature"))
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from hydroflow.functions import day_of, null_if_nan, pearson
 from hydroflow.functions.numbers import column
+from hydroflow.functions.times import clock_in
 
 
 def daily_mean(df: DataFrame, time_col: str, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -33,6 +34,17 @@ def daily_mean(df: DataFrame, time_col: str, values: Sequence[str], keys: Sequen
     return filled.select(*keys, "day", *[F.when(own, column(v)).alias(v) for v in values])
 
 
+def zone_free(df: DataFrame, time_col: str, zone: str | None = None) -> DataFrame:
+    """The same rows with a time column without zone, so that days of both sides of a join are days of one clock.
+
+    Instants are read on the clock of ``zone`` and refused where none is given; times without zone stay as they are.
+    """
+    kind = dict(df.dtypes)[time_col]
+    if kind == "timestamp" and zone is None:
+        raise ValueError(f"{time_col} holds instants: a zone is required to tell their days.")
+    return df.withColumn(time_col, clock_in(time_col, zone)) if kind == "timestamp" else df
+
+
 def join_daily(left: DataFrame, right: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Inner equi-join of two daily series on the day. Both sides must carry a zone-free date."""
     for side in (left, right):

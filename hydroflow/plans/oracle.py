@@ -171,6 +171,16 @@ SELECT s.o_orderpriority, {_day('s.day')} AS day, m.el
 FROM s LEFT JOIN m ON s.o_orderpriority = m.o_orderpriority AND s.day = m.day""",
     "daily_join": f"""{RELATION}
 SELECT {_day('day')} AS day, el, el1, q FROM relation""",
+    "daily_head": f"""{RELATION}
+SELECT row_number() OVER (ORDER BY day) - 1 AS place, {_day('day')} AS day, el, el1, q FROM relation ORDER BY day LIMIT 10""",
+    "daily_join_zoned": f"""WITH power AS (
+  SELECT CAST(timezone('Europe/Berlin', timezone('UTC', ts)) AS DATE) AS day, avg(round(value * 100)) AS power
+  FROM events WHERE event_type = 'purchase' GROUP BY 1),
+days AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM power),
+flow AS (SELECT CAST(ts AS DATE) AS day, avg(round(value * 100)) AS q FROM events WHERE event_type = 'view' GROUP BY 1),
+flow_days AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM flow)
+SELECT {_day('d.day')} AS day, p.power, f.q FROM days d LEFT JOIN power p ON p.day = d.day
+JOIN flow_days e ON e.day = d.day LEFT JOIN flow f ON f.day = d.day""",
     "daily_power_discharge_corr": f"""{RELATION}
 SELECT round(corr(el, q), 6) AS corr_el, round(corr(el1, q), 6) AS corr_el1 FROM relation""",
     "trailing_mean": f"""WITH {PLANTS}
@@ -259,6 +269,14 @@ WHERE f.rn >= 24""",
     # Catalogue
     "station_list": f"""WITH {THINGS} SELECT iot_id, name, description, station_id,
        row_number() OVER (ORDER BY name, iot_id) - 1 AS place FROM things""",
+    "station_caps": f"""WITH {THINGS}, {LOCATIONS}, calls AS (
+  SELECT 'list' AS call, 50 AS most, row_number() OVER (ORDER BY name, iot_id) - 1 AS place, iot_id, name FROM things
+  UNION ALL
+  SELECT 'search', 20, row_number() OVER (ORDER BY iot_id) - 1, iot_id, name FROM things WHERE contains(name, 'Supplier#0000000')
+  UNION ALL
+  SELECT 'box', 10, row_number() OVER (ORDER BY name, iot_id) - 1, iot_id, name FROM things
+  WHERE iot_id IN (SELECT thing_id FROM locations WHERE lon > 10.0 AND lon < 12.0 AND lat > 50.5 AND lat < 51.5))
+SELECT call, place, iot_id, name FROM calls WHERE place < most""",
     "station_search_ci": f"""WITH {THINGS} SELECT iot_id, name, description, station_id FROM things
 WHERE contains(lower(name), 'supplier#00000001') ORDER BY iot_id LIMIT 1""",
     "station_search_cs": f"""WITH {THINGS} SELECT iot_id, name, description, station_id FROM things
@@ -385,6 +403,9 @@ FROM ds JOIN things ON ds.thing_id = things.iot_id""",
 SELECT datastream_id, count(*) AS n_rows, 'phenomenonTime,result' AS header,
        arg_min({_LINE}, ts) AS first_line, CASE WHEN count(*) > 1 THEN arg_max({_LINE}, ts) END AS last_line
 FROM obs_window GROUP BY 1""",
+    "window_files": f"""WITH {OBS}, {WINDOW}
+SELECT datastream_id, row_number() OVER (PARTITION BY datastream_id ORDER BY ts, result) - 1 AS place, {_LINE} AS line
+FROM obs_window""",
     "date_labels": """SELECT event_id, strftime(ts, '%A, %d %b %Y') AS day_label,
        strftime(ts, '%Y-%m-%d %H:%M') AS minute_label FROM events""",
     "clip_nonnegative": """SELECT event_id, round(greatest(value - 20, 0), 6) AS clipped FROM events""",
@@ -420,6 +441,12 @@ FROM frame f JOIN hours h ON h.plant = f.plant AND h.hour = hour(f.ts) WHERE ser
     "importance_exact": f"""WITH {PLANTS}
 SELECT DISTINCT plant, feature, importance
 FROM plants, (VALUES ('hour', CAST(1 AS DOUBLE)), ('constant', CAST(0 AS DOUBLE))) f(feature, importance)""",
+    "importance_order": f"""WITH {PLANTS}, ranked AS (
+  SELECT 'constant_' || lpad(CAST(i AS VARCHAR), 2, '0') AS feature, CAST(0 AS DOUBLE) AS importance FROM range(11) t(i)
+  UNION ALL SELECT 'hour', CAST(1 AS DOUBLE)),
+strongest AS (SELECT * FROM ranked ORDER BY importance DESC, feature LIMIT 10),
+shown AS (SELECT *, row_number() OVER (ORDER BY importance, feature DESC) - 1 AS place FROM strongest)
+SELECT DISTINCT plant, place, feature, importance FROM plants, shown""",
     "multistep_forecast": f"""WITH {WIDE}, {COMPLETE}, starts AS (
   SELECT DISTINCT plant, date_trunc('day', ts) + INTERVAL 10 HOUR AS cutoff FROM complete)
 SELECT c.plant, {_time('c.ts')} AS cutoff, i AS step, {_time('c.ts + i * INTERVAL 1 HOUR')} AS ts, 'true' AS learned, 'true' AS shown

@@ -41,6 +41,7 @@ FLOW = "Q_m³/s"
 CUTOFF = date(2024, 1, 15)
 WINDOW_START, WINDOW_END = "2024-01-05", "2024-01-12"
 PAGE_ROWS = 5
+ZONE = "Europe/Berlin"
 HOURLY = ForecastConfig(
     feature_prefix="discharge",
     target_col="power",
@@ -103,6 +104,26 @@ def daily_join(spark: SparkSession, sf: str) -> DataFrame:
     return _relation(spark, sf).select(_day("day"), "el", "el1", F.col(f"`{FLOW}`").alias("q"))
 
 
+@query
+def daily_head(spark: SparkSession, sf: str) -> DataFrame:
+    """The first ten days of the daily join, in order."""
+    return _in_order(_relation(spark, sf).orderBy("day").limit(10)).select(
+        "place", _day("day"), "el", "el1", F.col(f"`{FLOW}`").alias("q")
+    )
+
+
+@query
+def daily_join_zoned(spark: SparkSession, sf: str) -> DataFrame:
+    """Power as instants against discharge on the clock of the plants: both are brought to days of that clock."""
+    events = inputs.table(spark, sf, "events")
+    power = events.filter("event_type = 'purchase'").select(
+        F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp").alias("at"), inputs.hundredths("value").alias("power")
+    )
+    flow = events.filter("event_type = 'view'").select("ts", inputs.hundredths("value").alias("q"))
+    daily = daily_relation(power, "at", ["power"], flow, "ts", "q", zone=ZONE)
+    return daily.select(_day("day"), "power", "q")
+
+
 @query
 def daily_power_discharge_corr(spark: SparkSession, sf: str) -> DataFrame:
     strength = relation_strength(_relation(spark, sf), ["el", "el1"], FLOW)
@@ -275,6 +296,18 @@ def station_list(spark: SparkSession, sf: str) -> DataFrame:
     return _in_order(catalog.list_stations(inputs.things(spark, sf)))
 
 
+@query
+def station_caps(spark: SparkSession, sf: str) -> DataFrame:
+    """The caller's cap of each call that takes one, with the rows in the order of the call."""
+    things = inputs.things(spark, sf)
+    calls = {
+        "list": catalog.list_stations(things, limit=50),
+        "search": catalog.search_stations(things, "Supplier#0000000", limit=20),
+        "box": catalog.stations_in_box(things, inputs.locations(spark, sf), 10.0, 50.5, 12.0, 51.5, limit=10),
+    }
+    return reduce(DataFrame.unionByName, [_in_order(rows).select(F.lit(c).alias("call"), "place", "iot_id", "name") for c, rows in calls.items()])
+
+
 @query
 def station_search_ci(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.find_station(inputs.things(spark, sf), "sUPPLIER#00000001")
@@ -641,7 +674,7 @@ def plant_table_csv(spark: SparkSession, sf: str) -> DataFrame:
     # The columns are landed in another order than they are asked for.
     landed = wide.select("plant", *reversed(inputs.HOURLY), "time")
     landed.write.option("header", True).partitionBy("plant").csv(path)
-    rows = tables.read_plant_csv(spark, path, list(inputs.HOURLY))
+    rows = tables.read_plant_csv(spark, path, list(inputs.HOURLY), partitions=["plant"])
     return rows.select(F.col("plant").cast("bigint").alias("plant"), _time("time"), *[_round(c) for c in inputs.HOURLY])
 
 
@@ -689,6 +722,22 @@ def export_summary(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.export_summary(observations.in_range(inputs.observations(spark, sf), WINDOW_START, WINDOW_END))
 
 
+@query
+def window_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of the written windows of all series, with its place in its series: by file, part of the file and line."""
+    path = scratch_path(spark, "windows")
+    sinks.export_windows(inputs.observations(spark, sf), WINDOW_START, WINDOW_END, path)
+    lines = spark.read.schema("line string, datastream_id bigint").text(path).select(
+        "datastream_id",
+        "line",
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    rows = lines.filter(F.col("line") != "phenomenonTime,result")
+    return positions.row_index(rows, ["datastream_id"], ["file", "block", "row"], "place").select("datastream_id", "place", "line")
+
+
 @query
 def date_labels(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.table(spark, sf, "events").select(
@@ -808,11 +857,11 @@ def keyed_runs(spark: SparkSession, sf: str) -> DataFrame:
     return frame.select("plant", _day("cutoff"), _time("ts"), "series", _round("value"))
 
 
-def _hour_runs(spark: SparkSession, sf: str) -> dict[int, forest.AsOfRun]:
+def _hour_runs(spark: SparkSession, sf: str, constants: tuple[str, ...] = ("constant",)) -> dict[int, forest.AsOfRun]:
     """Runs whose result is determined: one feature, the hour, tells all that trees without drawn rows can learn,
     so a prediction is the mean of its hour."""
     hour = F.hour(F.col("ts").cast("timestamp_ntz")).cast("double").alias("hour")
-    rows = inputs.plant_rows(spark, sf).select("plant", "ts", "event_id", "power", hour, F.lit(1.0).alias("constant"))
+    rows = inputs.plant_rows(spark, sf).select("plant", "ts", "event_id", "power", hour, *[F.lit(1.0).alias(c) for c in constants])
     rows = stored(rows, "hours")
     return dict(
         forest.at_once(
@@ -840,6 +889,13 @@ def importance_exact(spark: SparkSession, sf: str) -> DataFrame:
     return _per_plant({k: r.importance.select("feature", _round("importance")) for k, r in _hour_runs(spark, sf).items()})
 
 
+@query
+def importance_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten strongest of a dozen features in the order they are shown in; all but one tell nothing."""
+    runs = _hour_runs(spark, sf, tuple(f"constant_{i:02d}" for i in range(11)))
+    return _per_plant({k: _in_order(r.importance).select("place", "feature", _round("importance")) for k, r in runs.items()})
+
+
 def _until_cutoff(spark: SparkSession, wide: DataFrame) -> str:
     """A bundle that has seen no target after the cut-off, written and read again."""
     until = datetime.combine(CUTOFF, datetime.min.time())

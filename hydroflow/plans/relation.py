@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from hydroflow.operators.resample import correlations, daily_mean, join_daily
+from hydroflow.operators.resample import correlations, daily_mean, join_daily, zone_free
 
 
 def daily_relation(
@@ -17,8 +17,14 @@ def daily_relation(
     flow_time: str,
     flow_value: str,
     keys: Sequence[str] = (),
+    zone: str | None = None,
 ) -> DataFrame:
-    """Daily power (empty days as NULL) next to the daily discharge of the same day."""
+    """Daily power (empty days as NULL) next to the daily discharge of the same day.
+
+    With a ``zone`` the instants of either side are brought to its clock before their day is taken.
+    """
+    if zone is not None:
+        power, flow = zone_free(power, power_time, zone), zone_free(flow, flow_time, zone)
     return join_daily(
         daily_mean(power, power_time, power_values, keys), daily_mean(flow, flow_time, [flow_value], keys), keys
     )

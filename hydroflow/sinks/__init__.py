@@ -6,6 +6,7 @@ from hydroflow.sinks.series import (
     export_csv,
     export_summary,
     export_window,
+    export_windows,
     read_series,
     render_forecast,
     series_ranges,
@@ -20,6 +21,7 @@ __all__ = [
     "export_csv",
     "export_summary",
     "export_window",
+    "export_windows",
     "read_series",
     "render_forecast",
     "series_ranges",

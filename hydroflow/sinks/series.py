@@ -210,6 +210,17 @@ def export_window(obs: DataFrame, datastream_id: int, start: str, end: str, path
     return export_summary(window)
 
 
+def export_windows(obs: DataFrame, start: str, end: str, path: str, by: str = "datastream_id") -> None:
+    """Write the window of every series as ``phenomenonTime,result`` CSV, in a folder of its own, in time order across its files.
+
+    One sort by ranges for all of them, so a long series is written by many tasks; of equal times the smaller value is first.
+    Series without a row in the window have no folder.
+    """
+    window = in_range(obs, start, end).orderBy(by, "ts", "result")
+    at = _iso_text(F.col("ts"), dict(obs.dtypes)["ts"]).alias("phenomenonTime")
+    window.select(by, at, "result").write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
+
+
 def render_forecast(forecast: DataFrame) -> DataFrame:
     """Forecast rows as text: the minute and the value in a seven-wide field with one digit."""
     return forecast.withColumn("power_text", F.format_string("%7.1f", column("power_pred")))

@@ -33,18 +33,17 @@ def read_observation_csv(spark: SparkSession, path: str, value: str) -> DataFram
     return _nan_to_null(raw).select(wall_clock("phenomenonTime").alias("phenomenonTime"), column(value))
 
 
-def read_plant_csv(spark: SparkSession, path: str, columns: Sequence[str], time_col: str = "time") -> DataFrame:
+def read_plant_csv(
+    spark: SparkSession, path: str, columns: Sequence[str], time_col: str = "time", partitions: Sequence[str] = ()
+) -> DataFrame:
     """Merged plant table: wall-clock time, double features and target, rows with a gap in any column dropped.
 
     Columns are taken by the names in the header; files whose headers differ are refused. With several plants under
-    one root (``plant=…/``) the plant is a partition column and a filter on it prunes files.
+    one root (``plant=…/``) the plant is named in ``partitions`` and a filter on it prunes files.
     """
     raw = spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
-    own = [time_col, *columns]
-    headed = set(spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).columns)
-    rest = [c for c in raw.columns if c not in headed]
     typed = [parse_number(c).alias(c) for c in columns]
-    return drop_incomplete(raw.select(wall_clock(own[0]).alias(time_col), *typed, *[column(c) for c in rest]))
+    return drop_incomplete(raw.select(wall_clock(time_col).alias(time_col), *typed, *[column(c) for c in partitions]))
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:

@@ -234,7 +234,7 @@ def test_plant_csv(spark, tmp_path):
         folder.mkdir(parents=True)
         lines = ["time,flow,power", f"2024-07-0{day}T00:15:00+02:00,1.0,2.0", f"2024-07-0{day} 00:30:00,,3.0", f"2024-07-0{day} 00:45:00,NaN,3.0"]
         (folder / "p.csv").write_text("\n".join(lines))
-    df = tables.read_plant_csv(spark, str(tmp_path / "m"), ["flow", "power"])
+    df = tables.read_plant_csv(spark, str(tmp_path / "m"), ["flow", "power"], partitions=["plant"])
     assert [tuple(r) for r in df.orderBy("time").collect()] == [
         (datetime(2024, 7, 1, 0, 15), 1.0, 2.0, "A"), (datetime(2024, 7, 2, 0, 15), 1.0, 2.0, "B"),
     ]

@@ -146,3 +146,15 @@ def test_correlation_is_pairwise_complete(spark):
 @pytest.mark.parametrize("rows", [[(1.0, 2.0), (1.0, 3.0)], [(1.0, 2.0)], [(None, None)]])
 def test_undefined_correlation_is_null(spark, rows):
     assert correlation_of(spark, rows) is None
+
+
+def test_instants_need_a_zone_to_have_days(spark):
+    rows = [("2024-03-31T00:30:00Z", 1.0), ("2024-03-31T22:30:00Z", 2.0), ("2024-10-27T22:59:00Z", 3.0)]
+    df = spark.createDataFrame(rows, "at string, power double").withColumn("at", F.col("at").cast("timestamp"))
+    with pytest.raises(ValueError, match="zone is required"):
+        resample.zone_free(df, "at")
+    clock = resample.zone_free(df, "at", "Europe/Berlin")
+    assert [r["at"] for r in clock.orderBy("power").collect()] == [
+        datetime(2024, 3, 31, 1, 30), datetime(2024, 4, 1, 0, 30), datetime(2024, 10, 27, 23, 59),
+    ]
+    assert resample.zone_free(clock, "at").collect() == clock.collect()
