@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import math
 import re
 import zlib
@@ -156,3 +157,51 @@ def contained(document, item, share=0.8, window=5):
     have = {tuple(d[k : k + window]) for k in range(len(d) - window + 1)}
     wanted = [tuple(i[k : k + window]) for k in range(len(i) - window + 1)]
     return bool(wanted) and sum(w in have for w in wanted) >= share * len(wanted)
+
+
+def hashed(*values):
+    """64-bit hash of a row of columns, each one's hash the seed of the next: long of 8 bytes, ``(int,)`` of 4, text; NULL is passed over."""
+    h = 42
+    for v in values:
+        if isinstance(v, str):
+            h = xxhash.xxh64_intdigest(v.encode(), h)
+        elif isinstance(v, tuple):
+            h = xxhash.xxh64_intdigest(v[0].to_bytes(4, "little"), h)
+        elif v is not None:
+            h = xxhash.xxh64_intdigest(v.to_bytes(8, "little", signed=True), h)
+    return h - (h >> 63 << 64)
+
+
+def mix(rows, exponent, budget, block_tokens, seed=17):
+    """Counter of (doc_id, pass, block, place) for (doc_id, source, text), walking every block of every pass."""
+    sources = {}
+    for doc_id, source, text in rows:
+        sources.setdefault(source, []).append((doc_id, hashed(text or ""), len(words(text))))
+    totals = {s: sum(t for _, _, t in docs) for s, docs in sources.items()}
+    power = {s: (n / sum(totals.values())) ** exponent for s, n in totals.items() if n}
+    out = Counter()
+    for source, p in power.items():
+        left = math.floor(p / sum(power.values()) * budget + 0.5)
+        n_blocks = -(-(totals[source] + len(sources[source])) // block_tokens)
+        blocks = {}
+        for doc_id, k_hash, tokens in sources[source]:
+            at = hashed(doc_id, k_hash, (seed,)) % n_blocks
+            blocks.setdefault(at, []).append((hashed(k_hash, doc_id, (seed + 1,)), doc_id, tokens))
+        nth = 0
+        while left > 0:
+            for place, block in sorted((hashed(b, nth, (seed,)), b) for b in blocks):
+                for _, doc_id, tokens in sorted(blocks[block]):
+                    if left > 0:
+                        out[doc_id, nth, block, place] += 1
+                    left -= tokens
+            nth += 1
+    return out
+
+
+def page_lines(page):
+    """The lines of a page that holds no table, by replacing its tags: blocks and breaks end a line, list items are marked."""
+    page = re.sub(r"(?s)<!--.*?-->|<head>.*?</head>|<!DOCTYPE[^>]*>", "", page or "")
+    page = re.sub(r"<li>", "\n- ", re.sub(r"\s+", " ", page))
+    page = re.sub(r"</?(?:p|li|nav|ul|div|article|h1|footer|body|html|br)\b[^>]*>", "\n", page)
+    lines = html.unescape(re.sub(r"</?[ab]\b[^>]*>", "", page)).split("\n")
+    return [x.strip() for x in lines if x.strip()]

@@ -70,6 +70,16 @@ def test_mixing_stage(stages):
         assert sum(len(brute.words(r.text)) for r in own) == pytest.approx(total * own[0].mixed.weight, abs=10_000)
 
 
+@pytest.mark.parametrize("awkward", [[], [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "", "en", None, 0), (2, "", "en", "s", 0)]])
+def test_pipeline_of_no_texts(spark, sf_dir, tmp_path, awkward):
+    """No documents, or none with a word, go through all stages: none of them is worth keeping or has a share in the mix."""
+    for name in ("labels", "benchmark"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{sf_dir}/{name}.parquet")
+    docs = spark.createDataFrame(awkward, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_entry_without_the_package(tmp_path):
     root = Path(__file__).resolve().parents[2]
     for path in root.rglob("*.py"):

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from compare import differences, open_tables
 
+from hydroflow.llm import mixing
 from hydroflow.llm.queries import ORACLE, QUERIES
 
 
@@ -43,7 +44,10 @@ def test_quality_on_held_out_documents(spark, sf_dir, tables):
 def test_html_of_every_page(spark, sf_dir, tables):
     found = QUERIES["op4_html"](spark, sf_dir).collect()
     assert len(found) == tables.execute("select count(*) from pages").fetchone()[0]
-    assert all(r.n_chars == len(r.text) and "track(" not in r.text and "<p>" not in r.text for r in found)
+    assert all(r.n_chars == len(r.text) for r in found)
+    pages = dict(tables.execute("select page_id, html from pages").fetchall())
+    for r in found:
+        assert [line.strip() for line in r.text.split("\n") if line.strip()] == brute.page_lines(pages[r.page_id]), r.page_id
 
 
 def test_mixing_meets_the_weights(spark, sf_dir, tables):
@@ -56,6 +60,22 @@ def test_mixing_meets_the_weights(spark, sf_dir, tables):
         assert sum(tokens[r.doc_id] for r in own) == pytest.approx(total * own[0].weight, abs=max(tokens.values()))
 
 
+@pytest.mark.parametrize(("share", "budget", "block_tokens"), [(0.95, 1.0, None), (1.0, 1.7, 2_000), (0.9, 0.6, 500)])
+def test_mixing_equals_walking_the_blocks(spark, sf_dir, tables, share, budget, block_tokens):
+    """Pass, block and place of every row taken; the first as registered, then with many blocks for each source."""
+    rows = tables.execute("select doc_id, source, text from documents").fetchall()
+    total = sum(len(brute.words(t)) for _, _, t in rows)
+    if block_tokens is None:
+        found = QUERIES["op8_mixing"](spark, sf_dir).collect()
+    else:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+        wanted = mixing.mix_sources(docs, budget=int(total * budget), entropy_share=share, block_tokens=block_tokens)
+        found = wanted.select("doc_id", "source", "mixed.*").collect()
+        assert len({(r.source, r.block) for r in found}) > 5 * len({r.source for r in found})
+    plain = brute.mix(rows, found[0].exponent, int(total * budget), block_tokens or mixing.BLOCK_TOKENS)
+    assert brute.Counter((r.doc_id, r["pass"], r.block, r.place) for r in found) == plain
+
+
 def test_decontamination_finds_the_items(spark, sf_dir, tables):
     docs = tables.execute("select doc_id, text from documents").fetchall()
     items = tables.execute("select item_id, text from benchmark").fetchall()
