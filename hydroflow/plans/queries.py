@@ -727,14 +727,7 @@ def window_files(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of the written windows of all series, with its place in its series: by file, part of the file and line."""
     path = scratch_path(spark, "windows")
     sinks.export_windows(inputs.observations(spark, sf), WINDOW_START, WINDOW_END, path)
-    lines = spark.read.schema("line string, datastream_id bigint").text(path).select(
-        "datastream_id",
-        "line",
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    rows = lines.filter(F.col("line") != "phenomenonTime,result")
+    rows = sinks.read_window_lines(spark, path)
     return positions.row_index(rows, ["datastream_id"], ["file", "block", "row"], "place").select("datastream_id", "place", "line")
 
 

@@ -8,6 +8,7 @@ from hydroflow.sinks.series import (
     export_window,
     export_windows,
     read_series,
+    read_window_lines,
     render_forecast,
     series_ranges,
     series_versions,
@@ -23,6 +24,7 @@ __all__ = [
     "export_window",
     "export_windows",
     "read_series",
+    "read_window_lines",
     "render_forecast",
     "series_ranges",
     "series_versions",

@@ -208,6 +208,25 @@ def export_file(folder, lines):
     return str(folder)
 
 
+def test_windows_of_many_series_take_files_by_rows_not_by_series(spark, tmp_path):
+    times = [datetime(2024, 1, 1, 0, minute) for minute in range(4)]
+    data = [(s, t, (s or 0) + i / 4 if i else None) for s in [None, *range(300)] for i, t in enumerate(times)]
+    obs = spark.createDataFrame(data[::-1], "datastream_id bigint, ts timestamp_ntz, result double").repartition(7)
+    path = str(tmp_path / "windows")
+    sinks.export_windows(obs, "2024-01-01", "2024-01-01T00:02:00", path)
+    assert len([f for f in Path(path).rglob("*.csv")]) <= 8
+    lines = sinks.read_window_lines(spark, path).orderBy("file", "block", "row").collect()
+    found = {}
+    for r in lines:
+        found.setdefault(r["datastream_id"], []).append(r["line"])
+    assert len(found) == 301
+    for s in (0, 7, 299):
+        own = str(tmp_path / f"own{s}")
+        sinks.export_window(obs, s, "2024-01-01", "2024-01-01T00:02:00", own)
+        assert ["phenomenonTime,result", *found[s]] == [r["value"] for r in spark.read.text(own).collect()]
+    assert found[None][0] == "2024-01-01T00:00:00.000000Z,"
+
+
 def test_plant_export(spark, tmp_path):
     raw = tables.read_plant_export(spark, export_file(tmp_path / "ok", PREAMBLE + GOOD))
     got = [tuple(r) for r in tables.clean_plant_export(raw).collect()]
