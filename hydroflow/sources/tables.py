@@ -68,7 +68,7 @@ def clean_plant_export(
 
     Metadata rows are those whose start is no timestamp. Strict mode demands exactly ``preamble_rows`` of them
     per export and raises on malformed numbers, so that a broken data row is an error and not a silent loss; the
-    count runs in the job that reads the rows. Permissive mode drops rows without a start time and turns bad
+    count runs in the job that reads the rows, and its one row per export goes to the rows, which stay where they are read. Permissive mode drops rows without a start time and turns bad
     numbers into NULL.
     """
     rows = raw.withColumn("_start", parse_german("Datum_von", strict=False))
@@ -76,7 +76,7 @@ def clean_plant_export(
         odd = rows.groupBy(F.col("_export").alias("_of")).agg(F.count_if(F.col("_start").isNull()).alias("_n"))
         message = F.concat("_export", F.lit(" has "), "_n", F.lit(f" rows without a start time, expected {preamble_rows}."))
         checked = F.when(F.col("_n") != preamble_rows, F.raise_error(message)).isNull()
-        rows = rows.join(odd, F.col("_export") == F.col("_of")).filter(checked)
+        rows = rows.join(F.broadcast(odd), F.col("_export") == F.col("_of")).filter(checked)
     return rows.filter(F.col("_start").isNotNull()).select(
         F.col("_start").alias("Datum_von"),
         parse_german("Datum_bis", strict=False).alias("Datum_bis"),

@@ -276,6 +276,18 @@ def test_plant_export_in_parts(spark, tmp_path):
     assert tables.clean_plant_export(tables.read_plant_export(spark, folder, in_parts=True)).count() == 2
 
 
+def test_rows_of_a_plant_export_stay_where_they_are_read(spark, tmp_path):
+    folder = export_file(tmp_path / "parts", PREAMBLE + GOOD)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for files of any size
+    try:
+        clean = tables.clean_plant_export(tables.read_plant_export(spark, folder, in_parts=True))
+        assert "SortMergeJoin" not in clean._jdf.queryExecution().executedPlan().toString()
+        assert clean.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
 def test_stream_takes_each_page_once(spark, tmp_path):
     landing, out, state = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "state")
     land(landing, "1.json", {"datastream_id": 7, **obs_page([("2024-01-01T00:00:00Z", 1.0)])})
