@@ -63,13 +63,21 @@ def fit_rows(estimator: RandomForestRegressor, rows: DataFrame) -> RandomForestR
         raise
 
 
-def dealt_by_content(rows: DataFrame, content: Sequence[str | Column], task_rows: int = FOREST_TASK_ROWS) -> DataFrame:
+def tasks_for(n_rows: int, task_rows: int = FOREST_TASK_ROWS) -> int:
+    """As many tasks as hold the rows, ``task_rows`` each. Adaptive execution and scans count bytes, of which rows that
+    compress well have hardly any."""
+    return max(FOREST_TASKS, -(-n_rows // task_rows))
+
+
+def dealt_by_content(
+    rows: DataFrame, content: Sequence[str | Column], task_rows: int = FOREST_TASK_ROWS, n_rows: int | None = None
+) -> DataFrame:
     """Rows dealt to tasks by a hash of their content and sorted there; the number of tasks follows the number of rows.
 
     MLlib draws the rows of a tree partition by partition: a model fitted on these depends neither on the number of
-    cores nor on how the table was split.
+    cores nor on how the table was split. ``n_rows``: their number, where it is known.
     """
-    tasks = max(FOREST_TASKS, -(-rows.count() // task_rows))
+    tasks = tasks_for(rows.count() if n_rows is None else n_rows, task_rows)
     return rows.repartition(tasks, F.xxhash64(*content)).sortWithinPartitions(*content)
 
 

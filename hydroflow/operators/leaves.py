@@ -17,18 +17,20 @@ from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydroflow.config import DAY_TREND_ROWS, FOREST_BINS, ForecastConfig
+from hydroflow.config import DAY_TREND_ROWS, FOREST_BINS, FOREST_TASK_ROWS, ForecastConfig
 from hydroflow.functions import clip_nonnegative, day_of, forecast_index, null_if_nan
 from hydroflow.functions.numbers import column
 from hydroflow.operators.features import build_features, check_features, columns_except
 from hydroflow.operators.forecast import daily_cutoffs
-from hydroflow.operators.forest import dealt_by_content, fit_rows, forest, series_of
+from hydroflow.operators.forest import dealt_by_content, fit_rows, forest, series_of, tasks_for
 from hydroflow.operators.lookback import lookback
 from hydroflow.operators.moving import day_trailing_mean
 from hydroflow.operators.positions import global_positions, null_safe_join
 from hydroflow.session import stored
 
 _VECTOR = "_features"
+#: Training rows that a task makes out of the rows dealt to it; they wait in its memory to be sent on.
+RUN_TASK_ROWS = 20 * FOREST_TASK_ROWS
 
 
 def with_leaves(model: RandomForestRegressionModel, rows: DataFrame, vector: str = _VECTOR) -> DataFrame:
@@ -226,9 +228,14 @@ def keyed_runs(
     value = column(target).cast("double")
     taken = {f: f"f{i}" for i, f in enumerate(features)}
     columns = [null_if_nan(f).alias(name) for f, name in taken.items()]
-    history = _of_runs(df.select(*keys, time_col, value.alias("label"), *columns), runs, keys, time_col, None, 0)
-    history = stored(history.select("run", "label", *taken.values()), "run-rows")
-    least, most = history.agg(F.min("label"), F.max("label")).first()
+    rows = stored(df.select(*keys, time_col, value.alias("label"), *columns), "run-rows")
+
+    def history(base: DataFrame) -> DataFrame:
+        return _of_runs(base, runs, keys, time_col, None, 0).select("run", "label", *taken.values())
+
+    bounds = history(rows).groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
+    bounds = stored(bounds, "run-bounds")
+    n_rows, least, most = bounds.agg(F.sum("n"), F.min("least"), F.max("most")).first()
     if least is None:
         raise ValueError("There are no training rows.")
     # Two digits, so that a split can part any two runs however many there are.
@@ -237,19 +244,23 @@ def keyed_runs(
     # Centred, so that sums of squares keep as many digits of the target itself as they can.
     step, middle = 2 * (most - least) + 1, (runs.count() - 1) / 2
     shifted = F.col("label") - (most + least) / 2 + (F.col("run") - middle) * step
-    training = dealt_by_content(history, [*taken.values(), "label", "run"])
+    # The rows are dealt before they are repeated for their runs, so that a task never holds more than its share of the repeats.
+    learned = history(rows.repartition(tasks_for(n_rows, RUN_TASK_ROWS), time_col, "label", *taken.values()))
+    training = dealt_by_content(learned, [*taken.values(), "label", "run"], n_rows=n_rows)
     model = fit_rows(forest("_label", _VECTOR, **params), training.select(row, shifted.alias("_label")))
-    own = with_leaves(model, history.select("run", "label", row))
+    own = with_leaves(model, learned.select("run", "label", row))
     table = stored(own.groupBy("run", "tree", "leaf").agg(F.avg("label").alias("mean")), "run-leaves")
-    following = _of_runs(df.select(*keys, time_col, value.alias("label"), *columns), runs, keys, time_col, 1, 1)
+    following = _of_runs(rows, runs, keys, time_col, 1, 1)
     following = stored(following.withColumn("_row", F.monotonically_increasing_id()), "run-days")
+    # Dealt by row once: neither the sums nor the join has to move them again, and a task holds a fixed number of them.
+    following = following.repartition(tasks_for(following.count(), FOREST_TASK_ROWS), "_row")
     passed = with_leaves(model, following.select("_row", "run", row)).join(table, ["run", "tree", "leaf"])
     predicted = passed.groupBy("_row").agg(F.avg("mean").alias("power_pred"))
     scored = following.join(predicted, "_row").select(
         *keys, "cutoff", F.col(time_col).alias("ts"), F.col("label").alias("actual"), clip_nonnegative("power_pred").alias("power_pred")
     )
-    bounds = history.groupBy("run").agg(F.min("label").alias("least"), F.max("label").alias("most")).join(runs, "run")
-    return KeyedRuns(runs, stored(scored, "run-scores"), bounds.select(*keys, "cutoff", "least", "most"), model)
+    bounds = bounds.join(runs, "run").select(*keys, "cutoff", "least", "most")
+    return KeyedRuns(runs, stored(scored, "run-scores"), bounds, model)
 
 
 def keyed_frame(

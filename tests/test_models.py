@@ -326,6 +326,18 @@ def test_keyed_runs_take_as_many_jobs_for_any_number_of_plants(spark):
     assert many <= few + 8
 
 
+def test_tasks_of_keyed_runs_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    dealt, own = [], leaves.dealt_by_content
+    monkeypatch.setattr(leaves, "FOREST_TASK_ROWS", 20, raising=False)
+    monkeypatch.setattr(leaves, "RUN_TASK_ROWS", 20, raising=False)
+    monkeypatch.setattr(leaves, "dealt_by_content", lambda rows, *args, **named: dealt.append(rows) or own(rows, *args, **named))
+    _, df, cutoffs = keyed(spark, 3)
+    found = leaves.keyed_runs(df, KEYS, "ts", "power", cutoffs, trees=2, bootstrap=False)
+    assert dealt[0].rdd.getNumPartitions() >= dealt[0].count() / 20 > 9
+    # More than the shuffle partitions of the session, which adaptive execution merges by their few bytes.
+    assert len(found.scored.inputFiles()) > 8
+
+
 def test_keyed_runs_see_nothing_after_their_cutoff(spark):
     _, df, cutoffs = keyed(spark, 2)
     first = cutoffs.filter(F.dayofmonth("day") == 1)
