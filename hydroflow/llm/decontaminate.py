@@ -15,7 +15,8 @@ counts as found if the folded one that starts at the same word is.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,9 @@ TELLING = 2
 #: Bits of the map that documents' windows are looked up in before the join; it has a fixed size.
 MAP_BITS = 23
 #: Raw words that a task remembers the template token of.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
+#: Characters of the texts whose tokens a task works on at a time; a longer text is worked on alone.
+AT_ONCE = 1 << 19
 
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 # Written units that may follow a number.
@@ -45,6 +48,7 @@ UNITS = frozenset(
 
 _EMPTY, _TITLE, _NUMBER, _UNIT, _ENDS, _WITH_UNIT = 1, 2, 4, 8, 16, 32
 _OUTER = re.compile(r"^[\W_]+|[\W_]+$")
+_ASCII_OUTER = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 _STOPS, _CLOSING = (".", "!", "?"), "\"')]}»”’"
 _IS_NUMBER = re.compile(r"\d[\d.,:/]*(?:st|nd|rd|th)?")
 _NUMBER_UNIT = re.compile(r"(\d[\d.,]*)([^\W\d_/]+(?:/[a-z])?)")
@@ -55,46 +59,61 @@ def _hash(token: str) -> int:
     return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), 7)
 
 
+def _look(raw: str) -> tuple[int, str, str]:
+    """What a raw word looks like, its literal token, and the unit written together with it."""
+    if raw.isalpha():
+        flags, lower = 0, raw.casefold()
+        if lower in UNITS:
+            flags = _UNIT
+        if raw[0].isupper() and len(raw) > 1 and not raw[1:].isupper():
+            flags |= _TITLE
+        return flags, lower, ""
+    core = raw.strip(_ASCII_OUTER) if raw.isascii() else _OUTER.sub("", raw)
+    flags = _ENDS if raw.rstrip(_CLOSING).endswith(_STOPS) else 0
+    lower, value = core.casefold(), ""
+    if not core:
+        flags |= _UNIT if raw == "%" else _EMPTY
+        lower = raw
+    elif core[0].isdecimal():
+        if _IS_NUMBER.fullmatch(core):
+            flags |= _NUMBER
+            if raw.rstrip(".,;:!?)]").endswith("%"):
+                flags |= _WITH_UNIT
+                value = "%"
+        elif (m := _NUMBER_UNIT.fullmatch(core)) and m[2].lower() in UNITS:
+            flags |= _NUMBER | _WITH_UNIT
+            lower, value = m[1], m[2].lower()
+    else:
+        if lower in UNITS:
+            flags |= _UNIT
+        if core[0].isupper() and len(core) > 1 and not core[1:].isupper():
+            flags |= _TITLE
+    return flags, lower, value
+
+
 class Lexicon(dict):
     """Raw word to a number; arrays hold, by number, the hash of its literal token and what it looks like."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.words: list[tuple[str, str]] = []
-        self.hashes, self.flags = np.zeros(1024, dtype=np.uint64), np.zeros(1024, dtype=np.uint8)
+        # Number 0 is no word: the arrays are never empty.
+        self.words: list[str] = [""]
+        self._hashes, self._flags = array("Q", [0]), array("B", [0])
+
+    @property
+    def hashes(self) -> np.ndarray:
+        return np.frombuffer(self._hashes, dtype=np.uint64)
+
+    @property
+    def flags(self) -> np.ndarray:
+        return np.frombuffer(self._flags, dtype=np.uint8)
 
     def __missing__(self, raw: str) -> int:
-        flags, value = 0, ""
-        if raw.isalpha():
-            core = raw
-        else:
-            core = _OUTER.sub("", raw)
-            if raw.rstrip(_CLOSING).endswith(_STOPS):
-                flags = _ENDS
-        lower = core.casefold()
-        if not core:
-            flags |= _UNIT if raw == "%" else _EMPTY
-            lower = raw
-        elif core[0].isdecimal():
-            if _IS_NUMBER.fullmatch(core):
-                flags |= _NUMBER
-                if raw.rstrip(".,;:!?)]").endswith("%"):
-                    flags |= _WITH_UNIT
-                    value = "%"
-            elif (m := _NUMBER_UNIT.fullmatch(core)) and m[2].lower() in UNITS:
-                flags |= _NUMBER | _WITH_UNIT
-                lower, value = m[1], m[2].lower()
-        else:
-            if lower in UNITS:
-                flags |= _UNIT
-            if core[0].isupper() and len(core) > 1 and not core[1:].isupper():
-                flags |= _TITLE
-        at = len(self.words)
-        if at == len(self.flags):
-            self.hashes, self.flags = (np.concatenate((x, np.zeros_like(x))) for x in (self.hashes, self.flags))
-        self.words.append((lower, value))
-        self.hashes[at], self.flags[at] = _hash(lower), flags
-        self[raw] = at
+        at = self[raw] = len(self.words)
+        flags, lower, _ = _look(raw)
+        self.words.append(raw)
+        self._hashes.append(_hash(lower))
+        self._flags.append(flags)
         return at
 
 
@@ -103,37 +122,42 @@ _KIND_HASH = np.array([0, *(_hash(k) for k in _KINDS[1:])], dtype=np.uint64)
 
 
 class Template:
-    """The template tokens of a text: hash and kind per token, and on demand their words."""
-
-    def __init__(self, text: str, lexicon: Lexicon, name_first: bool = False):
-        """With ``name_first`` the first word may be a name."""
-        raw = text.split()
+    """The template tokens of texts, one text after the other: hash, kind and text per token, and on demand their words."""
+
+    def __init__(self, texts: str | Sequence[str], lexicon: Lexicon, name_first: bool = False):
+        """Of one text or several; with ``name_first`` the first word of a text may be a name."""
+        raw, ends = [], [0]
+        for text in [texts] if isinstance(texts, str) else texts:
+            raw += text.split()
+            ends.append(len(raw))
         ids = np.fromiter(map(lexicon.__getitem__, raw), dtype=np.int64, count=len(raw))
         flags = lexicon.flags[ids]
+        lengths = np.diff(ends)
         starts = np.ones(len(ids), dtype=bool)
         starts[1:] = (flags[:-1] & _ENDS) != 0
-        if name_first:
-            starts[:1] = False
+        starts[np.array(ends[:-1], dtype=np.int64)[lengths > 0]] = not name_first
         used = (flags & _EMPTY) == 0
-        self._assemble(ids[used], flags[used], starts[used], lexicon)
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        self._assemble(ids[used], flags[used], starts[used], text[used], lexicon)
 
     def folded(self) -> Template:
-        """The same text with names as words."""
+        """The same texts with names as words."""
         out = Template.__new__(Template)
-        out._assemble(self.ids, self.flags, np.ones(len(self.ids), dtype=bool), self.lexicon)
+        out._assemble(self.ids, self.flags, np.ones(len(self.ids), dtype=bool), self.of_word, self.lexicon)
         return out
 
-    def _assemble(self, ids: np.ndarray, flags: np.ndarray, starts: np.ndarray, lexicon: Lexicon) -> None:
+    def _assemble(self, ids: np.ndarray, flags: np.ndarray, starts: np.ndarray, text: np.ndarray, lexicon: Lexicon) -> None:
         """A titled word is a name unless it is among ``starts``."""
         kind = np.zeros(len(ids), dtype=np.uint8)
         kind[(flags & _NUMBER) != 0] = 1
         kind[((flags & _TITLE) != 0) & ~starts] = 2
+        within = text[1:] == text[:-1]
         follows = np.zeros(len(ids), dtype=bool)
-        follows[1:] = (kind[:-1] == 1) & ((flags[:-1] & _WITH_UNIT) == 0)
+        follows[1:] = (kind[:-1] == 1) & ((flags[:-1] & _WITH_UNIT) == 0) & within
         kind[((flags & _UNIT) != 0) & follows] = 3
         # A name of several words is one slot; a number written together with its unit is two.
         goes_on = np.zeros(len(ids), dtype=bool)
-        goes_on[1:] = (kind[1:] == 2) & (kind[:-1] == 2)
+        goes_on[1:] = (kind[1:] == 2) & (kind[:-1] == 2) & within
         first = np.flatnonzero(~goes_on)
         words = np.diff(np.append(first, len(ids)))
         times = np.where((flags[first] & _WITH_UNIT) != 0, 2, 1)
@@ -142,17 +166,18 @@ class Template:
         self.unit_part[1:] = self.at[1:] == self.at[:-1]
         self.kind = np.where(self.unit_part, 3, kind[self.at]).astype(np.uint8)
         self.hashes = np.where(self.kind > 0, _KIND_HASH[self.kind], lexicon.hashes[ids[self.at]]) if len(ids) else np.empty(0, np.uint64)
-        self.ids, self.flags, self.lexicon = ids, flags, lexicon
+        self.ids, self.flags, self.of_word, self.lexicon = ids, flags, text, lexicon
+        self.text = text[self.at]
 
     def __len__(self) -> int:
         return len(self.at)
 
     def starts(self) -> np.ndarray:
-        """Where each token begins, in a numbering that both forms of a text share."""
+        """Where each token begins, in a numbering that both forms of the texts share."""
         return 2 * self.at + self.unit_part
 
     def windows(self, length: int) -> np.ndarray:
-        """A hash per window of ``length`` tokens."""
+        """A hash per window of ``length`` tokens; some may lie across two texts."""
         n = len(self) - length + 1
         if n <= 0:
             return np.empty(0, dtype=np.uint64)
@@ -162,6 +187,10 @@ class Template:
             out ^= out >> np.uint64(29)
         return out
 
+    def within(self, length: int) -> np.ndarray:
+        """Whether each window lies in one text."""
+        return self.text[: max(len(self) - length + 1, 0)] == self.text[length - 1 :]
+
     def telling(self, length: int) -> np.ndarray:
         """Where the windows start that have at least TELLING words besides their slots."""
         n = len(self) - length + 1
@@ -174,8 +203,8 @@ class Template:
         """The template of a window and the values of its slots, in order."""
         tokens, slots = [], []
         for i in range(start, start + length):
-            own = [self.lexicon.words[k] for k in self.ids[self.at[i] : self.at[i] + self.words[i]]]
-            value = own[0][1] if self.unit_part[i] else " ".join(w for w, _ in own)
+            own = [_look(self.lexicon.words[k]) for k in self.ids[self.at[i] : self.at[i] + self.words[i]]]
+            value = own[0][2] if self.unit_part[i] else " ".join(lower for _, lower, _ in own)
             kind = _KINDS[self.kind[i]]
             tokens.append(kind or value)
             if kind:
@@ -234,21 +263,36 @@ def _window_map(index: DataFrame) -> np.ndarray:
 _HITS = "doc_id string, k_hash long, k_len int, form int, spot int, hash long, template string, slots array<string>"
 
 
+def _portions(bodies: Sequence[str]) -> Iterator[slice]:
+    """Rows next to one another of AT_ONCE characters together, or one longer one."""
+    start = held = 0
+    for at, body in enumerate(bodies):
+        if held and held + len(body) > AT_ONCE:
+            yield slice(start, at)
+            start, held = at, 0
+        held += len(body)
+    yield slice(start, len(bodies))
+
+
 def _document_windows(window: int, packed_map):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, mask = np.unpackbits(packed_map.value).view(bool), np.uint64((1 << MAP_BITS) - 1)
         lexicon = Lexicon()
         for batch in batches:
+            bodies, named = batch["body"].tolist(), list(zip(batch["doc_id"], batch["k_hash"], batch["k_len"], strict=True))
             out = []
-            for doc_id, k_hash, k_len, body in zip(batch["doc_id"], batch["k_hash"], batch["k_len"], batch["body"], strict=True):
+            for rows in _portions(bodies):
                 if len(lexicon) > REMEMBERED:
                     lexicon = Lexicon()
-                plain = Template(body, lexicon)
+                texts, own = bodies[rows], named[rows]
+                plain = Template(texts, lexicon)
                 for form, template in enumerate((plain, plain.folded())):
                     hashes = template.windows(window)
-                    signed = hashes.view(np.int64)
-                    for spot in np.flatnonzero(known[hashes & mask]).tolist():
-                        out.append((doc_id, k_hash, k_len, form, spot, int(signed[spot]), *template.shown(spot, window)))
+                    found = np.flatnonzero(known[hashes & mask] & template.within(window))
+                    text = template.text[found]
+                    spots = found - np.searchsorted(template.text, text)
+                    for at, i, spot, signed in zip(found.tolist(), text.tolist(), spots.tolist(), hashes[found].view(np.int64).tolist(), strict=True):
+                        out.append((*own[i], form, spot, signed, *template.shown(at, window)))
             if out:
                 yield pd.DataFrame(out, columns=["doc_id", "k_hash", "k_len", "form", "spot", "hash", "template", "slots"])
 

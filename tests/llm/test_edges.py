@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 import re
+from types import SimpleNamespace
 
 import brute
 import numpy as np
+import pandas as pd
 import pytest
 from compare import differences, open_tables
 from pyspark.sql import functions as F
@@ -683,6 +685,24 @@ def test_template_tokens():
     )
 
 
+@pytest.mark.parametrize("at_once", [1, 60, 1 << 19])
+def test_texts_worked_on_together_are_templates_of_their_own(monkeypatch, at_once):
+    """Names, numbers with units, first words and windows at the seam of two texts; a text counts its tokens from its own start."""
+    seams = ["we all went to see Mary Ann", "Smith has gone to the old house.", "they ran for 12", "km is what we had to walk", "", " -- ", "a b"]
+    texts = [*seams, *reversed(seams), ITEM, prose(3, 50)]
+    known = SimpleNamespace(value=np.full((1 << decontaminate.MAP_BITS) // 8, 255, dtype=np.uint8))
+
+    def hits(texts, ids):
+        batch = pd.DataFrame({"doc_id": ids, "k_hash": 0, "k_len": 0, "body": texts})
+        return [tuple(map(str, r)) for part in decontaminate._document_windows(5, known)([batch]) for r in part.itertuples(index=False)]
+
+    monkeypatch.setattr(decontaminate, "AT_ONCE", at_once)
+    portions = [texts[rows] for rows in decontaminate._portions(texts)]
+    assert [t for p in portions for t in p] == texts and (len(portions) > 1) == (at_once < 1 << 19)
+    alone = [h for i, t in enumerate(texts) for h in hits([t], [str(i)])]
+    assert sorted(hits(texts, [str(i) for i in range(len(texts))])) == sorted(alone) and len(alone) > 50
+
+
 def test_document_windows_forget_words(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "REMEMBERED", 1)
     assert set(contaminated(spark, [(1, ITEM), (2, prose(3, 50)), (3, ITEM)])) == {(1, 1), (3, 1)}
