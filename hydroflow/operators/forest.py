@@ -36,10 +36,11 @@ def forest(
     subset: str = "all",
     max_bins: int = FOREST_BINS,
     bootstrap: bool = True,
+    weight: str | None = None,
 ) -> RandomForestRegressor:
     """The estimator. 30 is MLlib's largest depth; a feature with no more distinct values than ``max_bins`` is split at
-    any of them. Without ``bootstrap`` every tree sees every row once."""
-    return RandomForestRegressor(
+    any of them. Without ``bootstrap`` every tree sees every row once. ``weight``: the column that says how often a row counts."""
+    estimator = RandomForestRegressor(
         labelCol=label,
         featuresCol=vector,
         predictionCol="power_pred",
@@ -51,6 +52,7 @@ def forest(
         bootstrap=bootstrap,
         maxMemoryInMB=FOREST_MEMORY_MB,
     )
+    return estimator if weight is None else estimator.setWeightCol(weight)
 
 
 def fit_rows(estimator: RandomForestRegressor, rows: DataFrame) -> RandomForestRegressionModel:

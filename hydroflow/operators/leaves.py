@@ -31,6 +31,8 @@ from hydroflow.session import stored
 _VECTOR = "_features"
 #: Training rows that a task makes out of the rows dealt to it; they wait in its memory to be sent on.
 RUN_TASK_ROWS = 20 * FOREST_TASK_ROWS
+#: More training rows than this are counted together where they are alike, if no rows are drawn; fewer fit into a task as they are.
+ALIKE_FROM = 50_000
 
 
 def with_leaves(model: RandomForestRegressionModel, rows: DataFrame, vector: str = _VECTOR) -> DataFrame:
@@ -203,6 +205,14 @@ def _of_runs(df: DataFrame, runs: DataFrame, keys: Sequence[str], time_col: str,
     return null_safe_join(df, runs, keys, also=within)
 
 
+def _by_day(rows: DataFrame, keys: Sequence[str], time_col: str, features: Sequence[str]) -> DataFrame:
+    """Number, sum and extremes of ``label`` by key, ``_day`` and features. A missing label stays one: NaN, which no fit takes."""
+    total = F.when(F.count("label") == F.count(F.lit(1)), F.sum("label")).otherwise(F.lit(float("nan")))
+    return rows.groupBy(*keys, day_of(time_col).alias("_day"), *features).agg(
+        F.count(F.lit(1)).alias("n"), total.alias("total"), F.min("label").alias("least"), F.max("label").alias("most")
+    )
+
+
 def keyed_runs(
     df: DataFrame,
     keys: Sequence[str],
@@ -210,6 +220,8 @@ def keyed_runs(
     target: str,
     cutoffs: DataFrame,
     tie_break: Sequence[str] = (),
+    *,
+    bootstrap: bool = True,
     **params,
 ) -> KeyedRuns:
     """Train on every plant's rows up to each of its cut-off days, and predict the day after: all in one fit.
@@ -220,6 +232,10 @@ def keyed_runs(
     that no row of another plant, or after the cut-off, counts. The number of jobs does not depend on the runs; each
     row is trained on once per run that it belongs to, as with a fit of its own. NULL keys are a plant like any other;
     a day without rows has no predictions. MLlib's depth of 30 is shared with the levels that part the runs.
+
+    Without ``bootstrap`` no split parts rows of a run that are equal in all features, and the gain of a split depends on
+    their number and mean only: one row that counts as often gives the same tree. Where that at least halves many training
+    rows, the rows are added up by day before they meet their runs, and none of them is repeated. ``df`` is read more than once.
     """
     keys = list(keys)
     asked = cutoffs.select(*keys, F.col("day").alias("cutoff")).distinct()
@@ -228,35 +244,57 @@ def keyed_runs(
     value = column(target).cast("double")
     taken = {f: f"f{i}" for i, f in enumerate(features)}
     columns = [null_if_nan(f).alias(name) for f, name in taken.items()]
-    rows = stored(df.select(*keys, time_col, value.alias("label"), *columns), "run-rows")
-
-    def history(base: DataFrame) -> DataFrame:
-        return _of_runs(base, runs, keys, time_col, None, 0).select("run", "label", *taken.values())
-
-    bounds = history(rows).groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
-    bounds = stored(bounds, "run-bounds")
-    n_rows, least, most = bounds.agg(F.sum("n"), F.min("least"), F.max("most")).first()
+    rows = df.select(*keys, time_col, value.alias("label"), *columns)
+    days = stored(_by_day(rows, keys, time_col, [] if bootstrap else [*taken.values()]), "run-sums")
+    bounds = _of_runs(days, runs, keys, "_day", None, 0).groupBy("run")
+    extremes = [F.min("least").alias("least"), F.max("most").alias("most")]
+    bounds = stored(bounds.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sums"), *extremes), "run-bounds")
+    n_rows, n_sums, least, most = bounds.agg(F.sum("n"), F.sum("sums"), F.min("least"), F.max("most")).first()
     if least is None:
         raise ValueError("There are no training rows.")
     # Two digits, so that a split can part any two runs however many there are.
     digits = [F.floor(F.col("run") / FOREST_BINS).cast("double"), (F.col("run") % FOREST_BINS).cast("double")]
     row = array_to_vector(F.array(*digits, *[F.col(c) for c in taken.values()])).alias(_VECTOR)
     # Centred, so that sums of squares keep as many digits of the target itself as they can.
-    step, middle = 2 * (most - least) + 1, (runs.count() - 1) / 2
-    shifted = F.col("label") - (most + least) / 2 + (F.col("run") - middle) * step
-    # The rows are dealt before they are repeated for their runs, so that a task never holds more than its share of the repeats.
-    learned = history(rows.repartition(tasks_for(n_rows, RUN_TASK_ROWS), time_col, "label", *taken.values()))
-    training = dealt_by_content(learned, [*taken.values(), "label", "run"], n_rows=n_rows)
-    model = fit_rows(forest("_label", _VECTOR, **params), training.select(row, shifted.alias("_label")))
-    own = with_leaves(model, learned.select("run", "label", row))
-    table = stored(own.groupBy("run", "tree", "leaf").agg(F.avg("label").alias("mean")), "run-leaves")
-    following = _of_runs(rows, runs, keys, time_col, 1, 1)
-    following = stored(following.withColumn("_row", F.monotonically_increasing_id()), "run-days")
-    # Dealt by row once: neither the sums nor the join has to move them again, and a task holds a fixed number of them.
-    following = following.repartition(tasks_for(following.count(), FOREST_TASK_ROWS), "_row")
-    passed = with_leaves(model, following.select("_row", "run", row)).join(table, ["run", "tree", "leaf"])
-    predicted = passed.groupBy("_row").agg(F.avg("mean").alias("power_pred"))
-    scored = following.join(predicted, "_row").select(
+    place = F.col("run") - (runs.count() - 1) / 2
+    if not bootstrap and n_rows > ALIKE_FROM and 2 * n_sums <= n_rows:
+        alike = ["run", *taken.values()]
+        sums = _of_runs(days, runs, keys, "_day", None, 0).groupBy(*alike).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+        sums = stored(sums, "run-rows")
+        # Means of many rows lie close together: steps that follow their range around the run's own mean part them better.
+        centres = sums.groupBy("run").agg((F.sum("total") / F.sum("n")).alias("centre"))
+        learned = sums.join(centres, "run").withColumn("label", F.col("total") / F.col("n") - F.col("centre"))
+        n_learned, spread = learned.agg(F.count(F.lit(1)), F.max("label") - F.min("label")).first()
+        training = dealt_by_content(learned, [*taken.values(), "run"], n_rows=n_learned)
+        shifted = F.col("label") + place * (4 * spread or 1.0)
+        estimator = forest("_label", _VECTOR, bootstrap=False, weight="n", **params)
+        model = fit_rows(estimator, training.select(row, shifted.alias("_label"), F.col("n").cast("double").alias("n")))
+        own = with_leaves(model, sums.select("run", "n", "total", row))
+        table = stored(own.groupBy("run", "tree", "leaf").agg((F.sum("total") / F.sum("n")).alias("mean")), "run-leaves")
+        # A run's day after has a sum for each of the rows that differ.
+        following = _of_runs(days, runs, keys, "_day", 1, 1)
+        passed = with_leaves(model, following.select(*alike, row)).join(table, ["run", "tree", "leaf"])
+        predicted = stored(passed.groupBy(*alike).agg(F.avg("mean").alias("power_pred")), "run-predictions")
+        scored = null_safe_join(_of_runs(rows, runs, keys, time_col, 1, 1), predicted, alike)
+    else:
+        rows = stored(rows, "run-rows")
+        step = 2 * (most - least) + 1
+        shifted = F.col("label") - (most + least) / 2 + place * step
+        # The rows are dealt before they are repeated for their runs, so that a task never holds more than its share of the repeats.
+        dealt = rows.repartition(tasks_for(n_rows, RUN_TASK_ROWS), time_col, "label", *taken.values())
+        learned = _of_runs(dealt, runs, keys, time_col, None, 0).select("run", "label", *taken.values())
+        training = dealt_by_content(learned, [*taken.values(), "label", "run"], n_rows=n_rows)
+        model = fit_rows(forest("_label", _VECTOR, bootstrap=bootstrap, **params), training.select(row, shifted.alias("_label")))
+        own = with_leaves(model, learned.select("run", "label", row))
+        table = stored(own.groupBy("run", "tree", "leaf").agg(F.avg("label").alias("mean")), "run-leaves")
+        following = _of_runs(rows, runs, keys, time_col, 1, 1)
+        following = stored(following.withColumn("_row", F.monotonically_increasing_id()), "run-days")
+        # Dealt by row once: neither the sums nor the join has to move them again, and a task holds a fixed number of them.
+        following = following.repartition(tasks_for(following.count(), FOREST_TASK_ROWS), "_row")
+        passed = with_leaves(model, following.select("_row", "run", row)).join(table, ["run", "tree", "leaf"])
+        predicted = passed.groupBy("_row").agg(F.avg("mean").alias("power_pred"))
+        scored = following.join(predicted, "_row")
+    scored = scored.select(
         *keys, "cutoff", F.col(time_col).alias("ts"), F.col("label").alias("actual"), clip_nonnegative("power_pred").alias("power_pred")
     )
     bounds = bounds.join(runs, "run").select(*keys, "cutoff", "least", "most")

@@ -351,3 +351,62 @@ def test_keyed_runs_without_rows(spark):
     _, df, cutoffs = keyed(spark, 1)
     with pytest.raises(ValueError, match="no training rows"):
         leaves.keyed_runs(df.limit(0), KEYS, "ts", "power", cutoffs)
+
+
+def test_keyed_runs_train_on_what_differs_not_on_every_row(spark, monkeypatch):
+    """Rows of a run that are equal in all features count together: as many rows as runs have hours, whatever the table holds."""
+    dealt, own = [], leaves.dealt_by_content
+    monkeypatch.setattr(leaves, "ALIKE_FROM", 0, raising=False)
+    monkeypatch.setattr(leaves, "dealt_by_content", lambda rows, *args, **named: dealt.append(rows) or own(rows, *args, **named))
+    rows, df, cutoffs = keyed(spark, 3)
+    uneven = df.withColumn("power", F.col("power") + F.hour("ts") ** 2).withColumn("plant", F.when(F.col("plant") > 0, F.col("plant")))
+    cutoffs = cutoffs.withColumn("plant", F.when(F.col("plant") > 0, F.col("plant")))
+    found = leaves.keyed_runs(uneven, KEYS, "ts", "power", cutoffs, trees=2, bootstrap=False)
+    assert dealt[0].count() == 9 * 4
+    got = {(r.plant, r.cutoff, r.ts): (r.actual, r.power_pred) for r in found.scored.collect()}
+    wanted = {}
+    for p, t, hour, v in rows:
+        for day in (1, 2, 3):
+            if t.date() == date(2024, 1, day + 1):
+                learned = [w + u.hour**2 for q, u, h, w in rows if q == p and u.date() <= date(2024, 1, day) and h == hour]
+                wanted[p or None, date(2024, 1, day), t] = (v + t.hour**2, sum(learned) / len(learned))
+    assert got.keys() == wanted.keys()
+    assert all(got[k] == pytest.approx(wanted[k], rel=1e-12) for k in wanted)
+    bounds = {(r.plant, r.cutoff): (r.least, r.most) for r in found.bounds.collect()}
+    powers = {(p or None, d): [v + t.hour**2 for q, t, _, v in rows if q == p and t.date() <= d] for p in range(3) for d in [date(2024, 1, i) for i in (1, 2, 3)]}
+    assert bounds == {k: (min(v), max(v)) for k, v in powers.items()}
+
+
+def test_keyed_runs_part_means_that_lie_close_together(spark, monkeypatch):
+    """Hours whose means differ by a millionth of a hundredth of the range, in runs of plants that are far apart."""
+    monkeypatch.setattr(leaves, "ALIKE_FROM", 0, raising=False)
+    rows = [
+        (p, START + timedelta(days=d, hours=h, minutes=m), float(h), 1e5 * p + 1e4 * (m % 2) + 1e-4 * h)
+        for p in range(3) for d in range(4) for h in range(6) for m in range(4)
+    ]
+    df = spark.createDataFrame(rows, "plant int, ts timestamp_ntz, hour double, power double")
+    cutoffs = df.select("plant", F.to_date("ts").alias("day")).distinct().filter(F.dayofmonth("day") <= 3)
+    found = leaves.keyed_runs(df, KEYS, "ts", "power", cutoffs, trees=2, bootstrap=False)
+    scored = found.scored.collect()
+    assert len(scored) == 3 * 3 * 6 * 4
+    assert [r.power_pred for r in scored] == pytest.approx([1e5 * r.plant + 5e3 + 1e-4 * r.ts.hour for r in scored], rel=0, abs=1e-7)
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_keyed_runs_take_no_missing_target(spark, monkeypatch, missing):
+    monkeypatch.setattr(leaves, "ALIKE_FROM", 0, raising=False)
+    _, df, cutoffs = keyed(spark, 1)
+    holed = df.withColumn("power", F.when(F.col("ts") == F.lit(START), F.lit(missing).cast("double")).otherwise(F.col("power")))
+    with pytest.raises(Exception, match="(?i)labels must not be null or nan"):
+        leaves.keyed_runs(holed, KEYS, "ts", "power", cutoffs, trees=1, bootstrap=False)
+
+
+def test_keyed_runs_of_rows_that_all_differ(spark, monkeypatch):
+    """Nothing to count together: rows are trained on as they are, with the same result."""
+    monkeypatch.setattr(leaves, "ALIKE_FROM", 0, raising=False)
+    dealt, own = [], leaves.dealt_by_content
+    monkeypatch.setattr(leaves, "dealt_by_content", lambda rows, *args, **named: dealt.append(rows) or own(rows, *args, **named))
+    _, df, cutoffs = keyed(spark, 2, days=1)
+    found = leaves.keyed_runs(df.withColumn("hour", F.hour("ts").cast("double")), KEYS, "ts", "power", cutoffs, trees=1, bootstrap=False)
+    assert dealt[0].count() == 2 * 24
+    assert all(r.power_pred == pytest.approx(10.0 * r.plant + r.ts.hour % 4) for r in found.scored.collect())
