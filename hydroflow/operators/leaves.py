@@ -307,8 +307,10 @@ def keyed_frame(
     """``(keys, cutoff, ts, series, value)``: the cut-off day, its trend, the day after as it happened, and as predicted."""
     keys = list(keys)
     rows = df.select(*keys, time_col, *tie_break, column(target).alias("_target"))
-    today = _of_runs(rows, found.runs, keys, time_col, 0, 0)
-    today = day_trailing_mean(today, ["run"], [time_col, *tie_break], "_target", "trend", DAY_TREND_ROWS)
+    # Only what the trend needs is moved and sorted: keys and cut-off come back with the run. Tasks follow the rows.
+    today = _of_runs(rows, found.runs, keys, time_col, 0, 0).drop(*keys, "cutoff")
+    today = today.repartition(tasks_for(found.scored.count()), "run")
+    today = day_trailing_mean(today, ["run"], [time_col, *tie_break], "_target", "trend", DAY_TREND_ROWS).join(found.runs, "run")
     named = [*keys, "cutoff"]
     return (
         series_of(today, named, time_col, {"_target": "actual", "trend": "trend"})

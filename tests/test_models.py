@@ -410,3 +410,26 @@ def test_keyed_runs_of_rows_that_all_differ(spark, monkeypatch):
     found = leaves.keyed_runs(df.withColumn("hour", F.hour("ts").cast("double")), KEYS, "ts", "power", cutoffs, trees=1, bootstrap=False)
     assert dealt[0].count() == 2 * 24
     assert all(r.power_pred == pytest.approx(10.0 * r.plant + r.ts.hour % 4) for r in found.scored.collect())
+
+
+def test_trends_of_keyed_runs_move_only_what_they_need(spark, monkeypatch):
+    moved, own = [], leaves.day_trailing_mean
+    monkeypatch.setattr(leaves, "FOREST_TASK_ROWS", 20)
+    monkeypatch.setattr(leaves, "tasks_for", lambda n, task_rows=20: -(-n // task_rows))
+    monkeypatch.setattr(leaves, "day_trailing_mean", lambda df, *args: moved.append(df) or own(df, *args))
+    rows, df, cutoffs = keyed(spark, 2, days=2)
+    df, cutoffs = (x.withColumn("plant", F.when(F.col("plant") > 0, F.col("plant"))) for x in (df, cutoffs))
+    found = leaves.keyed_runs(df, KEYS, "ts", "power", cutoffs, trees=1, bootstrap=False)
+    got = {(r.plant, r.cutoff, r.ts, r.series): r.value for r in leaves.keyed_frame(df, found, KEYS, "ts", "power").collect()}
+    assert sorted(moved[0].columns) == ["_target", "run", "ts"]
+    assert moved[0].rdd.getNumPartitions() >= moved[0].count() / 20 > 4
+    wanted = {}
+    for p in (0, 1):
+        for day in (1, 2):
+            values = [(t, v) for q, t, _, v in rows if q == p and t.date() == date(2024, 1, day)]
+            for i, (t, v) in enumerate(values):
+                last = [w for _, w in values[max(0, i - 15) : i + 1]]
+                wanted[p or None, date(2024, 1, day), t, "actual"] = v
+                wanted[p or None, date(2024, 1, day), t, "trend"] = sum(last) / len(last)
+    assert {k: v for k, v in got.items() if k[3] in ("actual", "trend")} == pytest.approx(wanted)
+    assert len(got) == 4 * 96
