@@ -252,21 +252,21 @@ def keyed_runs(
     n_rows, n_sums, least, most = bounds.agg(F.sum("n"), F.sum("sums"), F.min("least"), F.max("most")).first()
     if least is None:
         raise ValueError("There are no training rows.")
-    # Two digits, so that a split can part any two runs however many there are.
-    digits = [F.floor(F.col("run") / FOREST_BINS).cast("double"), (F.col("run") % FOREST_BINS).cast("double")]
-    row = array_to_vector(F.array(*digits, *[F.col(c) for c in taken.values()])).alias(_VECTOR)
-    # Centred, so that sums of squares keep as many digits of the target itself as they can.
-    place = F.col("run") - (runs.count() - 1) / 2
     if not bootstrap and n_rows > ALIKE_FROM and 2 * n_sums <= n_rows:
         alike = ["run", *taken.values()]
         sums = _of_runs(days, runs, keys, "_day", None, 0).groupBy(*alike).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
         sums = stored(sums, "run-rows")
-        # Means of many rows lie close together: steps that follow their range around the run's own mean part them better.
-        centres = sums.groupBy("run").agg((F.sum("total") / F.sum("n")).alias("centre"))
-        learned = sums.join(centres, "run").withColumn("label", F.col("total") / F.col("n") - F.col("centre"))
-        n_learned, spread = learned.agg(F.count(F.lit(1)), F.max("label") - F.min("label")).first()
-        training = dealt_by_content(learned, [*taken.values(), "run"], n_rows=n_learned)
-        shifted = F.col("label") + place * (4 * spread or 1.0)
+        # Means of many rows lie close together. Each run's are taken by their range around the run's own mean, which leaves its
+        # splits as they are, and a run is known by the bits of its number, a step each: sums then hold a few steps only.
+        mean = F.col("total") / F.col("n")
+        centres = sums.groupBy("run").agg((F.sum("total") / F.sum("n")).alias("centre"), (F.max(mean) - F.min(mean)).alias("spread"))
+        label = F.when(F.col("spread") > 0, (mean - F.col("centre")) / F.col("spread")).otherwise(F.lit(0.0))
+        learned = sums.join(centres, "run").withColumn("label", label)
+        training = dealt_by_content(learned, [*taken.values(), "run"])
+        n_bits = max(1, (runs.count() - 1).bit_length())
+        bits = [F.shiftright("run", i).bitwiseAND(F.lit(1)).cast("double") for i in range(n_bits)]
+        shifted = sum(((bit - 0.5) * (4 + 4 * i / n_bits) for i, bit in enumerate(bits)), F.col("label"))
+        row = array_to_vector(F.array(*bits, *[F.col(c) for c in taken.values()])).alias(_VECTOR)
         estimator = forest("_label", _VECTOR, bootstrap=False, weight="n", **params)
         model = fit_rows(estimator, training.select(row, shifted.alias("_label"), F.col("n").cast("double").alias("n")))
         own = with_leaves(model, sums.select("run", "n", "total", row))
@@ -278,8 +278,12 @@ def keyed_runs(
         scored = null_safe_join(_of_runs(rows, runs, keys, time_col, 1, 1), predicted, alike)
     else:
         rows = stored(rows, "run-rows")
-        step = 2 * (most - least) + 1
-        shifted = F.col("label") - (most + least) / 2 + place * step
+        # Two digits, so that a split can part any two runs however many there are.
+        digits = [F.floor(F.col("run") / FOREST_BINS).cast("double"), (F.col("run") % FOREST_BINS).cast("double")]
+        row = array_to_vector(F.array(*digits, *[F.col(c) for c in taken.values()])).alias(_VECTOR)
+        # Centred, so that sums of squares keep as many digits of the target itself as they can.
+        step, middle = 2 * (most - least) + 1, (runs.count() - 1) / 2
+        shifted = F.col("label") - (most + least) / 2 + (F.col("run") - middle) * step
         # The rows are dealt before they are repeated for their runs, so that a task never holds more than its share of the repeats.
         dealt = rows.repartition(tasks_for(n_rows, RUN_TASK_ROWS), time_col, "label", *taken.values())
         learned = _of_runs(dealt, runs, keys, time_col, None, 0).select("run", "label", *taken.values())

@@ -433,3 +433,16 @@ def test_trends_of_keyed_runs_move_only_what_they_need(spark, monkeypatch):
                 wanted[p or None, date(2024, 1, day), t, "trend"] = sum(last) / len(last)
     assert {k: v for k, v in got.items() if k[3] in ("actual", "trend")} == pytest.approx(wanted)
     assert len(got) == 4 * 96
+
+
+def test_keyed_runs_part_the_means_of_a_small_plant_beside_a_large_one(spark, monkeypatch):
+    monkeypatch.setattr(leaves, "ALIKE_FROM", 0, raising=False)
+    rows = [
+        (p, START + timedelta(days=d, hours=h, minutes=m), float(h), (1e8, 1e-2)[p] * h)
+        for p in range(2) for d in range(6) for h in range(6) for m in range(2)
+    ]
+    df = spark.createDataFrame(rows, "plant int, ts timestamp_ntz, hour double, power double")
+    cutoffs = df.select("plant", F.to_date("ts").alias("day")).distinct().filter(F.dayofmonth("day") <= 5)
+    scored = leaves.keyed_runs(df, KEYS, "ts", "power", cutoffs, trees=2, bootstrap=False).scored.collect()
+    assert len(scored) == 2 * 5 * 6 * 2
+    assert [r.power_pred for r in scored] == pytest.approx([r.actual for r in scored], rel=1e-12)
